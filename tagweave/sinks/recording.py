@@ -1,0 +1,54 @@
+"""A key-value client that records calls to JSON-lines files instead of a
+store — for tests and dry runs of the ``kvbatch`` sink.
+
+``reject_last``: on the first attempt of every batch, report that many
+items as unprocessed, so the resend path runs."""
+
+from __future__ import annotations
+
+import json
+import os
+import uuid
+
+
+class RecordingClient:
+    def __init__(self, record_dir: str, reject_last: str | int = 0):
+        os.makedirs(record_dir, exist_ok=True)
+        self.path = os.path.join(record_dir, f"calls-{os.getpid()}-{uuid.uuid4().hex}.jsonl")
+        self.reject_last = int(reject_last)
+        self._seen: set[str] = set()
+        self._fh = open(self.path, "a", encoding="utf-8")
+
+    def _log(self, **rec) -> None:
+        self._fh.write(json.dumps(rec, default=str, sort_keys=True) + "\n")
+
+    def batch_write(self, table: str, items: list[dict]) -> list[dict]:
+        sig = json.dumps(items, default=str, sort_keys=True)
+        reject = 0
+        if self.reject_last and sig not in self._seen and len(items) > 1:
+            reject = min(self.reject_last, len(items) - 1)
+        self._seen.add(sig)
+        accepted, rest = (items[: len(items) - reject], items[len(items) - reject:]) if reject else (items, [])
+        self._log(op="batch_write", table=table, n=len(items), accepted=accepted)
+        return rest
+
+    def put_multi(self, table: str, keys: list[str], items: list[dict]) -> None:
+        self._log(op="put_multi", table=table, n=len(items), keys=keys, accepted=items)
+
+    def put(self, table: str, key: str, item: dict) -> None:
+        self._log(op="put", table=table, n=1, keys=[key], accepted=[item])
+
+    def close(self) -> None:
+        self._fh.close()
+
+
+def recording_client(record_dir: str, reject_last: str = "0") -> RecordingClient:
+    return RecordingClient(record_dir, reject_last)
+
+
+def read_calls(record_dir: str) -> list[dict]:
+    calls = []
+    for name in sorted(os.listdir(record_dir)):
+        with open(os.path.join(record_dir, name), encoding="utf-8") as fh:
+            calls += [json.loads(line) for line in fh if line.strip()]
+    return calls
