@@ -33,6 +33,14 @@ def read_gnt_words(
     file is not one task.  ``strict32`` fails on ids above 2^31-1.
     """
     lines = read_tagged_lines(spark, path, on_error=on_error)
+    return words_from_lines(lines, strict32=strict32, chunked=chunked)
+
+
+def words_from_lines(lines: DataFrame, strict32: bool = False, chunked: bool = True) -> DataFrame:
+    """Word rows from tagged lines ``(file, file_name, block, seq, fields)``
+    — the part of ``read_gnt_words`` after the read, usable on a streaming
+    micro-batch (a file never spans micro-batches)."""
+    spark = lines.sparkSession
     f = F.col("fields")
     df = lines.select(
         "file", "file_name", "block", "seq",

@@ -43,6 +43,19 @@ def read_wlc_words(
     files = read_nested_books(spark, folder)
     dim = book_dimension(spark, "hebrew").withColumnRenamed("ordinal", "book_no")
     check_manifest(files.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
+    return words_from_books(files, dictionary=dictionary, pronoun_person=pronoun_person, partitions=partitions)
+
+
+def words_from_books(
+    files: DataFrame,
+    dictionary: bool = True,
+    pronoun_person: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Word rows from parsed book files ``(book_key, book)`` — the part of
+    ``read_wlc_words`` after the read, usable on a streaming micro-batch.
+    Files whose stem is not a known book are ignored."""
+    dim = book_dimension(files.sparkSession, "hebrew").withColumnRenamed("ordinal", "book_no")
     books = files.join(F.broadcast(dim), files.book_key == dim.file_stem).select(
         F.col("name").alias("book"), "book_no", F.col("book").alias("content")
     )
