@@ -52,3 +52,24 @@ def read_calls(record_dir: str) -> list[dict]:
         with open(os.path.join(record_dir, name), encoding="utf-8") as fh:
             calls += [json.loads(line) for line in fh if line.strip()]
     return calls
+
+
+class CountingClient:
+    """Accepts everything and only counts — measures the writer itself."""
+
+    def __init__(self):
+        self.n = 0
+
+    def batch_write(self, table: str, items: list[dict]) -> list[dict]:
+        self.n += len(items)
+        return []
+
+    def put_multi(self, table: str, keys: list[str], items: list[dict]) -> None:
+        self.n += len(items)
+
+    def put(self, table: str, key: str, item: dict) -> None:
+        self.n += 1
+
+
+def counting_client() -> CountingClient:
+    return CountingClient()
