@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tagweave.functions import decode_tree, language, tag_string  # noqa: E402
-from tagweave.operators import decode_by_dictionary  # noqa: E402
+from tagweave.operators import decode_by_dictionary, spread  # noqa: E402
 from tagweave.plans import catalog  # noqa: E402
 from tagweave.session import scratch_path  # noqa: E402
 from tagweave.sinks import register, write_jsonl  # noqa: E402
@@ -52,7 +52,7 @@ def noop(df: DataFrame) -> None:
 
 
 def lineitem_tags(spark: SparkSession) -> DataFrame:
-    li = catalog.table(spark, SF_DIR, "lineitem").select("l_orderkey", "l_linenumber")
+    li = spread(catalog.table(spark, SF_DIR, "lineitem").select("l_orderkey", "l_linenumber"))
     sample = F.array(*[F.lit(t) for t in catalog.TAG_SAMPLE])
     idx = ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % len(catalog.TAG_SAMPLE) + 1).cast("int")
     return li.withColumn("tag", F.element_at(sample, idx))

@@ -38,6 +38,15 @@ def concat_id(verse: str | Column, ordinal: str | Column, strict32: bool = False
     ).otherwise(value)
 
 
+def _pad(c: Column, width: int) -> Column:
+    """``%0<width>d`` without ``format_string``: ``lpad`` cuts values wider
+    than the slot, so those (and negatives) keep their full text."""
+    text = c.cast("bigint").cast("string")
+    return F.when((c >= 0) & (F.length(text) < width), F.lpad(text, width, "0")).when(
+        c >= 0, text
+    ).otherwise(F.format_string(f"%0{width}d", c.cast("bigint")))
+
+
 def padded_id(*parts: str | Column, widths: tuple[int, ...] = (2, 3, 3)) -> Column:
     """Zero-padded concatenation, e.g. ``%02d%03d%03d`` -> ``'31001001'``.
 
@@ -45,8 +54,7 @@ def padded_id(*parts: str | Column, widths: tuple[int, ...] = (2, 3, 3)) -> Colu
     """
     if len(parts) != len(widths):
         raise ValueError("one width per part")
-    fmt = "".join(f"%0{w}d" for w in widths)
-    return F.format_string(fmt, *[col(p) for p in parts])
+    return F.concat(*[_pad(col(p), w) for p, w in zip(parts, widths)])
 
 
 def sequence_id(book: str | Column, chapter: str | Column, verse: str | Column, ordinal: str | Column) -> Column:

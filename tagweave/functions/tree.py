@@ -28,23 +28,26 @@ from pyspark.sql import functions as F
 from . import tables
 from ._util import col, fail_with, map_literal
 
-_PATH_TYPE = "array<struct<name:string,lut:string>>"
-
-
-def _labels_map() -> Column:
-    """All lookups in one literal map keyed by ``lookup:code``."""
-    flat = {f"{name}:{code}": label for name, table in tables.TREE_LOOKUPS.items() for code, label in table.items()}
-    return map_literal(flat)
+_PATH_TYPE = "array<struct<name:string,codes:string,labels:array<string>>>"
+
+
+def _slot(name: str, lut: str | None) -> Column:
+    """A path slot: attribute name, the lookup's one-letter codes as one
+    string and its labels in the same order (``instr`` + index lookup)."""
+    table = tables.TREE_LOOKUPS[lut] if lut else {}
+    if any(len(k) != 1 for k in table):
+        raise ValueError(f"lookup {lut} must have one-letter codes")
+    return F.struct(
+        F.lit(name).alias("name"),
+        F.lit("".join(table)).alias("codes"),
+        F.array(*[F.lit(v) for v in table.values()]).cast("array<string>").alias("labels"),
+    )
 
 
-def _paths_map(pronoun_person: bool) -> Column:
+def _paths_map() -> Column:
     parts: list[Column] = []
     for key, path in tables.TREE_PATHS.items():
-        slots = [
-            F.struct(F.lit(name).alias("name"), F.lit(lut).cast("string").alias("lut"))
-            for name, lut in path
-        ]
-        parts += [F.lit(key), F.array(*slots).cast(_PATH_TYPE)]
+        parts += [F.lit(key), F.array(*[_slot(name, lut) for name, lut in path]).cast(_PATH_TYPE)]
     return F.create_map(*parts)
 
 
@@ -54,6 +57,11 @@ def _part_labels_map() -> Column:
     return map_literal(m)
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body``."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def split_tag(tag: str | Column) -> Column:
     """Segments of a tag after its language letter, order kept."""
     return F.split(F.substring(col(tag), 2, 1 << 30), "/", -1)
@@ -64,9 +72,9 @@ def _letters(rest: Column) -> Column:
 
 
 def _parsed_segments(tag: Column, pronoun_person: bool) -> Column:
-    """``array<struct<pos, letters, key, path>>`` for every segment."""
+    """``array<struct<pos, letters, part_key, path>>`` for every segment."""
     lang = F.substring(tag, 1, 1)
-    paths = _paths_map(pronoun_person)
+    paths = _paths_map()
     step1 = F.transform(
         split_tag(tag),
         lambda s: F.struct(
@@ -106,32 +114,39 @@ def _segment_error(p: Column) -> Column:
     )
 
 
-def tree_error(tag: str | Column, pronoun_person: bool = False) -> Column:
-    """Reason a tag cannot be decoded, or null when it decodes."""
-    t = col(tag)
-    segs = _parsed_segments(t, pronoun_person)
-    first_seg_error = F.get(F.filter(F.transform(segs, _segment_error), lambda e: e.isNotNull()), 0)
-    return F.when(t.isNull(), F.lit(None).cast("string")).when(F.length(t) < 2, F.lit("empty tag")).otherwise(first_seg_error)
+def _segment_map(p: Column, parts: Column) -> Column:
+    path = p["path"]
+
+    def entry(letter: Column, i: Column) -> Column:
+        slot = F.get(path, i)
+        value = F.coalesce(F.get(slot["labels"], F.instr(slot["codes"], letter) - 1), F.lit(""))
+        return F.struct(slot["name"].alias("key"), value.alias("value"))
+
+    kept = F.filter(F.transform(p["letters"], entry), lambda e: e["key"] != tables.SKIP)
+    head = F.array(F.struct(F.lit("Part").alias("key"), parts[p["part_key"]].alias("value")))
+    return F.map_from_entries(F.concat(head, kept))
 
 
-def _decode_segments(segs: Column) -> Column:
-    labels = _labels_map()
+def _decoded_with_errors(tag: Column, pronoun_person: bool) -> Column:
+    """``array<struct<err, m>>``: per segment the error reason or its map."""
     parts = _part_labels_map()
 
     def one(p: Column) -> Column:
-        path = p["path"]
-        entries = F.transform(
-            p["letters"],
-            lambda letter, i: F.struct(
-                F.get(path, i)["name"].alias("key"),
-                F.coalesce(labels[F.concat(F.get(path, i)["lut"], F.lit(":"), letter)], F.lit("")).alias("value"),
-            ),
-        )
-        kept = F.filter(entries, lambda e: e["key"] != tables.SKIP)
-        head = F.array(F.struct(F.lit("Part").alias("key"), parts[p["part_key"]].alias("value")))
-        return F.map_from_entries(F.concat(head, kept))
+        err = _segment_error(p)
+        return F.struct(err.alias("err"), F.when(err.isNull(), _segment_map(p, parts)).alias("m"))
+
+    return F.transform(_parsed_segments(tag, pronoun_person), one)
+
+
+def _first_error(tag: Column, segs: Column) -> Column:
+    seg_err = F.get(F.filter(segs, lambda x: x["err"].isNotNull()), 0)["err"]
+    return F.when(tag.isNull(), F.lit(None).cast("string")).when(F.length(tag) < 2, F.lit("empty tag")).otherwise(seg_err)
+
 
-    return F.transform(segs, one)
+def tree_error(tag: str | Column, pronoun_person: bool = False) -> Column:
+    """Reason a tag cannot be decoded, or null when it decodes."""
+    t = col(tag)
+    return _let(_decoded_with_errors(t, pronoun_person), lambda segs: _first_error(t, segs))
 
 
 def decode_tree(tag: str | Column, pronoun_person: bool = False, on_error: str = "fail") -> Column:
@@ -139,10 +154,13 @@ def decode_tree(tag: str | Column, pronoun_person: bool = False, on_error: str =
     if on_error not in ("fail", "null"):
         raise ValueError("on_error must be 'fail' or 'null'")
     t = col(tag)
-    segs = _parsed_segments(t, pronoun_person)
-    result = _decode_segments(segs)
-    err = tree_error(t, pronoun_person)
-    if on_error == "null":
-        return F.when(err.isNull(), result)
-    message = F.concat(F.lit("invalid tag '"), t, F.lit("': "), err)
-    return F.when(err.isNotNull(), F.raise_error(message).cast("array<map<string,string>>")).otherwise(result)
+
+    def finish(segs: Column) -> Column:
+        err = _first_error(t, segs)
+        result = F.transform(segs, lambda x: x["m"])
+        if on_error == "null":
+            return F.when(err.isNull() & t.isNotNull(), result)
+        message = F.concat(F.lit("invalid tag '"), t, F.lit("': "), err)
+        return F.when(err.isNotNull(), F.raise_error(message).cast("array<map<string,string>>")).when(t.isNotNull(), result)
+
+    return _let(_decoded_with_errors(t, pronoun_person), finish)

@@ -30,3 +30,17 @@ def join_small(
     if known_small or fits(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``target`` tasks (default: the session's
+    default parallelism) only when its input has fewer splits than that.
+
+    Heavy per-row work (explode, decode) on a table that arrives in a few
+    large splits would otherwise leave most cores idle.  On a large input
+    the split count already exceeds the core count and nothing is
+    shuffled."""
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

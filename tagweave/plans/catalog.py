@@ -23,7 +23,7 @@ from ..operators.batching import assign_batches, batch_report, latest_by_key
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
 from ..operators.entities import flatten_struct, to_item, to_json_row, to_keyed, to_wide_entity
 from ..operators.explode import explode_nested, split_nested
-from ..operators.joins import join_small
+from ..operators.joins import join_small, spread
 from ..operators.profile import payload_profile
 from ..operators.sequence import global_ordinal, run_ordinal
 from ..session import scratch_path
@@ -60,7 +60,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", split_nested("text", [LINE, SENTENCE, TOKEN]).alias("n"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", split_nested("text", [LINE, SENTENCE, TOKEN]).alias("n")
+    )
     return explode_nested(docs, "n", coords=("chapter", "verse"), position="word", ordinal="ordinal", value="token", keep=["doc_id"])
 
 
@@ -79,7 +81,9 @@ def ord_global(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", split_nested("text", [LINE, SENTENCE]).alias("n"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", split_nested("text", [LINE, SENTENCE]).alias("n")
+    )
     v = explode_nested(docs, "n", coords=("chapter",), position="verse", ordinal=None, value="sentence", keep=["doc_id"])
     return v.select(
         "doc_id", F.col("chapter").cast("bigint").alias("chapter"), F.col("verse").cast("bigint").alias("verse"),
@@ -112,7 +116,7 @@ def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn becomes a nested JSON book (line -> sentence -> [token,
     role, turn]); the JSON text is parsed back with the book schema and
     exploded."""
-    conv = table(spark, sf_dir, "conversations")
+    conv = spread(table(spark, sf_dir, "conversations"))
     nested = F.transform(
         split_nested("text", [LINE, SENTENCE, TOKEN]),
         lambda ch: F.transform(ch, lambda vs: F.transform(vs, lambda t: F.array(t, F.col("role"), F.col("turn").cast("string")))),
@@ -164,7 +168,9 @@ def src_key_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def proj_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", LINE, -1)).alias("p", "line"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", F.posexplode(F.split("text", LINE, -1)).alias("p", "line")
+    )
     f = F.split("line", TOKEN, -1)
     return docs.select(
         "doc_id", (F.col("p") + 1).cast("bigint").alias("line_no"), *[F.get(f, i).alias(f"f{i}") for i in range(7)]
@@ -237,7 +243,7 @@ def ser_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lineitem_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
     code = F.concat(
         F.col("l_linenumber").cast("string"), "l_returnflag", "l_returnflag", "l_linestatus",
         "l_returnflag", "l_linestatus", "l_returnflag", "l_linestatus",
