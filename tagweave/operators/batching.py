@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from .sequence import sequence_within
 
 
+def group_totals(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``(by..., __total)`` row counts per group, partially aggregated."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("__total"))
+
+
 def assign_batches(
     df: DataFrame,
     by: Sequence[str],
@@ -36,16 +41,25 @@ def batch_ranges(total: int, size: int) -> list[tuple[int, int]]:
     return [(lo, min(lo + size, total)) for lo in range(0, total, size)]
 
 
-def batch_report(df: DataFrame, by: Sequence[str], size: int, batch: str = "batch_no") -> DataFrame:
+def batch_report(
+    df: DataFrame,
+    by: Sequence[str],
+    size: int,
+    batch: str = "batch_no",
+    totals: DataFrame | None = None,
+) -> DataFrame:
     """One row per batch: ``(by..., batch_no, lo, hi, pct)`` where ``pct`` is
     ``min(100, (batch_no+1)*size/total*100)`` to two decimals.  Counts are
     partially aggregated map-side, so a hot group costs no more than any
-    other."""
+    other.  ``totals`` (``by..., __total``) may be given, e.g. counted on the
+    source table, so the batch numbering is not run a second time for them;
+    it holds one row per group and is broadcast."""
     by = list(by)
     per_batch = df.groupBy(*by, batch).agg(F.count(F.lit(1)).alias("__n"))
-    totals = per_batch.groupBy(*by).agg(F.sum("__n").alias("__total"))
+    if totals is None:
+        totals = per_batch.groupBy(*by).agg(F.sum("__n").alias("__total"))
     return (
-        per_batch.join(totals, by)
+        per_batch.join(F.broadcast(totals), by)
         .select(
             *by,
             F.col(batch),

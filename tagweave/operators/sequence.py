@@ -24,6 +24,19 @@ def _as_list(x: str | Column | Sequence[str | Column]) -> list[str | Column]:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
+def _join_back(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Null-safe equi-join of per-chunk values back onto the rows: a null
+    group or chunk is a group like any other (the window form keeps it),
+    and no ``IS NOT NULL`` filter is inferred into one branch only, so both
+    branches stay identical and their shuffle can be reused."""
+    renamed = small.select(*[F.col(c).alias(f"__r{c}" if c in keys else c) for c in small.columns])
+    cond = None
+    for k in keys:
+        c = rows[k].eqNullSafe(renamed[f"__r{k}"])
+        cond = c if cond is None else cond & c
+    return rows.join(renamed, cond, "inner").drop(*[f"__r{k}" for k in keys])
+
+
 def sequence_within(
     df: DataFrame,
     by: Sequence[str],
@@ -38,11 +51,12 @@ def sequence_within(
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     d = df.withColumn(_CK, chunk)
     local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*by, _CK).orderBy(*order)))
-    counts = local.groupBy(*by, _CK).agg(F.max("__local").alias("__n"))
+    # counts straight from the input: a partial count per task, no second sort
+    counts = d.groupBy(*by, _CK).agg(F.count(F.lit(1)).alias("__n"))
     running = Window.partitionBy(*by).orderBy(_CK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, _CK, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
     return (
-        local.join(offsets, [*by, _CK])
+        _join_back(local, offsets, [*by, _CK])
         .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
         .drop(_CK, "__local", "__off")
     )
@@ -86,18 +100,23 @@ def run_ordinal(
         )
 
     # Chunked: runs inside (group, chunk), then carry runs across chunks.
-    d = df.withColumn(_CK, chunk).withColumn("__v", v)
+    # A named value column is used as is, so the summary branch prunes to
+    # the same columns as the row branch and their shuffle is shared.
+    d = df.withColumn(_CK, chunk)
+    vname = value if isinstance(value, str) else "__v"
+    if vname == "__v":
+        d = d.withColumn("__v", v)
     wl = Window.partitionBy(*by, _CK).orderBy(*order)
     upto = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (
         d.withColumn("__rn", F.row_number().over(wl))
-        .withColumn("__isstart", (F.col("__rn") == 1) | ~F.lag("__v").over(wl).eqNullSafe(F.col("__v")))
+        .withColumn("__isstart", (F.col("__rn") == 1) | ~F.lag(vname).over(wl).eqNullSafe(F.col(vname)))
         .withColumn("__start", F.last(F.when(F.col("__isstart"), F.col("__rn")), ignorenulls=True).over(upto))
         .withColumn("__lord", F.col("__rn") - F.col("__start") + 1)
     )
     summary = local.groupBy(*by, _CK).agg(
-        F.min_by("__v", "__rn").alias("__first"),
-        F.max_by("__v", "__rn").alias("__last"),
+        F.min_by(vname, "__rn").alias("__first"),
+        F.max_by(vname, "__rn").alias("__last"),
         F.max_by("__lord", "__rn").alias("__lastlen"),
         F.sum(F.col("__isstart").cast("int")).alias("__nruns"),
     )
@@ -115,7 +134,7 @@ def run_ordinal(
         *by, _CK, F.when(F.col("__connected"), F.lag("__cum").over(wc)).otherwise(F.lit(0)).alias("__carry")
     )
     return (
-        local.join(carries, [*by, _CK])
+        _join_back(local, carries, [*by, _CK])
         .withColumn(out, (F.col("__lord") + F.when(F.col("__start") == 1, F.col("__carry")).otherwise(F.lit(0))).cast("int"))
-        .drop(_CK, "__v", "__rn", "__isstart", "__start", "__lord", "__carry")
+        .drop(_CK, "__rn", "__isstart", "__start", "__lord", "__carry", *(["__v"] if vname == "__v" else []))
     )

@@ -19,7 +19,7 @@ from ..functions.labels import label, language
 from ..functions.positional import decode_positional
 from ..functions.serialize import is_json, json_columns, record_json, tag_string
 from ..functions.tree import decode_tree, split_tag
-from ..operators.batching import assign_batches, batch_report, latest_by_key
+from ..operators.batching import assign_batches, batch_report, group_totals, latest_by_key
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
 from ..operators.entities import flatten_struct, to_item, to_json_row, to_keyed, to_wide_entity
 from ..operators.explode import explode_nested, split_nested
@@ -403,7 +403,8 @@ def batch_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = batch_report(_order_batches(spark, sf_dir), by=["o_orderstatus"], size=100)
+    totals = group_totals(table(spark, sf_dir, "orders"), ["o_orderstatus"])
+    r = batch_report(_order_batches(spark, sf_dir), by=["o_orderstatus"], size=100, totals=totals)
     return r.select("o_orderstatus", F.col("batch_no").cast("bigint").alias("batch_no"), "lo", "hi", "pct")
 
 

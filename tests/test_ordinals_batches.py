@@ -83,3 +83,12 @@ def test_latest_by_key(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 5, "z")], "k int, s int, v string")
     got = {r.k: (r.s, r.v) for r in latest_by_key(df, ["k"], ["s"]).collect()}
     assert got == {1: (3, "c"), 2: (5, "z")}
+
+
+def test_chunked_paths_keep_null_keys(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "a"), (1, 1, "b"), (1, None, "b")], "g int, t int, v string")
+    seq = sequence_within(df, ["g"], ["t"], out="s", chunk=F.col("t"))
+    assert seq.count() == 4
+    runs = run_ordinal(df, ["g"], ["t"], "v", chunk=F.col("t"))
+    assert runs.count() == 4
+    assert sorted((r.g, r.t, r.ord) for r in runs.collect() if r.g is None) == [(None, 1, 1), (None, 2, 2)]
