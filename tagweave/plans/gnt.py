@@ -12,14 +12,14 @@ from ..functions.ids import concat_id, recode_ref
 from ..functions.positional import decode_positional
 from ..operators.decode import book_dimension
 from ..operators.sequence import run_ordinal
-from ..sources.files import read_tagged_lines, with_key_from_name
+from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, with_key_from_name
 
 WORD_COLUMNS = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]
 
 
 def read_gnt_words(
     spark: SparkSession,
-    path: str,
+    path: str = DEFAULT_TAGGED_PATH,
     strict32: bool = False,
     on_error: str = "fail",
     chunked: bool = True,

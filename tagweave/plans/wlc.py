@@ -14,14 +14,14 @@ from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree
 from ..operators.decode import book_dimension, decode_by_dictionary
 from ..operators.explode import explode_nested
-from ..sources.files import check_manifest, read_nested_books, variant_path
+from ..sources.files import DEFAULT_NESTED_PATH, check_manifest, read_nested_books, variant_path
 
 WORD_COLUMNS = ["codes", "language", "lemma", "coreid", "morphology", "id", "verse", "MorphologyString"]
 
 
 def read_wlc_words(
     spark: SparkSession,
-    root: str,
+    root: str = DEFAULT_NESTED_PATH,
     variant: str | None = "hebrew",
     allow_missing: bool = False,
     dictionary: bool = True,
