@@ -40,7 +40,11 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     large splits would otherwise leave most cores idle.  On a large input
     the split count already exceeds the core count and nothing is
     shuffled."""
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = target or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 — no RDD API (e.g. a Connect session): leave as is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
