@@ -34,6 +34,42 @@ def assign_batches(
     return numbered.withColumn(out, F.floor((F.col(seq) - 1) / F.lit(size)).cast("int"))
 
 
+def exact_batches(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    size: int,
+    chunk: Column | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """Rows laid out for a writer so that each batch is exactly the group's
+    rows ``[i*size, (i+1)*size)`` in ``order`` and never spans groups.
+
+    Rows are numbered (chunked when ``chunk`` is given), hash-partitioned by
+    ``(by..., batch_no)`` — every key holds at most ``size`` rows, so a hot
+    group spreads over all tasks — and sorted inside each partition.  Pass
+    ``group_by=",".join([*by, "batch_no"])`` to the ``kvbatch`` writer."""
+    numbered = assign_batches(df, by, order, size, chunk=chunk)
+    keys = [*by, "batch_no"]
+    spread = numbered.repartition(partitions, *keys) if partitions else numbered.repartition(*keys)
+    return spread.sortWithinPartitions(*keys, "seq")
+
+
+def order_for_batches(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[str | Column],
+    partitions: int | None = None,
+) -> DataFrame:
+    """Cheaper layout when batch alignment does not matter: range-partition
+    on ``(by..., order...)`` (a hot group is split over several tasks) and
+    sort inside partitions; the writer's ``group_by`` keeps batches inside
+    one group."""
+    cols = [*by, *order]
+    ranged = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return ranged.sortWithinPartitions(*cols)
+
+
 def batch_ranges(total: int, size: int) -> list[tuple[int, int]]:
     """Driver-side helper for a known count: the ``[lo, hi)`` ranges."""
     if size <= 0:

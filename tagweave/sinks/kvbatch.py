@@ -97,7 +97,10 @@ class KVBatchWriter(DataSourceArrowWriter):
         self.key = opts.get("key")
         if self.key and self.key not in schema.fieldNames():
             raise ValueError(f"kvbatch: key column {self.key!r} not in the data")
-        self.group_by = opts.get("group_by")
+        self.group_by = [g.strip() for g in opts["group_by"].split(",")] if opts.get("group_by") else None
+        for g in self.group_by or []:
+            if g not in schema.fieldNames():
+                raise ValueError(f"kvbatch: group_by column {g!r} not in the data")
         self.batch_size = int(opts.get("batch_size", PROFILE_SIZES[self.profile]))
         if self.batch_size <= 0:
             raise ValueError("kvbatch: batch_size must be positive")
@@ -120,7 +123,7 @@ class KVBatchWriter(DataSourceArrowWriter):
         current = object()
         for item in self._items(record_batches):
             if self.group_by is not None:
-                g = item.get(self.group_by)
+                g = tuple(item.get(k) for k in self.group_by)
                 if batch and g != current:
                     yield batch
                     batch = []

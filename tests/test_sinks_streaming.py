@@ -93,3 +93,19 @@ def test_stream_tagged_lines(spark, tmp_path):
     stream_corpus_files(spark, str(landing), lambda w, e: got.extend(r.id for r in w.collect()), kind="tagged",
                         checkpoint=str(tmp_path / "ck2")).awaitTermination(120)
     assert sorted(got) == [4001011, 4001012]
+
+
+def test_kvbatch_exact_batches_per_group(spark, tmp_path):
+    from tagweave.operators import exact_batches
+
+    register(spark)
+    rows = [("Jonah", i) for i in range(230)] + [("Nahum", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "book string, ordinal int")
+    laid = exact_batches(df, ["book"], ["ordinal"], 25, chunk=F.floor(F.col("ordinal") / 40), partitions=4)
+    rec = str(tmp_path / "exact")
+    (laid.write.format("kvbatch").mode("append").option("table", "t").option("client", CLIENT)
+        .option("client.record_dir", rec).option("group_by", "book,batch_no").save())
+    got = sorted((c["accepted"][0]["book"], [i["ordinal"] for i in c["accepted"]]) for c in read_calls(rec))
+    want = sorted([("Jonah", list(range(lo, min(lo + 25, 230)))) for lo in range(0, 230, 25)]
+                  + [("Nahum", list(range(lo, min(lo + 25, 60)))) for lo in range(0, 60, 25)])
+    assert got == want
