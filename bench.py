@@ -47,8 +47,19 @@ def session() -> SparkSession:
     return spark
 
 
-def noop(df: DataFrame) -> None:
+ROWS: dict[str, int] = {}
+
+
+# Aggregating queries are measured on the rows they read, not the rows
+# they return.
+INPUT_TABLE = {"upsert_latest": "events", "sink_profile": "documents", "ord_run": "events"}
+
+
+def noop(df: DataFrame, name: str | None = None) -> None:
     df.write.format("noop").mode("overwrite").save()
+    if name and name not in ROWS:
+        src = INPUT_TABLE.get(name)
+        ROWS[name] = catalog.table(df.sparkSession, SF_DIR, src).count() if src else df.count()
 
 
 def lineitem_tags(spark: SparkSession) -> DataFrame:
@@ -60,40 +71,42 @@ def lineitem_tags(spark: SparkSession) -> DataFrame:
 
 def q_tree_rows(spark):
     t = lineitem_tags(spark)
-    noop(t.select("l_orderkey", language("tag").alias("language"), tag_string(decode_tree("tag")).alias("m")))
+    noop(t.select("l_orderkey", language("tag").alias("language"), tag_string(decode_tree("tag")).alias("m")), "tree_decode_rows")
 
 
 def q_tree_dictionary(spark):
     d = decode_by_dictionary(lineitem_tags(spark), "tag")
-    noop(d.select("l_orderkey", "language", "morphology_string"))
+    noop(d.select("l_orderkey", "language", "morphology_string"), "tree_decode_dictionary")
 
 
 def q_jsonl_write(spark):
     li = catalog.table(spark, SF_DIR, "lineitem")
+    ROWS.setdefault("jsonl_write", li.count())
     write_jsonl(li, scratch_path(spark, "bench-jsonl"), by="l_returnflag", mode="overwrite")
 
 
 def q_kv_write(spark):
     register(spark)
     li = catalog.table(spark, SF_DIR, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    ROWS.setdefault("kv_write", li.count())
     (li.write.format("kvbatch").mode("append").option("table", "lineitem")
        .option("client", "tagweave.sinks.recording:counting_client").save())
 
 
 QUERIES = {
-    "gen_nested": lambda s: noop(catalog.gen_nested(s, SF_DIR)),
-    "id_sequence": lambda s: noop(catalog.id_sequence(s, SF_DIR)),
-    "ord_global_chunked": lambda s: noop(catalog.ord_global(s, SF_DIR)),
+    "gen_nested": lambda s: noop(catalog.gen_nested(s, SF_DIR), "gen_nested"),
+    "id_sequence": lambda s: noop(catalog.id_sequence(s, SF_DIR), "id_sequence"),
+    "ord_global_chunked": lambda s: noop(catalog.ord_global(s, SF_DIR), "ord_global_chunked"),
     "tree_decode_rows": q_tree_rows,
     "tree_decode_dictionary": q_tree_dictionary,
-    "dec_positional": lambda s: noop(catalog.dec_positional(s, SF_DIR)),
-    "ord_run": lambda s: noop(catalog.ord_run(s, SF_DIR)),
-    "batch_ranges": lambda s: noop(catalog.batch_ranges_q(s, SF_DIR)),
-    "ser_json": lambda s: noop(catalog.ser_json(s, SF_DIR)),
-    "json_columns": lambda s: noop(catalog.json_columns_q(s, SF_DIR)),
-    "json_valid": lambda s: noop(catalog.json_valid(s, SF_DIR)),
-    "upsert_latest": lambda s: noop(catalog.upsert_latest(s, SF_DIR)),
-    "sink_profile": lambda s: noop(catalog.sink_profile(s, SF_DIR)),
+    "dec_positional": lambda s: noop(catalog.dec_positional(s, SF_DIR), "dec_positional"),
+    "ord_run": lambda s: noop(catalog.ord_run(s, SF_DIR), "ord_run"),
+    "batch_ranges": lambda s: noop(catalog.batch_ranges_q(s, SF_DIR), "batch_ranges"),
+    "ser_json": lambda s: noop(catalog.ser_json(s, SF_DIR), "ser_json"),
+    "json_columns": lambda s: noop(catalog.json_columns_q(s, SF_DIR), "json_columns"),
+    "json_valid": lambda s: noop(catalog.json_valid(s, SF_DIR), "json_valid"),
+    "upsert_latest": lambda s: noop(catalog.upsert_latest(s, SF_DIR), "upsert_latest"),
+    "sink_profile": lambda s: noop(catalog.sink_profile(s, SF_DIR), "sink_profile"),
     "jsonl_write": q_jsonl_write,
     "kv_write": q_kv_write,
 }
@@ -120,6 +133,8 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
+        "rows": ROWS,
+        "rows_per_sec": {k: round(ROWS[k] / v) for k, v in times.items() if k in ROWS and v > 0},
         "cpus": int(CPUS),
         "spark": spark.version,
     }))

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from ..functions import tables
 from ..functions.labels import language
 from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree
+from ..session import checkpoint_root
 from .joins import DEFAULT_BROADCAST_ROWS, join_small
 
 
@@ -60,7 +60,11 @@ def decode_by_dictionary(
     once and joined back (D3).  The dictionary is broadcast only when its
     row count is at most ``max_broadcast_rows``; otherwise it is a shuffle
     join.  Adds ``language``, ``morphology``, ``morphology_string``."""
-    dictionary = tag_dictionary(df, tag, pronoun_person, on_error).persist(StorageLevel.MEMORY_AND_DISK)
+    # Materialised once in the shared checkpoint folder: the size check and
+    # the join read the same small table, and a lost executor does not
+    # force the distinct over the whole input again.
+    checkpoint_root(df.sparkSession)
+    dictionary = tag_dictionary(df, tag, pronoun_person, on_error).checkpoint(eager=True)
     joined = join_small(
         df.withColumn("__tag", F.col(tag)), dictionary, "__tag", how="left", max_rows=max_broadcast_rows
     )
