@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import tables
 from ..functions.labels import language
 from ..functions.serialize import tag_string
-from ..functions.tree import decode_tree
+from ..functions.tree import decode_tree, tree_error
 from ..session import checkpoint_root
 from .joins import DEFAULT_BROADCAST_ROWS, join_small
 
@@ -42,11 +42,10 @@ def tag_dictionary(df: DataFrame, tag: str, pronoun_person: bool = False, on_err
     aggregation), so only distinct tags per task cross the network."""
     tags = df.select(F.col(tag).alias("__tag")).where(F.col("__tag").isNotNull()).distinct()
     morph = decode_tree("__tag", pronoun_person=pronoun_person, on_error=on_error)
-    return tags.select(
-        F.col("__tag"),
-        language("__tag").alias("language"),
-        morph.alias("morphology"),
-    ).withColumn("morphology_string", tag_string("morphology"))
+    cols = [F.col("__tag"), language("__tag").alias("language"), morph.alias("morphology")]
+    if on_error == "null":
+        cols.append(tree_error("__tag", pronoun_person=pronoun_person).alias("decode_error"))
+    return tags.select(*cols).withColumn("morphology_string", tag_string("morphology"))
 
 
 def decode_by_dictionary(
@@ -59,7 +58,8 @@ def decode_by_dictionary(
     """Same result as decoding row by row, but each distinct tag is decoded
     once and joined back (D3).  The dictionary is broadcast only when its
     row count is at most ``max_broadcast_rows``; otherwise it is a shuffle
-    join.  Adds ``language``, ``morphology``, ``morphology_string``."""
+    join.  Adds ``language``, ``morphology``, ``morphology_string`` (and
+    ``decode_error`` with ``on_error='null'``)."""
     # Materialised once in the shared checkpoint folder: the size check and
     # the join read the same small table, and a lost executor does not
     # force the distinct over the whole input again.

@@ -12,7 +12,7 @@ from ..functions.ids import concat_id, recode_ref
 from ..functions.positional import decode_positional
 from ..operators.decode import book_dimension
 from ..operators.sequence import run_ordinal
-from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, with_key_from_name
+from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, split_quarantine, with_key_from_name
 
 WORD_COLUMNS = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]
 
@@ -26,6 +26,10 @@ def read_gnt_words(
 ) -> DataFrame:
     """Word rows ``(book, file, <word columns>)``.
 
+    ``on_error='quarantine'`` leaves malformed lines out (see
+    ``quarantined_lines``) instead of failing.  Note the run ordinal is
+    then computed over the good lines only.
+
     The ordinal restarts whenever the reference field changes from the
     previous line of the same file, so a verse that reappears later
     restarts (and repeats its ids) — the corpus convention.  ``chunked``
@@ -33,9 +37,16 @@ def read_gnt_words(
     file is not one task.  ``strict32`` fails on ids above 2^31-1.
     """
     lines = read_tagged_lines(spark, path, on_error=on_error)
+    if on_error == "quarantine":
+        lines, _ = split_quarantine(lines)
     return words_from_lines(lines, strict32=strict32, chunked=chunked)
 
 
+def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> DataFrame:
+    """The lines ``read_gnt_words(on_error='quarantine')`` leaves out."""
+    return split_quarantine(read_tagged_lines(spark, path, on_error="quarantine"))[1]
+
+
 def words_from_lines(lines: DataFrame, strict32: bool = False, chunked: bool = True) -> DataFrame:
     """Word rows from tagged lines ``(file, file_name, block, seq, fields)``
     — the part of ``read_gnt_words`` after the read, usable on a streaming

@@ -11,7 +11,7 @@ from ..functions._util import fail_with
 from ..functions.ids import padded_id, sequence_id
 from ..functions.labels import language
 from ..functions.serialize import tag_string
-from ..functions.tree import decode_tree
+from ..functions.tree import decode_tree, tree_error
 from ..operators.decode import book_dimension, decode_by_dictionary
 from ..operators.explode import explode_nested
 from ..sources.files import DEFAULT_NESTED_PATH, check_manifest, read_nested_books, variant_path
@@ -27,6 +27,7 @@ def read_wlc_words(
     dictionary: bool = True,
     pronoun_person: bool = False,
     partitions: int | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Word rows ``(book, book_no, chapter, verse_no, word_no, ordinal, <word columns>)``.
 
@@ -38,12 +39,16 @@ def read_wlc_words(
     * ``partitions``: round-robin the exploded words over this many tasks —
       a book arrives as a single row, so without it everything downstream
       runs on one task per book.
+    * ``on_error='null'``: a tag that cannot be decoded keeps its row with a
+      null morphology and the reason in ``decode_error`` (quarantine with
+      ``where(decode_error is not null)``) instead of failing the job.
     """
     folder = variant_path(root, variant)
     files = read_nested_books(spark, folder)
     dim = book_dimension(spark, "hebrew").withColumnRenamed("ordinal", "book_no")
     check_manifest(files.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
-    return words_from_books(files, dictionary=dictionary, pronoun_person=pronoun_person, partitions=partitions)
+    return words_from_books(files, dictionary=dictionary, pronoun_person=pronoun_person, partitions=partitions,
+                            on_error=on_error)
 
 
 def words_from_books(
@@ -51,6 +56,7 @@ def words_from_books(
     dictionary: bool = True,
     pronoun_person: bool = False,
     partitions: int | None = None,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Word rows from parsed book files ``(book_key, book)`` — the part of
     ``read_wlc_words`` after the read, usable on a streaming micro-batch.
@@ -76,11 +82,14 @@ def words_from_books(
         sequence_id("book_no", "chapter", "verse_no", "ordinal").alias("id"),
     )
     if dictionary:
-        decoded = decode_by_dictionary(words, "codes", pronoun_person=pronoun_person).withColumnRenamed(
+        decoded = decode_by_dictionary(words, "codes", pronoun_person=pronoun_person, on_error=on_error).withColumnRenamed(
             "morphology_string", "MorphologyString"
         )
     else:
-        decoded = words.withColumn("morphology", decode_tree("codes", pronoun_person=pronoun_person)).select(
+        decoded = words.withColumn("morphology", decode_tree("codes", pronoun_person=pronoun_person, on_error=on_error)).select(
             "*", language("codes").alias("language"), tag_string("morphology").alias("MorphologyString")
         )
-    return decoded.select("book", "book_no", "chapter", "verse_no", "word_no", "ordinal", *WORD_COLUMNS)
+        if on_error == "null":
+            decoded = decoded.withColumn("decode_error", tree_error("codes", pronoun_person=pronoun_person))
+    extra = ["decode_error"] if on_error == "null" else []
+    return decoded.select("book", "book_no", "chapter", "verse_no", "word_no", "ordinal", *WORD_COLUMNS, *extra)

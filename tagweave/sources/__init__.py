@@ -6,11 +6,12 @@ from .files import (
     key_from_name,
     read_nested_books,
     read_tagged_lines,
+    split_quarantine,
     variant_path,
     with_key_from_name,
 )
 
 __all__ = [
     "NESTED4", "check_manifest", "key_from_name", "read_nested_books",
-    "read_tagged_lines", "variant_path", "with_key_from_name",
+    "read_tagged_lines", "split_quarantine", "variant_path", "with_key_from_name",
 ]

@@ -36,11 +36,13 @@ def read_tagged_lines(
     Lines end at ``\\n`` only; one trailing ``\\r`` is removed.  Repeated
     separators give empty fields.  A line with fewer than ``min_fields``
     fields or a first field shorter than ``min_first_len`` fails the job
-    (``on_error='fail'``), is kept (``'keep'``) or is dropped into the
-    ``bad`` flag for quarantine (``'flag'``).
+    (``on_error='fail'``), is kept as is (``'keep'``) or is kept with a
+    ``bad`` flag (``'quarantine'``) for ``split_quarantine``.
     """
-    if on_error not in ("fail", "keep", "flag"):
-        raise ValueError("on_error must be 'fail', 'keep' or 'flag'")
+    if on_error == "flag":
+        on_error = "quarantine"
+    if on_error not in ("fail", "keep", "quarantine"):
+        raise ValueError("on_error must be 'fail', 'keep' or 'quarantine'")
     raw = (
         spark.read.option("lineSep", "\n")
         .option("pathGlobFilter", glob)
@@ -60,11 +62,17 @@ def read_tagged_lines(
             "fields",
             F.when(bad, F.raise_error(F.concat(F.lit("malformed line in "), F.col("file"), F.lit(": "), F.col("line"))).cast("array<string>")).otherwise(F.col("fields")),
         )
-    elif on_error == "flag":
+    elif on_error == "quarantine":
         df = df.withColumn("bad", bad)
     return df
 
 
+def split_quarantine(df: DataFrame, flag: str = "bad") -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` rows of a flagged DataFrame; write ``bad`` aside and
+    go on with ``good`` (both without the flag column)."""
+    return df.where(~F.col(flag)).drop(flag), df.where(F.col(flag)).drop(flag)
+
+
 def _regex_literal(s: str) -> str:
     import re
 

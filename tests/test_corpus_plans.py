@@ -118,3 +118,19 @@ def test_tagged_lines_keep_file_order_across_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert got == list(range(n))
+
+
+def test_quarantine_paths(spark, tmp_path):
+    from tagweave.plans.gnt import quarantined_lines
+
+    d = tmp_path / "q"
+    d.mkdir()
+    (d / "61-Mt-morphgnt.txt").write_text(GNT_LINES[0] + "\n010101 N-\n\n" + GNT_LINES[1] + "\n", encoding="utf-8")
+    good = read_gnt_words(spark, str(d), on_error="quarantine").collect()
+    assert [w.ord for w in sorted(good, key=lambda w: w.seq)] == [1, 2]
+    assert sorted(r.line for r in quarantined_lines(spark, str(d)).collect()) == ["", "010101 N-"]
+    root = _write_books(str(tmp_path / "w"), "hebrew", {"jonah.json": [[[["a", "1", "HNp"], ["b", "2", "HZ"]]]]})
+    for dictionary in (True, False):
+        words = read_wlc_words(spark, root, allow_missing=True, dictionary=dictionary, on_error="null").orderBy("ordinal").collect()
+        assert words[0].decode_error is None and words[0].MorphologyString == "Part=noun,Type=proper name"
+        assert words[1].decode_error == "unknown part of speech Z" and words[1].morphology is None
