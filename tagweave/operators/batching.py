@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import sequence_within
+from .sequence import SIMPLE_WINDOW_MAX_ROWS, sequence_within
 
 
 def group_totals(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -24,13 +24,14 @@ def assign_batches(
     out: str = "batch_no",
     seq: str = "seq",
     chunk: Column | None = None,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Number rows inside each ``by`` group and cut them into half-open
     batches ``[i*size, (i+1)*size)``; the last one may be partial.
     ``size <= 0`` is an error (it would silently write nothing)."""
     if size <= 0:
         raise ValueError("batch size must be positive")
-    numbered = sequence_within(df, by, order, out=seq, chunk=chunk)
+    numbered = sequence_within(df, by, order, out=seq, chunk=chunk, max_group_rows=max_group_rows)
     return numbered.withColumn(out, F.floor((F.col(seq) - 1) / F.lit(size)).cast("int"))
 
 
@@ -41,6 +42,7 @@ def exact_batches(
     size: int,
     chunk: Column | None = None,
     partitions: int | None = None,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Rows laid out for a writer so that each batch is exactly the group's
     rows ``[i*size, (i+1)*size)`` in ``order`` and never spans groups.
@@ -49,7 +51,7 @@ def exact_batches(
     ``(by..., batch_no)`` — every key holds at most ``size`` rows, so a hot
     group spreads over all tasks — and sorted inside each partition.  Pass
     ``group_by=",".join([*by, "batch_no"])`` to the ``kvbatch`` writer."""
-    numbered = assign_batches(df, by, order, size, chunk=chunk)
+    numbered = assign_batches(df, by, order, size, chunk=chunk, max_group_rows=max_group_rows)
     keys = [*by, "batch_no"]
     spread = numbered.repartition(partitions, *keys) if partitions else numbered.repartition(*keys)
     return spread.sortWithinPartitions(*keys, "seq")

@@ -19,6 +19,25 @@ from ..functions._util import col
 
 _CK = "__chunk"
 
+# A group up to this many rows is numbered by one window task; above it the
+# chunked plan is used.  The largest group is found with one partially
+# aggregated count, so the check itself is skew-safe.
+SIMPLE_WINDOW_MAX_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, by: Sequence[str]) -> int:
+    """Row count of the largest ``by`` group (0 for an empty input)."""
+    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()
+    return int(row[0] or 0)
+
+
+def _use_chunks(df: DataFrame, by: Sequence[str], chunk: Column | None, max_group_rows: int | None) -> bool:
+    if chunk is None:
+        return False
+    if max_group_rows is None:
+        return True
+    return largest_group(df, by) > max_group_rows
+
 
 def _as_list(x: str | Column | Sequence[str | Column]) -> list[str | Column]:
     return [x] if isinstance(x, (str, Column)) else list(x)
@@ -43,11 +62,15 @@ def sequence_within(
     order: Sequence[str | Column],
     out: str = "seq",
     chunk: Column | None = None,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
-    """1-based row number of each row inside its ``by`` group, in ``order``."""
+    """1-based row number of each row inside its ``by`` group, in ``order``.
+
+    With ``chunk``, the chunked plan is used when the largest group exceeds
+    ``max_group_rows`` (``None``: always)."""
     by = list(by)
     order = _as_list(order)
-    if chunk is None:
+    if not _use_chunks(df, by, chunk, max_group_rows):
         return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     d = df.withColumn(_CK, chunk)
     local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*by, _CK).orderBy(*order)))
@@ -68,11 +91,12 @@ def global_ordinal(
     order: Sequence[str | Column],
     out: str = "ordinal",
     chunk: Column | None = None,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Book-global ordinal (O1) for rows that are already exploded: never
     resets at chapter or verse.  Pass ``chunk=F.col('chapter')`` (or any
     column monotone in ``order``) to keep a huge book off a single task."""
-    return sequence_within(df, by, order, out=out, chunk=chunk)
+    return sequence_within(df, by, order, out=out, chunk=chunk, max_group_rows=max_group_rows)
 
 
 def run_ordinal(
@@ -82,14 +106,16 @@ def run_ordinal(
     value: str | Column,
     out: str = "ord",
     chunk: Column | None = None,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Run-reset ordinal (O2): restarts at 1 whenever ``value`` differs from
     the previous row's in ``order``; a value that reappears later restarts
-    again (gaps and islands, not a group-by)."""
+    again (gaps and islands, not a group-by).  With ``chunk``, the chunked
+    plan is used when the largest group exceeds ``max_group_rows``."""
     by = list(by)
     order = _as_list(order)
     v = col(value)
-    if chunk is None:
+    if not _use_chunks(df, by, chunk, max_group_rows):
         w = Window.partitionBy(*by).orderBy(*order)
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return (

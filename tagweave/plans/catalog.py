@@ -25,7 +25,7 @@ from ..operators.entities import flatten_struct, to_item, to_json_row, to_keyed,
 from ..operators.explode import explode_nested, split_nested
 from ..operators.joins import join_small, spread
 from ..operators.profile import payload_profile
-from ..operators.sequence import global_ordinal, run_ordinal
+from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, global_ordinal, run_ordinal
 from ..session import scratch_path
 from ..sinks.jsonl import read_jsonl, write_jsonl
 from ..sources.files import check_manifest, read_tagged_lines, variant_path, with_key_from_name
@@ -73,10 +73,12 @@ def gen_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ord_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # ordinal recomputed on already-exploded rows, chunked by chapter
+def ord_global(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
+    # ordinal recomputed on already-exploded rows; chunked by chapter when a
+    # document is large
     w = _doc_words(spark, sf_dir).drop("ordinal", "token")
-    o = global_ordinal(w, by=["doc_id"], order=["chapter", "verse", "word"], out="ordinal", chunk=F.col("chapter"))
+    o = global_ordinal(w, by=["doc_id"], order=["chapter", "verse", "word"], out="ordinal", chunk=F.col("chapter"),
+                       max_group_rows=max_group_rows)
     return o.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")])
 
 
@@ -286,10 +288,12 @@ def id_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ordinals (O2)
 # ---------------------------------------------------------------------------
 
-def ord_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ord_run(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    # hour buckets: a hot user is split into one task per hour, and the
+    # carry summary has one row per (user, hour)
     r = run_ordinal(ev, by=["user_id"], order=["ts", "event_id"], value="event_type", out="ord",
-                    chunk=F.date_trunc("day", F.col("ts")))
+                    chunk=F.date_trunc("hour", F.col("ts")), max_group_rows=max_group_rows)
     return r.select("event_id", "user_id", "event_type", F.col("ord").cast("bigint").alias("ord"))
 
 
@@ -391,14 +395,16 @@ def ent_json_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 # batches and sinks (B1, B2, K1, K6, K7)
 # ---------------------------------------------------------------------------
 
-def _order_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _order_batches(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    # key ranges of 2^16: bounded rows per (status, chunk) task and a summary
+    # of ~n/65536 rows per status for the offset window
     return assign_batches(o, by=["o_orderstatus"], order=["o_orderkey"], size=100, seq="seq",
-                          chunk=F.floor(F.col("o_orderkey") / 4096))
+                          chunk=F.shiftright(F.col("o_orderkey"), 16), max_group_rows=max_group_rows)
 
 
-def batch_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _order_batches(spark, sf_dir)
+def batch_ranges_q(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
+    b = _order_batches(spark, sf_dir, max_group_rows)
     return b.select("o_orderkey", "o_orderstatus", F.col("seq").cast("bigint").alias("seq"), F.col("batch_no").cast("bigint").alias("batch_no"))
 
 
@@ -428,9 +434,25 @@ def sink_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_profile(d, by=["lang"], columns=["doc_id", "text", "lang", "source", "n_chars"])
 
 
+def ord_global_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ord_global`` with the chunked plan forced (the plan a large book gets)."""
+    return ord_global(spark, sf_dir, max_group_rows=None)
+
+
+def ord_run_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ord_run`` with the chunked plan forced (the plan a hot user gets)."""
+    return ord_run(spark, sf_dir, max_group_rows=None)
+
+
+def batch_ranges_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``batch_ranges`` with the chunked plan forced (the plan a hot status gets)."""
+    return batch_ranges_q(spark, sf_dir, max_group_rows=None)
+
+
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
     "ord_global": ord_global,
+    "ord_global_skewsafe": ord_global_skewsafe,
     "id_padded": id_padded,
     "id_sequence": id_sequence,
     "src_lines": src_lines,
@@ -451,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "dim_lookup": dim_lookup,
     "id_concat": id_concat,
     "ord_run": ord_run,
+    "ord_run_skewsafe": ord_run_skewsafe,
     "ser_json": ser_json,
     "ser_json_sorted": ser_json_sorted,
     "ser_omit_empty": ser_omit_empty,
@@ -463,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "ent_item": ent_item,
     "ent_json_row": ent_json_row,
     "batch_ranges": batch_ranges_q,
+    "batch_ranges_skewsafe": batch_ranges_skewsafe,
     "batch_progress": batch_progress,
     "upsert_latest": upsert_latest,
     "sink_jsonl": sink_jsonl,

@@ -11,7 +11,7 @@ from ..functions import tables
 from ..functions.ids import concat_id, recode_ref
 from ..functions.positional import decode_positional
 from ..operators.decode import book_dimension
-from ..operators.sequence import run_ordinal
+from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, run_ordinal
 from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, split_quarantine, with_key_from_name
 
 WORD_COLUMNS = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]
@@ -23,6 +23,7 @@ def read_gnt_words(
     strict32: bool = False,
     on_error: str = "fail",
     chunked: bool = True,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Word rows ``(book, file, <word columns>)``.
 
@@ -39,7 +40,7 @@ def read_gnt_words(
     lines = read_tagged_lines(spark, path, on_error=on_error)
     if on_error == "quarantine":
         lines, _ = split_quarantine(lines)
-    return words_from_lines(lines, strict32=strict32, chunked=chunked)
+    return words_from_lines(lines, strict32=strict32, chunked=chunked, max_group_rows=max_group_rows)
 
 
 def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> DataFrame:
@@ -47,7 +48,9 @@ def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> D
     return split_quarantine(read_tagged_lines(spark, path, on_error="quarantine"))[1]
 
 
-def words_from_lines(lines: DataFrame, strict32: bool = False, chunked: bool = True) -> DataFrame:
+def words_from_lines(
+    lines: DataFrame, strict32: bool = False, chunked: bool = True, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS
+) -> DataFrame:
     """Word rows from tagged lines ``(file, file_name, block, seq, fields)``
     — the part of ``read_gnt_words`` after the read, usable on a streaming
     micro-batch (a file never spans micro-batches)."""
@@ -59,7 +62,7 @@ def words_from_lines(lines: DataFrame, strict32: bool = False, chunked: bool = T
         f[4].alias("word"), f[5].alias("normalized"), f[6].alias("lemma"),
     )
     df = run_ordinal(df, by=["file"], order=["block", "seq"], value="ref", out="ord",
-                     chunk=F.col("block") if chunked else None)
+                     chunk=F.col("block") if chunked else None, max_group_rows=max_group_rows)
     df = df.withColumn("verse", recode_ref("ref", tables.GREEK_VERSE_OFFSET)).withColumn(
         "id", concat_id("verse", "ord", strict32=strict32)
     ).withColumn("morphology", decode_positional("codes", part="part"))

@@ -43,7 +43,7 @@ def test_run_ordinal_chunked_equals_simple(spark):
     df = spark.createDataFrame(rows, "u int, t int, v string")
     simple = {(r.u, r.t): r.ord for r in run_ordinal(df, ["u"], ["t"], "v").collect()}
     for width in (1, 7, 25, 1000):
-        chunked = {(r.u, r.t): r.ord for r in run_ordinal(df, ["u"], ["t"], "v", chunk=F.floor(F.col("t") / width)).collect()}
+        chunked = {(r.u, r.t): r.ord for r in run_ordinal(df, ["u"], ["t"], "v", chunk=F.floor(F.col("t") / width), max_group_rows=None).collect()}
         assert chunked == simple, width
     for user in range(5):
         vals = [v for (u, t, v) in rows if u == user]
@@ -60,14 +60,14 @@ def test_sequence_and_global_ordinal_chunked(spark):
     rows = [(b, c, v, w) for b in (1, 2) for c in range(1, 4) for v in range(1, 4) for w in range(1, 5)]
     df = spark.createDataFrame(rows, "b int, c int, v int, w int")
     simple = {tuple(r[:4]): r.o for r in global_ordinal(df, ["b"], ["c", "v", "w"], out="o").collect()}
-    chunked = {tuple(r[:4]): r.o for r in global_ordinal(df, ["b"], ["c", "v", "w"], out="o", chunk=F.col("c")).collect()}
+    chunked = {tuple(r[:4]): r.o for r in global_ordinal(df, ["b"], ["c", "v", "w"], out="o", chunk=F.col("c"), max_group_rows=None).collect()}
     assert simple == chunked
     assert sorted(v for k, v in simple.items() if k[0] == 1) == list(range(1, 37))
 
 
 def test_batches_and_report(spark):
     df = spark.createDataFrame([("a", i) for i in range(250)] + [("b", i) for i in range(200)], "g string, k int")
-    b = assign_batches(df, ["g"], ["k"], 100, chunk=F.floor(F.col("k") / 64))
+    b = assign_batches(df, ["g"], ["k"], 100, chunk=F.floor(F.col("k") / 64), max_group_rows=None)
     rep = {(r.g, r.batch_no): (r.lo, r.hi, r.pct) for r in batch_report(b, ["g"], 100).collect()}
     assert rep == {("a", 0): (0, 100, 40.0), ("a", 1): (100, 200, 80.0), ("a", 2): (200, 250, 100.0),
                    ("b", 0): (0, 100, 50.0), ("b", 1): (100, 200, 100.0)}
@@ -87,8 +87,8 @@ def test_latest_by_key(spark):
 
 def test_chunked_paths_keep_null_keys(spark):
     df = spark.createDataFrame([(None, 1, "a"), (None, 2, "a"), (1, 1, "b"), (1, None, "b")], "g int, t int, v string")
-    seq = sequence_within(df, ["g"], ["t"], out="s", chunk=F.col("t"))
+    seq = sequence_within(df, ["g"], ["t"], out="s", chunk=F.col("t"), max_group_rows=None)
     assert seq.count() == 4
-    runs = run_ordinal(df, ["g"], ["t"], "v", chunk=F.col("t"))
+    runs = run_ordinal(df, ["g"], ["t"], "v", chunk=F.col("t"), max_group_rows=None)
     assert runs.count() == 4
     assert sorted((r.g, r.t, r.ord) for r in runs.collect() if r.g is None) == [(None, 1, 1), (None, 2, 2)]

@@ -101,7 +101,7 @@ def test_kvbatch_exact_batches_per_group(spark, tmp_path):
     register(spark)
     rows = [("Jonah", i) for i in range(230)] + [("Nahum", i) for i in range(60)]
     df = spark.createDataFrame(rows, "book string, ordinal int")
-    laid = exact_batches(df, ["book"], ["ordinal"], 25, chunk=F.floor(F.col("ordinal") / 40), partitions=4)
+    laid = exact_batches(df, ["book"], ["ordinal"], 25, chunk=F.floor(F.col("ordinal") / 40), partitions=4, max_group_rows=None)
     rec = str(tmp_path / "exact")
     (laid.write.format("kvbatch").mode("append").option("table", "t").option("client", CLIENT)
         .option("client.record_dir", rec).option("group_by", "book,batch_no").save())
