@@ -18,12 +18,15 @@ def to_wide_entity(
     partition_key: str | Column,
     row_key: str | Column,
     properties: Mapping[str, str | Column],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``(partition_key, row_key, properties map<string,string>)``."""
+    """``(partition_key, row_key, properties map<string,string>)``.
+    ``keep``: columns passed through unchanged (e.g. for batch layout)."""
     bag: list[Column] = []
     for name, c in properties.items():
         bag += [F.lit(name), col(c).cast("string")]
     return df.select(
+        *keep,
         col(partition_key).cast("string").alias("partition_key"),
         col(row_key).cast("string").alias("row_key"),
         F.create_map(*bag).alias("properties"),
@@ -47,19 +50,21 @@ def flatten_struct(df: DataFrame, struct_col: str, rename: Mapping[str, str] | N
     return df.select(*[c for c in df.columns if c != struct_col], *lifted)
 
 
-def to_keyed(df: DataFrame, key: str | Column, record: Sequence[str] | None = None) -> DataFrame:
+def to_keyed(df: DataFrame, key: str | Column, record: Sequence[str | Column] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``(key string, record struct)``: a keyed entity whose name is the id
     text (E3/E4)."""
     record = list(record or df.columns)
-    return df.select(col(key).cast("string").alias("key"), F.struct(*record).alias("record"))
+    return df.select(*keep, col(key).cast("string").alias("key"), F.struct(*record).alias("record"))
 
 
-def to_item(df: DataFrame, hash_key: str, range_key: str | None = None) -> DataFrame:
+def to_item(df: DataFrame, hash_key: str, range_key: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``(hash_key, range_key, attributes map<string, struct<type,value>>)``
     (E5): every column as a typed attribute, ``N`` for numbers, ``S`` for
     strings, ``M`` for nested records (as JSON text)."""
     attrs: list[Column] = []
     for f in df.schema.fields:
+        if f.name in keep:
+            continue
         c = F.col(f.name)
         if isinstance(f.dataType, T.NumericType):
             kind, text = "N", c.cast("string")
@@ -69,6 +74,7 @@ def to_item(df: DataFrame, hash_key: str, range_key: str | None = None) -> DataF
             kind, text = "S", c.cast("string")
         attrs += [F.lit(f.name), F.struct(F.lit(kind).alias("type"), text.alias("value"))]
     return df.select(
+        *keep,
         F.col(hash_key).cast("string").alias("hash_key"),
         (F.col(range_key).cast("string") if range_key else F.lit(None).cast("string")).alias("range_key"),
         F.create_map(*attrs).alias("attributes"),

@@ -61,7 +61,7 @@ def json_rows(words: DataFrame, corpus: str) -> DataFrame:
     return words.select(F.col("id").alias("id"), record_json(words, cols, omit_empty=omit).alias("content"))
 
 
-def wide_entities(words: DataFrame, corpus: str) -> DataFrame:
+def wide_entities(words: DataFrame, corpus: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Property-bag rows keyed by (verse, id text) (E1, E2).  The WLC bag
     drops ``language``; the GNT bag flattens the morphology (empty stays
     ``""``)."""
@@ -72,26 +72,109 @@ def wide_entities(words: DataFrame, corpus: str) -> DataFrame:
         m = F.col("morphology")
         props = {name.capitalize(): F.coalesce(m[name], F.lit("")) for name in tables.GREEK_MORPHOLOGY_FIELDS}
         props.update({"Text": "text", "Word": "word", "Normalized": "normalized", "Lemma": "lemma", "Codes": "codes"})
-    return to_wide_entity(words, "verse", "id", props)
+    return to_wide_entity(words, "verse", "id", props, keep=keep)
 
 
-def flat_entities(words: DataFrame, corpus: str) -> DataFrame:
+def flat_entities(words: DataFrame, corpus: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Keyed entities named by the id text (E3, E4): WLC as a 7-field flat
     record with the morphology string; GNT as the word record itself."""
     _check(corpus)
     if corpus == "wlc":
-        flat = words.select(
-            "codes", "language", "lemma", "coreid", F.col("MorphologyString").alias("morphology"), "id", "verse"
-        )
-        return to_keyed(flat, "id")
-    return to_keyed(words.select(*GNT_JSON), "id")
+        record = ["codes", "language", "lemma", "coreid", F.col("MorphologyString").alias("morphology"), "id", "verse"]
+        return to_keyed(words, "id", record, keep=keep)
+    return to_keyed(words, "id", GNT_JSON, keep=keep)
 
 
-def items(words: DataFrame, corpus: str) -> DataFrame:
+def items(words: DataFrame, corpus: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Attribute-typed items with hash key ``verse`` and range key ``id``
     (E5)."""
     _check(corpus)
-    return to_item(words.select(*(WLC_JSON if corpus == "wlc" else GNT_JSON)), "verse", "id")
+    cols = WLC_JSON if corpus == "wlc" else GNT_JSON
+    return to_item(words.select(*keep, *[c for c in cols if c not in keep]), "verse", "id", keep=keep)
+
+
+# Store -> (shape, kvbatch profile, key column of the shaped row).
+_KV_STORES = {
+    "dynamo": ("items", "batch_retry", "range_key"),
+    "datastore": ("flat", "multi_put", "key"),
+    "table": ("wide", "per_row", "row_key"),
+}
+
+
+def shape(words: DataFrame, corpus: str, store: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The word rows as the given store keeps them (``keep``: extra columns
+    passed through for layout)."""
+    if store == "jsonl":
+        return jsonl_records(words, corpus)
+    if store == "sql":
+        return json_rows(words, corpus)
+    if store not in _KV_STORES:
+        raise ValueError(f"unknown store {store!r}")
+    kind = _KV_STORES[store][0]
+    return {"items": items, "flat": flat_entities, "wide": wide_entities}[kind](words, corpus, keep=keep)
+
+
+def write_words(
+    words: DataFrame,
+    corpus: str,
+    store: str,
+    client: str | None = None,
+    path: str | None = None,
+    table: str | None = None,
+    exact_batches_per_book: bool = True,
+    options: dict[str, str] | None = None,
+) -> None:
+    """Write corpus words to a store: shape (E*), keep the last row per key
+    (K7), lay out batches that never span a book (B1) and write them.
+
+    ``store``: ``'jsonl'`` (``path``), ``'dynamo'`` / ``'datastore'`` /
+    ``'table'`` (``kvbatch`` with ``client='module:factory'`` and the
+    store's batch size).  ``exact_batches_per_book``: each batch is exactly
+    the book's words ``[i*n, (i+1)*n)`` in order, as the reference sends
+    them; otherwise batches follow a range layout (cheaper, same rows).
+    Relational stores use ``sinks.write_jdbc_json(json_rows(...))``.
+    """
+    from ..operators.batching import exact_batches, latest_by_key, order_for_batches
+    from ..sinks.jsonl import write_jsonl
+    from ..sinks.kvbatch import register
+
+    _check(corpus)
+    table = table or DEFAULT_TABLE[corpus]
+    order = ["ordinal"] if corpus == "wlc" else ["block", "seq"]
+    if store == "jsonl":
+        if not path:
+            raise ValueError("jsonl needs a path")
+        write_jsonl(jsonl_records(words, corpus), f"{path.rstrip('/')}/{table}", by="book", mode="append")
+        return
+    if store not in _KV_STORES:
+        raise ValueError(f"unknown store {store!r}")
+    if not client:
+        raise ValueError(f"{store} needs client='module:factory'")
+    _, profile, key = _KV_STORES[store]
+    size = STORE_BATCH[store]
+    layout_in = ("book", *order)
+    shaped = shape(words, corpus, store, keep=layout_in)
+    payload = [c for c in shaped.columns if c not in layout_in]
+    # last write wins per store key (a repeated id overwrites in the store)
+    latest = latest_by_key(shaped, [key], order)
+    if exact_batches_per_book:
+        laid = exact_batches(latest, ["book"], order, size)
+        layout = ["book", "batch_no"]
+    else:
+        laid = order_for_batches(latest, ["book"], order)
+        layout = ["book"]
+    out = laid.select(*layout, *payload)
+    register(out.sparkSession)
+    writer = (
+        out.write.format("kvbatch").mode("append")
+        .option("table", table).option("client", client).option("profile", profile)
+        .option("batch_size", str(size)).option("group_by", ",".join(layout)).option("exclude", ",".join(layout))
+    )
+    if profile != "batch_retry":
+        writer = writer.option("key", key)
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    writer.save()
 
 
 STORE_BATCH = {

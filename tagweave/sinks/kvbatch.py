@@ -109,6 +109,9 @@ class KVBatchWriter(DataSourceArrowWriter):
         self.max_sleep = float(opts.get("max_sleep", "30.0"))
         self.client_kwargs = {k[len("client."):]: v for k, v in opts.items() if k.startswith("client.")}
         self.fix = _map_fixer(schema)
+        # layout columns (group, batch number) used for cutting batches but
+        # not sent to the store
+        self.exclude = [c.strip() for c in opts.get("exclude", "").split(",") if c.strip()]
         _load_factory(self.client_path)  # fail fast on the driver
 
     # -- executor side -------------------------------------------------
@@ -128,6 +131,8 @@ class KVBatchWriter(DataSourceArrowWriter):
                     yield batch
                     batch = []
                 current = g
+            if self.exclude:
+                item = {k: v for k, v in item.items() if k not in self.exclude}
             batch.append(item)
             if len(batch) >= self.batch_size:
                 yield batch

@@ -47,3 +47,30 @@ def test_gnt_shapes(spark, tmp_path):
     assert flat_entities(w, "gnt").first().key == "4001011"
     rec = jsonl_records(w, "gnt").first()
     assert rec.morphology.person is None
+
+
+def test_write_words_to_stores(spark, tmp_path):
+    from tagweave.plans.stores import write_words
+    from tagweave.sinks.recording import read_calls
+
+    d = tmp_path / "hebrew"
+    d.mkdir()
+    book = [[[["w%d" % i, str(i), "HNcmsa"] for i in range(30)]], [[["x", "1", "HD"]] * 5]]
+    (d / "jonah.json").write_text(json.dumps(book), encoding="utf-8")
+    (d / "nahum.json").write_text(json.dumps([[[["y", "2", "HNp"]]]]), encoding="utf-8")
+    words = read_wlc_words(spark, str(tmp_path), allow_missing=True)
+    client = "tagweave.sinks.recording:recording_client"
+    for store, size, key in (("dynamo", 25, None), ("datastore", 200, "key"), ("table", 1000, "row_key")):
+        rec = str(tmp_path / store)
+        write_words(words, "wlc", store, client=client, options={"client.record_dir": rec, "base_sleep": "0.01"})
+        calls = read_calls(rec)
+        sent = [i for c in calls for i in c["accepted"]]
+        assert len(sent) == 36 and all("book" not in i and "batch_no" not in i for i in sent)
+        if store == "dynamo":
+            sizes = sorted(c["n"] for c in calls)
+            assert sizes == [1, 10, 25]  # Jonah 35 words -> 25 + 10, Nahum 1: batches never span books
+        if key:
+            assert len({i[key] for i in sent}) == 36
+    out = str(tmp_path / "out")
+    write_words(words, "wlc", "jsonl", path=out)
+    assert spark.read.json(out + "/morphwlc").count() == 36
