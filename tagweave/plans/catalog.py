@@ -102,6 +102,17 @@ def id_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def doc_words_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship in one pass: every token with coordinates, book-global
+    ordinal, padded verse id and widening word id (G1 + O1 + I2 + I3)."""
+    w = _doc_words(spark, sf_dir)
+    return w.select(
+        "doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")], "token",
+        padded_id("doc_id", "chapter", "verse").alias("verse_id"),
+        sequence_id("doc_id", "chapter", "verse", "ordinal").alias("id"),
+    )
+
+
 # ---------------------------------------------------------------------------
 # sources (S1-S5)
 # ---------------------------------------------------------------------------

@@ -160,3 +160,14 @@ def test_wide_columns(spark):
     rows = decode_tree_columns(df, "tag").orderBy("segment").collect()
     assert rows[0].Part == "preposition" and rows[0].preposition == "definite article" and rows[0].Type is None
     assert rows[1].State == "absolute" and rows[1].segment == 2
+
+
+def test_no_path_repeats_an_attribute():
+    # map_from_entries fails on a duplicate key; the grammar paths never repeat one
+    from tagweave.functions import tables
+
+    for key, path in tables.TREE_PATHS.items():
+        names = [n for n, _ in path if n != tables.SKIP]
+        assert len(names) == len(set(names)) and "Part" not in names, key
+        for _, lut in path:
+            assert lut is None or all(len(code) == 1 for code in tables.TREE_LOOKUPS[lut]), key
