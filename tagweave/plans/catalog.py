@@ -59,13 +59,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # documents -> chapter -> verse -> token
 # ---------------------------------------------------------------------------
 
-def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+def _tokens(documents: DataFrame) -> DataFrame:
+    docs = spread(documents.select("doc_id", "text")).select(
         "doc_id", split_nested("text", [LINE, SENTENCE, TOKEN]).alias("n")
     )
     return explode_nested(docs, "n", coords=("chapter", "verse"), position="word", ordinal="ordinal", value="token", keep=["doc_id"])
 
 
+def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _tokens(table(spark, sf_dir, "documents"))
+
+
 def gen_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _doc_words(spark, sf_dir)
     return w.select(
@@ -113,6 +117,19 @@ def doc_words_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``gen_nested`` through Structured Streaming: the documents file is
+    taken by an ``availableNow`` file stream, exploded per micro-batch and
+    appended to a table in the shared scratch folder, which is read back."""
+    from ..streaming.incremental import stream_files_to_table
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        w = _tokens(batch)
+        return w.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")], "token")
+
+    return stream_files_to_table(spark, sf_dir, to_rows, scratch_path(spark, "stream-out"), glob="documents.parquet")
+
+
 # ---------------------------------------------------------------------------
 # sources (S1-S5)
 # ---------------------------------------------------------------------------
@@ -462,6 +479,7 @@ def batch_ranges_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
+    "stream_tokens": stream_tokens,
     "ord_global": ord_global,
     "ord_global_skewsafe": ord_global_skewsafe,
     "id_padded": id_padded,

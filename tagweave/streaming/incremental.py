@@ -90,3 +90,37 @@ def stream_corpus_files(
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def stream_files_to_table(
+    spark: SparkSession,
+    path: str,
+    to_rows: Callable[[DataFrame], DataFrame],
+    out_path: str,
+    fmt: str = "parquet",
+    glob: str | None = None,
+    checkpoint: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Process the files in ``path`` incrementally (``availableNow``) with
+    ``to_rows`` per micro-batch, appending the result to a parquet table at
+    ``out_path``; returns that table.  Re-running with the same checkpoint
+    processes only files that arrived since."""
+    sample = spark.read.format(fmt)
+    if glob:
+        sample = sample.option("pathGlobFilter", glob)
+    schema = sample.load(path).schema
+    reader = spark.readStream.format(fmt).schema(schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    stream = reader.load(path)
+    checkpoint = checkpoint or scratch_path(spark, "stream")
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        to_rows(batch).write.mode("append").parquet(out_path)
+
+    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out_path)

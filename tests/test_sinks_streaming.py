@@ -109,3 +109,15 @@ def test_kvbatch_exact_batches_per_group(spark, tmp_path):
     want = sorted([("Jonah", list(range(lo, min(lo + 25, 230)))) for lo in range(0, 230, 25)]
                   + [("Nahum", list(range(lo, min(lo + 25, 60)))) for lo in range(0, 60, 25)])
     assert got == want
+
+
+def test_stream_files_to_table_is_incremental(spark, tmp_path):
+    from tagweave.streaming import stream_files_to_table
+
+    landing, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    spark.createDataFrame([(1, "a b")], "doc_id bigint, text string").write.mode("append").parquet(landing)
+    split = lambda df: df.select("doc_id", F.explode(F.split("text", " ")).alias("token"))
+    assert stream_files_to_table(spark, landing, split, out, checkpoint=ck).count() == 2
+    spark.createDataFrame([(2, "c")], "doc_id bigint, text string").write.mode("append").parquet(landing)
+    back = stream_files_to_table(spark, landing, split, out, checkpoint=ck)
+    assert sorted((r.doc_id, r.token) for r in back.collect()) == [(1, "a"), (1, "b"), (2, "c")]
