@@ -112,6 +112,12 @@ GREEK_FILE_OFFSET = 60
 GREEK_VERSE_OFFSET = 39
 GREEK_FILE_PATTERN = r"([0-9]+)-([a-zA-Z0-9]+)-morphgnt"
 
+# Default source folders and table names of the two corpora.
+DEFAULT_TAGGED_PATH = "./morphgnt/"
+DEFAULT_NESTED_PATH = "./morphwlc/"
+DEFAULT_TAGGED_TABLE = "morphgnt"
+DEFAULT_NESTED_TABLE = "morphwlc"
+
 # Sink batch sizes and retry start of the store profiles.
 BATCH_SIZE = {"print": 100, "jsonl": 100, "dynamo": 25, "datastore": 200, "table": 1000, "sql": 1000}
 RETRY_FIRST_SLEEP_SEC = 1.0

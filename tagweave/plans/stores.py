@@ -15,7 +15,7 @@ from ..functions import tables
 from ..functions.serialize import record_json
 from ..operators.entities import to_item, to_keyed, to_wide_entity
 
-DEFAULT_TABLE = {"gnt": "morphgnt", "wlc": "morphwlc"}
+DEFAULT_TABLE = {"gnt": tables.DEFAULT_TAGGED_TABLE, "wlc": tables.DEFAULT_NESTED_TABLE}
 
 WLC_JSON = ["codes", "language", "lemma", "coreid", "morphology", "id", "verse", "MorphologyString"]
 GNT_JSON = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]

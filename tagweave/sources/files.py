@@ -12,10 +12,12 @@ from ..operators.joins import join_small
 # Schema of a nested book: chapter -> verse -> word -> strings.
 NESTED4 = "array<array<array<array<string>>>>"
 
-DEFAULT_TAGGED_PATH = "./morphgnt/"
-DEFAULT_NESTED_PATH = "./morphwlc/"
-DEFAULT_TAGGED_TABLE = "morphgnt"
-DEFAULT_NESTED_TABLE = "morphwlc"
+from ..functions.tables import (  # noqa: E402  fixed default paths and tables
+    DEFAULT_NESTED_PATH,
+    DEFAULT_NESTED_TABLE,
+    DEFAULT_TAGGED_PATH,
+    DEFAULT_TAGGED_TABLE,
+)
 
 
 def read_tagged_lines(
