@@ -96,8 +96,14 @@ def batch_report(
     per_batch = df.groupBy(*by, batch).agg(F.count(F.lit(1)).alias("__n"))
     if totals is None:
         totals = per_batch.groupBy(*by).agg(F.sum("__n").alias("__total"))
+    # null-safe: a null group is reported like any other
+    t = totals.select(*[F.col(k).alias(f"__t_{k}") for k in by], "__total")
+    cond = None
+    for k in by:
+        c = per_batch[k].eqNullSafe(t[f"__t_{k}"])
+        cond = c if cond is None else cond & c
     return (
-        per_batch.join(F.broadcast(totals), by)
+        per_batch.join(F.broadcast(t), cond, "inner")
         .select(
             *by,
             F.col(batch),

@@ -92,3 +92,9 @@ def test_chunked_paths_keep_null_keys(spark):
     runs = run_ordinal(df, ["g"], ["t"], "v", chunk=F.col("t"), max_group_rows=None)
     assert runs.count() == 4
     assert sorted((r.g, r.t, r.ord) for r in runs.collect() if r.g is None) == [(None, 1, 1), (None, 2, 2)]
+
+
+def test_batch_report_keeps_null_group(spark):
+    df = spark.createDataFrame([(None, i) for i in range(150)] + [("a", 1)], "g string, k int")
+    rep = {(r.g, r.batch_no): (r.lo, r.hi, r.pct) for r in batch_report(assign_batches(df, ["g"], ["k"], 100), ["g"], 100).collect()}
+    assert rep == {(None, 0): (0, 100, 66.67), (None, 1): (100, 150, 100.0), ("a", 0): (0, 1, 100.0)}
