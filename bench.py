@@ -79,10 +79,15 @@ def q_tree_dictionary(spark):
     noop(d.select("l_orderkey", "language", "morphology_string"), "tree_decode_dictionary")
 
 
+_JSONL_OUT: list[str] = []
+
+
 def q_jsonl_write(spark):
     li = catalog.table(spark, SF_DIR, "lineitem")
     ROWS.setdefault("jsonl_write", li.count())
-    write_jsonl(li, scratch_path(spark, "bench-jsonl"), by="l_returnflag", mode="overwrite")
+    if not _JSONL_OUT:  # one output folder, overwritten by every run
+        _JSONL_OUT.append(scratch_path(spark, "bench-jsonl"))
+    write_jsonl(li, _JSONL_OUT[0], by="l_returnflag", mode="overwrite")
 
 
 def q_kv_write(spark):
