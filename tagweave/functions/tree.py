@@ -1,11 +1,18 @@
-"""Tree-shaped tag decode (G2, D2) with native higher-order functions.
+"""Tree-shaped tag decode (G2, D2) as Spark SQL functions.
 
 A tag is ``<language letter><segment>[/<segment>...]``.  Each segment starts
 with a part-of-speech letter; every following letter fills the next
 attribute of that part's *path* (see ``tables.TREE_PATHS``).  The grammar
-is finite, so the whole decode is a handful of literal maps and
+is finite, so the whole decode is literal path tables plus
 ``transform``/``filter`` lambdas — no Python in the data path.
 
+The decoder is generated as one SQL expression from the path tables and
+handed to Spark in a single call (``F.expr``), instead of being assembled
+from hundreds of JVM calls per query.  For a named column it is inlined;
+for any other Column it goes through a SQL temporary function
+(``tagweave_decode_tree`` ...), which the analyzer inlines as well and
+which ``register_sql_functions`` also makes available to ``spark.sql``.
+
 Output per tag: ``array<map<string,string>>``, one map per segment, keys in
 path order with ``Part`` first.  Rules kept from the corpus convention:
 
@@ -22,44 +29,152 @@ or give null with ``on_error='null'``; ``tree_error`` returns the reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from . import tables
-from ._util import col, fail_with, map_literal
+from ._util import col, sql_string
 
-_PATH_TYPE = "array<struct<name:string,codes:string,labels:array<string>>>"
+FUNCTION_PREFIX = "tagweave_"
+_MORPH = "ARRAY<MAP<STRING, STRING>>"
+_QUOTE = sql_string("'")  # a SQL literal holding one single quote
 
 
-def _slot(name: str, lut: str | None) -> Column:
+def _slot_sql(name: str, lut: str | None) -> str:
     """A path slot: attribute name, the lookup's one-letter codes as one
     string and its labels in the same order (``instr`` + index lookup)."""
     table = tables.TREE_LOOKUPS[lut] if lut else {}
     if any(len(k) != 1 for k in table):
         raise ValueError(f"lookup {lut} must have one-letter codes")
-    return F.struct(
-        F.lit(name).alias("name"),
-        F.lit("".join(table)).alias("codes"),
-        F.array(*[F.lit(v) for v in table.values()]).cast("array<string>").alias("labels"),
+    if table:
+        labels = "array(" + ", ".join(sql_string(v) for v in table.values()) + ")"
+    else:
+        labels = "cast(array() as array<string>)"
+    return f"named_struct('name', {sql_string(name)}, 'codes', {sql_string(''.join(table))}, 'labels', {labels})"
+
+
+def _map_sql(mapping: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"{sql_string(k)}, {sql_string(v)}" for k, v in mapping.items()) + ")"
+
+
+def _paths_sql() -> str:
+    entries = [
+        f"{sql_string(key)}, array({', '.join(_slot_sql(name, lut) for name, lut in path)})"
+        for key, path in tables.TREE_PATHS.items()
+    ]
+    return "map(" + ", ".join(entries) + ")"
+
+
+def _in_list(values) -> str:
+    return ", ".join(sql_string(v) for v in values)
+
+
+def _segments_sql(pronoun_person: bool, tag: str = "tag") -> str:
+    """SQL over the tag expression ``tag``: ``array<struct<err, m>>`` — per
+    segment the error reason, or its attribute map (keys in path order)."""
+    parts = dict(tables.PART_LABEL)
+    parts.update({f"V{lang}": lab for lang, lab in tables.VERB_LABEL.items()})
+    x = sql_string(tables.PRONOUN_DECIDER_LETTER)
+    if pronoun_person:
+        pronoun = f"CASE WHEN get(tw_s.letters, 1) = {x} THEN 'P_person_x' ELSE 'P_person' END"
+    else:
+        pronoun = f"CASE WHEN get(tw_s.letters, 0) = {x} THEN 'P_x' ELSE 'P' END"
+    key = (
+        f"CASE WHEN tw_s.pos = 'V' THEN concat('V', substring({tag}, 1, 1), "
+        f"CASE WHEN get(tw_s.letters, 1) IN ({_in_list(tables.PARTICIPLE_LETTERS)}) THEN '_participle' ELSE '' END) "
+        f"WHEN tw_s.pos = 'P' THEN {pronoun} "
+        f"WHEN tw_s.pos IN ({_in_list(tables.PART_LABEL)}) THEN tw_s.pos END"
     )
+    split_letters = (
+        f"transform(split(substring({tag}, 2), '/', -1), tw_g -> named_struct("
+        "'pos', substring(tw_g, 1, 1), "
+        "'letters', CASE WHEN length(tw_g) <= 1 THEN cast(array() as array<string>) ELSE split(substring(tw_g, 2), '', -1) END))"
+    )
+    keyed = (
+        f"transform({split_letters}, tw_s -> named_struct("
+        "'pos', tw_s.pos, 'letters', tw_s.letters, "
+        f"'part_key', CASE WHEN tw_s.pos = 'V' THEN concat('V', substring({tag}, 1, 1)) ELSE tw_s.pos END, "
+        f"'path', {_paths_sql()}[{key}]))"
+    )
+    err = (
+        "CASE WHEN length(tw_p.pos) = 0 THEN 'empty segment' "
+        "WHEN tw_p.path IS NULL THEN concat('unknown part of speech ', tw_p.part_key) "
+        "WHEN size(tw_p.letters) > size(tw_p.path) THEN 'more letters than the path' END"
+    )
+    entry = (
+        "named_struct('key', get(tw_p.path, tw_i).name, 'value', "
+        "coalesce(get(get(tw_p.path, tw_i).labels, instr(get(tw_p.path, tw_i).codes, tw_l) - 1), ''))"
+    )
+    attrs = f"filter(transform(tw_p.letters, (tw_l, tw_i) -> {entry}), tw_e -> tw_e.key != {sql_string(tables.SKIP)})"
+    head = f"array(named_struct('key', 'Part', 'value', {_map_sql(parts)}[tw_p.part_key]))"
+    seg_map = f"map_from_entries(concat({head}, {attrs}))"
+    return f"transform({keyed}, tw_p -> named_struct('err', {err}, 'm', CASE WHEN ({err}) IS NULL THEN {seg_map} END))"
 
 
-def _paths_map() -> Column:
-    parts: list[Column] = []
-    for key, path in tables.TREE_PATHS.items():
-        parts += [F.lit(key), F.array(*[_slot(name, lut) for name, lut in path]).cast(_PATH_TYPE)]
-    return F.create_map(*parts)
-
-
-def _part_labels_map() -> Column:
-    m = dict(tables.PART_LABEL)
-    m.update({f"V{lang}": lab for lang, lab in tables.VERB_LABEL.items()})
-    return map_literal(m)
+def _first_error_sql(segs: str, tag: str = "tag") -> str:
+    return (
+        f"CASE WHEN {tag} IS NULL THEN CAST(NULL AS STRING) WHEN length({tag}) < 2 THEN 'empty tag' "
+        f"ELSE get(filter({segs}, tw_z -> tw_z.err IS NOT NULL), 0).err END"
+    )
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), 0)
+@functools.lru_cache(maxsize=256)
+def _function_bodies(pronoun_person: bool, tag: str = "tag") -> dict[str, tuple[str, str]]:
+    """name -> (return type, SQL over the tag expression ``tag``).  The
+    segments are computed once and bound to ``tw_segs`` by a one-element
+    ``transform``."""
+    segs = _segments_sql(pronoun_person, tag)
+    err = _first_error_sql("tw_segs", tag)
+    message = f"concat('invalid tag ', {_QUOTE}, {tag}, {_QUOTE}, ': ', {err})"
+    fail = (
+        f"transform(array({segs}), tw_segs -> CASE "
+        f"WHEN ({err}) IS NOT NULL THEN cast(raise_error({message}) AS {_MORPH}) "
+        f"WHEN {tag} IS NOT NULL THEN transform(tw_segs, tw_y -> tw_y.m) END)[0]"
+    )
+    null = f"transform(array({segs}), tw_segs -> CASE WHEN ({err}) IS NULL AND {tag} IS NOT NULL THEN transform(tw_segs, tw_y -> tw_y.m) END)[0]"
+    reason = f"transform(array({segs}), tw_segs -> {err})[0]"
+    return {"decode_tree": (_MORPH, fail), "decode_tree_or_null": (_MORPH, null), "tree_error": ("STRING", reason)}
+
+
+_REGISTERED: set[tuple[int, str]] = set()
+
+
+def register_sql_functions(spark: SparkSession | None = None, names: list[str] | None = None) -> list[str]:
+    """Define the tree decoders as SQL temporary functions in ``spark``:
+    ``tagweave_decode_tree``, ``tagweave_decode_tree_or_null``,
+    ``tagweave_tree_error`` and their ``_pp`` forms (pronoun person read),
+    for use from ``spark.sql``.  ``names``: only these.  Returns the names."""
+    spark = spark or SparkSession.active()
+    done = []
+    for pp, suffix in ((False, ""), (True, "_pp")):
+        for base, (rtype, body) in _function_bodies(pp).items():
+            name = f"{FUNCTION_PREFIX}{base}{suffix}"
+            if names is not None and name not in names:
+                continue
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(tag STRING) RETURNS {rtype} RETURN {body}")
+            _REGISTERED.add((id(spark), name))
+            done.append(name)
+    return done
+
+
+def _ident(name: str) -> str:
+    """A column name (``a`` or ``a.b``) as a quoted SQL identifier."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _call(base: str, tag: str | Column, pronoun_person: bool) -> Column:
+    if isinstance(tag, str):
+        # a named column: inline the generated SQL (one JVM call, no limits)
+        return F.expr(_function_bodies(pronoun_person, f"CAST({_ident(tag)} AS STRING)")[base][1])
+    # any other Column: through the session's SQL function (not usable
+    # directly inside a generator — materialise it in a select first)
+    spark = SparkSession.active()
+    name = f"{FUNCTION_PREFIX}{base}{'_pp' if pronoun_person else ''}"
+    if (id(spark), name) not in _REGISTERED or not spark.catalog.functionExists(name):
+        register_sql_functions(spark, [name])
+    return F.call_function(name, tag.cast("string"))
 
 
 def split_tag(tag: str | Column) -> Column:
@@ -67,100 +182,15 @@ def split_tag(tag: str | Column) -> Column:
     return F.split(F.substring(col(tag), 2, 1 << 30), "/", -1)
 
 
-def _letters(rest: Column) -> Column:
-    return F.when(F.length(rest) == 0, F.array().cast("array<string>")).otherwise(F.split(rest, "", -1))
-
-
-def _parsed_segments(tag: Column, pronoun_person: bool) -> Column:
-    """``array<struct<pos, letters, part_key, path>>`` for every segment."""
-    lang = F.substring(tag, 1, 1)
-    paths = _paths_map()
-    step1 = F.transform(
-        split_tag(tag),
-        lambda s: F.struct(
-            F.substring(s, 1, 1).alias("pos"),
-            _letters(F.substring(s, 2, 1 << 30)).alias("letters"),
-        ),
-    )
-
-    def keyed(p: Column) -> Column:
-        first, second = F.get(p["letters"], 0), F.get(p["letters"], 1)
-        participle = second.isin(*tables.PARTICIPLE_LETTERS)
-        if pronoun_person:
-            pronoun = F.when(second == tables.PRONOUN_DECIDER_LETTER, F.lit("P_person_x")).otherwise(F.lit("P_person"))
-        else:
-            pronoun = F.when(first == tables.PRONOUN_DECIDER_LETTER, F.lit("P_x")).otherwise(F.lit("P"))
-        key = (
-            F.when(p["pos"] == "V", F.concat(F.lit("V"), lang, F.when(participle, F.lit("_participle")).otherwise(F.lit(""))))
-            .when(p["pos"] == "P", pronoun)
-            .when(p["pos"].isin(*tables.PART_LABEL), p["pos"])
-        )
-        part_key = F.when(p["pos"] == "V", F.concat(F.lit("V"), lang)).otherwise(p["pos"])
-        return F.struct(
-            p["pos"].alias("pos"),
-            p["letters"].alias("letters"),
-            part_key.alias("part_key"),
-            paths[key].alias("path"),
-        )
-
-    return F.transform(step1, keyed)
-
-
-def _segment_error(p: Column) -> Column:
-    return (
-        F.when(F.length(p["pos"]) == 0, F.lit("empty segment"))
-        .when(p["path"].isNull(), F.concat(F.lit("unknown part of speech "), p["part_key"]))
-        .when(F.size(p["letters"]) > F.size(p["path"]), F.lit("more letters than the path"))
-    )
-
-
-def _segment_map(p: Column, parts: Column) -> Column:
-    path = p["path"]
-
-    def entry(letter: Column, i: Column) -> Column:
-        slot = F.get(path, i)
-        value = F.coalesce(F.get(slot["labels"], F.instr(slot["codes"], letter) - 1), F.lit(""))
-        return F.struct(slot["name"].alias("key"), value.alias("value"))
-
-    kept = F.filter(F.transform(p["letters"], entry), lambda e: e["key"] != tables.SKIP)
-    head = F.array(F.struct(F.lit("Part").alias("key"), parts[p["part_key"]].alias("value")))
-    return F.map_from_entries(F.concat(head, kept))
-
-
-def _decoded_with_errors(tag: Column, pronoun_person: bool) -> Column:
-    """``array<struct<err, m>>``: per segment the error reason or its map."""
-    parts = _part_labels_map()
-
-    def one(p: Column) -> Column:
-        err = _segment_error(p)
-        return F.struct(err.alias("err"), F.when(err.isNull(), _segment_map(p, parts)).alias("m"))
-
-    return F.transform(_parsed_segments(tag, pronoun_person), one)
-
-
-def _first_error(tag: Column, segs: Column) -> Column:
-    seg_err = F.get(F.filter(segs, lambda x: x["err"].isNotNull()), 0)["err"]
-    return F.when(tag.isNull(), F.lit(None).cast("string")).when(F.length(tag) < 2, F.lit("empty tag")).otherwise(seg_err)
-
-
 def tree_error(tag: str | Column, pronoun_person: bool = False) -> Column:
     """Reason a tag cannot be decoded, or null when it decodes."""
-    t = col(tag)
-    return _let(_decoded_with_errors(t, pronoun_person), lambda segs: _first_error(t, segs))
+    return _call("tree_error", tag, pronoun_person)
 
 
 def decode_tree(tag: str | Column, pronoun_person: bool = False, on_error: str = "fail") -> Column:
     """Decode a tree-shaped tag to ``array<map<string,string>>``."""
-    if on_error not in ("fail", "null"):
-        raise ValueError("on_error must be 'fail' or 'null'")
-    t = col(tag)
-
-    def finish(segs: Column) -> Column:
-        err = _first_error(t, segs)
-        result = F.transform(segs, lambda x: x["m"])
-        if on_error == "null":
-            return F.when(err.isNull() & t.isNotNull(), result)
-        message = F.concat(F.lit("invalid tag '"), t, F.lit("': "), err)
-        return F.when(err.isNotNull(), F.raise_error(message).cast("array<map<string,string>>")).when(t.isNotNull(), result)
-
-    return _let(_decoded_with_errors(t, pronoun_person), finish)
+    if on_error == "fail":
+        return _call("decode_tree", tag, pronoun_person)
+    if on_error == "null":
+        return _call("decode_tree_or_null", tag, pronoun_person)
+    raise ValueError("on_error must be 'fail' or 'null'")

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tables
@@ -18,7 +19,7 @@ from .joins import DEFAULT_BROADCAST_ROWS, join_small
 
 def decode_tree_columns(
     df: DataFrame,
-    tag: str,
+    tag: str | Column,
     attrs: Sequence[str] = tuple(tables.TREE_ATTRIBUTES),
     segment: str = "segment",
     pronoun_person: bool = False,
@@ -26,9 +27,10 @@ def decode_tree_columns(
 ) -> DataFrame:
     """One row per tag segment with one column per attribute (absent ->
     null).  Unlike the map form, unused attribute columns are pruned."""
-    exploded = df.select(
-        "*", F.posexplode(decode_tree(tag, pronoun_person=pronoun_person, on_error=on_error)).alias("__seg", "__m")
-    )
+    # decoded in a projection first, then exploded (a SQL function may not
+    # sit inside a generator)
+    decoded = df.withColumn("__morph", decode_tree(tag, pronoun_person=pronoun_person, on_error=on_error))
+    exploded = decoded.select("*", F.posexplode("__morph").alias("__seg", "__m"))
     return exploded.select(
         *[c for c in df.columns],
         (F.col("__seg") + 1).alias(segment),
@@ -64,7 +66,11 @@ def decode_by_dictionary(
     # the join read the same small table, and a lost executor does not
     # force the distinct over the whole input again.
     checkpoint_root(df.sparkSession)
-    dictionary = tag_dictionary(df, tag, pronoun_person, on_error).checkpoint(eager=True)
+    # persisted around the checkpoint so the distinct runs once (an eager
+    # checkpoint of an uncached plan computes it twice), then released
+    staged = tag_dictionary(df, tag, pronoun_person, on_error).persist(StorageLevel.MEMORY_AND_DISK)
+    dictionary = staged.checkpoint(eager=True)
+    staged.unpersist()
     joined = join_small(
         df.withColumn("__tag", F.col(tag)), dictionary, "__tag", how="left", max_rows=max_broadcast_rows
     )

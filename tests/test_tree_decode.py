@@ -171,3 +171,18 @@ def test_no_path_repeats_an_attribute():
         assert len(names) == len(set(names)) and "Part" not in names, key
         for _, lut in path:
             assert lut is None or all(len(code) == 1 for code in tables.TREE_LOOKUPS[lut]), key
+
+
+def test_decode_by_name_column_and_sql(spark):
+    # column names that match lambda variable names must not be shadowed
+    df = spark.createDataFrame([("HNcmsc", "HD")], "p string, s string")
+    r = df.select(tag_string(decode_tree("p")).alias("a"), tag_string(decode_tree(F.col("s"))).alias("b"),
+                  tag_string(decode_tree(F.concat(F.lit("H"), F.lit("Np")))).alias("c")).first()
+    assert (r.a, r.b, r.c) == ("Part=noun,Type=common,Gender=masculine,Number=singular,State=construct", "Part=adverb",
+                               "Part=noun,Type=proper name")
+    from tagweave.functions.tree import register_sql_functions
+
+    register_sql_functions(spark)
+    df.createOrReplaceTempView("tw_tags")
+    got = spark.sql("SELECT tagweave_tree_error('HZ') AS e, tagweave_decode_tree_pp('HPp3ms')[0]['Person'] AS person").first()
+    assert (got.e, got.person) == ("unknown part of speech Z", "third")
