@@ -39,7 +39,7 @@ from ._util import col, sql_string
 
 FUNCTION_PREFIX = "tagweave_"
 _MORPH = "ARRAY<MAP<STRING, STRING>>"
-_QUOTE = sql_string("'")  # a SQL literal holding one single quote
+_QUOTE = "chr(39)"  # a single quote, without depending on literal escaping
 
 
 def _slot_sql(name: str, lut: str | None) -> str:
