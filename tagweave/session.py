@@ -32,8 +32,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is the shared (HDFS/object-store) folder the cluster
     configures; it is only set here when the session has none, as in tests.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a session without a SparkContext (Connect)
+        sc = None
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="tagweave-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        return conf_dir.rstrip("/")
+    root = sc.getCheckpointDir() or conf_dir
     if not root:
         root = tempfile.mkdtemp(prefix="tagweave-ckpt-")
         sc.setCheckpointDir(root)
