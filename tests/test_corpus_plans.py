@@ -134,3 +134,14 @@ def test_quarantine_paths(spark, tmp_path):
         words = read_wlc_words(spark, root, allow_missing=True, dictionary=dictionary, on_error="null").orderBy("ordinal").collect()
         assert words[0].decode_error is None and words[0].MorphologyString == "Part=noun,Type=proper name"
         assert words[1].decode_error == "unknown part of speech Z" and words[1].morphology is None
+
+
+def test_wlc_english_variant_reads_remapped(spark, tmp_path):
+    words = [["a", "1", "HNp"], ["b", "2", "HD"], ["c", "3", "HD"]]
+    root = str(tmp_path)
+    _write_books(root, "hebrew", {"jonah.json": [[words]]})            # 1 verse of 3 words
+    _write_books(root, "remapped", {"jonah.json": [[words[:2], words[2:]]]})  # 2 verses
+    heb = [w.id for w in read_wlc_words(spark, root, "hebrew", allow_missing=True).orderBy("ordinal").collect()]
+    eng = [w.id for w in read_wlc_words(spark, root, "english", allow_missing=True).orderBy("ordinal").collect()]
+    assert heb == [32001001001, 32001001002, 32001001003]
+    assert eng == [32001001001, 32001001002, 32001002003]  # same word sequence, new verse boundary
