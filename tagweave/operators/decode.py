@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +12,8 @@ from ..functions import tables
 from ..functions.labels import language
 from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree, tree_error
-from ..session import checkpoint_root
-from .joins import DEFAULT_BROADCAST_ROWS, join_small
+from ..session import scratch_path
+from .joins import DEFAULT_BROADCAST_ROWS
 
 
 def decode_tree_columns(
@@ -62,18 +61,19 @@ def decode_by_dictionary(
     row count is at most ``max_broadcast_rows``; otherwise it is a shuffle
     join.  Adds ``language``, ``morphology``, ``morphology_string`` (and
     ``decode_error`` with ``on_error='null'``)."""
-    # Materialised once in the shared checkpoint folder: the size check and
-    # the join read the same small table, and a lost executor does not
-    # force the distinct over the whole input again.
-    checkpoint_root(df.sparkSession)
-    # persisted around the checkpoint so the distinct runs once (an eager
-    # checkpoint of an uncached plan computes it twice), then released
-    staged = tag_dictionary(df, tag, pronoun_person, on_error).persist(StorageLevel.MEMORY_AND_DISK)
-    dictionary = staged.checkpoint(eager=True)
-    staged.unpersist()
-    joined = join_small(
-        df.withColumn("__tag", F.col(tag)), dictionary, "__tag", how="left", max_rows=max_broadcast_rows
-    )
+    # Written once as a table in the shared checkpoint folder: the size
+    # check and the join read the same small table, the distinct runs once
+    # (with AQE sizing its partitions), and a lost executor does not force
+    # the distinct over the whole input again.
+    path = scratch_path(df.sparkSession, "tag-dictionary")
+    tag_dictionary(df, tag, pronoun_person, on_error).write.mode("overwrite").parquet(path)
+    dictionary = df.sparkSession.read.parquet(path)
+    n = dictionary.count()
+    keyed = df.withColumn("__tag", F.col(tag))
+    if n <= max_broadcast_rows:
+        joined = keyed.join(F.broadcast(dictionary), "__tag", "left")
+    else:
+        joined = keyed.join(dictionary, "__tag", "left")
     return joined.drop("__tag")
 
 
