@@ -61,3 +61,39 @@ def split_nested(text: str | Column, separators: Sequence[str]) -> Column:
         return F.transform(parts, lambda p: level(p, seps[1:]))
 
     return level(col(text), list(separators))
+
+
+def explode_text(
+    df: DataFrame,
+    text: str | Column,
+    separators: Sequence[str],
+    coords: Sequence[str] = ("chapter", "verse"),
+    position: str = "word",
+    ordinal: str | None = "ordinal",
+    value: str = "value",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """``explode_nested(split_nested(text, separators), ...)`` in one pass:
+    the coordinates are attached while the text is split, so the nested
+    array is built once instead of twice.  One separator (a regex) per
+    level: ``len(separators) == len(coords) + 1``."""
+    if len(separators) != len(coords) + 1:
+        raise ValueError("one separator per level")
+    names = list(coords) + [position]
+    keep = list(keep if keep is not None else [c for c in df.columns if c != (text if isinstance(text, str) else None)])
+
+    def level(c: Column, depth: int, acc: list[tuple[str, Column]]) -> Column:
+        parts = F.split(c, separators[depth], -1)
+        if depth == len(names) - 1:
+            return F.transform(
+                parts,
+                lambda w, wi: F.struct(*[v.alias(n) for n, v in acc], (wi + 1).alias(names[-1]), w.alias("value")),
+            )
+        return F.flatten(F.transform(parts, lambda x, xi: level(x, depth + 1, acc + [(names[depth], xi + 1)])))
+
+    exploded = df.select(*keep, F.posexplode(level(col(text), 0, [])).alias("__pos", "__s"))
+    out = [*keep, *[F.col("__s")[n].alias(n) for n in names]]
+    if ordinal:
+        out.append((F.col("__pos") + 1).alias(ordinal))
+    out.append(F.col("__s")["value"].alias(value))
+    return exploded.select(*out)

@@ -22,7 +22,7 @@ from ..functions.tree import decode_tree, split_tag
 from ..operators.batching import assign_batches, batch_report, group_totals, latest_by_key
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
 from ..operators.entities import flatten_struct, to_item, to_json_row, to_keyed, to_wide_entity
-from ..operators.explode import explode_nested, split_nested
+from ..operators.explode import explode_nested, explode_text, split_nested
 from ..operators.joins import join_small, spread
 from ..operators.profile import payload_profile
 from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, global_ordinal, run_ordinal
@@ -60,10 +60,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _tokens(documents: DataFrame) -> DataFrame:
-    docs = spread(documents.select("doc_id", "text")).select(
-        "doc_id", split_nested("text", [LINE, SENTENCE, TOKEN]).alias("n")
-    )
-    return explode_nested(docs, "n", coords=("chapter", "verse"), position="word", ordinal="ordinal", value="token", keep=["doc_id"])
+    docs = spread(documents.select("doc_id", "text"))
+    return explode_text(docs, "text", [LINE, SENTENCE, TOKEN], coords=("chapter", "verse"), position="word",
+                        ordinal="ordinal", value="token", keep=["doc_id"])
 
 
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,10 +86,9 @@ def ord_global(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SI
 
 
 def id_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", split_nested("text", [LINE, SENTENCE]).alias("n")
-    )
-    v = explode_nested(docs, "n", coords=("chapter",), position="verse", ordinal=None, value="sentence", keep=["doc_id"])
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    v = explode_text(docs, "text", [LINE, SENTENCE], coords=("chapter",), position="verse", ordinal=None,
+                     value="sentence", keep=["doc_id"])
     return v.select(
         "doc_id", F.col("chapter").cast("bigint").alias("chapter"), F.col("verse").cast("bigint").alias("verse"),
         padded_id("doc_id", "chapter", "verse").alias("verse_id"),

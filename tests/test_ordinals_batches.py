@@ -98,3 +98,13 @@ def test_batch_report_keeps_null_group(spark):
     df = spark.createDataFrame([(None, i) for i in range(150)] + [("a", 1)], "g string, k int")
     rep = {(r.g, r.batch_no): (r.lo, r.hi, r.pct) for r in batch_report(assign_batches(df, ["g"], ["k"], 100), ["g"], 100).collect()}
     assert rep == {(None, 0): (0, 100, 66.67), (None, 1): (100, 150, 100.0), ("a", 0): (0, 1, 100.0)}
+
+
+def test_explode_text_equals_explode_nested(spark):
+    from tagweave.operators import explode_text
+
+    df = spark.createDataFrame([(1, "a b. c\nd\n\ne. f g. "), (2, ""), (3, None)], "id int, text string")
+    seps = ["\n", r"\. ", " "]
+    nested = explode_nested(df.select("id", split_nested("text", seps).alias("n")), "n", keep=["id"])
+    direct = explode_text(df, "text", seps, keep=["id"])
+    assert sorted(map(tuple, nested.collect())) == sorted(map(tuple, direct.collect()))
