@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tagweave.plans.gnt import read_gnt_words
 from tagweave.plans.wlc import read_wlc_words

@@ -2,8 +2,6 @@
 
 import json
 
-import pytest
-from pyspark.sql import functions as F
 
 from tagweave.functions import decode_positional, is_json, json_columns, record_json
 from tagweave.operators import flatten_struct, to_item, to_json_row, to_keyed, to_wide_entity

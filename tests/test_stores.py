@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from tagweave.plans.gnt import read_gnt_words
 from tagweave.plans.stores import flat_entities, items, json_rows, jsonl_records, wide_entities
