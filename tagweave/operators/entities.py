@@ -87,3 +87,22 @@ def to_json_row(df: DataFrame, id_col: str, columns: Sequence[str] | Mapping[str
         F.col(id_col).cast("bigint").alias("id"),
         record_json(df, columns, key_order=key_order).alias("content"),
     )
+
+
+def to_flat_entity(
+    df: DataFrame,
+    key: str | Column,
+    columns: Sequence[str] | Mapping[str, str | Column],
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """``(key string, <flat columns>)``: a flat entity named by the key text
+    (E3); nested values must already be flattened or serialised."""
+    items = list(columns.items()) if isinstance(columns, Mapping) else [(c, c) for c in columns]
+    return df.select(*keep, col(key).cast("string").alias("key"), *[col(c).alias(n) for n, c in items])
+
+
+def project_fields(df: DataFrame, fields: str | Column, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Fields of an array column by position (P1): ``names[i]`` gets
+    element ``i``; a missing element is null."""
+    arr = col(fields)
+    return df.select(*keep, *[F.get(arr, i).alias(n) for i, n in enumerate(names)])

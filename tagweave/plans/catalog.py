@@ -21,7 +21,7 @@ from ..functions.serialize import is_json, json_columns, record_json, tag_string
 from ..functions.tree import decode_tree, split_tag
 from ..operators.batching import assign_batches, batch_report, group_totals, latest_by_key
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
-from ..operators.entities import flatten_struct, to_item, to_json_row, to_keyed, to_wide_entity
+from ..operators.entities import flatten_struct, project_fields, to_flat_entity, to_item, to_json_row, to_keyed, to_wide_entity
 from ..operators.explode import explode_nested, explode_text, split_nested
 from ..operators.joins import join_small, spread
 from ..operators.profile import payload_profile
@@ -199,10 +199,8 @@ def proj_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.posexplode(F.split("text", LINE, -1)).alias("p", "line")
     )
-    f = F.split("line", TOKEN, -1)
-    return docs.select(
-        "doc_id", (F.col("p") + 1).cast("bigint").alias("line_no"), *[F.get(f, i).alias(f"f{i}") for i in range(7)]
-    )
+    lines = docs.select("doc_id", (F.col("p") + 1).cast("bigint").alias("line_no"), F.split("line", TOKEN, -1).alias("f"))
+    return project_fields(lines, "f", [f"f{i}" for i in range(7)], keep=["doc_id", "line_no"])
 
 
 def proj_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,10 +389,8 @@ def ent_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ent_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.select(
-        F.col("c_custkey").cast("string").alias("key"), F.col("c_custkey").alias("id"), "c_name",
-        F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_mktsegment",
-    )
+    return to_flat_entity(c, "c_custkey", {"id": "c_custkey", "c_name": "c_name",
+                                            "c_nationkey": F.col("c_nationkey").cast("bigint"), "c_mktsegment": "c_mktsegment"})
 
 
 def ent_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:

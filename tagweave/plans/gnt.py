@@ -11,10 +11,13 @@ from ..functions import tables
 from ..functions.ids import concat_id, recode_ref
 from ..functions.positional import decode_positional
 from ..operators.decode import book_dimension
+from ..operators.entities import project_fields
 from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, run_ordinal
 from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, split_quarantine, with_key_from_name
 
 WORD_COLUMNS = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]
+# Field order of a tagged line.
+FIELD_NAMES = ["ref", "part", "codes", "text", "word", "normalized", "lemma"]
 
 
 def read_gnt_words(
@@ -55,12 +58,7 @@ def words_from_lines(
     — the part of ``read_gnt_words`` after the read, usable on a streaming
     micro-batch (a file never spans micro-batches)."""
     spark = lines.sparkSession
-    f = F.col("fields")
-    df = lines.select(
-        "file", "file_name", "block", "seq",
-        f[0].alias("ref"), f[1].alias("part"), f[2].alias("codes"), f[3].alias("text"),
-        f[4].alias("word"), f[5].alias("normalized"), f[6].alias("lemma"),
-    )
+    df = project_fields(lines, "fields", FIELD_NAMES, keep=["file", "file_name", "block", "seq"])
     df = run_ordinal(df, by=["file"], order=["block", "seq"], value="ref", out="ord",
                      chunk=F.col("block") if chunked else None, max_group_rows=max_group_rows)
     df = df.withColumn("verse", recode_ref("ref", tables.GREEK_VERSE_OFFSET)).withColumn(

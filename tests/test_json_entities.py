@@ -55,3 +55,13 @@ def test_entities(spark):
     g = spark.createDataFrame([("V-", "3AAI-S--")], "part string, codes string").select(decode_positional("codes", part="part").alias("m"))
     flat = flatten_struct(g, "m").first()
     assert flat.part == "verb" and flat.degree == ""
+
+
+def test_flat_entity_and_project_fields(spark):
+    from tagweave.operators import project_fields, to_flat_entity
+
+    df = spark.createDataFrame([(7, ["a", "b"])], "id bigint, f array<string>")
+    fe = to_flat_entity(df, "id", ["id"]).first()
+    assert fe.key == "7" and fe.id == 7
+    pf = project_fields(df, "f", ["x", "y", "z"], keep=["id"]).first()
+    assert (pf.id, pf.x, pf.y, pf.z) == (7, "a", "b", None)
