@@ -123,6 +123,7 @@ def write_words(
     table: str | None = None,
     exact_batches_per_book: bool = True,
     options: dict[str, str] | None = None,
+    writers: int | None = None,
 ) -> None:
     """Write corpus words to a store: shape (E*), keep the last row per key
     (K7), lay out batches that never span a book (B1) and write them.
@@ -132,6 +133,9 @@ def write_words(
     store's batch size).  ``exact_batches_per_book``: each batch is exactly
     the book's words ``[i*n, (i+1)*n)`` in order, as the reference sends
     them; otherwise batches follow a range layout (cheaper, same rows).
+    ``writers`` bounds how many tasks write to the store at once (merging
+    partitions without a shuffle; a batch never straddles partitions), so
+    a large cluster does not exceed the store's write capacity.
     Relational stores use ``sinks.write_jdbc_json(json_rows(...))``.
     """
     from ..operators.batching import exact_batches, latest_by_key, order_for_batches
@@ -164,6 +168,8 @@ def write_words(
         laid = order_for_batches(latest, ["book"], order)
         layout = ["book"]
     out = laid.select(*layout, *payload)
+    if writers:
+        out = out.coalesce(writers)
     register(out.sparkSession)
     writer = (
         out.write.format("kvbatch").mode("append")
