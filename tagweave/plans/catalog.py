@@ -28,7 +28,7 @@ from ..operators.profile import payload_profile
 from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, global_ordinal, run_ordinal
 from ..session import scratch_path
 from ..sinks.jsonl import read_jsonl, write_jsonl
-from ..sources.files import check_manifest, read_tagged_lines, variant_path, with_key_from_name
+from ..sources.files import check_manifest, key_from_name, read_tagged_lines, variant_path, with_key_from_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,6 +181,16 @@ def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name", "file_stem")
 
 
+def src_manifest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books of the file-number manifest that no page covers: pages are
+    keyed by the number in their URL (as files are by their name), the
+    27-book dimension is the manifest."""
+    pages = table(spark, sf_dir, "pages").select(key_from_name("url", r"/[a-z]{2}/([0-9]+)").alias("file_number"))
+    manifest = book_dimension(spark, "greek")
+    missing = check_manifest(pages.where(F.col("file_number").isNotNull()), manifest, "file_number", allow_missing=True)
+    return missing.select(F.col("file_number").cast("bigint").alias("file_number"), "name")
+
+
 def src_key_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number after the language folder of each page URL, mapped to a book
     name through the file-number dimension; unknown numbers give ''."""
@@ -482,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "src_nested": src_nested,
     "src_variant": src_variant,
     "src_manifest": src_manifest,
+    "src_manifest_books": src_manifest_books,
     "src_key_from_name": src_key_from_name,
     "proj_fields": proj_fields,
     "proj_recode": proj_recode,

@@ -158,6 +158,9 @@ FROM nation n WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey = n
     s["src_key_from_name"] = f"""WITH k AS (SELECT page_id, CAST(NULLIF(regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1), '') AS BIGINT) AS book_number FROM pages),
 d(file_number, name) AS ({_greek_dim()})
 SELECT page_id, book_number, coalesce(d.name, '') AS book_name FROM k LEFT JOIN d ON k.book_number = d.file_number"""
+    s["src_manifest_books"] = f"""WITH d(file_number, name) AS ({_greek_dim()}),
+k AS (SELECT CAST(NULLIF(regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1), '') AS BIGINT) AS n FROM pages)
+SELECT CAST(file_number AS BIGINT) AS file_number, name FROM d WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.n = d.file_number)"""
     s["proj_fields"] = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)
 SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, """ + ", ".join(
