@@ -19,7 +19,7 @@ from ..functions.labels import label, language
 from ..functions.positional import decode_positional
 from ..functions.serialize import is_json, json_columns, record_json, tag_string
 from ..functions.tree import decode_tree, split_tag
-from ..operators.batching import assign_batches, batch_report, group_totals, latest_by_key
+from ..operators.batching import assign_batches, batch_report, exact_batches, group_totals, latest_by_key
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
 from ..operators.entities import flatten_struct, project_fields, to_flat_entity, to_item, to_json_row, to_keyed, to_wide_entity
 from ..operators.explode import explode_nested, explode_text, split_nested
@@ -28,6 +28,7 @@ from ..operators.profile import payload_profile
 from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, global_ordinal, run_ordinal
 from ..session import scratch_path
 from ..sinks.jsonl import read_jsonl, write_jsonl
+from ..sinks.kvbatch import register as register_kv
 from ..sources.files import check_manifest, key_from_name, read_tagged_lines, variant_path, with_key_from_name
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -481,6 +482,48 @@ def batch_ranges_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_ranges_q(spark, sf_dir, max_group_rows=None)
 
 
+_RECORDER = "tagweave.sinks.recording:recording_client"
+
+
+def _recorded(spark: SparkSession, record_dir: str, item_schema: str) -> DataFrame:
+    """Calls recorded by the recording client, one row per call."""
+    return spark.read.schema(f"op string, n bigint, accepted array<struct<{item_schema}>>").json(record_dir)
+
+
+def sink_kv_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table through the ``kvbatch`` retry profile (batches of
+    25, part of every batch rejected on its first attempt and resent),
+    read back from the recorded calls: every row must arrive exactly once."""
+    register_kv(spark)
+    rec = scratch_path(spark, "kv-retry")
+    c = table(spark, sf_dir, "customer")
+    (c.write.format("kvbatch").mode("append").option("table", "customer").option("client", _RECORDER)
+       .option("client.record_dir", rec).option("client.reject_last", "3").option("base_sleep", "0.01").save())
+    calls = _recorded(spark, rec, "c_custkey:bigint,c_name:string,c_nationkey:bigint,c_acctbal:double,c_mktsegment:string")
+    return calls.select(F.explode("accepted").alias("r")).select("r.*")
+
+
+def sink_kv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in exact per-status batches of 200 (``exact_batches``
+    + ``group_by``), read back: one row per recorded call with its status,
+    first and last key and size — each call must be exactly one batch."""
+    register_kv(spark)
+    rec = scratch_path(spark, "kv-batches")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    laid = exact_batches(o, ["o_orderstatus"], ["o_orderkey"], 200, chunk=F.shiftright(F.col("o_orderkey"), 16))
+    (laid.select("o_orderstatus", "batch_no", "o_orderkey").write.format("kvbatch").mode("append")
+        .option("table", "orders").option("client", _RECORDER).option("client.record_dir", rec)
+        .option("profile", "multi_put").option("key", "o_orderkey").option("batch_size", "200")
+        .option("group_by", "o_orderstatus,batch_no").option("exclude", "batch_no").save())
+    calls = _recorded(spark, rec, "o_orderkey:bigint,o_orderstatus:string")
+    return calls.select(
+        F.col("accepted")[0]["o_orderstatus"].alias("o_orderstatus"),
+        F.array_min(F.col("accepted.o_orderkey")).alias("first_key"),
+        F.array_max(F.col("accepted.o_orderkey")).alias("last_key"),
+        F.size("accepted").cast("bigint").alias("n"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
     "stream_tokens": stream_tokens,
@@ -525,4 +568,6 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": upsert_latest,
     "sink_jsonl": sink_jsonl,
     "sink_profile": sink_profile,
+    "sink_kv_retry": sink_kv_retry,
+    "sink_kv_batches": sink_kv_batches,
 }

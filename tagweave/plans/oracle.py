@@ -247,6 +247,11 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     s["sink_profile"] = """WITH b AS (SELECT lang, strlen(CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars}) AS VARCHAR)) AS n FROM documents)
 SELECT lang, count(*) AS records, CAST(min(n) AS BIGINT) AS min_bytes, CAST(max(n) AS BIGINT) AS max_bytes,
        round(avg(n), 4) AS avg_bytes, CAST(sum(n) AS BIGINT) AS total_bytes FROM b GROUP BY lang"""
+    s["sink_kv_retry"] = """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"""
+    s["sink_kv_batches"] = """WITH r AS (SELECT o_orderkey, o_orderstatus,
+         (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 200 AS b FROM orders)
+SELECT o_orderstatus, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(count(*) AS BIGINT) AS n
+FROM r GROUP BY o_orderstatus, b"""
     s["stream_tokens"] = s["gen_nested"]
     # the forced skew-safe plans must give exactly the same rows
     for k in ("ord_global", "ord_run", "batch_ranges"):

@@ -1,8 +1,11 @@
 """A key-value client that records calls to JSON-lines files instead of a
-store — for tests and dry runs of the ``kvbatch`` sink.
+store — for tests, dry runs and round-trip checks of the ``kvbatch`` sink.
 
-``reject_last``: on the first attempt of every batch, report that many
-items as unprocessed, so the resend path runs."""
+``record_dir`` may be a local path or a URI that ``pyarrow.fs`` resolves
+(e.g. the shared checkpoint folder on a cluster).  Each client writes one
+file, closed when the task finishes.  ``reject_last``: on the first attempt
+of every batch, report that many items as unprocessed, so the resend path
+runs."""
 
 from __future__ import annotations
 
@@ -11,16 +14,27 @@ import os
 import uuid
 
 
+def _open_output(record_dir: str, name: str):
+    if record_dir.startswith("file:"):
+        record_dir = "/" + record_dir[len("file:"):].lstrip("/")
+    if "://" in record_dir:
+        from pyarrow import fs
+
+        filesystem, root = fs.FileSystem.from_uri(record_dir)
+        filesystem.create_dir(root, recursive=True)
+        return filesystem.open_output_stream(f"{root.rstrip('/')}/{name}"), True
+    os.makedirs(record_dir, exist_ok=True)
+    return open(os.path.join(record_dir, name), "ab"), False
+
+
 class RecordingClient:
     def __init__(self, record_dir: str, reject_last: str | int = 0):
-        os.makedirs(record_dir, exist_ok=True)
-        self.path = os.path.join(record_dir, f"calls-{os.getpid()}-{uuid.uuid4().hex}.jsonl")
+        self._fh, _ = _open_output(record_dir, f"calls-{os.getpid()}-{uuid.uuid4().hex}.jsonl")
         self.reject_last = int(reject_last)
         self._seen: set[str] = set()
-        self._fh = open(self.path, "a", encoding="utf-8")
 
     def _log(self, **rec) -> None:
-        self._fh.write(json.dumps(rec, default=str, sort_keys=True) + "\n")
+        self._fh.write((json.dumps(rec, default=str, sort_keys=True) + "\n").encode("utf-8"))
 
     def batch_write(self, table: str, items: list[dict]) -> list[dict]:
         sig = json.dumps(items, default=str, sort_keys=True)
@@ -47,6 +61,9 @@ def recording_client(record_dir: str, reject_last: str = "0") -> RecordingClient
 
 
 def read_calls(record_dir: str) -> list[dict]:
+    """All recorded calls of a local record folder (tests)."""
+    if record_dir.startswith("file:"):
+        record_dir = "/" + record_dir[len("file:"):].lstrip("/")
     calls = []
     for name in sorted(os.listdir(record_dir)):
         with open(os.path.join(record_dir, name), encoding="utf-8") as fh:
