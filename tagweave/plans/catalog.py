@@ -524,6 +524,22 @@ def sink_kv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sink_kv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as wide entities (property bags) written with one
+    insert-or-replace call per row (``per_row`` profile), read back and
+    unpivoted to ``(partition_key, row_key, prop, value)``."""
+    register_kv(spark)
+    rec = scratch_path(spark, "kv-rows")
+    o = table(spark, sf_dir, "orders")
+    e = to_wide_entity(o, "o_custkey", "o_orderkey",
+                       {"Status": "o_orderstatus", "Priority": "o_orderpriority", "Customer": "o_custkey"})
+    (e.write.format("kvbatch").mode("append").option("table", "orders").option("client", _RECORDER)
+       .option("client.record_dir", rec).option("profile", "per_row").option("key", "row_key").save())
+    calls = _recorded(spark, rec, "partition_key:string,row_key:string,properties:map<string,string>")
+    rows = calls.select(F.explode("accepted").alias("r")).select("r.*")
+    return rows.select("partition_key", "row_key", F.explode("properties").alias("prop", "value"))
+
+
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
     "stream_tokens": stream_tokens,
@@ -570,4 +586,5 @@ QUERIES: dict[str, Query] = {
     "sink_profile": sink_profile,
     "sink_kv_retry": sink_kv_retry,
     "sink_kv_batches": sink_kv_batches,
+    "sink_kv_rows": sink_kv_rows,
 }
