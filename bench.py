@@ -114,6 +114,7 @@ QUERIES = {
     "json_valid": lambda s: noop(catalog.json_valid(s, SF_DIR), "json_valid"),
     "upsert_latest": lambda s: noop(catalog.upsert_latest(s, SF_DIR), "upsert_latest"),
     "sink_profile": lambda s: noop(catalog.sink_profile(s, SF_DIR), "sink_profile"),
+    "gnt_words_e2e": lambda s: noop(catalog.gnt_words(s, SF_DIR), "gnt_words_e2e"),
     "jsonl_write": q_jsonl_write,
     "kv_write": q_kv_write,
 }

@@ -540,6 +540,47 @@ def sink_kv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("partition_key", "row_key", F.explode("properties").alias("prop", "value"))
 
 
+# Part-of-speech code by line number for the tagged-line files derived
+# from lineitem.
+LINE_PARTS = ["N-", "V-", "A-", "RA", "C-", "P-", "D-"]
+
+
+def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tagged-line corpus plan end to end on files Spark derives from
+    lineitem: one line per item (``ref part codes text word normalized
+    lemma``), written as text files under ``book=<file number>/chunk=<key
+    range>/`` (one file per directory, lines in key order), then read back
+    through ``read_gnt_words`` — file order key, run-reset ordinal,
+    reference recode, concatenated 32-bit id, positional decode and book
+    name from the path."""
+    from .gnt import read_gnt_words
+
+    li = table(spark, sf_dir, "lineitem")
+    book = (F.col("l_suppkey") % 27 + 61).cast("int")
+    ref = F.format_string("%02d%02d%02d", book - 60, F.expr("(l_orderkey div 100) % 100"), F.col("l_orderkey") % 100)
+    part = F.element_at(F.array(*[F.lit(p) for p in LINE_PARTS]), F.col("l_linenumber"))
+    code = F.concat(
+        F.col("l_linenumber").cast("string"), "l_returnflag", "l_returnflag", "l_linestatus",
+        "l_returnflag", "l_linestatus", "l_returnflag", "l_linestatus",
+    )
+    text = F.concat("l_returnflag", F.col("l_orderkey").cast("string"))
+    line = F.concat_ws(" ", ref, part, code, text, F.concat("l_linestatus", F.col("l_linenumber").cast("string")),
+                       F.lower(text), F.col("l_partkey").cast("string"))
+    lines = li.select(book.alias("book"), F.shiftright("l_orderkey", 12).alias("chunk"), "l_orderkey", "l_linenumber",
+                      line.alias("value"))
+    out = scratch_path(spark, "gnt-lines")
+    # (l_orderkey, l_linenumber) repeats in lineitem: the line text completes
+    # the order, so a file's line order is fully determined
+    (lines.repartition("book", "chunk").sortWithinPartitions("book", "chunk", "l_orderkey", "l_linenumber", "value")
+          .select("book", "chunk", "value").write.partitionBy("book", "chunk").text(out))
+    words = read_gnt_words(spark, out, strict32=True, name_col="file", name_pattern=r"book=([0-9]+)")
+    m = F.col("morphology")
+    return words.select(
+        "book", "verse", "id", "codes", "text", "word", "normalized", "lemma",
+        *[m[n].alias(n) for n in tables.GREEK_MORPHOLOGY_FIELDS],
+    )
+
+
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
     "stream_tokens": stream_tokens,
@@ -587,4 +628,5 @@ QUERIES: dict[str, Query] = {
     "sink_kv_retry": sink_kv_retry,
     "sink_kv_batches": sink_kv_batches,
     "sink_kv_rows": sink_kv_rows,
+    "gnt_words": gnt_words,
 }

@@ -27,9 +27,14 @@ def read_gnt_words(
     on_error: str = "fail",
     chunked: bool = True,
     max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
+    name_col: str = "file_name",
+    name_pattern: str = tables.GREEK_FILE_PATTERN,
 ) -> DataFrame:
     """Word rows ``(book, file, <word columns>)``.
 
+    ``name_col`` / ``name_pattern``: where the book's file number is read
+    (default: the corpus file-name convention).
+
     ``on_error='quarantine'`` leaves malformed lines out (see
     ``quarantined_lines``) instead of failing.  Note the run ordinal is
     then computed over the good lines only.
@@ -43,7 +48,8 @@ def read_gnt_words(
     lines = read_tagged_lines(spark, path, on_error=on_error)
     if on_error == "quarantine":
         lines, _ = split_quarantine(lines)
-    return words_from_lines(lines, strict32=strict32, chunked=chunked, max_group_rows=max_group_rows)
+    return words_from_lines(lines, strict32=strict32, chunked=chunked, max_group_rows=max_group_rows,
+                            name_col=name_col, name_pattern=name_pattern)
 
 
 def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> DataFrame:
@@ -52,7 +58,12 @@ def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> D
 
 
 def words_from_lines(
-    lines: DataFrame, strict32: bool = False, chunked: bool = True, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS
+    lines: DataFrame,
+    strict32: bool = False,
+    chunked: bool = True,
+    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
+    name_col: str = "file_name",
+    name_pattern: str = tables.GREEK_FILE_PATTERN,
 ) -> DataFrame:
     """Word rows from tagged lines ``(file, file_name, block, seq, fields)``
     — the part of ``read_gnt_words`` after the read, usable on a streaming
@@ -65,6 +76,6 @@ def words_from_lines(
         "id", concat_id("verse", "ord", strict32=strict32)
     ).withColumn("morphology", decode_positional("codes", part="part"))
     dim = book_dimension(spark, "greek")
-    df = with_key_from_name(df, "file_name", tables.GREEK_FILE_PATTERN, dim, "file_number", "name",
+    df = with_key_from_name(df, name_col, name_pattern, dim, "file_number", "name",
                             out_key="book_number", out_name="book", on_no_match="fail")
     return df.select("book", "file", "block", "seq", "ord", *WORD_COLUMNS)

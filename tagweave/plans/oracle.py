@@ -253,6 +253,30 @@ SELECT lang, count(*) AS records, CAST(min(n) AS BIGINT) AS min_bytes, CAST(max(
 SELECT o_orderstatus, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(count(*) AS BIGINT) AS n
 FROM r GROUP BY o_orderstatus, b"""
     s["sink_kv_rows"] = s["ent_wide"]
+    parts = {"N-": "noun", "V-": "verb", "A-": "adjective", "RA": "definite article", "C-": "conjunction",
+             "P-": "preposition", "D-": "adverb"}
+    part_case = "CASE part " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in parts.items()) + " END"
+    s["gnt_words"] = f"""WITH l AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey % 27 + 61 AS book, l_orderkey // 4096 AS chunk,
+         printf('%02d%02d%02d', l_suppkey % 27 + 1, (l_orderkey // 100) % 100, l_orderkey % 100) AS ref,
+         ['N-', 'V-', 'A-', 'RA', 'C-', 'P-', 'D-'][l_linenumber] AS part,
+         {_LI_CODE} AS codes,
+         l_returnflag || CAST(l_orderkey AS VARCHAR) AS text,
+         l_linestatus || CAST(l_linenumber AS VARCHAR) AS word,
+         lower(l_returnflag || CAST(l_orderkey AS VARCHAR)) AS normalized,
+         CAST(l_partkey AS VARCHAR) AS lemma
+  FROM lineitem),
+lt AS (SELECT *, concat_ws(' ', ref, part, codes, text, word, normalized, lemma) AS line FROM l),
+r AS (SELECT *, CASE WHEN lag(ref) OVER w = ref THEN 0 ELSE 1 END AS chg
+      FROM lt WINDOW w AS (PARTITION BY book, chunk ORDER BY l_orderkey, l_linenumber, line)),
+s AS (SELECT *, sum(chg) OVER (PARTITION BY book, chunk ORDER BY l_orderkey, l_linenumber, line
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM r),
+o AS (SELECT *, row_number() OVER (PARTITION BY book, chunk, run ORDER BY l_orderkey, l_linenumber, line) AS ord,
+             CAST(CAST(substr(ref, 1, 2) AS INTEGER) + 39 AS VARCHAR) || substr(ref, 3, 2) || substr(ref, 5, 2) AS verse FROM s),
+d(file_number, name) AS ({_greek_dim()})
+SELECT d.name AS book, verse, CAST(verse || CAST(ord AS VARCHAR) AS BIGINT) AS id, codes, text, word, normalized, lemma,
+       {part_case} AS part, {_positional_cols('codes')}
+FROM o JOIN d ON o.book = d.file_number"""
     s["stream_tokens"] = s["gen_nested"]
     # the forced skew-safe plans must give exactly the same rows
     for k in ("ord_global", "ord_run", "batch_ranges"):

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 CHECK = ["gen_nested", "ord_run", "ord_run_skewsafe", "dec_tree", "dec_dictionary", "batch_progress", "json_valid",
-         "ser_omit_empty", "sink_profile", "src_manifest_books", "sink_kv_batches", "sink_kv_retry"]
+         "ser_omit_empty", "sink_profile", "src_manifest_books", "sink_kv_batches", "sink_kv_retry", "gnt_words"]
 
 
 def test_entry_smoke(spark):
