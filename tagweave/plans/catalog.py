@@ -566,7 +566,7 @@ def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat("l_returnflag", F.col("l_orderkey").cast("string"))
     line = F.concat_ws(" ", ref, part, code, text, F.concat("l_linestatus", F.col("l_linenumber").cast("string")),
                        F.lower(text), F.col("l_partkey").cast("string"))
-    lines = li.select(book.alias("book"), F.shiftright("l_orderkey", 12).alias("chunk"), "l_orderkey", "l_linenumber",
+    lines = li.select(book.alias("book"), F.shiftright("l_orderkey", 16).alias("chunk"), "l_orderkey", "l_linenumber",
                       line.alias("value"))
     out = scratch_path(spark, "gnt-lines")
     # (l_orderkey, l_linenumber) repeats in lineitem: the line text completes

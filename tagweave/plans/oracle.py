@@ -257,7 +257,7 @@ FROM r GROUP BY o_orderstatus, b"""
              "P-": "preposition", "D-": "adverb"}
     part_case = "CASE part " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in parts.items()) + " END"
     s["gnt_words"] = f"""WITH l AS (
-  SELECT l_orderkey, l_linenumber, l_suppkey % 27 + 61 AS book, l_orderkey // 4096 AS chunk,
+  SELECT l_orderkey, l_linenumber, l_suppkey % 27 + 61 AS book, l_orderkey // 65536 AS chunk,
          printf('%02d%02d%02d', l_suppkey % 27 + 1, (l_orderkey // 100) % 100, l_orderkey % 100) AS ref,
          ['N-', 'V-', 'A-', 'RA', 'C-', 'P-', 'D-'][l_linenumber] AS part,
          {_LI_CODE} AS codes,
