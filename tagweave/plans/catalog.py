@@ -555,9 +555,10 @@ def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     name from the path."""
     from .gnt import read_gnt_words
 
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))
     book = (F.col("l_suppkey") % 27 + 61).cast("int")
-    ref = F.format_string("%02d%02d%02d", book - 60, F.expr("(l_orderkey div 100) % 100"), F.col("l_orderkey") % 100)
+    ref = padded_id(book - 60, F.expr("(l_orderkey div 100) % 100"), F.col("l_orderkey") % 100, widths=(2, 2, 2))
     part = F.element_at(F.array(*[F.lit(p) for p in LINE_PARTS]), F.col("l_linenumber"))
     code = F.concat(
         F.col("l_linenumber").cast("string"), "l_returnflag", "l_returnflag", "l_linestatus",
