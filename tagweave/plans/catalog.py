@@ -498,7 +498,7 @@ def sink_kv_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = scratch_path(spark, "kv-retry")
     c = table(spark, sf_dir, "customer")
     (c.write.format("kvbatch").mode("append").option("table", "customer").option("client", _RECORDER)
-       .option("client.record_dir", rec).option("client.reject_last", "3").option("base_sleep", "0.01").save())
+       .option("client.record_dir", rec).option("client.reject_last", "3").option("base_sleep", "0.001").save())
     calls = _recorded(spark, rec, "c_custkey:bigint,c_name:string,c_nationkey:bigint,c_acctbal:double,c_mktsegment:string")
     return calls.select(F.explode("accepted").alias("r")).select("r.*")
 

@@ -3,9 +3,9 @@ store — for tests, dry runs and round-trip checks of the ``kvbatch`` sink.
 
 ``record_dir`` may be a local path or a URI that ``pyarrow.fs`` resolves
 (e.g. the shared checkpoint folder on a cluster).  Each client writes one
-file, closed when the task finishes.  ``reject_last``: on the first attempt
-of every batch, report that many items as unprocessed, so the resend path
-runs."""
+file, closed when the task finishes.  ``reject_last``: in every call with more items
+than that, report the last ``reject_last`` items as unprocessed, so each
+batch is resent once (the resent tail is accepted)."""
 
 from __future__ import annotations
 
@@ -31,17 +31,12 @@ class RecordingClient:
     def __init__(self, record_dir: str, reject_last: str | int = 0):
         self._fh, _ = _open_output(record_dir, f"calls-{os.getpid()}-{uuid.uuid4().hex}.jsonl")
         self.reject_last = int(reject_last)
-        self._seen: set[str] = set()
 
     def _log(self, **rec) -> None:
         self._fh.write((json.dumps(rec, default=str, sort_keys=True) + "\n").encode("utf-8"))
 
     def batch_write(self, table: str, items: list[dict]) -> list[dict]:
-        sig = json.dumps(items, default=str, sort_keys=True)
-        reject = 0
-        if self.reject_last and sig not in self._seen and len(items) > 1:
-            reject = min(self.reject_last, len(items) - 1)
-        self._seen.add(sig)
+        reject = self.reject_last if self.reject_last and len(items) > self.reject_last else 0
         accepted, rest = (items[: len(items) - reject], items[len(items) - reject:]) if reject else (items, [])
         self._log(op="batch_write", table=table, n=len(items), accepted=accepted)
         return rest
