@@ -122,6 +122,9 @@ class KVBatchWriter(DataSourceArrowWriter):
             yield from (map(self.fix, items) if self.fix else items)
 
     def _batches(self, record_batches: Iterator) -> Iterator[list[dict]]:
+        if self.group_by is None:
+            yield from self._fixed_batches(record_batches)
+            return
         batch: list[dict] = []
         current = object()
         for item in self._items(record_batches):
@@ -140,6 +143,26 @@ class KVBatchWriter(DataSourceArrowWriter):
         if batch:
             yield batch
 
+    def _fixed_batches(self, record_batches: Iterator) -> Iterator[list[dict]]:
+        """Fixed-size batches without groups: list slices per Arrow batch,
+        no per-row loop."""
+        carry: list[dict] = []
+        size = self.batch_size
+        for rb in record_batches:
+            rows = rb.to_pylist()
+            if self.fix:
+                rows = [self.fix(r) for r in rows]
+            if self.exclude:
+                rows = [{k: v for k, v in r.items() if k not in self.exclude} for r in rows]
+            if carry:
+                rows = carry + rows
+            full = len(rows) - len(rows) % size
+            for lo in range(0, full, size):
+                yield rows[lo:lo + size]
+            carry = rows[full:]
+        if carry:
+            yield carry
+
     def _send_with_retry(self, client, items: list[dict]) -> int:
         resends = 0
         pending = items
