@@ -121,3 +121,17 @@ def test_stream_files_to_table_is_incremental(spark, tmp_path):
     spark.createDataFrame([(2, "c")], "doc_id bigint, text string").write.mode("append").parquet(landing)
     back = stream_files_to_table(spark, landing, split, out, checkpoint=ck)
     assert sorted((r.doc_id, r.token) for r in back.collect()) == [(1, "a"), (1, "b"), (2, "c")]
+
+
+def test_kvbatch_fixed_batches_across_arrow_batches(spark, tmp_path):
+    register(spark)
+    rec = str(tmp_path / "fixed")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # batches of 25 span Arrow batches
+    try:
+        (_kv_df(spark).coalesce(1).write.format("kvbatch").mode("append").option("table", "t").option("client", CLIENT)
+            .option("client.record_dir", rec).save())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    calls = read_calls(rec)
+    assert [c["n"] for c in calls] == [25, 25, 10]
+    assert [i["id"] for c in calls for i in c["accepted"]] == list(range(60))
