@@ -45,13 +45,17 @@ TAG_SAMPLE = [
     "HPxms", "AVqp3ms", "AVtp3ms", "HVtp3ms", "HVap3ms", "HCx", "XNcmsa",
 ]
 
+TREE_COLUMNS = [a.lower() for a in tables.TREE_ATTRIBUTES]
+
 # Status and priority labels of the category query.
 STATUS_LABEL = {"F": "fulfilled", "O": "open", "P": "partial"}
 PRIORITY_LABEL = {"1": "urgent", "2": "high", "3": "medium", "4": "not specified", "5": "low"}
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
+
 # ---------------------------------------------------------------------------
 # documents -> chapter -> verse -> token
 # ---------------------------------------------------------------------------
@@ -61,15 +65,18 @@ def _tokens(documents: DataFrame) -> DataFrame:
     return explode_text(docs, "text", [LINE, SENTENCE, TOKEN], coords=("chapter", "verse"), position="word",
                         ordinal="ordinal", value="token", keep=["doc_id"])
 
+
 def _doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tokens(table(spark, sf_dir, "documents"))
 
+
 def gen_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _doc_words(spark, sf_dir)
     return w.select(
         "doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")], "token"
     )
 
+
 def ord_global(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
     # ordinal recomputed on already-exploded rows; chunked by chapter when a
     # document is large
@@ -78,6 +85,7 @@ def ord_global(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SI
                        max_group_rows=max_group_rows)
     return o.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")])
 
+
 def id_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     v = explode_text(docs, "text", [LINE, SENTENCE], coords=("chapter",), position="verse", ordinal=None,
@@ -87,6 +95,7 @@ def id_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
         padded_id("doc_id", "chapter", "verse").alias("verse_id"),
     )
 
+
 def id_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = _doc_words(spark, sf_dir)
     return w.select(
@@ -95,6 +104,7 @@ def id_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
         sequence_id("doc_id", "chapter", "verse", "ordinal").alias("id"),
     )
 
+
 def doc_words_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship in one pass: every token with coordinates, book-global
     ordinal, padded verse id and widening word id (G1 + O1 + I2 + I3)."""
@@ -105,6 +115,7 @@ def doc_words_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         sequence_id("doc_id", "chapter", "verse", "ordinal").alias("id"),
     )
 
+
 def stream_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``gen_nested`` through Structured Streaming: the documents file is
     taken by an ``availableNow`` file stream, exploded per micro-batch and
@@ -117,6 +128,7 @@ def stream_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return stream_files_to_table(spark, sf_dir, to_rows, scratch_path(spark, "stream-out"), glob="documents.parquet")
 
+
 # ---------------------------------------------------------------------------
 # sources (S1-S5)
 # ---------------------------------------------------------------------------
@@ -128,6 +140,7 @@ def src_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_tagged_lines(spark, out, glob="*.txt", on_error="keep")
     return lines.select("line", F.size("fields").cast("bigint").alias("n_fields"))
 
+
 def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn becomes a nested JSON book (line -> sentence -> [token,
     role, turn]); the JSON text is parsed back with the book schema and
@@ -144,6 +157,7 @@ def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("w")[0].alias("surface"), F.col("w")[1].alias("lexkey"), F.col("w")[2].alias("tag"),
     )
 
+
 def src_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of each document under both numbering variants: the
     default variant cuts at lines, the remapped one at sentences."""
@@ -155,6 +169,7 @@ def src_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
         out.append(seg.select("doc_id", "variant", (F.col("p") + 1).cast("bigint").alias("seg_no"), "segment"))
     return out[0].unionByName(out[1])
 
+
 def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations expected (manifest, with their file stem) that no supplier
     file covers."""
@@ -166,6 +181,7 @@ def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = check_manifest(present, manifest, "n_nationkey", allow_missing=True)
     return missing.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name", "file_stem")
 
+
 def src_manifest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Books of the file-number manifest that no page covers: pages are
     keyed by the number in their URL (as files are by their name), the
@@ -175,6 +191,7 @@ def src_manifest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = check_manifest(pages.where(F.col("file_number").isNotNull()), manifest, "file_number", allow_missing=True)
     return missing.select(F.col("file_number").cast("bigint").alias("file_number"), "name")
 
+
 def src_key_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number after the language folder of each page URL, mapped to a book
     name through the file-number dimension; unknown numbers give ''."""
@@ -184,6 +201,7 @@ def src_key_from_name(spark: SparkSession, sf_dir: str) -> DataFrame:
                                out_key="book_number", out_name="book_name", on_no_match="null")
     return keyed.select("page_id", F.col("book_number").cast("bigint").alias("book_number"), "book_name")
 
+
 # ---------------------------------------------------------------------------
 # projections
 # ---------------------------------------------------------------------------
@@ -195,10 +213,12 @@ def proj_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = docs.select("doc_id", (F.col("p") + 1).cast("bigint").alias("line_no"), F.split("line", TOKEN, -1).alias("f"))
     return project_fields(lines, "f", [f"f{i}" for i in range(7)], keep=["doc_id", "line_no"])
 
+
 def proj_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.format_string("%06d", "o_orderkey").alias("ref"))
     return o.select("o_orderkey", "ref", recode_ref("ref", tables.GREEK_VERSE_OFFSET).alias("verse"))
 
+
 def proj_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
@@ -207,9 +227,11 @@ def proj_category(spark: SparkSession, sf_dir: str) -> DataFrame:
         label(F.substring("o_orderpriority", 1, 1), PRIORITY_LABEL, what="priority").alias("priority_label"),
     )
 
+
 def proj_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", language("text").alias("language"))
 
+
 # ---------------------------------------------------------------------------
 # tags (G2, D1-D4, J1)
 # ---------------------------------------------------------------------------
@@ -219,11 +241,13 @@ def _order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = (F.col("o_orderkey") % len(TAG_SAMPLE) + 1).cast("int")
     return table(spark, sf_dir, "orders").select("o_orderkey", F.element_at(sample, idx).alias("tag"))
 
+
 def gen_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _order_tags(spark, sf_dir)
     s = t.select("o_orderkey", "tag", F.posexplode(split_tag("tag")).alias("p", "segment"))
     return s.select("o_orderkey", "tag", (F.col("p") + 1).cast("bigint").alias("seg_no"), "segment")
 
+
 def dec_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _order_tags(spark, sf_dir).select("o_orderkey", F.posexplode(decode_tree("tag")).alias("s", "m"))
     a = t.select("o_orderkey", "s", F.posexplode(F.map_entries("m")).alias("a", "e"))
@@ -232,24 +256,29 @@ def dec_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("e")["key"].alias("attr"), F.col("e")["value"].alias("value"),
     )
 
+
 def _wide(df: DataFrame) -> DataFrame:
     return df.select(
         "o_orderkey", F.col("segment").cast("bigint").alias("seg_no"),
         *[F.col(a).alias(a.lower()) for a in tables.TREE_ATTRIBUTES],
     )
 
+
 def dec_tree_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(decode_tree_columns(_order_tags(spark, sf_dir), "tag"))
 
+
 def dec_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = decode_by_dictionary(_order_tags(spark, sf_dir), "tag")
     s = d.select("o_orderkey", F.posexplode("morphology").alias("p", "m"))
     return _wide(s.select("o_orderkey", (F.col("p") + 1).alias("segment"), *[F.col("m")[a].alias(a) for a in tables.TREE_ATTRIBUTES]))
 
+
 def ser_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _order_tags(spark, sf_dir)
     return t.select("o_orderkey", language("tag").alias("language"), tag_string(decode_tree("tag")).alias("morphology"))
 
+
 def _lineitem_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
     code = F.concat(
@@ -258,6 +287,7 @@ def _lineitem_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return li.select("l_orderkey", "l_linenumber", code.alias("code"))
 
+
 def dec_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _lineitem_codes(spark, sf_dir)
     d = c.select("l_orderkey", "l_linenumber", "code", decode_positional("code").alias("m"))
@@ -266,6 +296,7 @@ def dec_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.col("m")[n].alias(n) for n, _ in tables.GREEK_POSITIONS],
     )
 
+
 def dim_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positional lookup dimension with how often each entry is used by the
     lineitem codes (zero when never)."""
@@ -279,6 +310,7 @@ def dim_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = join_small(usage, dim, ["lookup", "code"], how="right", known_small=False)
     return joined.select("scheme", "lookup", "code", "label", F.coalesce("uses", F.lit(0)).cast("bigint").alias("uses"))
 
+
 def id_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
@@ -286,6 +318,7 @@ def id_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
         concat_id(F.col("l_orderkey").cast("string"), "l_linenumber").alias("id"),
     )
 
+
 # ---------------------------------------------------------------------------
 # ordinals (O2)
 # ---------------------------------------------------------------------------
@@ -298,6 +331,7 @@ def ord_run(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPL
                     chunk=F.date_trunc("hour", F.col("ts")), max_group_rows=max_group_rows)
     return r.select("event_id", "user_id", "event_type", F.col("ord").cast("bigint").alias("ord"))
 
+
 # ---------------------------------------------------------------------------
 # JSON (J2-J6)
 # ---------------------------------------------------------------------------
@@ -307,11 +341,13 @@ def ser_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = {"id": "o_orderkey", "custkey": "o_custkey", "status": "o_orderstatus", "priority": "o_orderpriority"}
     return o.select("o_orderkey", record_json(o, cols).alias("content"))
 
+
 def ser_json_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     cols = {"status": "o_orderstatus", "Priority": "o_orderpriority", "id": "o_orderkey", "custkey": "o_custkey"}
     return o.select("o_orderkey", record_json(o, cols, key_order="sorted").alias("content"))
 
+
 def ser_omit_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     code = F.concat(F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus"))
@@ -323,10 +359,12 @@ def ser_omit_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = {"id": "o_orderkey", "status": "o_orderstatus", "comment": "comment", "morphology": "morphology"}
     return o.select("o_orderkey", record_json(o, cols, omit_empty=("comment", "morphology")).alias("content"))
 
+
 def json_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "props")
     return json_columns(ev, "props", {"k": "$.k", "missing": "$.x"}).select("event_id", "k", "missing")
 
+
 def json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "props")
     doc = (
@@ -337,6 +375,7 @@ def json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = ev.select("event_id", doc.alias("doc"))
     return d.select("event_id", "doc", is_json("doc").cast("int").alias("valid"))
 
+
 # ---------------------------------------------------------------------------
 # store shapes
 # ---------------------------------------------------------------------------
@@ -348,6 +387,7 @@ def ent_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = e.select("partition_key", "row_key", F.explode("properties").alias("prop", "value"))
     return x
 
+
 def ent_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _lineitem_codes(spark, sf_dir)
     d = c.select(
@@ -357,11 +397,13 @@ def ent_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return flatten_struct(d, "morphology", empty_as="")
 
+
 def ent_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return to_flat_entity(c, "c_custkey", {"id": "c_custkey", "c_name": "c_name",
                                             "c_nationkey": F.col("c_nationkey").cast("bigint"), "c_mktsegment": "c_mktsegment"})
 
+
 def ent_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     k = to_keyed(c, "c_custkey")
@@ -369,16 +411,19 @@ def ent_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_nationkey", F.col("c_nationkey").cast("bigint")
     )
 
+
 def ent_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     i = to_item(c, "c_mktsegment", "c_custkey")
     x = i.select("hash_key", "range_key", F.explode("attributes").alias("attr", "v"))
     return x.select("hash_key", "range_key", "attr", F.col("v")["type"].alias("type"), F.col("v")["value"].alias("value"))
 
+
 def ent_json_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return to_json_row(o, "o_orderkey", {"id": "o_orderkey", "status": "o_orderstatus", "priority": "o_orderpriority"})
 
+
 # ---------------------------------------------------------------------------
 # batches and sinks (B1, B2, K1, K6, K7)
 # ---------------------------------------------------------------------------
@@ -390,49 +435,61 @@ def _order_batches(spark: SparkSession, sf_dir: str, max_group_rows: int | None
     return assign_batches(o, by=["o_orderstatus"], order=["o_orderkey"], size=100, seq="seq",
                           chunk=F.shiftright(F.col("o_orderkey"), 16), max_group_rows=max_group_rows)
 
+
 def batch_ranges_q(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
     b = _order_batches(spark, sf_dir, max_group_rows)
     return b.select("o_orderkey", "o_orderstatus", F.col("seq").cast("bigint").alias("seq"), F.col("batch_no").cast("bigint").alias("batch_no"))
 
+
 def batch_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = group_totals(table(spark, sf_dir, "orders"), ["o_orderstatus"])
     r = batch_report(_order_batches(spark, sf_dir), by=["o_orderstatus"], size=100, totals=totals)
     return r.select("o_orderstatus", F.col("batch_no").cast("bigint").alias("batch_no"), "lo", "hi", "pct")
 
+
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
     return latest_by_key(ev, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
+
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 
+
 def sink_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "jsonl")
     write_jsonl(table(spark, sf_dir, "customer"), out, by="c_mktsegment", mode="overwrite")
     back = read_jsonl(spark, out, CUSTOMER_SCHEMA)
     return back.select("c_custkey", "c_name", F.col("c_nationkey").cast("bigint").alias("c_nationkey"), "c_acctbal", "c_mktsegment")
 
+
 def sink_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     return payload_profile(d, by=["lang"], columns=["doc_id", "text", "lang", "source", "n_chars"])
 
+
 def ord_global_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ord_global`` with the chunked plan forced (the plan a large book gets)."""
     return ord_global(spark, sf_dir, max_group_rows=None)
 
+
 def ord_run_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ord_run`` with the chunked plan forced (the plan a hot user gets)."""
     return ord_run(spark, sf_dir, max_group_rows=None)
 
+
 def batch_ranges_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``batch_ranges`` with the chunked plan forced (the plan a hot status gets)."""
     return batch_ranges_q(spark, sf_dir, max_group_rows=None)
 
+
 _RECORDER = "tagweave.sinks.recording:recording_client"
 
+
 def _recorded(spark: SparkSession, record_dir: str, item_schema: str) -> DataFrame:
     """Calls recorded by the recording client, one row per call."""
     return spark.read.schema(f"op string, n bigint, accepted array<struct<{item_schema}>>").json(record_dir)
 
+
 def sink_kv_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer table through the ``kvbatch`` retry profile (batches of
     25, part of every batch rejected on its first attempt and resent),
@@ -445,6 +502,7 @@ def sink_kv_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls = _recorded(spark, rec, "c_custkey:bigint,c_name:string,c_nationkey:bigint,c_acctbal:double,c_mktsegment:string")
     return calls.select(F.explode("accepted").alias("r")).select("r.*")
 
+
 def sink_kv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written in exact per-status batches of 200 (``exact_batches``
     + ``group_by``), read back: one row per recorded call with its status,
@@ -465,6 +523,7 @@ def sink_kv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("accepted").cast("bigint").alias("n"),
     )
 
+
 def sink_kv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as wide entities (property bags) written with one
     insert-or-replace call per row (``per_row`` profile), read back and
@@ -480,10 +539,12 @@ def sink_kv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = calls.select(F.explode("accepted").alias("r")).select("r.*")
     return rows.select("partition_key", "row_key", F.explode("properties").alias("prop", "value"))
 
+
 # Part-of-speech code by line number for the tagged-line files derived
 # from lineitem.
 LINE_PARTS = ["N-", "V-", "A-", "RA", "C-", "P-", "D-"]
 
+
 def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tagged-line corpus plan end to end on files Spark derives from
     lineitem: one line per item (``ref part codes text word normalized
@@ -520,6 +581,7 @@ def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[m[n].alias(n) for n in tables.GREEK_MORPHOLOGY_FIELDS],
     )
 
+
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
     "stream_tokens": stream_tokens,
