@@ -45,7 +45,6 @@ TAG_SAMPLE = [
     "HPxms", "AVqp3ms", "AVtp3ms", "HVtp3ms", "HVap3ms", "HCx", "XNcmsa",
 ]
 
-TREE_COLUMNS = [a.lower() for a in tables.TREE_ATTRIBUTES]
 
 # Status and priority labels of the category query.
 STATUS_LABEL = {"F": "fulfilled", "O": "open", "P": "partial"}
