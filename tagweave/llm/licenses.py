@@ -24,7 +24,7 @@ def sentences(text: Column) -> Column:
     or the end, and at a line end; those without a word go."""
     lines = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _SENTENCE_END, "\n")
     words = F.regexp_replace(lines, _NO_WORD, " ")
-    return F.filter(F.transform(F.split(words, "\n"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(words, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def _contains_in_order(ids: Column, rule: Sequence[str]) -> Column:
