@@ -6,16 +6,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
 from .licenses import license_scan
 from .rules import BASE_POLICY, ledger, verdict
+from .tokens import lookup, read_manifest, with_crc32, write_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; on a cluster the package that holds
+    them is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    root = scratch_path(spark, "token-shards")
+    write_shards(docs, root, vocabulary("word_bpe_49k.json"), end_id=1)
+    found = with_crc32(lookup(docs, root), read_manifest(root)["width"])
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32", "shard")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = ledger(_table(spark, sf_dir, "documents"))
     base_failed = ~verdict(BASE_POLICY)
@@ -75,6 +93,7 @@ SELECT doc_id, n_sentences, n_known, sentence_ids, array_to_string(ls, ',') AS l
 
 
 QUERIES = {
+    "op4_token_output": op4_token_output,
     "op6_quality_rules": op6_quality_rules,
     "op8_license_scan": op8_license_scan,
 }
