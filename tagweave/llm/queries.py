@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
+from .decontam import scan
 from .licenses import license_scan
 from .rules import BASE_POLICY, ledger, verdict
 from .tokens import lookup, read_manifest, with_crc32, write_shards
@@ -92,13 +93,45 @@ SELECT doc_id, n_sentences, n_known, sentence_ids, array_to_string(ls, ',') AS l
 """
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", F.col("__n_words").alias("n_words"), F.col("__n_hit").alias("n_hit"),
+        F.size("__items").cast("bigint").alias("n_items"), F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
+        (F.col("__n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT row_number() OVER () AS k, item_id::VARCHAR AS item,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+i1 AS (SELECT *, least(10, len(ws)) AS n FROM i WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT k, item, n, array_to_string(list_slice(ws, p, p + n - 1), ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(ws) - n + 2)) AS p FROM i1)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT r, p, n, array_to_string(list_slice(ws, p, p + n - 1), ' ') AS w
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM d, sizes)),
+m AS (SELECT r, p, dw.n, k, item FROM dw JOIN iw USING (n, w)),
+h AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT r, p, n FROM m)) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
+
 QUERIES = {
     "op4_token_output": op4_token_output,
     "op6_quality_rules": op6_quality_rules,
     "op8_license_scan": op8_license_scan,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLE_SQL = {
     "op6_quality_rules": OP6_SQL,
     "op8_license_scan": _op8_sql(),
+    "op10_benchmark_decontamination": OP10_SQL,
 }
