@@ -11,6 +11,7 @@ from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
 from .decontam import scan
 from .licenses import license_scan
+from .mixing import plan_mix, taken, with_sources
 from .rules import BASE_POLICY, ledger, verdict
 from .tokens import lookup, read_manifest, with_crc32, write_shards
 
@@ -35,6 +36,11 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32", "shard")
 
 
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = plan_mix(_table(spark, sf_dir, "documents"))
+    return with_sources(taken(mix), mix).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = ledger(_table(spark, sf_dir, "documents"))
     base_failed = ~verdict(BASE_POLICY)
@@ -125,6 +131,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 QUERIES = {
     "op4_token_output": op4_token_output,
+    "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op8_license_scan": op8_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
