@@ -13,6 +13,7 @@ from .decontam import scan
 from .licenses import license_scan
 from .mixing import plan_mix, taken, with_sources
 from .rules import BASE_POLICY, ledger, verdict
+from .simhash import near_duplicates
 from .tokens import lookup, read_manifest, with_crc32, write_shards
 
 
@@ -28,6 +29,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     root = scratch_path(spark, "token-shards")
@@ -130,6 +136,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 
 QUERIES = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_output": op4_token_output,
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
