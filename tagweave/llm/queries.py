@@ -11,6 +11,7 @@ from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
 from .decontam import scan
 from .licenses import license_scan
+from .lm import score
 from .mixing import plan_mix, taken, with_sources
 from .rules import BASE_POLICY, ledger, verdict
 from .simhash import near_duplicates
@@ -78,6 +79,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -140,6 +145,7 @@ QUERIES = {
     "op4_token_output": op4_token_output,
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_license_scan": op8_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
