@@ -13,6 +13,7 @@ from .decontam import scan
 from .licenses import license_scan
 from .lm import score
 from .mixing import plan_mix, taken, with_sources
+from .resample import resample
 from .rules import BASE_POLICY, ledger, verdict
 from .simhash import near_duplicates
 from .tokens import lookup, read_manifest, with_crc32, write_shards
@@ -110,6 +111,11 @@ SELECT doc_id, n_sentences, n_known, sentence_ids, array_to_string(ls, ',') AS l
 """
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_grams", "log_weight", F.col("key").alias("gumbel_key"), F.col("selected").alias("kept"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = scan(docs, _table(spark, sf_dir, "benchmark"))
@@ -147,6 +153,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_license_scan": op8_license_scan,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
