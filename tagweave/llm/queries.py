@@ -15,6 +15,7 @@ from .lm import score
 from .mixing import plan_mix, taken, with_sources
 from .resample import resample
 from .rules import BASE_POLICY, ledger, verdict
+from .substring_dedup import remove_repeats
 from .simhash import near_duplicates
 from .tokens import lookup, read_manifest, with_crc32, write_shards
 
@@ -31,6 +32,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT r, doc_id, p, array_to_string(list_slice(ws, p, p + 12), ' ') AS k
+  FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM d)),
+hit AS (SELECT r, p FROM (SELECT r, p, doc_id, min(doc_id) OVER (PARTITION BY k) AS low FROM w) WHERE low < doc_id),
+gone AS (SELECT DISTINCT r, unnest(range(p, p + 13)) AS q FROM hit),
+g AS (SELECT r, list(q) AS qs FROM gone GROUP BY r),
+o AS (SELECT doc_id, ws, list_filter(ws, lambda x, i: NOT coalesce(list_contains(qs, i), false)) AS kept FROM d LEFT JOIN g USING (r))
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - len(kept))::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM o
+"""
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -147,6 +165,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_output": op4_token_output,
     "op5_source_mixing": op5_source_mixing,
@@ -158,6 +177,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_substring_dedup": OP1_SQL,
     "op6_quality_rules": OP6_SQL,
     "op8_license_scan": _op8_sql(),
     "op10_benchmark_decontamination": OP10_SQL,
