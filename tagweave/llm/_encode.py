@@ -22,8 +22,8 @@ from ._text import WORD_BYTES, find_words, ragged, word_hashes
 _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = regex.compile(r"[!-~¡-įı-ɏ]*")
 _MARK = "\x01"
-WORD_CACHE = 1 << 19
-PIECE_CACHE = 1 << 18
+WORD_CACHE = 1 << 18
+PIECE_CACHE = 1 << 16
 
 
 class WordEncoder:
@@ -40,7 +40,9 @@ class WordEncoder:
         self.is_end = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.is_end[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self.quick = bool(suffix) and '"' + _PATTERN.pattern.replace("\\", "\\\\") + '"' in self.full.to_str()
-        self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
+        self.quick &= not any(s.isalpha() for s in special)
         mark = self.full.encode(_MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self.pieces: dict[str, bytes] = {}
@@ -50,8 +52,19 @@ class WordEncoder:
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
+        self.hits = np.zeros(0, np.int32)
         self.pool = np.zeros(0, self.dtype)
 
+    def forget(self) -> None:
+        """Make room: only words that came back in later blocks stay."""
+        keep = self.hits > 1
+        if keep.sum() * 2 > len(keep):
+            self.clear()
+            return
+        self.pool = self.pool[ragged(self.at[keep], self.n[keep])]
+        self.keys, self.n, self.hits = self.keys[keep], self.n[keep], self.hits[keep] // 2
+        self.at = np.cumsum(self.n) - self.n
+
     def _pack(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
@@ -80,34 +93,37 @@ class WordEncoder:
             ids = np.asarray(self.bare.encode(" ".join(part), add_special_tokens=False).ids, dtype=np.int64)
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) != len(part):
-                runs = [self.bare.encode(p, add_special_tokens=False).ids for p in part]
+                for p in part:
+                    self.pieces[p] = self._pack(self.bare.encode(p, add_special_tokens=False).ids)
             else:
-                runs = np.split(ids, ends[:-1])
-            for p, r in zip(part, runs, strict=True):
-                self.pieces[p] = self._pack(r)
+                raw, at_byte = self._pack(ids), (ends * self.dtype.itemsize).tolist()
+                self.pieces.update(zip(part, [raw[a:b] for a, b in zip([0, *at_byte[:-1]], at_byte, strict=True)], strict=True))
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word, as bytes."""
-        out: list[bytes] = [b""] * len(words)
-        cut: list[tuple[int, list[str]]] = []
-        slow: list[int] = []
-        for i, w in enumerate(words):
-            low = w.lower()
-            if self.quick and _PLAIN.fullmatch(low) and not any(s in w for s in self.special):
-                cut.append((i, _PATTERN.findall(low)))
-            else:
-                slow.append(i)
         if len(self.pieces) > PIECE_CACHE:
             self.pieces.clear()
-        known = self.pieces
-        missing = {p for _, ps in cut for p in ps if p not in known}
+        known, plain, find, special = self.pieces, _PLAIN.fullmatch, _PATTERN.findall, self.special.search
+        cut: list[str | list[str] | None] = []  # one piece, several, or through the whole tokenizer
+        for w in words:
+            low = w.lower()
+            if low.isalpha():
+                cut.append(low if low.isascii() or plain(low) else None)
+            elif plain(low) and not special(w):
+                cut.append(find(low))
+            else:
+                cut.append(None)
+        if not self.quick:
+            cut = [None] * len(words)
+        pieces = {c for c in cut if type(c) is str}
+        for c in cut:
+            if type(c) is list:
+                pieces.update(c)
+        missing = [p for p in pieces if p not in known]
         if missing:
-            self._encode_pieces(list(missing))
-        for i, ps in cut:
-            out[i] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
-        for i, ids in zip(slow, self._whole([words[i] for i in slow]), strict=True):
-            out[i] = ids
-        return out
+            self._encode_pieces(missing)
+        slow = iter(self._whole([w for w, c in zip(words, cut, strict=True) if c is None]))
+        return [known[c] if type(c) is str else next(slow) if c is None else b"".join([known[p] for p in c]) for c in cut]
 
     def block(self, data: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of a block of texts, ``end_id`` after each."""
@@ -117,10 +133,12 @@ class WordEncoder:
         new = ~np.isin(uniq, self.keys, assume_unique=True)
         if new.any():
             if len(self.keys) > WORD_CACHE:
-                self.clear()
-                new[:] = True
+                self.forget()
+                new = ~np.isin(uniq, self.keys, assume_unique=True)
             raw = data.tobytes()
-            got = self.words([raw[start[i] : end[i]].decode("utf-8", "replace") for i in where[new]])
+            fresh = where[new]
+            text = b" ".join([raw[a:b] for a, b in zip(start[fresh].tolist(), end[fresh].tolist(), strict=True)])
+            got = self.words(text.decode("utf-8", "replace").split(" "))
             n = np.fromiter((len(g) for g in got), np.int64, len(got)) // self.dtype.itemsize
             base = len(self.pool)
             self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(got), dtype=self.dtype)])
@@ -129,7 +147,10 @@ class WordEncoder:
             self.keys = keys[order]
             self.at = np.concatenate([self.at, base + np.cumsum(n) - n])[order]
             self.n = np.concatenate([self.n, n])[order]
-        slot = np.searchsorted(self.keys, uniq)[back] if len(uniq) else np.zeros(0, np.int64)
+            self.hits = np.concatenate([self.hits, np.zeros(len(n), np.int32)])[order]
+        place = np.searchsorted(self.keys, uniq)
+        self.hits[place] += 1
+        slot = place[back]
         n_word = self.n[slot]
         total = np.zeros(len(n_word) + 1, np.int64)
         np.cumsum(n_word, out=total[1:])
