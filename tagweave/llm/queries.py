@@ -15,8 +15,9 @@ from .lm import score
 from .mixing import plan_mix, taken, with_sources
 from .resample import resample
 from .rules import BASE_POLICY, ledger, verdict
-from .substring_dedup import remove_repeats
 from .simhash import near_duplicates
+from .substring_dedup import remove_repeats
+from .suffix_dedup import remove_repeated_bytes
 from .tokens import lookup, read_manifest, with_crc32, write_shards
 
 
@@ -49,6 +50,11 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - len(kept))::BIGINT AS n_re
 """
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_bytes(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -166,6 +172,7 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_output": op4_token_output,
     "op5_source_mixing": op5_source_mixing,
