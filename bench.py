@@ -23,8 +23,8 @@ from pyspark.sql import functions as F  # noqa: E402
 from tagweave.functions import decode_tree, language, tag_string  # noqa: E402
 from tagweave.operators import decode_by_dictionary, spread  # noqa: E402
 from tagweave.plans import catalog  # noqa: E402
-from tagweave.session import scratch_path  # noqa: E402
-from tagweave.sinks import register, write_jsonl  # noqa: E402
+from tagweave.session import drop_scratch, scratch_path  # noqa: E402
+from tagweave.sinks import write_jsonl  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -90,33 +90,24 @@ def q_jsonl_write(spark):
     write_jsonl(li, _JSONL_OUT[0], by="l_returnflag", mode="overwrite")
 
 
-def q_kv_write(spark):
-    register(spark)
-    li = catalog.table(spark, SF_DIR, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
-    ROWS.setdefault("kv_write", li.count())
-    (li.write.format("kvbatch").mode("append").option("table", "lineitem")
-       .option("client", "tagweave.sinks.recording:counting_client").save())
-
-
 QUERIES = {
     "gen_nested": lambda s: noop(catalog.gen_nested(s, SF_DIR), "gen_nested"),
     "id_sequence": lambda s: noop(catalog.id_sequence(s, SF_DIR), "id_sequence"),
     "ord_global": lambda s: noop(catalog.ord_global(s, SF_DIR), "ord_global"),
-    "ord_global_skewsafe": lambda s: noop(catalog.ord_global_skewsafe(s, SF_DIR), "ord_global_skewsafe"),
     "tree_decode_rows": q_tree_rows,
     "tree_decode_dictionary": q_tree_dictionary,
     "dec_positional": lambda s: noop(catalog.dec_positional(s, SF_DIR), "dec_positional"),
     "ord_run": lambda s: noop(catalog.ord_run(s, SF_DIR), "ord_run"),
-    "ord_run_skewsafe": lambda s: noop(catalog.ord_run_skewsafe(s, SF_DIR), "ord_run_skewsafe"),
     "batch_ranges": lambda s: noop(catalog.batch_ranges_q(s, SF_DIR), "batch_ranges"),
     "ser_json": lambda s: noop(catalog.ser_json(s, SF_DIR), "ser_json"),
     "json_columns": lambda s: noop(catalog.json_columns_q(s, SF_DIR), "json_columns"),
     "json_valid": lambda s: noop(catalog.json_valid(s, SF_DIR), "json_valid"),
     "upsert_latest": lambda s: noop(catalog.upsert_latest(s, SF_DIR), "upsert_latest"),
     "sink_profile": lambda s: noop(catalog.sink_profile(s, SF_DIR), "sink_profile"),
+    "wlc_words_e2e": lambda s: noop(catalog.wlc_words(s, SF_DIR), "wlc_words_e2e"),
+    "batch_progress": lambda s: noop(catalog.batch_progress(s, SF_DIR), "batch_progress"),
     "gnt_words_e2e": lambda s: noop(catalog.gnt_words(s, SF_DIR), "gnt_words_e2e"),
     "jsonl_write": q_jsonl_write,
-    "kv_write": q_kv_write,
 }
 
 
@@ -134,6 +125,7 @@ def main() -> None:
             fn(spark)
             runs.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(runs), 3)
+    drop_scratch(spark)
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "total_median_sec",

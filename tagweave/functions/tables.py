@@ -114,7 +114,7 @@ GREEK_FILE_PATTERN = r"([0-9]+)-([a-zA-Z0-9]+)-morphgnt"
 
 # Default source folders and table names of the two corpora.
 DEFAULT_TAGGED_PATH = "./morphgnt/"
-DEFAULT_NESTED_PATH = "./morphwlc/"
+DEFAULT_NESTED_PATH = "./morphhb/"
 DEFAULT_TAGGED_TABLE = "morphgnt"
 DEFAULT_NESTED_TABLE = "morphwlc"
 

@@ -38,7 +38,7 @@ from . import tables
 from ._util import col, sql_string
 
 FUNCTION_PREFIX = "tagweave_"
-_MORPH = "ARRAY<MAP<STRING, STRING>>"
+_SEGMENTS_TYPE = "ARRAY<MAP<STRING, STRING>>"
 _QUOTE = "chr(39)"  # a single quote, without depending on literal escaping
 
 
@@ -130,12 +130,12 @@ def _function_bodies(pronoun_person: bool, tag: str = "tag") -> dict[str, tuple[
     message = f"concat('invalid tag ', {_QUOTE}, {tag}, {_QUOTE}, ': ', {err})"
     fail = (
         f"transform(array({segs}), tw_segs -> CASE "
-        f"WHEN ({err}) IS NOT NULL THEN cast(raise_error({message}) AS {_MORPH}) "
+        f"WHEN ({err}) IS NOT NULL THEN cast(raise_error({message}) AS {_SEGMENTS_TYPE}) "
         f"WHEN {tag} IS NOT NULL THEN transform(tw_segs, tw_y -> tw_y.m) END)[0]"
     )
     null = f"transform(array({segs}), tw_segs -> CASE WHEN ({err}) IS NULL AND {tag} IS NOT NULL THEN transform(tw_segs, tw_y -> tw_y.m) END)[0]"
     reason = f"transform(array({segs}), tw_segs -> {err})[0]"
-    return {"decode_tree": (_MORPH, fail), "decode_tree_or_null": (_MORPH, null), "tree_error": ("STRING", reason)}
+    return {"decode_tree": (_SEGMENTS_TYPE, fail), "decode_tree_or_null": (_SEGMENTS_TYPE, null), "tree_error": ("STRING", reason)}
 
 
 _REGISTERED: set[tuple[int, str]] = set()
@@ -179,7 +179,7 @@ def _call(base: str, tag: str | Column, pronoun_person: bool) -> Column:
 
 def split_tag(tag: str | Column) -> Column:
     """Segments of a tag after its language letter, order kept."""
-    return F.split(F.substring(col(tag), 2, 1 << 30), "/", -1)
+    return F.split(F.substr(col(tag), F.lit(2)), "/", -1)
 
 
 def tree_error(tag: str | Column, pronoun_person: bool = False) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import SIMPLE_WINDOW_MAX_ROWS, sequence_within
+from .sequence import sequence_within
 
 
 def group_totals(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -21,18 +21,18 @@ def assign_batches(
     by: Sequence[str],
     order: Sequence[str | Column],
     size: int,
+    chunk: Column,
     out: str = "batch_no",
     seq: str = "seq",
-    chunk: Column | None = None,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Number rows inside each ``by`` group and cut them into half-open
     batches ``[i*size, (i+1)*size)``; the last one may be partial.
+    ``chunk`` is monotone in ``order`` (see ``sequence``).
     ``size <= 0`` is an error (it would silently write nothing)."""
     if size <= 0:
         raise ValueError("batch size must be positive")
-    numbered = sequence_within(df, by, order, out=seq, chunk=chunk, max_group_rows=max_group_rows)
-    return numbered.withColumn(out, F.floor((F.col(seq) - 1) / F.lit(size)).cast("int"))
+    numbered = sequence_within(df, by, order, chunk, out=seq)
+    return numbered.withColumn(out, F.expr(f"(`{seq}` - 1) div {int(size)}"))
 
 
 def exact_batches(
@@ -40,18 +40,17 @@ def exact_batches(
     by: Sequence[str],
     order: Sequence[str | Column],
     size: int,
-    chunk: Column | None = None,
+    chunk: Column,
     partitions: int | None = None,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Rows laid out for a writer so that each batch is exactly the group's
     rows ``[i*size, (i+1)*size)`` in ``order`` and never spans groups.
 
-    Rows are numbered (chunked when ``chunk`` is given), hash-partitioned by
+    Rows are numbered chunk by chunk, hash-partitioned by
     ``(by..., batch_no)`` — every key holds at most ``size`` rows, so a hot
     group spreads over all tasks — and sorted inside each partition.  Pass
     ``group_by=",".join([*by, "batch_no"])`` to the ``kvbatch`` writer."""
-    numbered = assign_batches(df, by, order, size, chunk=chunk, max_group_rows=max_group_rows)
+    numbered = assign_batches(df, by, order, size, chunk)
     keys = [*by, "batch_no"]
     spread = numbered.repartition(partitions, *keys) if partitions else numbered.repartition(*keys)
     return spread.sortWithinPartitions(*keys, "seq")
@@ -90,8 +89,8 @@ def batch_report(
     ``min(100, (batch_no+1)*size/total*100)`` to two decimals.  Counts are
     partially aggregated map-side, so a hot group costs no more than any
     other.  ``totals`` (``by..., __total``) may be given, e.g. counted on the
-    source table, so the batch numbering is not run a second time for them;
-    it holds one row per group and is broadcast."""
+    source table, so the batch numbering is not run a second time for them.
+    Spark picks the join by the totals' measured size."""
     by = list(by)
     per_batch = df.groupBy(*by, batch).agg(F.count(F.lit(1)).alias("__n"))
     if totals is None:
@@ -103,7 +102,7 @@ def batch_report(
         c = per_batch[k].eqNullSafe(t[f"__t_{k}"])
         cond = c if cond is None else cond & c
     return (
-        per_batch.join(F.broadcast(t), cond, "inner")
+        per_batch.join(t, cond, "inner")
         .select(
             *by,
             F.col(batch),
@@ -119,7 +118,8 @@ def batch_report(
 def latest_by_key(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """Keep, per key, the row with the greatest ``seq`` (last write wins).
     ``max_by`` aggregates partially on the map side, so a hot key is
-    combined before the shuffle."""
+    combined before the shuffle.  ``keys`` may be several columns (a store's
+    hash and range key)."""
     keys, seq = list(keys), list(seq)
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*rest), F.struct(*seq)).alias("__row")

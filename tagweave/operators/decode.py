@@ -12,8 +12,6 @@ from ..functions import tables
 from ..functions.labels import language
 from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree, tree_error
-from ..session import scratch_path
-from .joins import DEFAULT_BROADCAST_ROWS
 
 
 def decode_tree_columns(
@@ -28,8 +26,8 @@ def decode_tree_columns(
     null).  Unlike the map form, unused attribute columns are pruned."""
     # decoded in a projection first, then exploded (a SQL function may not
     # sit inside a generator)
-    decoded = df.withColumn("__morph", decode_tree(tag, pronoun_person=pronoun_person, on_error=on_error))
-    exploded = decoded.select("*", F.posexplode("__morph").alias("__seg", "__m"))
+    decoded = df.withColumn("__segments", decode_tree(tag, pronoun_person=pronoun_person, on_error=on_error))
+    exploded = decoded.select("*", F.posexplode("__segments").alias("__seg", "__m"))
     return exploded.select(
         *[c for c in df.columns],
         (F.col("__seg") + 1).alias(segment),
@@ -42,8 +40,8 @@ def tag_dictionary(df: DataFrame, tag: str, pronoun_person: bool = False, on_err
     morphology_string)``.  The distinct runs map-side first (partial
     aggregation), so only distinct tags per task cross the network."""
     tags = df.select(F.col(tag).alias("__tag")).where(F.col("__tag").isNotNull()).distinct()
-    morph = decode_tree("__tag", pronoun_person=pronoun_person, on_error=on_error)
-    cols = [F.col("__tag"), language("__tag").alias("language"), morph.alias("morphology")]
+    decoded = decode_tree("__tag", pronoun_person=pronoun_person, on_error=on_error)
+    cols = [F.col("__tag"), language("__tag").alias("language"), decoded.alias("morphology")]
     if on_error == "null":
         cols.append(tree_error("__tag", pronoun_person=pronoun_person).alias("decode_error"))
     return tags.select(*cols).withColumn("morphology_string", tag_string("morphology"))
@@ -54,27 +52,14 @@ def decode_by_dictionary(
     tag: str,
     pronoun_person: bool = False,
     on_error: str = "fail",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Same result as decoding row by row, but each distinct tag is decoded
-    once and joined back (D3).  The dictionary is broadcast only when its
-    row count is at most ``max_broadcast_rows``; otherwise it is a shuffle
-    join.  Adds ``language``, ``morphology``, ``morphology_string`` (and
-    ``decode_error`` with ``on_error='null'``)."""
-    # Written once as a table in the shared checkpoint folder: the size
-    # check and the join read the same small table, the distinct runs once
-    # (with AQE sizing its partitions), and a lost executor does not force
-    # the distinct over the whole input again.
-    path = scratch_path(df.sparkSession, "tag-dictionary")
-    tag_dictionary(df, tag, pronoun_person, on_error).write.mode("overwrite").parquet(path)
-    dictionary = df.sparkSession.read.parquet(path)
-    n = dictionary.count()
+    once and joined back (D3), in one lazy plan: the distinct tags combine on
+    the map side, and adaptive execution broadcasts the dictionary when its
+    measured size allows.  Adds ``language``, ``morphology``,
+    ``morphology_string`` (and ``decode_error`` with ``on_error='null'``)."""
     keyed = df.withColumn("__tag", F.col(tag))
-    if n <= max_broadcast_rows:
-        joined = keyed.join(F.broadcast(dictionary), "__tag", "left")
-    else:
-        joined = keyed.join(dictionary, "__tag", "left")
-    return joined.drop("__tag")
+    return keyed.join(tag_dictionary(df, tag, pronoun_person, on_error), "__tag", "left").drop("__tag")
 
 
 def lookup_table(spark: SparkSession, scheme: str | None = None) -> DataFrame:

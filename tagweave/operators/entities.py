@@ -57,22 +57,46 @@ def to_keyed(df: DataFrame, key: str | Column, record: Sequence[str | Column] |
     return df.select(*keep, col(key).cast("string").alias("key"), F.struct(*record).alias("record"))
 
 
+def _attribute(c: Column, dtype: T.DataType) -> Column:
+    """``struct<type, value>`` of one attribute."""
+    if isinstance(dtype, T.NumericType):
+        kind, text = "N", c.cast("string")
+    elif isinstance(dtype, T.BooleanType):
+        kind, text = "BOOL", c.cast("string")
+    elif isinstance(dtype, T.ArrayType):
+        kind, text = "L", F.to_json(F.transform(c, lambda x: _typed(x, dtype.elementType)))
+    elif isinstance(dtype, (T.StructType, T.MapType)):
+        kind, text = "M", F.to_json(_typed(c, dtype)["M"])
+    else:
+        kind, text = "S", c.cast("string")
+    return F.struct(F.when(c.isNull(), F.lit("NULL")).otherwise(F.lit(kind)).alias("type"), F.when(c.isNotNull(), text).alias("value"))
+
+
+def _typed(c: Column, dtype: T.DataType) -> Column:
+    """A nested value as a store types it: an object whose one key is the
+    type.  A null element keeps its place as an object without a value."""
+    if isinstance(dtype, T.NumericType):
+        return F.struct(c.cast("string").alias("N"))
+    if isinstance(dtype, T.BooleanType):
+        return F.struct(c.alias("BOOL"))
+    if isinstance(dtype, T.ArrayType):
+        return F.struct(F.transform(c, lambda x: _typed(x, dtype.elementType)).alias("L"))
+    if isinstance(dtype, T.MapType):
+        return F.struct(F.transform_values(c, lambda k, v: _typed(v, dtype.valueType)).alias("M"))
+    if isinstance(dtype, T.StructType):
+        return F.struct(F.when(c.isNotNull(), F.struct(*[_typed(c[f.name], f.dataType).alias(f.name) for f in dtype.fields])).alias("M"))
+    return F.struct(c.cast("string").alias("S"))
+
+
 def to_item(df: DataFrame, hash_key: str, range_key: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """``(hash_key, range_key, attributes map<string, struct<type,value>>)``
-    (E5): every column as a typed attribute, ``N`` for numbers, ``S`` for
-    strings, ``M`` for nested records (as JSON text)."""
+    (E5): every column as a typed attribute: ``N`` number, ``S`` string,
+    ``BOOL``, ``NULL`` (no value), ``L`` list and ``M`` record, the last two as
+    JSON text of typed members."""
     attrs: list[Column] = []
     for f in df.schema.fields:
-        if f.name in keep:
-            continue
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.NumericType):
-            kind, text = "N", c.cast("string")
-        elif isinstance(f.dataType, (T.StructType, T.MapType, T.ArrayType)):
-            kind, text = "M", F.to_json(c)
-        else:
-            kind, text = "S", c.cast("string")
-        attrs += [F.lit(f.name), F.struct(F.lit(kind).alias("type"), text.alias("value"))]
+        if f.name not in keep:
+            attrs += [F.lit(f.name), _attribute(F.col(f.name), f.dataType)]
     return df.select(
         *keep,
         F.col(hash_key).cast("string").alias("hash_key"),

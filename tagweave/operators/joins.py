@@ -1,4 +1,4 @@
-"""Size-checked broadcast joins."""
+"""Joins with small dimensions, and even input splits."""
 
 from __future__ import annotations
 
@@ -7,44 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1`` of them)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
 def join_small(
     big: DataFrame,
     small: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
     known_small: bool = False,
 ) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only when its row
-    count is proven at most ``max_rows`` (``known_small`` for fixed literal
-    tables); otherwise a shuffle join that AQE may still convert at runtime."""
-    if known_small or fits(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
-
-
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``target`` tasks (default: the session's
-    default parallelism) only when its input has fewer splits than that.
-
-    Heavy per-row work (explode, decode) on a table that arrives in a few
-    large splits would otherwise leave most cores idle.  On a large input
-    the split count already exceeds the core count and nothing is
-    shuffled."""
-    try:
-        target = target or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 — no RDD API (e.g. a Connect session): leave as is
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df
+    """Join ``big`` with ``small``.  Only a fixed literal table
+    (``known_small``) is broadcast by hint; for any other one adaptive
+    execution chooses by the bytes it measures."""
+    return big.join(F.broadcast(small) if known_small else small, on, how)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Even out the input before heavy per-row work (an explode multiplies
+    rows a hundredfold): adaptive execution splits large partitions and merges
+    small ones by measured bytes.  Always the same plan; leave it out where
+    the source's splits are known to be even."""
+    return df.hint("rebalance")

@@ -1,11 +1,11 @@
 """Ordinals over already-exploded rows: numbering within a group (O1, B1)
 and run-reset ordinals (O2).
 
-Both have a simple form (one window per group) and a *chunked* form for
-groups that may hold a large share of all rows: rows are numbered inside
-``(group, chunk)`` — ``chunk`` must be monotone in the order, e.g. a time
-bucket or a key range — and a small per-chunk summary carries offsets
-across chunk boundaries.  No task ever holds more than one chunk.
+Rows are numbered inside ``(group, chunk)`` — ``chunk`` must be monotone in
+the order, e.g. a chapter, a time bucket, a key range or a file split — and a
+summary with one row per chunk carries offsets, or run lengths, across chunk
+boundaries.  No task holds more than one chunk's rows, whatever the size of a
+group, and building the plan runs no job.
 """
 
 from __future__ import annotations
@@ -19,25 +19,6 @@ from ..functions._util import col
 
 _CK = "__chunk"
 
-# A group up to this many rows is numbered by one window task; above it the
-# chunked plan is used.  The largest group is found with one partially
-# aggregated count, so the check itself is skew-safe.
-SIMPLE_WINDOW_MAX_ROWS = 2_000_000
-
-
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Row count of the largest ``by`` group (0 for an empty input)."""
-    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()
-    return int(row[0] or 0)
-
-
-def _use_chunks(df: DataFrame, by: Sequence[str], chunk: Column | None, max_group_rows: int | None) -> bool:
-    if chunk is None:
-        return False
-    if max_group_rows is None:
-        return True
-    return largest_group(df, by) > max_group_rows
-
 
 def _as_list(x: str | Column | Sequence[str | Column]) -> list[str | Column]:
     return [x] if isinstance(x, (str, Column)) else list(x)
@@ -60,18 +41,13 @@ def sequence_within(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str | Column],
+    chunk: Column,
     out: str = "seq",
-    chunk: Column | None = None,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
-    """1-based row number of each row inside its ``by`` group, in ``order``.
-
-    With ``chunk``, the chunked plan is used when the largest group exceeds
-    ``max_group_rows`` (``None``: always)."""
+    """1-based row number (bigint) of each row inside its ``by`` group, in
+    ``order``."""
     by = list(by)
     order = _as_list(order)
-    if not _use_chunks(df, by, chunk, max_group_rows):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     d = df.withColumn(_CK, chunk)
     local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*by, _CK).orderBy(*order)))
     # counts straight from the input: a partial count per task, no second sort
@@ -80,7 +56,7 @@ def sequence_within(
     offsets = counts.select(*by, _CK, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias("__off"))
     return (
         _join_back(local, offsets, [*by, _CK])
-        .withColumn(out, (F.col("__local") + F.col("__off")).cast("int"))
+        .withColumn(out, F.col("__local") + F.col("__off"))
         .drop(_CK, "__local", "__off")
     )
 
@@ -89,14 +65,13 @@ def global_ordinal(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str | Column],
+    chunk: Column,
     out: str = "ordinal",
-    chunk: Column | None = None,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
     """Book-global ordinal (O1) for rows that are already exploded: never
-    resets at chapter or verse.  Pass ``chunk=F.col('chapter')`` (or any
-    column monotone in ``order``) to keep a huge book off a single task."""
-    return sequence_within(df, by, order, out=out, chunk=chunk, max_group_rows=max_group_rows)
+    resets at chapter or verse.  ``chunk``: any column monotone in ``order``,
+    e.g. ``F.col('chapter')``."""
+    return sequence_within(df, by, order, chunk, out=out)
 
 
 def run_ordinal(
@@ -104,27 +79,19 @@ def run_ordinal(
     by: Sequence[str],
     order: Sequence[str | Column],
     value: str | Column,
+    chunk: Column,
     out: str = "ord",
-    chunk: Column | None = None,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
 ) -> DataFrame:
-    """Run-reset ordinal (O2): restarts at 1 whenever ``value`` differs from
-    the previous row's in ``order``; a value that reappears later restarts
-    again (gaps and islands, not a group-by).  With ``chunk``, the chunked
-    plan is used when the largest group exceeds ``max_group_rows``."""
+    """Run-reset ordinal (O2, bigint): restarts at 1 whenever ``value`` differs
+    from the previous row's in ``order``; a value that reappears later restarts
+    again (gaps and islands, not a group-by).
+
+    Runs are found inside each chunk; a run that fills whole chunks is carried
+    along the summary, and the rows of a chunk's first run get its length so
+    far added."""
     by = list(by)
     order = _as_list(order)
     v = col(value)
-    if not _use_chunks(df, by, chunk, max_group_rows):
-        w = Window.partitionBy(*by).orderBy(*order)
-        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return (
-            df.withColumn("__rn", F.row_number().over(w))
-            .withColumn("__start", F.when(~F.lag(v).over(w).eqNullSafe(v) | F.lag(F.lit(1)).over(w).isNull(), F.col("__rn")))
-            .withColumn(out, (F.col("__rn") - F.last("__start", ignorenulls=True).over(upto) + 1).cast("int"))
-            .drop("__rn", "__start")
-        )
-
     # Chunked: runs inside (group, chunk), then carry runs across chunks.
     # A named value column is used as is, so the summary branch prunes to
     # the same columns as the row branch and their shuffle is shared.
@@ -161,6 +128,6 @@ def run_ordinal(
     )
     return (
         _join_back(local, carries, [*by, _CK])
-        .withColumn(out, (F.col("__lord") + F.when(F.col("__start") == 1, F.col("__carry")).otherwise(F.lit(0))).cast("int"))
+        .withColumn(out, F.col("__lord") + F.when(F.col("__start") == 1, F.col("__carry")).otherwise(F.lit(0).cast("bigint")))
         .drop(_CK, "__rn", "__isstart", "__start", "__lord", "__carry", *(["__v"] if vname == "__v" else []))
     )

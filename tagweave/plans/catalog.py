@@ -23,13 +23,12 @@ from ..operators.batching import assign_batches, batch_report, exact_batches, gr
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
 from ..operators.entities import flatten_struct, project_fields, to_flat_entity, to_item, to_json_row, to_keyed, to_wide_entity
 from ..operators.explode import explode_nested, explode_text, split_nested
-from ..operators.joins import join_small, spread
+from ..operators.joins import spread
 from ..operators.profile import payload_profile
-from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, global_ordinal, run_ordinal
+from ..operators.sequence import global_ordinal, run_ordinal
 from ..session import scratch_path
 from ..sinks.jsonl import read_jsonl, write_jsonl
-from ..sinks.kvbatch import register as register_kv
-from ..sources.files import check_manifest, key_from_name, read_tagged_lines, variant_path, with_key_from_name
+from ..sources.files import check_manifest, key_from_name, read_nested_books, read_tagged_lines, variant_path, with_key_from_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,12 +75,10 @@ def gen_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ord_global(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
-    # ordinal recomputed on already-exploded rows; chunked by chapter when a
-    # document is large
+def ord_global(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # ordinal recomputed on already-exploded rows, chapter by chapter
     w = _doc_words(spark, sf_dir).drop("ordinal", "token")
-    o = global_ordinal(w, by=["doc_id"], order=["chapter", "verse", "word"], out="ordinal", chunk=F.col("chapter"),
-                       max_group_rows=max_group_rows)
+    o = global_ordinal(w, by=["doc_id"], order=["chapter", "verse", "word"], out="ordinal", chunk=F.col("chapter"))
     return o.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")])
 
 
@@ -140,45 +137,96 @@ def src_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("line", F.size("fields").cast("bigint").alias("n_fields"))
 
 
+def _book_line(key, nested):
+    """One line of a nested-book file."""
+    return F.to_json(F.struct(key.alias("book_key"), nested.alias("book"))).alias("value")
+
+
 def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn becomes a nested JSON book (line -> sentence -> [token,
-    role, turn]); the JSON text is parsed back with the book schema and
-    exploded."""
+    role, turn]), written as one line of text files; the files are read back
+    by the nested-book source and exploded."""
     conv = spread(table(spark, sf_dir, "conversations"))
     nested = F.transform(
         split_nested("text", [LINE, SENTENCE, TOKEN]),
         lambda ch: F.transform(ch, lambda vs: F.transform(vs, lambda t: F.array(t, F.col("role"), F.col("turn").cast("string")))),
     )
-    books = conv.select("conv_id", "turn", F.from_json(F.to_json(nested), "array<array<array<array<string>>>>").alias("book"))
-    w = explode_nested(books, "book", coords=("chapter", "verse"), position="word", ordinal="ordinal", value="w", keep=["conv_id", "turn"])
+    key = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    out = scratch_path(spark, "books")
+    conv.select(_book_line(key, nested)).write.text(out)
+    books = read_nested_books(spark, out, glob="*.txt", layout="lines")
+    w = explode_nested(books, "book", coords=("chapter", "verse"), position="word", ordinal="ordinal", value="w", keep=["book_key"])
+    part = F.split("book_key", "-")
+    types = {f.name: f.dataType for f in conv.schema.fields}
     return w.select(
-        "conv_id", "turn", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")],
+        part[0].cast(types["conv_id"]).alias("conv_id"), part[1].cast(types["turn"]).alias("turn"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")],
         F.col("w")[0].alias("surface"), F.col("w")[1].alias("lexkey"), F.col("w")[2].alias("tag"),
     )
 
 
+def _write_variants(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as nested books under both numbering folders: a word is
+    ``[token, doc_id, tag]``, the book by ``doc_id``; the default numbering
+    cuts at lines then sentences, the remapped one the other way round."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    dim = book_dimension(spark, "hebrew")
+    stems = F.array(*[F.lit(r["file_stem"]) for r in dim.orderBy("ordinal").collect()])
+    key = F.get(stems, F.pmod("doc_id", F.lit(39)).cast("int"))
+    tags = F.array(*[F.lit(t) for t in TAG_SAMPLE])
+
+    def word(t):
+        tag = F.get(tags, F.pmod(F.col("doc_id") + F.length(t), F.lit(len(TAG_SAMPLE))).cast("int"))
+        return F.array(t, F.col("doc_id").cast("string"), tag)
+
+    root = scratch_path(spark, "variants")
+    for variant, seps in (("hebrew", [LINE, SENTENCE, TOKEN]), ("english", [SENTENCE, LINE, TOKEN])):
+        nested = F.transform(split_nested("text", seps), lambda ch: F.transform(ch, lambda vs: F.transform(vs, word)))
+        docs.select(_book_line(key, nested)).write.option("compression", "none").text(variant_path(root, variant) + "/books")
+    return root
+
+
 def src_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of each document under both numbering variants: the
-    default variant cuts at lines, the remapped one at sentences."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    """Words of both numbering variants, read from their folders."""
+    root = _write_variants(spark, sf_dir)
     out = []
-    for variant, sep in (("hebrew", LINE), ("english", SENTENCE)):
-        folder = variant_path("", variant).strip("/")
-        seg = docs.select("doc_id", F.lit(folder).alias("variant"), F.posexplode(F.split("text", sep, -1)).alias("p", "segment"))
-        out.append(seg.select("doc_id", "variant", (F.col("p") + 1).cast("bigint").alias("seg_no"), "segment"))
+    for variant in ("hebrew", "english"):
+        folder = variant_path(root, variant)
+        books = read_nested_books(spark, folder + "/books", glob="*.txt", layout="lines")
+        w = explode_nested(books, "book", coords=("chapter", "verse"), position="word", ordinal="ordinal", value="w", keep=["book_key"])
+        out.append(w.select(
+            F.lit(folder.rsplit("/", 1)[1]).alias("variant"), F.col("w")[1].cast("bigint").alias("doc_id"), "book_key",
+            *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word")], F.col("w")[0].alias("token"),
+        ))
     return out[0].unionByName(out[1])
 
 
-def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations expected (manifest, with their file stem) that no supplier
-    file covers."""
-    nation = table(spark, sf_dir, "nation")
-    manifest = nation.select(
-        "n_nationkey", "n_name", F.lower(F.regexp_replace("n_name", " ", "")).alias("file_stem")
+def wlc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nested corpus plan end to end on the default numbering: books read
+    from their folder, checked against the manifest, exploded, numbered, and
+    every tag decoded through the dictionary."""
+    from .wlc import words_from_books
+
+    root = _write_variants(spark, sf_dir)
+    books = read_nested_books(spark, variant_path(root, "hebrew") + "/books", glob="*.txt", layout="lines")
+    dim = book_dimension(spark, "hebrew")
+    check_manifest(books.select(F.col("book_key").alias("file_stem")), dim, "file_stem")
+    w = words_from_books(books)
+    return w.select(
+        "book", F.col("coreid").cast("bigint").alias("doc_id"), F.col("chapter").cast("bigint").alias("chapter"),
+        F.col("verse_no").cast("bigint").alias("verse_no"), F.col("word_no").cast("bigint").alias("word_no"),
+        F.col("ordinal").cast("bigint").alias("ordinal"), "codes", "language", "lemma", "id", "verse",
+        F.col("MorphologyString").alias("tag_text"),
     )
-    present = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
-    missing = check_manifest(present, manifest, "n_nationkey", allow_missing=True)
-    return missing.select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name", "file_stem")
+
+
+def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers expected (manifest, with their file stem) that no order
+    covers."""
+    customer = table(spark, sf_dir, "customer")
+    manifest = customer.select("c_custkey", "c_name", F.lower(F.regexp_replace("c_name", "#", "-")).alias("file_stem"))
+    present = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return check_manifest(present, manifest, "c_custkey", allow_missing=True).select("c_custkey", "c_name", "file_stem")
 
 
 def src_manifest_books(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,6 +315,26 @@ def dec_tree_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(decode_tree_columns(_order_tags(spark, sf_dir), "tag"))
 
 
+# One tag for every stem of both languages with every conjugation: participles
+# take gender, number and state, infinitives nothing, all others person, gender
+# and number.
+def verb_tags() -> list[str]:
+    rest = {"r": "msa", "s": "fpc", "a": "", "c": ""}
+    return [
+        f"{lang}V{stem}{conj}{rest.get(conj, '3ms')}"
+        for lang, stems in (("H", tables.HEBREW_STEM), ("A", tables.ARAMAIC_STEM)) for stem in stems for conj in tables.CONJUGATION
+    ]
+
+
+def dec_tree_verbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stem and conjugation, spread over orders, decoded through the
+    dictionary."""
+    tags = F.array(*[F.lit(t) for t in verb_tags()])
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    t = o.withColumn("tag", F.get(tags, F.pmod(F.col("o_orderkey") * 31 + F.expr("o_orderkey div 8"), F.lit(len(verb_tags()))).cast("int")))
+    return decode_by_dictionary(t, "tag").select("o_orderkey", "tag", "language", F.col("morphology_string").alias("tag_text"))
+
+
 def dec_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = decode_by_dictionary(_order_tags(spark, sf_dir), "tag")
     s = d.select("o_orderkey", F.posexplode("morphology").alias("p", "m"))
@@ -278,13 +346,22 @@ def ser_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("o_orderkey", language("tag").alias("language"), tag_string(decode_tree("tag")).alias("morphology"))
 
 
+# Letters that the code of a line item takes at each position: every one the
+# position knows, and "-" for none.
+POSITION_LETTERS = ("123-", "PIFAXY-", "AMP-", "IDSONP-", "NGDA-", "SP-", "MFN-", "CS-")
+
+
+def _item_code():
+    letters = [
+        F.substr(F.lit(x), (F.pmod(F.col("l_orderkey") + (i + 1) * F.col("l_linenumber"), F.lit(len(x))) + 1).cast("int"), F.lit(1))
+        for i, x in enumerate(POSITION_LETTERS)
+    ]
+    return F.concat(*letters)
+
+
 def _lineitem_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"))
-    code = F.concat(
-        F.col("l_linenumber").cast("string"), "l_returnflag", "l_returnflag", "l_linestatus",
-        "l_returnflag", "l_linestatus", "l_returnflag", "l_linestatus",
-    )
-    return li.select("l_orderkey", "l_linenumber", code.alias("code"))
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    return li.select("l_orderkey", "l_linenumber", _item_code().alias("code"))
 
 
 def dec_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -306,7 +383,7 @@ def dim_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lookup", "code"
     ).agg(F.count(F.lit(1)).alias("uses"))
     dim = lookup_table(spark, "positional").where(F.col("lookup") != "part")
-    joined = join_small(usage, dim, ["lookup", "code"], how="right", known_small=False)
+    joined = dim.join(usage, ["lookup", "code"], "left")
     return joined.select("scheme", "lookup", "code", "label", F.coalesce("uses", F.lit(0)).cast("bigint").alias("uses"))
 
 
@@ -322,12 +399,12 @@ def id_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ordinals (O2)
 # ---------------------------------------------------------------------------
 
-def ord_run(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
+def ord_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     # hour buckets: a hot user is split into one task per hour, and the
     # carry summary has one row per (user, hour)
     r = run_ordinal(ev, by=["user_id"], order=["ts", "event_id"], value="event_type", out="ord",
-                    chunk=F.date_trunc("hour", F.col("ts")), max_group_rows=max_group_rows)
+                    chunk=F.date_trunc("hour", F.col("ts")))
     return r.select("event_id", "user_id", "event_type", F.col("ord").cast("bigint").alias("ord"))
 
 
@@ -347,12 +424,19 @@ def ser_json_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", record_json(o, cols, key_order="sorted").alias("content"))
 
 
+def ser_json_sorted_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with an array of attribute maps: keys sorted at every level."""
+    d = decode_by_dictionary(_order_tags(spark, sf_dir), "tag")
+    cols = {"tag": "tag", "Language": "language", "attributes": "morphology"}
+    return d.select("o_orderkey", record_json(d, cols, key_order="sorted").alias("content"))
+
+
 def ser_omit_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     code = F.concat(F.substring("o_orderpriority", 1, 1), F.col("o_orderstatus"))
     o = o.select(
         "o_orderkey", "o_orderstatus",
-        F.when(F.col("o_orderstatus") == "O", F.substring("o_orderpriority", 3, 100)).otherwise(F.lit("")).alias("comment"),
+        F.when(F.col("o_orderstatus") == "O", F.expr("substring(o_orderpriority, 3)")).otherwise(F.lit("")).alias("comment"),
         decode_positional(code).alias("morphology"),
     )
     cols = {"id": "o_orderkey", "status": "o_orderstatus", "comment": "comment", "morphology": "morphology"}
@@ -361,14 +445,16 @@ def ser_omit_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_columns_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "props")
-    return json_columns(ev, "props", {"k": "$.k", "missing": "$.x"}).select("event_id", "k", "missing")
+    doc = ev.withColumn("doc", F.concat(F.lit('{"inner":'), "props", F.lit(',"list":[1],"flag":true,"id":'), F.col("event_id").cast("string"), F.lit("}")))
+    paths = {"k": "$.inner.k", "missing": "$.x", "object": "$.inner", "list": "$.list", "flag": "$.flag", "id_text": "$.id"}
+    return json_columns(doc, "doc", paths).select("event_id", *paths)
 
 
 def json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "props")
     doc = (
         F.when(F.col("event_id") % 3 == 0, F.concat("props", F.lit("}")))
-        .when(F.col("event_id") % 7 == 1, F.substring("props", 2, 1 << 20))
+        .when(F.col("event_id") % 7 == 1, F.expr("substring(props, 2)"))
         .otherwise(F.col("props"))
     )
     d = ev.select("event_id", doc.alias("doc"))
@@ -418,6 +504,16 @@ def ent_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("hash_key", "range_key", "attr", F.col("v")["type"].alias("type"), F.col("v")["value"].alias("value"))
 
 
+def ent_item_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items over decoded tags: a list of records, a boolean and a null."""
+    d = decode_by_dictionary(_order_tags(spark, sf_dir), "tag").select(
+        "o_orderkey", "tag", (F.col("o_orderkey") % 2 == 0).alias("even"), F.expr("nullif(language, '')").alias("language"),
+        F.transform("morphology", lambda m: F.struct(m["Part"].alias("Part"), F.size(m).alias("n"))).alias("parts"),
+    )
+    x = to_item(d, "tag", "o_orderkey").select("hash_key", "range_key", F.explode("attributes").alias("attr", "v"))
+    return x.select("hash_key", "range_key", "attr", F.col("v")["type"].alias("type"), F.col("v")["value"].alias("value"))
+
+
 def ent_json_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return to_json_row(o, "o_orderkey", {"id": "o_orderkey", "status": "o_orderstatus", "priority": "o_orderpriority"})
@@ -427,16 +523,16 @@ def ent_json_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 # batches and sinks (B1, B2, K1, K6, K7)
 # ---------------------------------------------------------------------------
 
-def _order_batches(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
+def _order_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     # key ranges of 2^16: bounded rows per (status, chunk) task and a summary
     # of ~n/65536 rows per status for the offset window
     return assign_batches(o, by=["o_orderstatus"], order=["o_orderkey"], size=100, seq="seq",
-                          chunk=F.shiftright(F.col("o_orderkey"), 16), max_group_rows=max_group_rows)
+                          chunk=F.shiftright(F.col("o_orderkey"), 16))
 
 
-def batch_ranges_q(spark: SparkSession, sf_dir: str, max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS) -> DataFrame:
-    b = _order_batches(spark, sf_dir, max_group_rows)
+def batch_ranges_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _order_batches(spark, sf_dir)
     return b.select("o_orderkey", "o_orderstatus", F.col("seq").cast("bigint").alias("seq"), F.col("batch_no").cast("bigint").alias("batch_no"))
 
 
@@ -466,79 +562,16 @@ def sink_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_profile(d, by=["lang"], columns=["doc_id", "text", "lang", "source", "n_chars"])
 
 
-def ord_global_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ord_global`` with the chunked plan forced (the plan a large book gets)."""
-    return ord_global(spark, sf_dir, max_group_rows=None)
-
-
-def ord_run_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``ord_run`` with the chunked plan forced (the plan a hot user gets)."""
-    return ord_run(spark, sf_dir, max_group_rows=None)
-
-
-def batch_ranges_skewsafe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``batch_ranges`` with the chunked plan forced (the plan a hot status gets)."""
-    return batch_ranges_q(spark, sf_dir, max_group_rows=None)
-
-
-_RECORDER = "tagweave.sinks.recording:recording_client"
-
-
-def _recorded(spark: SparkSession, record_dir: str, item_schema: str) -> DataFrame:
-    """Calls recorded by the recording client, one row per call."""
-    return spark.read.schema(f"op string, n bigint, accepted array<struct<{item_schema}>>").json(record_dir)
-
-
-def sink_kv_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer table through the ``kvbatch`` retry profile (batches of
-    25, part of every batch rejected on its first attempt and resent),
-    read back from the recorded calls: every row must arrive exactly once."""
-    register_kv(spark)
-    rec = scratch_path(spark, "kv-retry")
-    c = table(spark, sf_dir, "customer")
-    (c.write.format("kvbatch").mode("append").option("table", "customer").option("client", _RECORDER)
-       .option("client.record_dir", rec).option("client.reject_last", "3").option("base_sleep", "0.001").save())
-    calls = _recorded(spark, rec, "c_custkey:bigint,c_name:string,c_nationkey:bigint,c_acctbal:double,c_mktsegment:string")
-    return calls.select(F.explode("accepted").alias("r")).select("r.*")
-
-
-def sink_kv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written in exact per-status batches of 200 (``exact_batches``
-    + ``group_by``), read back: one row per recorded call with its status,
-    first and last key and size — each call must be exactly one batch."""
-    register_kv(spark)
-    rec = scratch_path(spark, "kv-batches")
+def exact_batches_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders laid out in exact per-status batches of 200, as a writer gets
+    them: one row per batch with its first and last key and size."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     laid = exact_batches(o, ["o_orderstatus"], ["o_orderkey"], 200, chunk=F.shiftright(F.col("o_orderkey"), 16))
-    (laid.select("o_orderstatus", "batch_no", "o_orderkey").write.format("kvbatch").mode("append")
-        .option("table", "orders").option("client", _RECORDER).option("client.record_dir", rec)
-        .option("profile", "multi_put").option("key", "o_orderkey").option("batch_size", "200")
-        .option("group_by", "o_orderstatus,batch_no").option("exclude", "batch_no").save())
-    calls = _recorded(spark, rec, "o_orderkey:bigint,o_orderstatus:string")
-    return calls.select(
-        F.col("accepted")[0]["o_orderstatus"].alias("o_orderstatus"),
-        F.array_min(F.col("accepted.o_orderkey")).alias("first_key"),
-        F.array_max(F.col("accepted.o_orderkey")).alias("last_key"),
-        F.size("accepted").cast("bigint").alias("n"),
+    return laid.groupBy("o_orderstatus", "batch_no").agg(
+        F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"), F.count(F.lit(1)).alias("n")
     )
 
 
-def sink_kv_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as wide entities (property bags) written with one
-    insert-or-replace call per row (``per_row`` profile), read back and
-    unpivoted to ``(partition_key, row_key, prop, value)``."""
-    register_kv(spark)
-    rec = scratch_path(spark, "kv-rows")
-    o = table(spark, sf_dir, "orders")
-    e = to_wide_entity(o, "o_custkey", "o_orderkey",
-                       {"Status": "o_orderstatus", "Priority": "o_orderpriority", "Customer": "o_custkey"})
-    (e.write.format("kvbatch").mode("append").option("table", "orders").option("client", _RECORDER)
-       .option("client.record_dir", rec).option("profile", "per_row").option("key", "row_key").save())
-    calls = _recorded(spark, rec, "partition_key:string,row_key:string,properties:map<string,string>")
-    rows = calls.select(F.explode("accepted").alias("r")).select("r.*")
-    return rows.select("partition_key", "row_key", F.explode("properties").alias("prop", "value"))
-
-
 # Part-of-speech code by line number for the tagged-line files derived
 # from lineitem.
 LINE_PARTS = ["N-", "V-", "A-", "RA", "C-", "P-", "D-"]
@@ -559,10 +592,7 @@ def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = (F.col("l_suppkey") % 27 + 61).cast("int")
     ref = padded_id(book - 60, F.expr("(l_orderkey div 100) % 100"), F.col("l_orderkey") % 100, widths=(2, 2, 2))
     part = F.element_at(F.array(*[F.lit(p) for p in LINE_PARTS]), F.col("l_linenumber"))
-    code = F.concat(
-        F.col("l_linenumber").cast("string"), "l_returnflag", "l_returnflag", "l_linestatus",
-        "l_returnflag", "l_linestatus", "l_returnflag", "l_linestatus",
-    )
+    code = _item_code()
     text = F.concat("l_returnflag", F.col("l_orderkey").cast("string"))
     line = F.concat_ws(" ", ref, part, code, text, F.concat("l_linestatus", F.col("l_linenumber").cast("string")),
                        F.lower(text), F.col("l_partkey").cast("string"))
@@ -585,12 +615,12 @@ QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
     "stream_tokens": stream_tokens,
     "ord_global": ord_global,
-    "ord_global_skewsafe": ord_global_skewsafe,
     "id_padded": id_padded,
     "id_sequence": id_sequence,
     "src_lines": src_lines,
     "src_nested": src_nested,
     "src_variant": src_variant,
+    "wlc_words": wlc_words,
     "src_manifest": src_manifest,
     "src_manifest_books": src_manifest_books,
     "src_key_from_name": src_key_from_name,
@@ -602,14 +632,15 @@ QUERIES: dict[str, Query] = {
     "dec_tree": dec_tree,
     "dec_tree_attr": dec_tree_attr,
     "dec_dictionary": dec_dictionary,
+    "dec_tree_verbs": dec_tree_verbs,
     "ser_string": ser_string,
     "dec_positional": dec_positional,
     "dim_lookup": dim_lookup,
     "id_concat": id_concat,
     "ord_run": ord_run,
-    "ord_run_skewsafe": ord_run_skewsafe,
     "ser_json": ser_json,
     "ser_json_sorted": ser_json_sorted,
+    "ser_json_sorted_nested": ser_json_sorted_nested,
     "ser_omit_empty": ser_omit_empty,
     "json_columns": json_columns_q,
     "json_valid": json_valid,
@@ -618,15 +649,13 @@ QUERIES: dict[str, Query] = {
     "ent_flat": ent_flat,
     "ent_keyed": ent_keyed,
     "ent_item": ent_item,
+    "ent_item_nested": ent_item_nested,
     "ent_json_row": ent_json_row,
     "batch_ranges": batch_ranges_q,
-    "batch_ranges_skewsafe": batch_ranges_skewsafe,
     "batch_progress": batch_progress,
+    "exact_batches": exact_batches_q,
     "upsert_latest": upsert_latest,
     "sink_jsonl": sink_jsonl,
     "sink_profile": sink_profile,
-    "sink_kv_retry": sink_kv_retry,
-    "sink_kv_batches": sink_kv_batches,
-    "sink_kv_rows": sink_kv_rows,
     "gnt_words": gnt_words,
 }

@@ -12,7 +12,7 @@ from ..functions.ids import concat_id, recode_ref
 from ..functions.positional import decode_positional
 from ..operators.decode import book_dimension
 from ..operators.entities import project_fields
-from ..operators.sequence import SIMPLE_WINDOW_MAX_ROWS, run_ordinal
+from ..operators.sequence import run_ordinal
 from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, split_quarantine, with_key_from_name
 
 WORD_COLUMNS = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]
@@ -25,8 +25,6 @@ def read_gnt_words(
     path: str = DEFAULT_TAGGED_PATH,
     strict32: bool = False,
     on_error: str = "fail",
-    chunked: bool = True,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
     name_col: str = "file_name",
     name_pattern: str = tables.GREEK_FILE_PATTERN,
 ) -> DataFrame:
@@ -41,15 +39,14 @@ def read_gnt_words(
 
     The ordinal restarts whenever the reference field changes from the
     previous line of the same file, so a verse that reappears later
-    restarts (and repeats its ids) — the corpus convention.  ``chunked``
-    numbers runs per file split and carries them across splits, so one huge
-    file is not one task.  ``strict32`` fails on ids above 2^31-1.
+    restarts (and repeats its ids) — the corpus convention.  Runs are
+    numbered per file split and carried across splits, so one huge file is
+    not one task.  ``strict32`` fails on ids above 2^31-1.
     """
     lines = read_tagged_lines(spark, path, on_error=on_error)
     if on_error == "quarantine":
         lines, _ = split_quarantine(lines)
-    return words_from_lines(lines, strict32=strict32, chunked=chunked, max_group_rows=max_group_rows,
-                            name_col=name_col, name_pattern=name_pattern)
+    return words_from_lines(lines, strict32=strict32, name_col=name_col, name_pattern=name_pattern)
 
 
 def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> DataFrame:
@@ -60,8 +57,6 @@ def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> D
 def words_from_lines(
     lines: DataFrame,
     strict32: bool = False,
-    chunked: bool = True,
-    max_group_rows: int | None = SIMPLE_WINDOW_MAX_ROWS,
     name_col: str = "file_name",
     name_pattern: str = tables.GREEK_FILE_PATTERN,
 ) -> DataFrame:
@@ -71,7 +66,7 @@ def words_from_lines(
     spark = lines.sparkSession
     df = project_fields(lines, "fields", FIELD_NAMES, keep=["file", "file_name", "block", "seq"])
     df = run_ordinal(df, by=["file"], order=["block", "seq"], value="ref", out="ord",
-                     chunk=F.col("block") if chunked else None, max_group_rows=max_group_rows)
+                     chunk=F.col("block"))
     df = df.withColumn("verse", recode_ref("ref", tables.GREEK_VERSE_OFFSET)).withColumn(
         "id", concat_id("verse", "ord", strict32=strict32)
     ).withColumn("morphology", decode_positional("codes", part="part"))

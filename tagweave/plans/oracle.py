@@ -7,6 +7,8 @@ over the driver's views.
 
 from __future__ import annotations
 
+import json
+
 # Golden tree decodes: tag -> (language, segments as "k=v,k=v|k=v").
 GOLDEN_TREE = {
     "HNcmsc": ("Hebrew", "Part=noun,Type=common,Gender=masculine,Number=singular,State=construct"),
@@ -101,11 +103,45 @@ def _positional_cols(code: str) -> str:
     return ", ".join(f'{_case_at(code, i + 1, n)} AS "{n}"' for i, n in enumerate(_POSITIONAL))
 
 
-_LI_CODE = (
-    "CAST(l_linenumber AS VARCHAR) || l_returnflag || l_returnflag || l_linestatus || "
-    "l_returnflag || l_linestatus || l_returnflag || l_linestatus"
+# Letters by position of a line item's code, as the queries make them.
+_LETTERS = ["123-", "PIFAXY-", "AMP-", "IDSONP-", "NGDA-", "SP-", "MFN-", "CS-"]
+_LI_CODE = " || ".join(
+    f"substr('{x}', CAST((l_orderkey + {i} * l_linenumber) % {len(x)} AS BIGINT) + 1, 1)" for i, x in enumerate(_LETTERS, 1)
 )
 
+# Verb tags and their decoded text, written out for the oracle.
+_HEBREW_STEMS = {
+    "q": "qal", "N": "niphal", "p": "piel", "P": "pual", "h": "hiphil", "H": "hophal", "t": "hithpael", "o": "polel", "O": "polal",
+    "r": "hithpolel", "m": "poel", "M": "poal", "k": "palel", "K": "pulal", "Q": "qal passive", "l": "pilpel", "L": "polpal",
+    "f": "hithpalpel", "D": "nithpael", "j": "pealal", "i": "pilel", "u": "hothpaal", "c": "tiphil", "v": "hishtaphel",
+    "w": "nithpalel", "y": "nithpoel", "z": "hithpoel",
+}
+_ARAMAIC_STEMS = {
+    "q": "peal", "Q": "peil", "u": "hithpeel", "p": "pael", "P": "ithpaal", "M": "hithpaal", "a": "aphel", "h": "haphel",
+    "s": "saphel", "e": "shaphel", "H": "hophal", "i": "ithpeel", "t": "hishtaphel", "v": "ishtaphel", "w": "hithaphel", "o": "polel",
+    "z": "ithpoel", "r": "hithpolel", "f": "hithpalpel", "b": "hephal", "c": "tiphel", "m": "poel", "l": "palpel", "L": "ithpalpel",
+    "O": "ithpolel", "G": "ittaphal",
+}
+_CONJUGATIONS = {
+    "p": "perfect (qatal)", "q": "sequential perfect (weqatal)", "i": "imperfect (yiqtol)", "w": "sequential imperfect (wayyiqtol)",
+    "h": "cohortative", "j": "jussive", "v": "imperative", "r": "participle active", "s": "participle passive",
+    "a": "infinitive absolute", "c": "infinitive construct",
+}
+
+
+def _verb_rows() -> list[tuple[str, str, str]]:
+    finite = ("3ms", ",Person=third,Gender=masculine,Number=singular")
+    rest = {"r": ("msa", ",Gender=masculine,Number=singular,State=absolute"), "s": ("fpc", ",Gender=feminine,Number=plural,State=construct"),
+            "a": ("", ""), "c": ("", "")}
+    rows = []
+    for letter, language, part, stems in (("H", "Hebrew", "verb", _HEBREW_STEMS), ("A", "Aramaic", "Verb", _ARAMAIC_STEMS)):
+        for s, stem in stems.items():
+            for c, conj in _CONJUGATIONS.items():
+                tail, text = rest.get(c, finite)
+                rows.append((f"{letter}V{s}{c}{tail}", language, f"Part={part},Stem={stem},Conjugation={conj}{text}"))
+    return rows
+
+
 _GREEK_BOOKS = [
     "Matthew", "Mark", "Luke", "John", "Acts", "Romans", "1 Corinthians", "2 Corinthians", "Galatians",
     "Ephesians", "Philippians", "Colossians", "1 Thessalonians", "2 Thessalonians", "1 Timothy", "2 Timothy",
@@ -113,6 +149,15 @@ _GREEK_BOOKS = [
 ]
 
 
+_HEBREW_NAMES = [
+    "Genesis", "Exodus", "Leviticus", "Numbers", "Deuteronomy", "Joshua", "Judges", "Ruth", "I Samuel", "II Samuel", "I Kings",
+    "II Kings", "I Chronicles", "II Chronicles", "Ezra", "Nehemiah", "Esther", "Job", "Psalms", "Proverbs", "Ecclesiastes",
+    "Song of Solomon", "Isaiah", "Jeremiah", "Lamentations", "Ezekiel", "Daniel", "Hosea", "Joel", "Amos", "Obadiah", "Jonah",
+    "Micah", "Nahum", "Habakkuk", "Zephaniah", "Haggai", "Zechariah", "Malachi",
+]
+_HEBREW_STEM_NAMES = [n.lower().replace(" ", "") for n in _HEBREW_NAMES]
+
+
 def _greek_dim() -> str:
     return "VALUES " + ", ".join(f"({61 + i}, {_q(n)})" for i, n in enumerate(_GREEK_BOOKS))
 
@@ -148,13 +193,35 @@ w AS (SELECT conv_id, turn, role, chapter, verse, unnest(string_split(sent, ' ')
 SELECT conv_id, turn, CAST(chapter AS BIGINT) AS chapter, CAST(verse AS BIGINT) AS verse, CAST(word AS BIGINT) AS word,
        CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY chapter, verse, word) AS BIGINT) AS ordinal,
        token AS surface, role AS lexkey, CAST(turn AS VARCHAR) AS tag FROM w"""
-    s["src_variant"] = """SELECT doc_id, 'hebrew' AS variant, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS BIGINT) AS seg_no,
-       unnest(string_split(text, chr(10))) AS segment FROM documents
-UNION ALL
-SELECT doc_id, 'remapped' AS variant, CAST(generate_subscripts(string_split(text, '. '), 1) AS BIGINT) AS seg_no,
-       unnest(string_split(text, '. ')) AS segment FROM documents"""
-    s["src_manifest"] = """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, lower(replace(n_name, ' ', '')) AS file_stem
-FROM nation n WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_nationkey = n.n_nationkey)"""
+    stems = "[" + ", ".join(_q(n) for n in _HEBREW_STEM_NAMES) + "]"
+
+    def words(first: str, second: str) -> str:
+        return f"""l AS (SELECT doc_id, unnest(string_split(text, {first})) AS line,
+             generate_subscripts(string_split(text, {first}), 1) AS chapter FROM documents),
+v AS (SELECT doc_id, chapter, unnest(string_split(line, {second})) AS sent,
+             generate_subscripts(string_split(line, {second}), 1) AS verse FROM l),
+w AS (SELECT doc_id, chapter, verse, unnest(string_split(sent, ' ')) AS token,
+             generate_subscripts(string_split(sent, ' '), 1) AS word FROM v)"""
+
+    one = f"""doc_id, {stems}[CAST(doc_id % 39 AS BIGINT) + 1] AS book_key, CAST(chapter AS BIGINT) AS chapter,
+       CAST(verse AS BIGINT) AS verse, CAST(word AS BIGINT) AS word, token FROM w"""
+    s["src_variant"] = f"""SELECT * FROM (WITH {words("chr(10)", "'. '")} SELECT 'hebrew' AS variant, {one})
+UNION ALL SELECT * FROM (WITH {words("'. '", "chr(10)")} SELECT 'remapped' AS variant, {one})"""
+    tag_rows = "VALUES " + ", ".join(f"({_q(t)}, {_q(lang)}, {_q(m)})" for t, (lang, m) in GOLDEN_TREE.items())
+    names = "[" + ", ".join(_q(n) for n in _HEBREW_NAMES) + "]"
+    s["wlc_words"] = f"""WITH {_DOC_WORDS}, g(tag, language, text) AS ({tag_rows}),
+x AS (SELECT *, {_tag_list()}[CAST((doc_id + length(token)) % {len(TAG_ORDER)} AS BIGINT) + 1] AS codes, doc_id % 39 + 1 AS book_no FROM wo)
+SELECT {names}[CAST(book_no AS BIGINT)] AS book, doc_id, CAST(chapter AS BIGINT) AS chapter, CAST(verse AS BIGINT) AS verse_no,
+       CAST(word AS BIGINT) AS word_no, CAST(ordinal AS BIGINT) AS ordinal, codes, g.language, token AS lemma,
+       CAST(printf('%02d%03d%03d%03d', book_no, chapter, verse, ordinal) AS BIGINT) AS id, printf('%02d%03d%03d', book_no, chapter, verse) AS verse,
+       g.text AS tag_text FROM x JOIN g ON x.codes = g.tag"""
+    verbs = _verb_rows()
+    verb_list = "[" + ", ".join(_q(t) for t, _, _ in verbs) + "]"
+    s["dec_tree_verbs"] = f"""WITH g(tag, language, tag_text) AS (VALUES {", ".join(f"({_q(t)}, {_q(lang)}, {_q(m)})" for t, lang, m in verbs)}),
+t AS (SELECT o_orderkey, {verb_list}[CAST((o_orderkey * 31 + o_orderkey // 8) % {len(verbs)} AS BIGINT) + 1] AS tag FROM orders)
+SELECT o_orderkey, tag, language, tag_text FROM t JOIN g USING (tag)"""
+    s["src_manifest"] = """SELECT c_custkey, c_name, lower(replace(c_name, '#', '-')) AS file_stem FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')"""
     s["src_key_from_name"] = f"""WITH k AS (SELECT page_id, CAST(NULLIF(regexp_extract(url, '/[a-z]{{2}}/([0-9]+)', 1), '') AS BIGINT) AS book_number FROM pages),
 d(file_number, name) AS ({_greek_dim()})
 SELECT page_id, book_number, coalesce(d.name, '') AS book_name FROM k LEFT JOIN d ON k.book_number = d.file_number"""
@@ -202,6 +269,22 @@ b AS (SELECT *, sum(chg) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS B
 SELECT event_id, user_id, event_type, CAST(row_number() OVER (PARTITION BY user_id, run ORDER BY ts, event_id) AS BIGINT) AS ord FROM b"""
     s["ser_json"] = """SELECT o_orderkey, CAST(to_json({'id': o_orderkey, 'custkey': o_custkey, 'status': o_orderstatus, 'priority': o_orderpriority}) AS VARCHAR) AS content FROM orders"""
     s["ser_json_sorted"] = """SELECT o_orderkey, CAST(to_json({'Priority': o_orderpriority, 'custkey': o_custkey, 'id': o_orderkey, 'status': o_orderstatus}) AS VARCHAR) AS content FROM orders"""
+    sorted_rows, item_rows = [], []
+    for tag, (lang, segs) in GOLDEN_TREE.items():
+        maps = [dict(kv.partition("=")[::2] for kv in seg.split(",")) for seg in segs.split("|")]
+        content = {"Language": lang, "attributes": maps, "tag": tag}
+        sorted_rows.append(f"({_q(tag)}, {_q(json.dumps(content, sort_keys=True, separators=(',', ':')))})")
+        parts = json.dumps([{"M": {"Part": {"S": m["Part"]}, "n": {"N": str(len(m))}}} for m in maps], separators=(",", ":"))
+        item_rows.append(f"({_q(tag)}, {_q(lang) if lang else 'CAST(NULL AS VARCHAR)'}, {_q(parts)})")
+    s["ser_json_sorted_nested"] = f"""WITH t AS ({_order_tags()}), g(tag, content) AS (VALUES {", ".join(sorted_rows)})
+SELECT o_orderkey, content FROM t JOIN g USING (tag)"""
+    s["ent_item_nested"] = f"""WITH t AS ({_order_tags()}), g(tag, language, parts) AS (VALUES {", ".join(item_rows)}),
+r AS (SELECT tag AS hash_key, CAST(o_orderkey AS VARCHAR) AS range_key, o_orderkey, language, parts FROM t JOIN g USING (tag))
+SELECT hash_key, range_key, 'o_orderkey' AS attr, 'N' AS type, range_key AS value FROM r
+UNION ALL SELECT hash_key, range_key, 'tag', 'S', hash_key FROM r
+UNION ALL SELECT hash_key, range_key, 'even', 'BOOL', CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END FROM r
+UNION ALL SELECT hash_key, range_key, 'language', CASE WHEN language IS NULL THEN 'NULL' ELSE 'S' END, language FROM r
+UNION ALL SELECT hash_key, range_key, 'parts', 'L', parts FROM r"""
     person = _case_at("code", 1, "person")
     tense = _case_at("code", 2, "tense")
     s["ser_omit_empty"] = f"""WITH c AS (SELECT o_orderkey, o_orderstatus,
@@ -213,7 +296,8 @@ SELECT o_orderkey, '{{"id":' || o_orderkey || ',"status":"' || o_orderstatus ||
   || ',"morphology":{{' || concat_ws(',', CASE WHEN person IS NOT NULL THEN '"person":"' || person || '"' END,
                                       CASE WHEN tense IS NOT NULL THEN '"tense":"' || tense || '"' END) || '}}}}' AS content FROM m"""
     s["json_columns"] = """SELECT event_id, substr(json_extract_string(props, '$.k'), 1, 200) AS k,
-       substr(json_extract_string(props, '$.x'), 1, 200) AS missing FROM events"""
+       CAST(NULL AS VARCHAR) AS missing, CAST(NULL AS VARCHAR) AS object, CAST(NULL AS VARCHAR) AS list, 'true' AS flag,
+       CAST(event_id AS VARCHAR) AS id_text FROM events"""
     s["json_valid"] = """WITH d AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN props || '}'
                                   WHEN event_id % 7 = 1 THEN substr(props, 2) ELSE props END AS doc FROM events)
 SELECT event_id, doc, CAST(json_valid(doc) AS INTEGER) AS valid FROM d"""
@@ -247,12 +331,10 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
     s["sink_profile"] = """WITH b AS (SELECT lang, strlen(CAST(to_json({'doc_id': doc_id, 'text': text, 'lang': lang, 'source': source, 'n_chars': n_chars}) AS VARCHAR)) AS n FROM documents)
 SELECT lang, count(*) AS records, CAST(min(n) AS BIGINT) AS min_bytes, CAST(max(n) AS BIGINT) AS max_bytes,
        round(avg(n), 4) AS avg_bytes, CAST(sum(n) AS BIGINT) AS total_bytes FROM b GROUP BY lang"""
-    s["sink_kv_retry"] = """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"""
-    s["sink_kv_batches"] = """WITH r AS (SELECT o_orderkey, o_orderstatus,
-         (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 200 AS b FROM orders)
-SELECT o_orderstatus, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(count(*) AS BIGINT) AS n
-FROM r GROUP BY o_orderstatus, b"""
-    s["sink_kv_rows"] = s["ent_wide"]
+    s["exact_batches"] = """WITH r AS (SELECT o_orderkey, o_orderstatus,
+         (row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1) // 200 AS batch_no FROM orders)
+SELECT o_orderstatus, batch_no, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, CAST(count(*) AS BIGINT) AS n
+FROM r GROUP BY o_orderstatus, batch_no"""
     parts = {"N-": "noun", "V-": "verb", "A-": "adjective", "RA": "definite article", "C-": "conjunction",
              "P-": "preposition", "D-": "adverb"}
     part_case = "CASE part " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in parts.items()) + " END"
@@ -278,7 +360,4 @@ SELECT d.name AS book, verse, CAST(verse || CAST(ord AS VARCHAR) AS BIGINT) AS i
        {part_case} AS part, {_positional_cols('codes')}
 FROM o JOIN d ON o.book = d.file_number"""
     s["stream_tokens"] = s["gen_nested"]
-    # the forced skew-safe plans must give exactly the same rows
-    for k in ("ord_global", "ord_run", "batch_ranges"):
-        s[f"{k}_skewsafe"] = s[k]
     return s

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import tables
-from ..functions.serialize import record_json
+from ..functions.serialize import GNT_JSON_COLUMNS, WLC_JSON_COLUMNS, json_columns, record_json, sort_keys
 from ..operators.entities import to_item, to_keyed, to_wide_entity
 
 DEFAULT_TABLE = {"gnt": tables.DEFAULT_TAGGED_TABLE, "wlc": tables.DEFAULT_NESTED_TABLE}
@@ -27,38 +27,42 @@ def _check(corpus: str) -> None:
 
 
 def sorted_record(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns (and struct fields, recursively) in byte order of name — the
-    key order of a generic-map JSON encoder (upper case first)."""
-    def fix(c, dtype):
-        if isinstance(dtype, T.StructType):
-            fs = sorted(dtype.fields, key=lambda f: f.name.encode("utf-8"))
-            return F.struct(*[fix(c[f.name], f.dataType).alias(f.name) for f in fs])
-        return c
-
+    """Columns, and keys at every level below, in byte order of name."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[fix(F.col(n), types[n]).alias(n) for n in sorted(columns, key=lambda n: n.encode("utf-8"))])
+    return df.select(*[sort_keys(F.col(n), types[n]).alias(n) for n in sorted(columns, key=lambda n: n.encode("utf-8"))])
 
 
-def jsonl_records(words: DataFrame, corpus: str) -> DataFrame:
+def jsonl_records(words: DataFrame, corpus: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows for the JSON Lines sink: the word record with sorted keys, empty
-    Greek morphology attributes omitted, plus ``book`` for the folder."""
+    Greek morphology attributes omitted, plus ``book`` for the folder and the
+    columns of ``keep``."""
     _check(corpus)
     cols = WLC_JSON if corpus == "wlc" else GNT_JSON
     src = words
     if corpus == "gnt":
         m = F.col("morphology")
         src = words.withColumn("morphology", F.struct(*[F.nullif(m[n], F.lit("")).alias(n) for n in tables.GREEK_MORPHOLOGY_FIELDS]))
-    keep = ["book"] if "book" in words.columns else []
-    return sorted_record(src, cols + keep)
+    book = ["book"] if "book" in words.columns else []
+    out = sorted_record(src, cols + [c for c in (*book, *keep) if c not in cols])
+    return out
 
 
 def json_rows(words: DataFrame, corpus: str) -> DataFrame:
-    """``(id, content)`` for the relational sink (E6): the record as JSON in
-    declared key order."""
+    """``(id, content)`` for the relational sink (E6): the record as JSON,
+    fields in declared order, keys of maps inside sorted (J3)."""
     _check(corpus)
     cols = WLC_JSON if corpus == "wlc" else GNT_JSON
     omit = ("morphology",) if corpus == "gnt" else ()
-    return words.select(F.col("id").alias("id"), record_json(words, cols, omit_empty=omit).alias("content"))
+    types = {f.name: f.dataType for f in words.schema.fields}
+    src = words.select(*[sort_keys(F.col(c), types[c]).alias(c) if not isinstance(types[c], T.StructType) else F.col(c) for c in dict.fromkeys([*cols, "id"])])
+    return src.select(F.col("id").alias("id"), record_json(src, cols, omit_empty=omit).alias("content"))
+
+
+def json_view(rows: DataFrame, corpus: str) -> DataFrame:
+    """The relational table with its computed text columns (J5): ``rows``
+    ``(id, content)`` plus one column for each named path of the corpus."""
+    _check(corpus)
+    return json_columns(rows, "content", WLC_JSON_COLUMNS if corpus == "wlc" else GNT_JSON_COLUMNS)
 
 
 def wide_entities(words: DataFrame, corpus: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -93,11 +97,11 @@ def items(words: DataFrame, corpus: str, keep: tuple[str, ...] = ()) -> DataFram
     return to_item(words.select(*keep, *[c for c in cols if c not in keep]), "verse", "id", keep=keep)
 
 
-# Store -> (shape, kvbatch profile, key column of the shaped row).
+# Store -> (shape, kvbatch profile, key columns of the shaped row).
 _KV_STORES = {
-    "dynamo": ("items", "batch_retry", "range_key"),
-    "datastore": ("flat", "multi_put", "key"),
-    "table": ("wide", "per_row", "row_key"),
+    "dynamo": ("items", "batch_retry", ("hash_key", "range_key")),
+    "datastore": ("flat", "multi_put", ("key",)),
+    "table": ("wide", "per_row", ("partition_key", "row_key")),
 }
 
 
@@ -144,25 +148,27 @@ def write_words(
 
     _check(corpus)
     table = table or DEFAULT_TABLE[corpus]
-    order = ["ordinal"] if corpus == "wlc" else ["block", "seq"]
+    order = ["ordinal"] if corpus == "wlc" else ["file", "block", "seq"]
+    split = ["chapter"] if corpus == "wlc" else ["file", "block"]
     if store == "jsonl":
         if not path:
             raise ValueError("jsonl needs a path")
-        write_jsonl(jsonl_records(words, corpus), f"{path.rstrip('/')}/{table}", by="book", mode="append")
+        records = jsonl_records(words, corpus, keep=tuple(order))
+        write_jsonl(records, f"{path.rstrip('/')}/{table}", by="book", mode="append", order=order)
         return
     if store not in _KV_STORES:
         raise ValueError(f"unknown store {store!r}")
     if not client:
         raise ValueError(f"{store} needs client='module:factory'")
-    _, profile, key = _KV_STORES[store]
+    _, profile, keys = _KV_STORES[store]
     size = STORE_BATCH[store]
-    layout_in = ("book", *order)
+    layout_in = tuple(dict.fromkeys(("book", *split, *order)))
     shaped = shape(words, corpus, store, keep=layout_in)
     payload = [c for c in shaped.columns if c not in layout_in]
     # last write wins per store key (a repeated id overwrites in the store)
-    latest = latest_by_key(shaped, [key], order)
+    latest = latest_by_key(shaped, list(keys), order)
     if exact_batches_per_book:
-        laid = exact_batches(latest, ["book"], order, size)
+        laid = exact_batches(latest, ["book"], order, size, chunk=F.struct(*split))
         layout = ["book", "batch_no"]
     else:
         laid = order_for_batches(latest, ["book"], order)
@@ -177,7 +183,7 @@ def write_words(
         .option("batch_size", str(size)).option("group_by", ",".join(layout)).option("exclude", ",".join(layout))
     )
     if profile != "batch_retry":
-        writer = writer.option("key", key)
+        writer = writer.option("key", ",".join(keys))
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     writer.save()

@@ -14,7 +14,7 @@ from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree, tree_error
 from ..operators.decode import book_dimension, decode_by_dictionary
 from ..operators.explode import explode_nested
-from ..sources.files import DEFAULT_NESTED_PATH, check_manifest, read_nested_books, variant_path
+from ..sources.files import DEFAULT_NESTED_PATH, check_manifest, list_books, read_nested_books, variant_path
 
 WORD_COLUMNS = ["codes", "language", "lemma", "coreid", "morphology", "id", "verse", "MorphologyString"]
 
@@ -28,6 +28,7 @@ def read_wlc_words(
     pronoun_person: bool = False,
     partitions: int | None = None,
     on_error: str = "fail",
+    layout: str = "files",
 ) -> DataFrame:
     """Word rows ``(book, book_no, chapter, verse_no, word_no, ordinal, <word columns>)``.
 
@@ -36,21 +37,32 @@ def read_wlc_words(
     * ``allow_missing``: a manifest book without a file is an error unless set.
     * ``dictionary``: decode each distinct tag once and join back (same
       result as the row form, far less work on a real corpus).
-    * ``partitions``: round-robin the exploded words over this many tasks —
-      a book arrives as a single row, so without it everything downstream
-      runs on one task per book.
+    * ``layout``: ``'files'``, one book per file, or ``'lines'``, one book per
+      line of files of any size (see ``read_nested_books``).
+    * ``partitions``: the exploded words are spread over this many tasks, by
+      default as adaptive execution sees fit — a book arrives as a single
+      row, so what follows the explode must not stay in its task.
     * ``on_error='null'``: a tag that cannot be decoded keeps its row with a
       null morphology and the reason in ``decode_error`` (quarantine with
       ``where(decode_error is not null)``) instead of failing the job.
     """
     folder = variant_path(root, variant)
-    files = read_nested_books(spark, folder)
+    files = read_nested_books(spark, folder, layout=layout)
     dim = book_dimension(spark, "hebrew").withColumnRenamed("ordinal", "book_no")
-    check_manifest(files.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
+    present = list_books(spark, folder) if layout == "files" else files
+    check_manifest(present.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
     return words_from_books(files, dictionary=dictionary, pronoun_person=pronoun_person, partitions=partitions,
                             on_error=on_error)
 
 
+def unknown_books(spark: SparkSession, root: str = DEFAULT_NESTED_PATH, variant: str | None = "hebrew") -> DataFrame:
+    """``(file, book_key)`` of files that ``read_wlc_words`` leaves out because
+    their name is no known book."""
+    dim = book_dimension(spark, "hebrew")
+    listed = list_books(spark, variant_path(root, variant))
+    return listed.join(dim, listed.book_key == dim.file_stem, "left_anti")
+
+
 def words_from_books(
     files: DataFrame,
     dictionary: bool = True,
@@ -60,7 +72,8 @@ def words_from_books(
 ) -> DataFrame:
     """Word rows from parsed book files ``(book_key, book)`` — the part of
     ``read_wlc_words`` after the read, usable on a streaming micro-batch.
-    Files whose stem is not a known book are ignored."""
+    Files whose stem is not a known book are left out (``unknown_books``
+    lists them)."""
     dim = book_dimension(files.sparkSession, "hebrew").withColumnRenamed("ordinal", "book_no")
     books = files.join(F.broadcast(dim), files.book_key == dim.file_stem).select(
         F.col("name").alias("book"), "book_no", F.col("book").alias("content")
@@ -69,8 +82,7 @@ def words_from_books(
         books, "content", coords=("chapter", "verse_no"), position="word_no", ordinal="ordinal", value="word",
         keep=["book", "book_no"],
     )
-    if partitions:
-        words = words.repartition(partitions)
+    words = words.repartition(partitions) if partitions else words.hint("rebalance")
     w = F.col("word")
     words = words.select(
         "book", "book_no", "chapter", "verse_no", "word_no", "ordinal",

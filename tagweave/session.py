@@ -29,29 +29,38 @@ def get_session(app: str = "tagweave", cores: str = "*", shuffle_partitions: int
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared (HDFS/object-store) folder the cluster
-    configures; it is only set here when the session has none, as in tests.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 — a session without a SparkContext (Connect)
-        sc = None
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if sc is None:
-        if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="tagweave-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-        return conf_dir.rstrip("/")
-    root = sc.getCheckpointDir() or conf_dir
+    On a cluster it must be configured (HDFS or object store): executors and
+    the driver do not see each other's disks, so without it this raises.  Only
+    a local session, as in tests, gets a folder of its own when it has none."""
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tagweave-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/tagweave-{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/tagweave-{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process has made, once nothing reads
+    them any more.  Returns how many there were."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

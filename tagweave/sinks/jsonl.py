@@ -13,17 +13,29 @@ def write_jsonl(
     by: Sequence[str] | str | None = "book",
     mode: str = "append",
     ignore_null_fields: bool = True,
+    order: Sequence[str] = (),
+    max_records_per_file: int = 1_000_000,
 ) -> None:
     """Write ``df`` as JSON Lines under ``path/<by>=<value>/``.
 
+    With ``order`` each group's files follow each other in that order (rows
+    are range-partitioned by group and order, so a large group is several
+    tasks' work and a small one is one file); a file holds at most
+    ``max_records_per_file`` lines.  The order columns are not written unless
+    they are among the record's own.
+
     ``mode='append'`` adds rows on every run (a re-run duplicates them);
     ``'overwrite'`` with dynamic partition overwrite replaces only the
     groups present in ``df``, which makes re-runs idempotent."""
-    writer = df.write.mode(mode).option("ignoreNullFields", str(ignore_null_fields).lower())
+    groups = [by] if isinstance(by, str) else list(by or [])
+    if order:
+        cols = [*groups, *order]
+        df = df.repartitionByRange(*cols).sortWithinPartitions(*cols).drop(*[c for c in order if c not in groups])
+    writer = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file).option("ignoreNullFields", str(ignore_null_fields).lower())
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    if by:
-        writer = writer.partitionBy(*([by] if isinstance(by, str) else list(by)))
+    if groups:
+        writer = writer.partitionBy(*groups)
     writer.json(path)
 
 

@@ -94,9 +94,11 @@ class KVBatchWriter(DataSourceArrowWriter):
             raise ValueError(f"kvbatch: required option(s) missing: {', '.join(missing)}")
         self.table = opts["table"]
         self.client_path = opts["client"]
-        self.key = opts.get("key")
-        if self.key and self.key not in schema.fieldNames():
-            raise ValueError(f"kvbatch: key column {self.key!r} not in the data")
+        # one column, or several for a store whose key has parts
+        self.key = [k.strip() for k in opts.get("key", "").split(",") if k.strip()]
+        for k in self.key:
+            if k not in schema.fieldNames():
+                raise ValueError(f"kvbatch: key column {k!r} not in the data")
         self.group_by = [g.strip() for g in opts["group_by"].split(",")] if opts.get("group_by") else None
         for g in self.group_by or []:
             if g not in schema.fieldNames():
@@ -177,6 +179,11 @@ class KVBatchWriter(DataSourceArrowWriter):
             time.sleep(min(self.max_sleep, sleep) * (0.5 + random.random() / 2))
             sleep *= 2
 
+    def _key(self, item: dict) -> str | tuple[str, ...]:
+        """The store key: text, or a tuple of texts for a key with parts."""
+        parts = tuple(str(item[k]) for k in self.key)
+        return parts[0] if len(parts) == 1 else parts
+
     def write(self, iterator: Iterator) -> KVCommit:
         client = _load_factory(self.client_path)(**self.client_kwargs)
         rows = batches = resends = 0
@@ -185,10 +192,10 @@ class KVBatchWriter(DataSourceArrowWriter):
                 if self.profile == "batch_retry":
                     resends += self._send_with_retry(client, batch)
                 elif self.profile == "multi_put":
-                    client.put_multi(self.table, [str(b[self.key]) for b in batch], batch)
+                    client.put_multi(self.table, [self._key(b) for b in batch], batch)
                 else:
                     for item in batch:
-                        client.put(self.table, str(item[self.key]), item)
+                        client.put(self.table, self._key(item), item)
                 rows += len(batch)
                 batches += 1
         finally:

@@ -4,6 +4,7 @@ from .files import (
     NESTED4,
     check_manifest,
     key_from_name,
+    list_books,
     read_nested_books,
     read_tagged_lines,
     split_quarantine,
@@ -12,6 +13,6 @@ from .files import (
 )
 
 __all__ = [
-    "NESTED4", "check_manifest", "key_from_name", "read_nested_books",
+    "NESTED4", "check_manifest", "key_from_name", "list_books", "read_nested_books",
     "read_tagged_lines", "split_quarantine", "variant_path", "with_key_from_name",
 ]

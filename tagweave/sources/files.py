@@ -87,11 +87,20 @@ def read_nested_books(
     glob: str = "*.json",
     schema: str = NESTED4,
     on_error: str = "fail",
+    layout: str = "files",
 ) -> DataFrame:
-    """One row per file: ``(file, file_name, book_key, book)`` where ``book``
-    is the whole file parsed with ``schema``.  ``book_key`` is the file name
-    without extension.  A file that does not parse fails the job
-    (``on_error='fail'``) or gives a null book (``'null'``)."""
+    """``(file, file_name, book_key, book)``.
+
+    ``layout='files'``: one book per file, parsed whole with ``schema``;
+    ``book_key`` is the file name without extension, and a file is one task's
+    work.  ``layout='lines'``: files of any size with one
+    ``{"book_key": ..., "book": ...}`` object per line, which split like any
+    text.  A book that does not parse fails the job (``on_error='fail'``) or is
+    null (``'null'``)."""
+    if layout == "lines":
+        return _read_book_lines(spark, path, glob, schema, on_error)
+    if layout != "files":
+        raise ValueError("layout must be 'files' or 'lines'")
     raw = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(path)
     parsed = F.from_json("value", schema)
     df = raw.select(
@@ -110,6 +119,27 @@ def read_nested_books(
     return df
 
 
+def _read_book_lines(spark: SparkSession, path: str, glob: str, schema: str, on_error: str) -> DataFrame:
+    raw = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).text(path)
+    parsed = F.from_json("value", f"book_key string, book {schema}")
+    df = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"), parsed.alias("line"))
+    book = F.col("line.book")
+    if on_error == "fail":
+        message = F.concat(F.lit("not a nested book in "), F.col("file"))
+        book = F.when(book.isNull() | F.col("line.book_key").isNull(), F.raise_error(message).cast(schema)).otherwise(book)
+    elif on_error != "null":
+        raise ValueError("on_error must be 'fail' or 'null'")
+    return df.select("file", "file_name", F.col("line.book_key").alias("book_key"), book.alias("book"))
+
+
+def list_books(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """``(file, book_key)`` of the files in a folder from a listing alone: no
+    content is read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    name = F.element_at(F.split("path", "/"), -1)
+    return listed.select(F.col("path").alias("file"), F.regexp_extract(name, r"^(.*)\.[^.]*$", 1).alias("book_key"))
+
+
 def variant_path(root: str, variant: str | None = "hebrew") -> str:
     """Folder of a numbering variant: ``'english'`` -> ``remapped``,
     anything else -> ``hebrew`` (S3)."""

@@ -92,6 +92,17 @@ def stream_corpus_files(
     return writer.start()
 
 
+def epoch_writer(to_rows: Callable[[DataFrame], DataFrame], out_path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes each micro-batch into a folder
+    of its own, ``epoch=<id>``, replacing what an earlier attempt of the same
+    batch left: a batch that runs again adds no row."""
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        to_rows(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch_id}")
+
+    return each
+
+
 def stream_files_to_table(
     spark: SparkSession,
     path: str,
@@ -103,8 +114,8 @@ def stream_files_to_table(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Process the files in ``path`` incrementally (``availableNow``) with
-    ``to_rows`` per micro-batch, appending the result to a parquet table at
-    ``out_path``; returns that table.  Re-running with the same checkpoint
+    ``to_rows`` per micro-batch, each into its own ``epoch`` folder of a parquet
+    table at ``out_path``; returns that table.  Re-running with the same checkpoint
     processes only files that arrived since."""
     sample = spark.read.format(fmt)
     if glob:
@@ -118,9 +129,8 @@ def stream_files_to_table(
     stream = reader.load(path)
     checkpoint = checkpoint or scratch_path(spark, "stream")
 
-    def each(batch: DataFrame, epoch_id: int) -> None:
-        to_rows(batch).write.mode("append").parquet(out_path)
+    each = epoch_writer(to_rows, out_path)
 
     q = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return spark.read.option("basePath", out_path).parquet(out_path).drop("epoch")

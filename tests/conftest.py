@@ -4,6 +4,8 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+# workers import test modules (the recording client) and the package by name
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH", "")])
 
 
 @pytest.fixture(scope="session")
@@ -19,10 +21,11 @@ def spark():
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
-    from tagweave.session import checkpoint_root
+    from tagweave.session import checkpoint_root, drop_scratch
 
     checkpoint_root(s)  # sets a checkpoint dir only when the session has none
     yield s
+    drop_scratch(s)
 
 
 SF_SMALL = "/root/testdata/sf0.001"

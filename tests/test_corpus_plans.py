@@ -75,14 +75,13 @@ def test_gnt_words_end_to_end(spark, tmp_path):
     d.mkdir()
     (d / "61-Mt-morphgnt.txt").write_text("\n".join(GNT_LINES) + "\n", encoding="utf-8")
     (d / "README.md").write_text("not a data file", encoding="utf-8")
-    for chunked in (True, False):
-        words = read_gnt_words(spark, str(d), chunked=chunked, max_group_rows=None if chunked else 0).orderBy("block", "seq").collect()
-        assert [w.verse for w in words] == ["400101", "400101", "400102", "400101"]
-        assert [w.ord for w in words] == [1, 2, 1, 1]
-        assert [w.id for w in words] == [4001011, 4001012, 4001021, 4001011]
-        assert {w.book for w in words} == {"Matthew"}
-        assert words[2].morphology.part == "verb" and words[2].morphology.tense == "aorist"
-        assert words[0].morphology.person is None and words[0].lemma == "βίβλος"
+    words = read_gnt_words(spark, str(d)).orderBy("block", "seq").collect()
+    assert [w.verse for w in words] == ["400101", "400101", "400102", "400101"]
+    assert [w.ord for w in words] == [1, 2, 1, 1]
+    assert [w.id for w in words] == [4001011, 4001012, 4001021, 4001011]
+    assert {w.book for w in words} == {"Matthew"}
+    assert words[2].morphology.part == "verb" and words[2].morphology.tense == "aorist"
+    assert words[0].morphology.person is None and words[0].lemma == "βίβλος"
 
 
 def test_gnt_crlf_and_short_lines(spark, tmp_path):
@@ -144,3 +143,24 @@ def test_wlc_english_variant_reads_remapped(spark, tmp_path):
     eng = [w.id for w in read_wlc_words(spark, root, "english", allow_missing=True).orderBy("ordinal").collect()]
     assert heb == [32001001001, 32001001002, 32001001003]
     assert eng == [32001001001, 32001001002, 32001002003]  # same word sequence, new verse boundary
+
+
+def test_book_lines_and_unknown_books(spark, tmp_path):
+    from tagweave.plans.wlc import unknown_books
+    from tagweave.sources import list_books, read_nested_books
+
+    d = tmp_path / "hebrew"
+    d.mkdir()
+    (d / "jonah.json").write_text(json.dumps([[[["a", "1", "HD"]]]]), encoding="utf-8")
+    (d / "notes.json").write_text("[]", encoding="utf-8")
+    assert sorted(r.book_key for r in list_books(spark, str(d)).collect()) == ["jonah", "notes"]
+    assert [r.book_key for r in unknown_books(spark, str(tmp_path)).collect()] == ["notes"]
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    rows = [{"book_key": "jonah", "book": [[[["a", "1", "HD"]]]]}, {"book_key": "nahum", "book": [[[["b", "2", "HNp"]]]]}]
+    (lines / "books.json").write_text("\n".join(map(json.dumps, rows)) + "\n", encoding="utf-8")
+    got = read_nested_books(spark, str(lines), layout="lines").collect()
+    assert sorted((r.book_key, r.book[0][0][0][2]) for r in got) == [("jonah", "HD"), ("nahum", "HNp")]
+    (lines / "bad.json").write_text("not json\n", encoding="utf-8")
+    with pytest.raises(Exception, match="not a nested book"):
+        read_nested_books(spark, str(lines), layout="lines").collect()

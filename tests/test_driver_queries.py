@@ -7,9 +7,11 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from tagweave.plans import catalog, oracle
 
-CHECK = ["gen_nested", "ord_run", "ord_run_skewsafe", "dec_tree", "dec_dictionary", "batch_progress", "json_valid",
-         "ser_omit_empty", "sink_profile", "src_manifest_books", "sink_kv_batches", "sink_kv_retry", "gnt_words"]
+CHECK = ["gen_nested", "ord_run", "dec_tree", "dec_tree_verbs", "dec_dictionary", "batch_progress", "json_valid",
+         "ser_omit_empty", "sink_profile", "src_manifest", "src_manifest_books", "src_variant", "wlc_words",
+         "ser_json_sorted_nested", "ent_item_nested", "exact_batches", "gnt_words"]
 
 
 def test_entry_smoke(spark):
@@ -19,7 +21,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.oracle_sql())
+    assert set(catalog.QUERIES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", CHECK)

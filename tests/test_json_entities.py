@@ -65,3 +65,24 @@ def test_flat_entity_and_project_fields(spark):
     assert fe.key == "7" and fe.id == 7
     pf = project_fields(df, "f", ["x", "y", "z"], keep=["id"]).first()
     assert (pf.id, pf.x, pf.y, pf.z) == (7, "a", "b", None)
+
+
+def test_sorted_keys_inside_arrays_and_maps(spark):
+    df = spark.sql("SELECT array(map('b', 1, 'B', 2), map('z', 3)) AS m, named_struct('y', array(named_struct('q', 1, 'P', 2)), 'X', map('k', map('n', 1, 'M', 2))) AS s")
+    j = df.select(record_json(df, key_order="sorted").alias("j")).first().j
+    assert j == '{"m":[{"B":2,"b":1},{"z":3}],"s":{"X":{"k":{"M":2,"n":1}},"y":[{"P":2,"q":1}]}}'
+
+
+def test_item_types(spark):
+    df = spark.sql("SELECT 'h' AS h, 1 AS n, true AS b, CAST(NULL AS STRING) AS e, array('x', 'y') AS l, map('k', 2.5D) AS m, named_struct('a', false) AS s")
+    a = to_item(df, "h").first().attributes
+    assert {k: (v.type, v.value) for k, v in a.items()} == {
+        "h": ("S", "h"), "n": ("N", "1"), "b": ("BOOL", "true"), "e": ("NULL", None), "l": ("L", '[{"S":"x"},{"S":"y"}]'),
+        "m": ("M", '{"k":{"N":"2.5"}}'), "s": ("M", '{"a":{"BOOL":false}}')}
+
+
+def test_json_columns_of_containers(spark):
+    df = spark.createDataFrame([('{"o":{"a":1},"l":[1],"b":true,"n":null,"x":"v"}',), ("not json",), (None,)], "c string")
+    rows = json_columns(df, "c", {"o": "$.o", "l": "$.l", "b": "$.b", "n": "$.n", "x": "$.x"}).collect()
+    assert tuple(rows[0])[1:] == (None, None, "true", None, "v")
+    assert tuple(rows[1])[1:] == (None,) * 5 == tuple(rows[2])[1:]

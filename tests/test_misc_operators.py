@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tagweave.functions import tables
-from tagweave.operators import book_dimension, fits, join_small, lookup_table, payload_profile
+from tagweave.operators import book_dimension, join_small, lookup_table, payload_profile
 from tagweave.sources import key_from_name, with_key_from_name
 
 
@@ -36,11 +36,36 @@ def test_payload_profile(spark):
     assert rows["b"].total_bytes == len('{"t":""}')
 
 
-def test_join_small_checks_size(spark):
+def test_join_small_hints_fixed_tables_only(spark):
     big = spark.range(100).withColumnRenamed("id", "k")
     small = spark.range(10).withColumnRenamed("id", "k")
-    assert fits(small, 10) and not fits(small, 9)
-    hinted = join_small(big, small, "k", max_rows=10)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in hinted.lower()
-    unhinted = join_small(big, small, "k", max_rows=5)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in unhinted.lower()  # no hint: the planner/AQE decide from real sizes
+    plan = lambda **kw: join_small(big, small, "k", **kw)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" in plan(known_small=True)
+    assert "broadcast" not in plan()  # adaptive execution decides from real sizes
+
+
+def test_default_folders():
+    from tagweave.functions import tables
+
+    assert tables.DEFAULT_NESTED_PATH == "./morphhb/" and tables.DEFAULT_TAGGED_PATH == "./morphgnt/"
+
+
+def test_scratch_needs_a_shared_folder(monkeypatch):
+    from tagweave import session
+
+    class Sc:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    fake = type("S", (), {"sparkContext": Sc(), "conf": Conf()})()
+    try:
+        session.checkpoint_root(fake)
+        raise AssertionError("expected an error")
+    except RuntimeError as e:
+        assert "spark.checkpoint.dir" in str(e)

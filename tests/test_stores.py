@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 
 from tagweave.plans.gnt import read_gnt_words
 from tagweave.plans.stores import flat_entities, items, json_rows, jsonl_records, wide_entities
@@ -34,7 +36,7 @@ def test_wlc_shapes(spark, tmp_path):
     row = json_rows(w, "wlc").orderBy("id").first()
     assert list(json.loads(row.content))[:2] == ["codes", "language"] and row.id == 32001001001
     it = items(w, "wlc").first()
-    assert it.hash_key == "32001001" and it.attributes["morphology"].type == "M"
+    assert it.hash_key == "32001001" and it.attributes["morphology"].type == "L"
 
 
 def test_gnt_shapes(spark, tmp_path):
@@ -50,7 +52,7 @@ def test_gnt_shapes(spark, tmp_path):
 
 def test_write_words_to_stores(spark, tmp_path):
     from tagweave.plans.stores import write_words
-    from tagweave.sinks.recording import read_calls
+    from recording import read_calls
 
     d = tmp_path / "hebrew"
     d.mkdir()
@@ -58,7 +60,7 @@ def test_write_words_to_stores(spark, tmp_path):
     (d / "jonah.json").write_text(json.dumps(book), encoding="utf-8")
     (d / "nahum.json").write_text(json.dumps([[[["y", "2", "HNp"]]]]), encoding="utf-8")
     words = read_wlc_words(spark, str(tmp_path), allow_missing=True)
-    client = "tagweave.sinks.recording:recording_client"
+    client = "recording:recording_client"
     for store, size, key in (("dynamo", 25, None), ("datastore", 200, "key"), ("table", 1000, "row_key")):
         rec = str(tmp_path / store)
         write_words(words, "wlc", store, client=client, options={"client.record_dir": rec, "base_sleep": "0.01"},
@@ -74,3 +76,22 @@ def test_write_words_to_stores(spark, tmp_path):
     out = str(tmp_path / "out")
     write_words(words, "wlc", "jsonl", path=out)
     assert spark.read.json(out + "/morphwlc").count() == 36
+
+
+def test_store_key_has_parts(spark, tmp_path):
+    from recording import read_calls
+    from tagweave.plans.stores import json_view, write_words
+
+    d = tmp_path / "hebrew"
+    d.mkdir()
+    (d / "jonah.json").write_text(json.dumps([[[["a", "1", "HC/Vqw3ms"]]]]), encoding="utf-8")
+    (d / "nahum.json").write_text(json.dumps([[[["b", "2", "HD"]]]]), encoding="utf-8")
+    words = read_wlc_words(spark, str(tmp_path), allow_missing=True).withColumn("id", F.lit(7).cast("bigint"))  # one id, two verses
+    rec = str(tmp_path / "table")
+    write_words(words, "wlc", "table", client="recording:recording_client", options={"client.record_dir": rec})
+    calls = read_calls(rec)
+    assert sorted(tuple(c["keys"][0]) for c in calls) == [("32001001", "7"), ("34001001", "7")]
+    rows = json_rows(words, "wlc")
+    first = rows.where("content LIKE '%HC/V%'").first().content
+    assert '"morphology":[{"Part":"conjunction"},{"Conjugation":"sequential imperfect (wayyiqtol)","Gender":"masculine","Number":"singular","Part":"verb","Person":"third","Stem":"qal"}]' in first
+    assert sorted(r.Verse for r in json_view(rows, "wlc").collect()) == ["32001001", "34001001"]
