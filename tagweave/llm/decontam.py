@@ -12,8 +12,9 @@ A text is first reduced to the runs of words whose neighbouring pairs all occur
 in the items: no match can leave such a run, and only they are walked.
 
 Items are cut into blocks of at most ``MAX_BLOCK_WORDS`` words, one automaton
-each, and the texts stream past one block after the other, so an automaton has
-a fixed size bound however many items there are.
+each, so a broadcast has a fixed size bound, and a block of texts streams past
+one automaton after the other.  What a task holds grows with the test set, not
+with the corpus.
 
 Edge cases: null texts and items have no words; items without words are
 ignored; equal items each count; a null document id is kept, and every input

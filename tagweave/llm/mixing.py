@@ -40,6 +40,8 @@ MAX_PASSES = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1 << 14
 SEED = 20240607
+MAX_GROUPS = 256  # groups of shards that the driver draws for
+MAX_PARTS = 20_000  # partitions of a shuffle
 _CHUNK_DOCS = 1 << 13
 
 
@@ -128,7 +130,7 @@ def _positions(sized: DataFrame) -> DataFrame:
     source is cut into chunks of ids and texts' hashes, each summed by its own
     task; a window over the chunk totals carries the offsets."""
     n = sized.count()
-    parts = max(1, -(-n // _CHUNK_DOCS))
+    parts = max(1, min(MAX_PARTS, -(-n // _CHUNK_DOCS)))
     order = [F.col("id").asc_nulls_first(), F.col("tie"), F.col("size")]
     ranged = sized.repartitionByRange(parts, "no", *order)
     chunked = stored(ranged.withColumn("chunk", F.spark_partition_id()), "mix-sizes")
@@ -153,9 +155,9 @@ def plan_mix(
 ) -> Mix:
     """Plan a mix of all of ``docs``.
 
-    What the driver holds is one row per source and the source counts of one
-    shard at a time; everything that grows with the documents stays in
-    tables."""
+    What the driver holds is one row per source, and the source counts of
+    ``MAX_GROUPS`` groups of shards; everything that grows with the documents
+    stays in tables."""
     spark = docs.sparkSession
     sized = stored(sizes(docs, id_col, source_col, text_col), "mix-words")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
@@ -174,17 +176,38 @@ def plan_mix(
     )
     numbered = sized.join(F.broadcast(sources.select("no", F.col("source").alias("__s"))), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
 
-    # shard plan: source counts of every shard, and where each source's slots begin in it
+    # Source counts of every shard.  The driver draws for groups of shards, a
+    # fixed number of them; a task draws for the shards of its group.
     rng = np.random.Generator(np.random.PCG64(seed))
+    n_shards = -(-sum(n_slots) // shard_slots)
+    per_group = max(1, -(-n_shards // MAX_GROUPS))
     left = np.asarray(n_slots, dtype=np.int64)
     used = np.zeros_like(left)
-    shards, shard = [], 0
+    groups, group = [], 0
     while left.sum():
-        k = int(min(shard_slots, left.sum()))
-        draw = rng.multivariate_hypergeometric(left, k, method="marginals")
-        shards += [(shard, i, int(used[i]), int(c)) for i, c in enumerate(draw) if c]
-        left, used, shard = left - draw, used + draw, shard + 1
-    plan = spark.createDataFrame(shards, "shard int, no int, first bigint, n bigint").repartition(max(1, shard), "shard")
+        draw = rng.multivariate_hypergeometric(left, int(min(shard_slots * per_group, left.sum())), method="marginals")
+        groups += [(group, i, int(used[i]), int(c)) for i, c in enumerate(draw) if c]
+        left, used, group = left - draw, used + draw, group + 1
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, list[tuple[int, int, int]]] = {}
+        for batch in batches:
+            for g, i, first, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                rows.setdefault(g, []).append((i, first, n))
+        for g, parts in rows.items():
+            no, first, n = (np.array(x, dtype=np.int64) for x in zip(*sorted(parts), strict=True))
+            draws = np.random.Generator(np.random.PCG64([seed, g]))
+            shard = g * per_group
+            while n.sum():
+                draw = draws.multivariate_hypergeometric(n, int(min(shard_slots, n.sum())), method="marginals")
+                at = np.flatnonzero(draw)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), shard), pa.int64()), *[pa.array(x[at]) for x in (no, first, draw)]], names=["shard", "no", "first", "n"]
+                )
+                first, n, shard = first + draw, n - draw, shard + 1
+
+    plan = spark.createDataFrame(groups, "g int, no bigint, first bigint, n bigint").repartition(max(1, group), "g")
+    plan = plan.mapInArrow(deal, "shard bigint, no bigint, first bigint, n bigint").repartition(max(1, min(n_shards, MAX_PARTS)), "shard")
     keys = [int(x) for x in rng.integers(0, 1 << 62, size=len(total))]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,12 +227,14 @@ def plan_mix(
                         block[here] = _feistel(j[here] % n_blocks[i], n_blocks[i], (keys[i] + 7919 * p) % (1 << 62))
                 slot = np.argsort(mix64(np.arange(len(j), dtype=np.uint64) + np.uint64(seed + s)), kind="stable")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(j), s), pa.int32()), pa.array(np.arange(len(j)), pa.int64()), *[pa.array(x[slot].astype(np.int64)) for x in (no, pas, block)]],
+                    [pa.array(np.full(len(j), s), pa.int64()), pa.array(np.arange(len(j)), pa.int64()), *[pa.array(x[slot].astype(np.int64)) for x in (no, pas, block)]],
                     names=["shard", "slot", "no", "pass", "block"],
                 )
 
-    slots = plan.sortWithinPartitions("shard", "no").mapInArrow(fill, "shard int, slot bigint, no bigint, pass bigint, block bigint")
-    return Mix(_positions(numbered), sources, slots.withColumn("no", F.col("no").cast("int")), block_words)
+    slots = plan.sortWithinPartitions("shard", "no").mapInArrow(fill, "shard bigint, slot bigint, no bigint, pass bigint, block bigint")
+    # written, so that joins are planned by its real size (it grows with the corpus)
+    slots = stored(slots.withColumn("no", F.col("no").cast("int")), "mix-slots")
+    return Mix(_positions(numbered), sources, slots, block_words)
 
 
 def taken(mix: Mix) -> DataFrame:

@@ -17,19 +17,20 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._encode import encoder
 from ._scratch import commit, filesystem
 from ._text import blocks, mix64
 
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 32 << 20  # of text in a shard, more where there would be over MAX_SHARDS
 SHARD_ROWS = 1 << 20
+MAX_SHARDS = 20_000
 _GAMMA = 2
 _MAGIC = b"TWTOKIX1"
 
@@ -137,27 +138,27 @@ class ShardIndex:
 
 
 def _bounds(docs: DataFrame, id_col: str, text_col: str) -> list[int]:
-    """Upper ids of all shards but the last, from the id column alone; as many
-    as the payload needs, so their number follows the data."""
+    """Upper ids of all shards but the last, from the id column alone."""
     rows, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()
-    n = max(1, -(-size // SHARD_BYTES), -(-rows // SHARD_ROWS))
+    n = max(1, min(MAX_SHARDS, max(-(-size // SHARD_BYTES), -(-rows // SHARD_ROWS))))
     if n == 1:
         return []
     cuts = docs.agg(F.percentile_approx(F.col(id_col), [i / n for i in range(1, n)], 100 * n).alias("q")).first()[0]
     return sorted(set(cuts or []))
 
 
-def _shard(id_col: str, bounds: list[int]) -> Column:
-    """Number of the shard of an id: the bounds below it."""
-    if not bounds:
-        return F.lit(0)
-    cuts = F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    return F.coalesce(F.size(F.filter(cuts, lambda b: b < F.col(id_col))), F.lit(0))
+def _shard(ids: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Number of the shard of each id: the bounds below it (null: the first)."""
+    at = np.searchsorted(bounds, ids.fill_null(0).to_numpy(), side="left")
+    return pa.array(np.where(np.asarray(ids.is_null()), 0, at).astype(np.int32))
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, ids)`` with the raw ids of each whole text as one binary value;
-    no shuffle."""
+def encode(
+    docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", bounds: Sequence[int] = ()
+) -> DataFrame:
+    """``(shard, id, ids)`` with the raw ids of each whole text as one binary
+    value, and the shard its id falls in; no shuffle."""
+    cuts = np.asarray(bounds, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
@@ -166,9 +167,10 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
                 ids, at = enc.block(data, offsets, end_id)
                 size = enc.dtype.itemsize
                 col = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer((at * size).astype(np.int64)), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), col.cast(pa.binary())], names=["id", "ids"])
+                own = batch.column(0).slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([_shard(own, cuts), own, col.cast(pa.binary())], names=["shard", "id", "ids"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string")).mapInArrow(run, "id bigint, ids binary")
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string")).mapInArrow(run, "shard int, id bigint, ids binary")
 
 
 def write_shards(
@@ -221,8 +223,8 @@ def write_shards(
         if now is not None:
             yield close()
 
-    encoded = encode(docs, tokenizer, end_id, id_col, text_col)
-    dealt = encoded.select(_shard("id", bounds).alias("shard"), "id", "ids").repartition(len(bounds) + 1, "shard")
+    encoded = encode(docs, tokenizer, end_id, id_col, text_col, bounds)
+    dealt = encoded.repartition(len(bounds) + 1, "shard")
     rows = dealt.sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "ids").mapInArrow(write, "shard bigint, n_docs bigint, n_tokens bigint").collect()
     manifest, start = [], 0
     for r in sorted(rows, key=lambda r: r["shard"]):
@@ -262,9 +264,9 @@ def lookup(keys: DataFrame, root: str, id_col: str = "doc_id") -> DataFrame:
                     with files.open_input_stream(f"{where}/shard-{now:06d}.idx") as f:
                         index = ShardIndex(f.read())
                     payload = files.open_input_file(f"{where}/shard-{now:06d}.bin")
+                    at = index.arrays["start"].astype(np.int64)
                 ids = batch.column(1).slice(i, j - i)
                 row, n = index.find(ids.fill_null(0).to_numpy(), np.asarray(ids.is_null()))
-                at = index.arrays["start"].astype(np.int64)
                 key = np.repeat(np.arange(j - i), n)
                 rows = np.concatenate([np.arange(r, r + m) for r, m in zip(row, n, strict=True)]) if len(row) else row
                 for lo in range(0, len(rows), 1000):
@@ -280,8 +282,14 @@ def lookup(keys: DataFrame, root: str, id_col: str = "doc_id") -> DataFrame:
                         names=["id", "shard", "start", "n_tokens", "ids"],
                     )
 
-    wanted = keys.select(F.col(id_col).cast("bigint").alias("id")).distinct()
-    dealt = wanted.select(_shard("id", head["bounds"]).alias("shard"), "id").repartition(len(head["bounds"]) + 1, "shard")
+    cuts = np.asarray(head["bounds"], dtype=np.int64)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([_shard(batch.column(0), cuts), batch.column(0)], names=["shard", "id"])
+
+    wanted = keys.select(F.col(id_col).cast("bigint").alias("id")).distinct().mapInArrow(place, "shard int, id bigint")
+    dealt = wanted.repartition(len(cuts) + 1, "shard")
     found = dealt.sortWithinPartitions("shard", "id").mapInArrow(read, "id bigint, shard int, start bigint, n_tokens bigint, ids binary")
     return found.withColumnRenamed("id", id_col)
 
