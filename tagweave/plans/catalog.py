@@ -165,8 +165,8 @@ def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_variants(spark: SparkSession, sf_dir: str) -> str:
-    """Documents as nested books under both numbering folders: a word is
+def _write_variants(spark: SparkSession, sf_dir: str, variants: tuple[str, ...] = ("hebrew", "english")) -> str:
+    """Documents as nested books under the numberings' folders: a word is
     ``[token, doc_id, tag]``, the book by ``doc_id``; the default numbering
     cuts at lines then sentences, the remapped one the other way round."""
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -180,7 +180,9 @@ def _write_variants(spark: SparkSession, sf_dir: str) -> str:
         return F.array(t, F.col("doc_id").cast("string"), tag)
 
     root = scratch_path(spark, "variants")
-    for variant, seps in (("hebrew", [LINE, SENTENCE, TOKEN]), ("english", [SENTENCE, LINE, TOKEN])):
+    order = {"hebrew": [LINE, SENTENCE, TOKEN], "english": [SENTENCE, LINE, TOKEN]}
+    for variant in variants:
+        seps = order[variant]
         nested = F.transform(split_nested("text", seps), lambda ch: F.transform(ch, lambda vs: F.transform(vs, word)))
         docs.select(_book_line(key, nested)).write.option("compression", "none").text(variant_path(root, variant) + "/books")
     return root
@@ -207,7 +209,7 @@ def wlc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     every tag decoded through the dictionary."""
     from .wlc import words_from_books
 
-    root = _write_variants(spark, sf_dir)
+    root = _write_variants(spark, sf_dir, ("hebrew",))
     books = read_nested_books(spark, variant_path(root, "hebrew") + "/books", glob="*.txt", layout="lines")
     dim = book_dimension(spark, "hebrew")
     check_manifest(books.select(F.col("book_key").alias("file_stem")), dim, "file_stem")
