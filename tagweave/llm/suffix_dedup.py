@@ -10,15 +10,15 @@ context of their windows, to the left as well, are one class; their bytes are
 compared, and a collision stops the job.  One member of each class leaves the
 block.  Spark's sort merges the blocks' runs by the suffixes' hashes (see
 `_repeats`); where contexts agree in part only, their windows are compared by
-two independent hashes.
+two independent hashes.  A class's key is the hash of the anchor's bytes with
+half a window beside it (before it, where the window ends too soon after).
 
 A byte is removed if a window over it also starts earlier: in a document with a
 smaller id, or earlier in the same one.
 
 Edge cases: null and empty texts have no bytes; texts shorter than a window
 lose nothing; a null id counts as smaller than any other; rows that share an id
-count as one document that begins anew with each row, so only repeats inside a
-row or of smaller ids go; extra columns are ignored.  Very long texts are
+do not remove each other's bytes; extra columns are ignored.  Very long texts are
 handled a segment of windows at a time."""
 
 from __future__ import annotations
@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._repeats import NULL_ID, Cutter, _unpack, keyed, repeat_spans
+from ._repeats import NULL_ID, Cutter, keyed, repeat_spans, unpack
 from ._text import blocks, byte_table, mix64, prefix_hash, ragged, range_hash
 
 WINDOW = 100
-GRAM = 32
+GRAM = 16
 SEGMENT = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 
@@ -114,34 +114,26 @@ class SuffixOrder:
 
 
 class _Entries:
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int):
-        self.data, self.first, self.window = data, offsets, window
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.data = self.units = data
+        self.first = offsets
         self.row = self.start = self.n = self.pos = np.zeros(0, np.int64)
         self.key = self.code = np.zeros(0, np.uint64)
         self.prefix = self.inv = None
 
-    def hashes(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent hashes of the windows, a segment at a time."""
-        out = [np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)]
-        seg = starts // SEGMENT
-        for s in np.unique(seg).tolist():
-            at = np.flatnonzero(seg == s)
-            lo = s * SEGMENT
-            data = self.data[lo : lo + SEGMENT + self.window]
-            for k, seed in enumerate((1, 2)):
-                prefix, inv = prefix_hash(byte_table(seed)[data])
-                out[k][at] = range_hash(prefix, inv, starts[at] - lo, starts[at] - lo + self.window)
-        return out[0], out[1]
-
 
 class SuffixSort(Cutter):
     earlier_in_text = True
+    unit = np.dtype("u1")
 
     def __init__(self, window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram = window, gram
 
-    def cut(self, data: np.ndarray, offsets: np.ndarray, full: bool = False) -> _Entries:
-        e = _Entries(data, offsets, self.window)
+    def spell(self, units: np.ndarray, seed: int) -> np.ndarray:
+        return byte_table(seed + 100)[units]
+
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> _Entries:
+        e = _Entries(data, offsets)
         parts = [self._segment(e, a, min(a + SEGMENT, len(data)), a == 0 and len(data) <= 2 * SEGMENT) for a in self._cuts(len(data))]
         parts = [p for p in parts if p is not None]
         if parts:
@@ -173,12 +165,17 @@ class SuffixSort(Cutter):
         place = np.arange(m, dtype=np.uint64)
         low = _least((gram & ~_PLACE) | place, w - g + 1)
         pos = (low[starts] & _PLACE).astype(np.int64)
+        # windows with the anchor in their second part take the bytes before it
+        half = (w - g) // 2
+        late = pos - starts > half
         new = np.ones(len(pos), bool)
-        new[1:] = pos[1:] != pos[:-1]
+        new[1:] = (pos[1:] != pos[:-1]) | (late[1:] != late[:-1])
         head = np.flatnonzero(new)
-        s, k, p = starts[head], np.diff(np.append(head, len(pos))), pos[head]
+        s, k, p, late = starts[head], np.diff(np.append(head, len(pos))), pos[head], late[head]
+        beside = np.where(late, p - half, p)
+        key = mix64(range_hash(prefix, inv, beside, beside + g + half) + late.astype(np.uint64))
         code = mix64(range_hash(prefix, inv, s, s + k - 1 + w) + mix64((p - s).astype(np.uint64) + np.uint64(17)))
-        return row[head], s + a, k, p + a, gram[p], code
+        return row[head], s + a, k, p + a, key, code
 
     def classes(self, e: _Entries) -> np.ndarray:
         """Classes of equal context, by sorting the suffixes of equal key."""
@@ -232,7 +229,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW, id_col: str = "
                     parts, gone, n = [], 0, 0
                     if span.is_valid:
                         base = at
-                        for s, t in _unpack(span.as_py()).tolist():
+                        for s, t in unpack(span.as_py()).tolist():
                             parts.append(raw[at : base + s])
                             at, gone, n = base + t, gone + t - s, n + 1
                     parts.append(raw[at:end])

@@ -84,8 +84,8 @@ def test_byte_windows(spark):
     assert got_bytes(df) == brute_bytes(rows)
 
 
-def test_common_passage_passes_the_window_bound(spark, monkeypatch):
-    """A key with more windows than a task holds goes window by window."""
+def test_common_passage_passes_the_code_bound(spark, monkeypatch):
+    """A key with more codes than a task holds goes window by window."""
     monkeypatch.setattr(repeats.repeat_spans, "__defaults__", (15,))
     rnd = random.Random(5)
     passage = [rnd.choice(["aa", "bb", "cc", "dd"]) for _ in range(40)]
