@@ -49,7 +49,7 @@ class Cutter:
     window: int
     earlier_in_text: bool
     unit: np.dtype
-    block_bytes: int = 1 << 20
+    block_bytes: int = 1 << 19
 
     def cut(self, data: np.ndarray, offsets: np.ndarray):
         raise NotImplementedError

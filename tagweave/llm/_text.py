@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
@@ -42,7 +42,7 @@ def byte_table(seed: int = 1) -> np.ndarray:
         return _splitmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(n: int, base: int) -> np.ndarray:
     """``base^0 .. base^(n-1)`` modulo 2^64, by doubling."""
     out = np.ones(1, dtype=np.uint64)
@@ -74,6 +74,15 @@ def range_hash(prefix: np.ndarray, inv: np.ndarray, start: np.ndarray, end: np.n
     return _splitmix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark, size: str = "8m") -> None:
+    """Rows go to Python tasks in Arrow batches of about ``size``: long texts
+    else make batches of 64 MB, held by the JVM and by Python at once."""
+    spark.conf.set(ARROW_BATCH, size)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``(offsets, bytes)`` of a string or binary array; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -249,49 +249,66 @@ def taken(mix: Mix) -> DataFrame:
     return out.withColumn("taken", F.coalesce("taken", F.lit(0)))
 
 
-def _take_words(text: str, spans: list[tuple[int, int, int]]) -> str:
-    """The words ``[lo, hi)`` of each span, pass by pass, with the text's own
-    white space inside a run; passes are set apart by a line end."""
-    raw = text.encode()
-    data = np.frombuffer(raw, np.uint8)
-    start, end, _ = find_words(data, np.array([0, len(data)]))
+def _take_words(raw: bytes, lo: np.ndarray, hi: np.ndarray, times: np.ndarray) -> bytes:
+    """The words ``[lo, hi)`` of each span (in order), pass by pass, with the
+    text's own white space inside a run; passes are set apart by a line end."""
+    start, end, _ = find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
     out = []
-    for p in range(max(t for _, _, t in spans)):
-        runs: list[list[int]] = []
-        for lo, hi, t in spans:
-            if t <= p:
-                continue
-            if runs and runs[-1][1] == lo:
-                runs[-1][1] = hi
-            else:
-                runs.append([lo, hi])
-        out.append(b" ".join(raw[0 if lo == 0 else start[lo] : len(raw) if hi == len(start) else end[hi - 1]] for lo, hi in runs))
-    return b"\n".join(out).decode()
+    for p in range(int(times.max())):
+        a, b = lo[times > p], hi[times > p]
+        first = np.ones(len(a), bool)
+        first[1:] = a[1:] != b[:-1]
+        at = np.flatnonzero(first)
+        runs = zip(a[at].tolist(), b[np.append(at[1:], len(a)) - 1].tolist(), strict=True)
+        out.append(b" ".join(raw[0 if x == 0 else start[x] : len(raw) if y == len(start) else end[y - 1]] for x, y in runs))
+    return b"\n".join(out)
 
 
 def mix_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """``docs`` as the mix takes them: one row per document with any word
     taken, its text made of the taken words of each pass (a document taken
-    whole twice holds its text twice); other columns unchanged."""
+    whole twice holds its text twice); other columns unchanged.
+
+    Texts are shuffled once, by id, source and text hash; equal rows take the
+    spans of their own places, the n-th of them the n-th place."""
     i, s, t = (docs.columns.index(c) for c in (id_col, source_col, text_col))
     names = [f"c{k}" for k in range(len(docs.columns))]
-    d = docs.toDF(*names).withColumn("__tie", F.xxhash64(F.col(f"c{t}").cast("string")))
+    keys = ["__id", "__no_id", "__source", "__no_source", "__tie"]
+
+    def key_columns(id_, source, tie):
+        return [F.coalesce(id_, F.lit(0)).alias("__id"), id_.isNull().alias("__no_id"), F.coalesce(source, F.lit("")).alias("__source"),
+                source.isNull().alias("__no_source"), tie.alias("__tie")]
+
+    d = docs.toDF(*names)
+    text = F.col(f"c{t}").cast("string")
+    d = d.select(*names, *key_columns(F.col(f"c{i}").cast("bigint"), F.col(f"c{s}").cast("string"), F.xxhash64(text)))
+    d = d.withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))))
     spans = mix.pieces().groupBy("no", "at").agg(
         F.first("id").alias("id"), F.first("source").alias("source"), F.first("tie").alias("tie"),
         F.array_sort(F.collect_list(F.struct("lo", "hi", "taken"))).alias("spans"),
     )
-    # equal rows take the spans of their own places: the n-th of them the n-th place
-    same = Window.partitionBy("id", "source", "tie").orderBy("at")
-    spans = spans.withColumn("nth", F.row_number().over(same)).drop("no", "at")
-    twin = Window.partitionBy(f"c{i}", f"c{s}", "__tie").orderBy(F.lit(1))
-    d = d.withColumn("__nth", F.row_number().over(twin))
-    on = (
-        F.col(f"c{i}").cast("bigint").eqNullSafe(F.col("id")) & F.col(f"c{s}").cast("string").eqNullSafe(F.col("source"))
-        & (F.col("__tie") == F.col("tie")) & (F.col("__nth") == F.col("nth"))
+    places = spans.select("at", "spans", *key_columns(F.col("id"), F.col("source"), F.col("tie"))).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("at", "spans"))).alias("places")
     )
-    take = F.udf(lambda text, spans: _take_words(text, [(x["lo"], x["hi"], x["taken"]) for x in spans]), "string", useArrow=True)
-    joined = d.join(spans, on)
-    return joined.withColumn(f"c{t}", take(F.col(f"c{t}").cast("string"), "spans")).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
+    mine = F.get("places", F.col("__nth") - 1)["spans"]
+    joined = d.join(places, keys).withColumn("__s", mine).where("__s IS NOT NULL")
+    joined = joined.select(*names, *[F.col("__s")[c].alias(f"__{c}") for c in ("lo", "hi", "taken")])
+    kinds = ", ".join(f"{n} {'string' if n == f'c{t}' else f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i_, j_, data, offsets in blocks(batch.column(t)):
+                raw, part = data.tobytes(), batch.slice(i_, j_ - i_)
+                out = []
+                for r in range(j_ - i_):
+                    lo, hi, times = (part.column(len(names) + k)[r].values.to_numpy() for k in range(3))
+                    out.append(_take_words(raw[offsets[r] : offsets[r + 1]], lo, hi, times).decode())
+                cols = [part.column(k) for k in range(len(names))]
+                cols[t] = pa.array(out, pa.string())
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    plain = joined.withColumn(f"c{t}", F.col(f"c{t}").cast("string"))
+    return plain.mapInArrow(run, kinds).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
 
 
 def with_sources(df: DataFrame, mix: Mix, no: str = "no") -> DataFrame:

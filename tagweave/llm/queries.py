@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
+from ._text import small_batches
 from .decontam import scan
 from .licenses import license_scan
 from .lm import score
@@ -22,6 +23,7 @@ from .tokens import lookup, read_manifest, with_crc32, write_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
