@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagweave.llm._text import small_batches
 from tagweave.llm.decontam import decontaminate
 from tagweave.llm.mixing import mix_documents, plan_mix
 from tagweave.llm.queries import vocabulary
@@ -26,27 +27,32 @@ def _recount(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule policy rejects go."""
+    small_batches(spark)
     return apply_policy(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id."""
+    small_batches(spark)
     return keep_one(docs, shingle=3, max_bits=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a text that is mostly passages goes."""
+    small_batches(spark)
     return _recount(decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts become the words that the mix takes of them; those of which it
     takes none go."""
+    small_batches(spark)
     return _recount(mix_documents(docs, plan_mix(docs)))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards; the rows are read back from them by document id."""
+    small_batches(spark)
     root = scratch_path(spark, "pipeline-shards")
     write_shards(docs, root, vocabulary("word_bpe_49k.json"), end_id=1)
     return with_crc32(lookup(docs, root), read_manifest(root)["width"])
