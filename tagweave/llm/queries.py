@@ -99,7 +99,7 @@ m AS (SELECT w.doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws,
         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
       FROM w LEFT JOIN cov USING (r)),
 b AS (SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (10 * n_symbols > n_words)::BIGINT
-        + 8 * (10 * n_dup_lines > 3 * n_lines)::BIGINT + 16 * (word_chars < 2 * n_words)::BIGINT
+        + 8 * (2 * n_dup_lines > n_lines)::BIGINT + 16 * (word_chars < 2 * n_words)::BIGINT
         + 32 * (word_chars > 20 * n_words)::BIGINT + 64 * (2 * n_upper > n_letters)::BIGINT AS failed_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed,
   failed_bits = 0 AS kept, failed_bits FROM b

@@ -45,7 +45,7 @@ RULES = (
     Rule(0, "few_words", "n_words < 50"),
     Rule(1, "repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     Rule(2, "symbols", "10 * n_symbols > n_words"),
-    Rule(3, "duplicate_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(3, "duplicate_lines", "2 * n_dup_lines > n_lines"),
     Rule(4, "short_words", "word_chars < 2 * n_words"),
     Rule(5, "long_words", "word_chars > 20 * n_words"),
     Rule(6, "shouting", "2 * n_upper > n_letters"),
