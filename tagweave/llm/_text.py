@@ -102,6 +102,7 @@ def blocks(column: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int
     """Cut a column into runs of whole texts of about ``max_bytes`` (a longer
     text stands alone): ``(first row, last row + 1, bytes, offsets)`` with the
     offsets starting at 0."""
+    pa.default_memory_pool().release_unused()  # workers live on: give back what earlier batches took
     offsets, raw = text_buffers(column)
     n, i = len(offsets) - 1, 0
     while i < n:
