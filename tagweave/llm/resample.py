@@ -3,8 +3,8 @@ target text and of the raw text, the log of their ratio as a document's
 weight, and a sample without replacement by Gumbel top-k.
 
 The target is learned from the labelled good documents (a bounded sample of
-them, ``MAX_LABELS``, taken by the hash of the id), the raw model from every
-document.  Both models are ``N_BUCKETS`` counts, whatever the corpus.  The
+them, about ``MAX_LABELS``, taken by the hash of the id, so that their ids can
+be broadcast), the raw model from every document.  Both models are ``N_BUCKETS`` counts, whatever the corpus.  The
 weight is the mean log ratio over a document's n-grams times ``SHARPNESS``, so
 that a long text is not certain to win or lose by its length.
 
@@ -75,23 +75,29 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, n_buckets: int = N_BUCKETS) ->
     return rows, (mix64(keys) % np.uint64(n_buckets)).astype(np.int64)
 
 
-def bucket_counts(docs: DataFrame, text_col: str = "text", n_buckets: int = N_BUCKETS) -> np.ndarray:
-    """N-gram counts of all texts: one row per bucket and task is shuffled,
-    one number per bucket reaches the driver."""
+def bucket_counts(docs: DataFrame, good: np.ndarray, n_buckets: int = N_BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """N-gram counts ``(target, raw)`` of the texts whose ``mark`` is in
+    ``good`` (sorted) and of all texts (columns ``mark, text``), in one pass:
+    no text is shuffled, one row per bucket and task is, and one number per
+    bucket reaches the driver."""
+    marks = docs.sparkSession.sparkContext.broadcast(good)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_buckets, dtype=np.int64)
+        total = np.zeros((2, n_buckets), dtype=np.int64)
         for batch in batches:
-            for _, _, data, offsets in blocks(batch.column(0)):
-                total += np.bincount(ngrams(data, offsets, n_buckets)[1], minlength=n_buckets)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["bucket", "n"])
+            chosen = np.isin(batch.column(0).to_numpy(), marks.value)
+            for i, j, data, offsets in blocks(batch.column(1)):
+                rows, bucket = ngrams(data, offsets, n_buckets)
+                total[0] += np.bincount(bucket[chosen[i:j][rows]], minlength=n_buckets)
+                total[1] += np.bincount(bucket, minlength=n_buckets)
+        used = np.flatnonzero(total[1])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(t[used]) for t in total]], names=["bucket", "target", "raw"])
 
-    out = np.zeros(n_buckets)
-    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "bucket bigint, n bigint")
-    for r in rows.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[r["bucket"]] = r["n"]
-    return out
+    target, raw = np.zeros(n_buckets), np.zeros(n_buckets)
+    rows = docs.select("mark", "text").mapInArrow(run, "bucket bigint, target bigint, raw bigint")
+    for r in rows.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).collect():
+        target[r["bucket"]], raw[r["bucket"]] = r["target"], r["raw"]
+    return target, raw
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -188,11 +194,13 @@ def resample(
     n_lab, n_good = marked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("good").cast("bigint")), F.lit(0))).first()
     if share is None:
         share = n_good / n_lab if n_lab else 0.5
-    picked = marked.where("good")
-    if n_good > MAX_LABELS:  # a documented bound on what the target model is fitted on
-        picked = picked.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * MAX_LABELS / n_good))
-    target = bucket_counts(d.join(picked.select("id").distinct(), "id", "left_semi"), "text")
-    raw = bucket_counts(d, "text")
+    # what the target model is fitted on: good ids, MAX_LABELS of them at most
+    mark = F.xxhash64("id")
+    picked = marked.where("good").select(mark.alias("mark")).distinct()
+    if n_good > MAX_LABELS:
+        picked = picked.where(F.pmod("mark", F.lit(1 << 20)) < int((1 << 20) * MAX_LABELS / n_good))
+    good_marks = np.sort(picked.toPandas()["mark"].to_numpy(dtype=np.int64))
+    target, raw = bucket_counts(d.select(mark.alias("mark"), "text"), good_marks)
     w = weights(d, log_ratio(target, raw), "id", "text")
     # Gumbel noise from the id and the seed: reruns and retries draw the same
     u = (F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
