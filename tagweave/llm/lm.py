@@ -34,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import stored
@@ -46,7 +46,7 @@ ALPHA = 0.1
 PRIOR_WORDS = 10_000.0
 _SPACE = "▁"
 _END = "</s>"
-_COUNT_BLOCK = 2 << 20
+_COUNT_BLOCK = 1 << 20
 
 
 def held_out(ids: pa.Array, mod: int = HOLD_OUT) -> np.ndarray:
@@ -204,6 +204,19 @@ def score_words(words: DataFrame, vocabulary: str, counts: np.ndarray, n_docs: i
     return words.select("word", "c", "n").mapInArrow(run, "hash bigint, c bigint, n bigint, logp double")
 
 
+def _above(scored: DataFrame, most: int) -> Column:
+    """True for the most frequent words, ``most`` of them at most: a threshold
+    on the count, found by counting words in bins of like count (some hundred
+    bins, whatever the corpus)."""
+    level = F.floor(F.log2("n") * 16)
+    left, low = most, math.inf
+    for r in scored.groupBy(level.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("b")).collect():
+        if r["n"] > left:
+            break
+        left, low = left - r["n"], r["b"]
+    return F.lit(False) if low == math.inf else level >= low
+
+
 def score(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS
 ) -> DataFrame:
@@ -225,8 +238,7 @@ def score(
     log_end = Lattice(vocabulary, counts, n_train).log_end
     bottom = math.log(tokens + ALPHA * (kinds + 1)) if tokens else math.log(ALPHA)
 
-    # a fixed number of words, the most frequent ones
-    top = scored.orderBy(F.desc("n"), "hash").limit(head_words).toPandas().sort_values("hash")
+    top = scored.where(_above(scored, head_words)).toPandas().sort_values("hash")
     key = top["hash"].to_numpy()
     base = np.log(top["c"].to_numpy() + ALPHA)
     head = spark.sparkContext.broadcast((key, base, (top["c"].to_numpy() > 0).astype(np.int64), top["logp"].to_numpy()))
