@@ -11,9 +11,12 @@ compared.
 
 Only distinct fingerprints are indexed.  A variant's fingerprints are compared
 inside their group without emitting pairs: a group gives at most one link per
-member.  A group larger than ``MAX_GROUP`` is cut further by the same idea
-applied to the remaining bits (some half-segment of them is also within one
-bit), until the bits that are left bound its size.
+member.  All of a group agree on their segment but for its wildcard, so one
+larger than ``MAX_GROUP`` is cut by the same idea applied to the other bits
+only (some half of them is also within one bit), and again, until the bits
+that are left bound its size.  Pairs that agree on the wildcard bit too meet
+under every wildcard of the segment: only the first one's groups hold them,
+and a large group of another wildcard is cut only if both values occur.
 
 Edge cases: null and empty texts have no words and fingerprint zero, which
 links like any other; a text shorter than a shingle is one shingle; a null id
@@ -23,6 +26,7 @@ returned; extra columns are ignored; an empty table gives no rows."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -97,23 +101,43 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return rows.mapInArrow(run, "id bigint, tie bigint, fp bigint")
 
 
-def _cuts(max_bits: int) -> list[tuple[int, int]]:
-    """Bit ranges ``[lo, hi)`` of the segments."""
-    n = max_bits // 2 + 1
-    return [(64 * k // n, 64 * (k + 1) // n) for k in range(n)]
+_KEY = 42  # bits of a key below its path and wildcard
+_PATHS = 1 << 16
 
 
-def _variants(fp: np.ndarray, ranges: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """``(keys, which fingerprint)``: all one-wildcard variants of all segments; a key
-    holds the segment, the wildcard and the other bits."""
+def _levels(max_bits: int, max_group: int) -> list[list[tuple[list[int], list[int]]]]:
+    """For each level of cutting, ``(bits of the segment, bits left)`` by path:
+    path ``p`` goes on into the paths ``p * n + k`` of the next level, which cut
+    the bits it leaves into ``n`` segments.  The last level's groups are bounded
+    by the bits left and the wildcards above them."""
+    n = max_bits // 2 + 1
+    levels, left = [], [list(range(64))]
+    while True:
+        cuts = [(bits, [len(bits) * k // n for k in range(n + 1)]) for bits in left]
+        levels.append([(bits[c[k] : c[k + 1]], bits[: c[k]] + bits[c[k + 1] :]) for bits, c in cuts for k in range(n)])
+        left = [rest for _, rest in levels[-1]]
+        free = max(map(len, left)) + len(levels)
+        if 1 << free <= max_group or min(map(len, left)) < 2 * n or len(left) * n > _PATHS:
+            return levels
+
+
+def _variants(fp: np.ndarray, segments: list[tuple[int, list[int]]], parent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``(keys, which fingerprint)``: all one-wildcard variants of the segments
+    ``(path, bits)``; a key holds the path, the wildcard and the other bits
+    (hashed, where they are many or come with the key of the group being cut)."""
     keys = []
-    for s, (lo, hi) in enumerate(ranges):
-        width = hi - lo
-        seg = (fp >> np.uint64(lo)) & np.uint64((1 << width) - 1)
-        for w in range(width):
-            low = seg & np.uint64((1 << w) - 1)
-            high = (seg >> np.uint64(w + 1)) << np.uint64(w)
-            keys.append((high | low) | np.uint64(((s << 6) | w) << 48))
+    for path, bits in segments:
+        mask = sum(1 << b for b in bits)
+        for w, bit in enumerate(bits):
+            rest = fp & np.uint64(mask & ~(1 << bit))
+            if parent is not None:
+                with np.errstate(over="ignore"):
+                    rest = mix64(rest + mix64(parent)) >> np.uint64(64 - _KEY)
+            elif len(bits) <= _KEY:
+                rest = rest >> np.uint64(bits[0])
+            else:
+                rest = mix64(rest) >> np.uint64(64 - _KEY)
+            keys.append(rest | np.uint64((path << 6 | w) << _KEY))
     which = np.tile(np.arange(len(fp)), len(keys))
     return np.concatenate(keys) if keys else fp, which
 
@@ -140,16 +164,18 @@ def _link(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
 class _Groups:
     """Cuts sorted ``(key, fp)`` batches into groups of equal key, the last one
     of a batch going on into the next.  Groups of up to ``limit`` are linked;
-    of larger ones ``overflow`` gets each part as it comes, so no more than
-    ``limit`` and a batch are held."""
+    of larger ones each part is given out as it comes, so no more than
+    ``limit`` and a batch are held, and at the end their key, if they are to be
+    cut.  ``segments`` are the bits of each path."""
 
-    def __init__(self, max_bits: int, limit: int | None):
-        self.max_bits, self.limit = max_bits, limit
+    def __init__(self, max_bits: int, limit: int | None, segments: list[list[int]]):
+        self.max_bits, self.limit, self.segments = max_bits, limit, segments
         self.key, self.fp, self.over = None, np.zeros(0, np.uint64), False
+        self.some, self.all, self.cut = 0, -1, []
 
     def feed(self, key: np.ndarray, fp: np.ndarray, last: bool = False):
-        """``(links a, links b, [(key, members of an oversize group)])``"""
-        a, b, large = [], [], []
+        """``(links a, links b, [(key, members of an oversize group)], [key to cut])``"""
+        a, b, large, self.cut = [], [], [], []
         cut = np.flatnonzero(key[1:] != key[:-1]) + 1
         lo = np.concatenate([[0], cut]).astype(np.int64) if len(key) else np.zeros(0, np.int64)
         hi = np.concatenate([cut, [len(key)]]).astype(np.int64) if len(key) else lo
@@ -178,20 +204,27 @@ class _Groups:
             self.key = key[lo[k]]
             self._add(fp[lo[k] : hi[k]], large)
         none = np.zeros(0, np.uint64)
-        return np.concatenate([*a, none]), np.concatenate([*b, none]), large
+        return np.concatenate([*a, none]), np.concatenate([*b, none]), large, self.cut
 
     def _add(self, fp: np.ndarray, large: list) -> None:
         self.fp = np.concatenate([self.fp, fp])
         if self.limit is not None and (self.over or len(self.fp) > self.limit):
             large.append((self.key, self.fp))
+            self.some |= int(np.bitwise_or.reduce(self.fp))
+            self.all &= int(np.bitwise_and.reduce(self.fp))
             self.over, self.fp = True, np.zeros(0, np.uint64)
 
     def _close(self, a: list, b: list) -> None:
-        if len(self.fp) > 1 and not self.over:
+        if self.over:
+            path, w = divmod(int(self.key) >> _KEY, 64)
+            if w == 0 or (self.some ^ self.all) >> self.segments[path][w] & 1:
+                self.cut.append(self.key)
+        elif len(self.fp) > 1:
             u, v = _link(self.fp, self.max_bits)
             a.append(u)
             b.append(v)
         self.key, self.fp, self.over = None, np.zeros(0, np.uint64), False
+        self.some, self.all = 0, -1
 
 
 _ROWS = "key bigint, fp bigint"
@@ -204,46 +237,89 @@ def _batch(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GROUP) -> DataFrame:
-    """``(a, b)``: enough of the links among distinct fingerprints (column
-    ``fp``) to connect all that are connected."""
-    ranges = _cuts(max_bits)
-    inner = [r for lo, hi in ranges for r in ((lo, (lo + hi) // 2), ((lo + hi) // 2, hi))]
+def _pairs(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(fp.view(np.int64))], names=["key", "fp"])
+
+
+def _spread(level: list):
+    """Fingerprints to the variants of the first level."""
+    segments = [(path, bits) for path, (bits, _) in enumerate(level)]
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(np.uint64)
             for lo in range(0, len(fp), 2000):
                 part = fp[lo : lo + 2000]
-                key, which = _variants(part, ranges)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(part[which].view(np.int64))], names=["key", "fp"])
-
-    def group(limit: int | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            g = _Groups(max_bits, limit)
-            for batch in batches:
-                yield from out(g.feed(batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)))
-            yield from out(g.feed(np.zeros(0, np.int64), np.zeros(0, np.uint64), last=True))
-
-        def out(found) -> Iterator[pa.RecordBatch]:
-            a, b, large = found
-            if len(a):
-                yield _batch(0, a, b)
-            for key, fp in large:  # kind 1: a variant of a variant, to be grouped once more
-                for lo in range(0, len(fp), 2000):
-                    part = fp[lo : lo + 2000]
-                    sub, which = _variants(part, inner)
-                    with np.errstate(over="ignore"):
-                        sub = mix64(sub + mix64(np.asarray([key]).view(np.uint64))[0])
-                    yield _batch(1, sub, part[which])
-
-        return run
-
-    rows = distinct.select("fp").mapInArrow(spread, _ROWS)
-    first = stored(rows.repartition("key").sortWithinPartitions("key").mapInArrow(group(max_group), _LINKS), "simhash-links")
-    again = first.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"))
-    second = again.repartition("key").sortWithinPartitions("key").mapInArrow(group(None), _LINKS)
-    return first.where("kind = 0").select("a", "b").unionAll(second.select("a", "b"))
+                key, which = _variants(part, segments)
+                yield _pairs(key, part[which])
+
+    return run
+
+
+def _spread_again(level: list, n: int):
+    """Members ``(key, fp)`` of groups being cut to the variants, inside their
+    group, of the bits that its path has left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, fps = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            for lo in range(0, len(fps), 2000):
+                key, fp = keys[lo : lo + 2000], fps[lo : lo + 2000]
+                paths = key >> np.uint64(_KEY + 6)
+                for p in np.unique(paths).tolist():
+                    at = paths == p
+                    sub, which = _variants(fp[at], [(q, level[q][0]) for q in range(p * n, p * n + n)], key[at])
+                    yield _pairs(sub, fp[at][which])
+
+    return run
+
+
+def _group(max_bits: int, limit: int | None, level: list):
+    """Sorted ``(key, fp)`` rows to links (kind 0), members of oversize groups
+    (kind 1: key, fp) and the keys of those to cut (kind 2)."""
+    segments = [bits for bits, _ in level]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = _Groups(max_bits, limit, segments)
+        for batch in batches:
+            yield from out(g.feed(*(batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))))
+        yield from out(g.feed(np.zeros(0, np.uint64), np.zeros(0, np.uint64), last=True))
+
+    def out(found) -> Iterator[pa.RecordBatch]:
+        a, b, large, cut = found
+        if len(a):
+            yield _batch(0, a, b)
+        for key, fp in large:
+            yield _batch(1, np.full(len(fp), key, np.uint64), fp)
+        if cut:
+            key = np.array(cut, np.uint64)
+            yield _batch(2, key, key)
+
+    return run
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, max_group: int = MAX_GROUP) -> DataFrame:
+    """``(a, b)``: enough of the links among distinct fingerprints (column
+    ``fp``) to connect all that are connected."""
+    levels = _levels(max_bits, max_group)
+    rows = distinct.select("fp").mapInArrow(_spread(levels[0]), _ROWS)
+    found = []
+    for depth in range(len(levels)):
+        last = depth == len(levels) - 1
+        grouped = rows.repartition("key").sortWithinPartitions("key").mapInArrow(
+            _group(max_bits, None if last else max_group, levels[depth]), _LINKS
+        )
+        if last:
+            found.append(grouped.select("a", "b"))
+            break
+        out = stored(grouped, "simhash-links")
+        found.append(out.where("kind = 0").select("a", "b"))
+        cut = out.where("kind = 2").select("a")
+        if cut.isEmpty():
+            break
+        large = out.where("kind = 1").select("a", "b").join(cut, "a", "left_semi")
+        rows = large.select("a", "b").mapInArrow(_spread_again(levels[depth + 1], max_bits // 2 + 1), _ROWS)
+    return reduce(DataFrame.unionAll, found)
 
 
 def near_duplicates(

@@ -209,6 +209,51 @@ def test_simhash_dense_cluster(spark, limit):
     assert len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+def test_simhash_hot_family_is_cut(spark, monkeypatch):
+    """Near copies that share a whole segment: cutting leaves groups within what
+    the bits left bound, and the links stay whole."""
+    rnd = random.Random(6)
+    base = rnd.getrandbits(64)
+    fp = {base ^ sum(1 << b for b in rnd.sample(range(32, 64), rnd.randint(0, 4))) for _ in range(1500)}
+    fp = np.array(sorted(fp), np.uint64)
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp bigint").repartition(3)
+    dealt, repartition = [], type(df).repartition
+
+    def spy(self, *cols):
+        if cols == ("key",):
+            dealt.append(self)
+        return repartition(self, *cols)
+
+    monkeypatch.setattr(type(df), "repartition", spy)
+    root = dict(tuple(r) for r in components(simhash.links(df, 3, max_group=64)).collect())
+    label, groups = closed(fp, 3), {}
+    for k, x in enumerate(fp.view(np.int64).tolist()):
+        groups.setdefault(label[k], set()).add(root.get(x, x))
+    assert all(len(g) == 1 for g in groups.values())
+    assert len({next(iter(g)) for g in groups.values()}) == len(groups)
+    largest = [rows.groupBy("key").count().agg(F.max("count")).first()[0] for rows in dealt]
+    assert largest[0] == len(fp) and largest[1] < len(fp) and largest[-1] <= 128, largest
+
+
+def test_simhash_levels_bound_the_groups():
+    levels = simhash._levels(simhash.MAX_BITS, simhash.MAX_GROUP)
+    assert all(1 << len(left) + len(levels) <= simhash.MAX_GROUP for _, left in levels[-1])
+    fp = np.random.default_rng(3).integers(0, 1 << 63, 50).astype(np.uint64)
+    for bits in range(6):  # pairs up to `bits` apart meet at every level
+        n = bits // 2 + 1
+        for x in fp:
+            y = x ^ np.uint64(sum(1 << b for b in random.Random(int(x)).sample(range(64), bits)))
+            keys = [(None, p) for p in range(n)]
+            for level in simhash._levels(bits, 64):
+                met = []
+                for parent, p in keys:
+                    up = None if parent is None else np.array([parent], np.uint64)
+                    u, v = (simhash._variants(np.array([z], np.uint64), [(p, level[p][0])], up)[0] for z in (x, y))
+                    met += [(int(k), p) for k in np.intersect1d(u, v)[:1]]
+                assert met, bits
+                keys = [(k, p * n + j) for k, p in met for j in range(n)]
+
+
 def test_keep_one_row_of_each_group(spark, odd):
     kept = simhash.keep_one(odd)
     groups = simhash.near_duplicates(odd).select("component").distinct().count()
