@@ -140,6 +140,13 @@ def test_resampling_finds_good_documents(spark, odd, empty):
     assert {r.log_weight for r in none} <= {0.0, None}
 
 
+def test_toxic_documents_get_lower_weights(spark):
+    sf = "/root/testdata/sf0.1"  # most of its toxic documents have quality 1
+    out = queries.op9_quality_classifier(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("quality = 1")
+    mean = {r.toxic: r for r in out.groupBy("toxic").agg(F.avg("log_weight").alias("w"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert mean[1].w < mean[0].w - 0.01 and mean[1].kept < mean[0].kept - 0.1, mean
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(1)
     keys = [float(x) for x in rng.normal(size=500)] + [2.5] * 7 + [None] * 3
