@@ -2,6 +2,10 @@
 to known licence-sentence identifiers, and the identifier sequence of a
 document is matched against ordered licence rules.  DataFrame functions only.
 
+A known sentence may be wrapped over lines, with comment marks before each: a
+match runs over any whole lines up to a blank line or a sentence end, the
+longest known sentence first.
+
 Edge cases: null and empty texts have no sentences and no licence; a null id
 stays null; every input row gives one output row; extra columns are ignored."""
 
@@ -16,6 +20,8 @@ from ._licence_rules import RULES, SENTENCES
 
 _SENTENCE_END = r"[.!?;]+([ \t\n\r\"')]|\z)"
 _NO_WORD = r"[^\p{L}\p{N}\n]+"
+# comment marks that would end a sentence at the start of a line
+_MARKS = r"(?m)^[ \t]*[;!]+(?=[ \t\r\n]|\z)"
 
 
 def sentences(text: Column) -> Column:
@@ -27,6 +33,21 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(F.split(words, "\n"), lambda s: F.trim(s)), lambda s: s != "")
 
 
+def wrapped(text: Column) -> Column:
+    """A text as lower-case words and numbers: a space inside a line, a line
+    end between lines, two and more at sentence ends and blank lines."""
+    marked = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _MARKS, "")
+    ends = F.regexp_replace(marked, _SENTENCE_END, "\n\n")
+    return F.regexp_replace(F.regexp_replace(ends, _NO_WORD, " "), " ?\n ?", "\n")
+
+
+def _any_of(names: Sequence[str]) -> str:
+    """A pattern of whole lines that are one of the known sentences, the longest
+    that fits first.  Its words may be a line end apart, never two."""
+    longest = sorted(names, key=lambda t: (-len(t), t))
+    return r"(?m)^ ?(" + "|".join(t.replace(" ", "[ \n]") for t in longest) + r") ?$"
+
+
 def _contains_in_order(ids: Column, rule: Sequence[str]) -> Column:
     """True when the rule's identifiers appear in ``ids`` in this order, other
     known sentences allowed in between: the state is how many have matched."""
@@ -53,8 +74,9 @@ def license_scan(
     names = sorted(known)
     texts = F.array(*[F.lit(t) for t in names])
     ids = F.array(*[F.lit(known[t]) for t in names])
-    d = docs.select(F.col(id_col).alias("__id"), sentences(F.col(text_col).cast("string")).alias("__s"))
-    d = d.withColumn("__k", F.filter(F.col("__s"), lambda s: F.array_contains(texts, s)))
+    text = F.col(text_col).cast("string")
+    met = F.regexp_extract_all(wrapped(text), F.lit(_any_of(names)), F.lit(1)) if names else F.array().cast("array<string>")
+    d = docs.select(F.col(id_col).alias("__id"), sentences(text).alias("__s"), F.transform(met, lambda s: F.translate(s, "\n", " ")).alias("__k"))
     d = d.withColumn("sentence_ids", F.transform(F.col("__k"), lambda s: F.get(ids, (F.array_position(texts, s) - 1).cast("int"))))
     found = F.array_distinct(
         F.array_compact(F.array(*[F.when(_contains_in_order(F.col("sentence_ids"), seq), F.lit(name)) for name, seq in rules]))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -71,6 +72,53 @@ def test_licences(spark, odd, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+MIT = """MIT License
+Copyright (c) 2021 Somebody
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD = """Copyright (c) 2020, Somebody. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+BSD_NAME = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+"""
+APACHE = """Copyright 2019 The Authors
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY."""
+GPL2 = GPL.replace("software:", "software;").replace("version 3", "version 2")
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", "-- ", ";; ", "! "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_licences_wrapped(spark, mark, end):
+    texts = {"MIT": MIT, "BSD-2-Clause": BSD, "BSD-3-Clause": BSD + BSD_NAME, "Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "GPL-2.0-or-later": GPL2}
+    rows = []
+    for name, text in texts.items():
+        for width in (24, 50, 72, 79):
+            lines = [x for t in text.split("\n") for x in textwrap.wrap(t, width) or [""]]
+            rows.append((name, f"some code(){end}{end}" + end.join((mark + x).rstrip() for x in lines) + f"{end}{end}more code()"))
+    got = licenses.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [(r.doc_id, r.license) for r in got] == [(n, n) for n, _ in rows]
+
+
+def test_licence_sentences_keep_to_lines_and_paragraphs(spark):
+    rows = [(1, "Released under the\n\nMIT License."), (2, "Released under the. MIT License."), (3, "It is released under the\nMIT License."),
+            (4, "Released under the\nMIT License of old."), (5, "Heading\nReleased under\n# the MIT License\nmore words")]
+    got = {r.doc_id: r.license for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: None, 2: None, 3: None, 4: None, 5: "MIT"}
+
+
 def brute_base(rows):
     texts = [WORDS.findall((t or "").translate(LOW)) + [None] for _, t in rows]
     train = [zlib.crc32(b"" if i is None else str(i).encode()) % 10 != 0 for i, _ in rows]
