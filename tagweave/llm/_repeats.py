@@ -252,7 +252,7 @@ def _window_hashes(cutter: Cutter, units: np.ndarray, base: np.ndarray, n: np.nd
     at = base[row] + d
     out = []
     for seed in seeds:
-        prefix, inv = prefix_hash(cutter.spell(units, seed))
+        prefix, inv = prefix_hash(cutter.spell(units, seed), seed)
         out.append(range_hash(prefix, inv, at, at + cutter.window))
     return row, d, out
 

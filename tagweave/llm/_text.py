@@ -2,9 +2,11 @@
 bounded blocks, find words, hash byte ranges.
 
 Texts are handled as UTF-8 bytes.  Range hashes are prefix polynomial hashes
-modulo 2^64 over a fixed random byte table: with ``P[i]`` the running sum of
-``table[byte] * B^i``, the hash of ``[a, b)`` is ``(P[b] - P[a]) * B^-a``, so
-every range costs two lookups whatever its length."""
+modulo the prime 2^61 - 1 with a base for each seed: with ``P[i]`` the running
+sum of ``value * B^i``, the hash of ``[a, b)`` is ``(P[b] - P[a]) * B^-a``, so
+every range costs two lookups whatever its length.  A power of two as modulus
+would not do: words built by doubling (Thue-Morse) collide there under every
+base.  Words have a hash of their own, mixed eight bytes at a time."""
 
 from __future__ import annotations
 
@@ -13,10 +15,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 1 << 18
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+_PRIME = (1 << 61) - 1
+_P = np.uint64(_PRIME)
 
 # [^\x20\x09-\x0D]+
 WORD_BYTES = np.ones(256, dtype=bool)
@@ -42,36 +45,80 @@ def byte_table(seed: int = 1) -> np.ndarray:
         return _splitmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)) | np.uint64(1)
 
 
-@lru_cache(maxsize=2)
+def _reduce(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit value modulo 2^61 - 1."""
+    x = (x & _P) + (x >> np.uint64(61))
+    x -= _P * (x >= _P)
+    return x
+
+
+def mul_mod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of values below it, from 31-bit halves."""
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    mid = a1 * b0 + a0 * b1  # times 2^31; what lies above 2^61 comes back at the bottom
+    return _reduce(((a1 * b1) << np.uint64(1)) + (mid >> np.uint64(30)) + ((mid & np.uint64((1 << 30) - 1)) << half) + a0 * b0)
+
+
+def sub_mod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a - b + _P * (a < b)
+
+
+def _shift_mod(x: np.ndarray, k: int) -> np.ndarray:
+    """``x * 2^k`` modulo 2^61 - 1 for ``x`` below it: a rotation of 61 bits."""
+    return _reduce(((x << np.uint64(k)) & _P) | (x >> np.uint64(61 - k)))
+
+
+_CHUNK = 1 << 14
+
+
+def _base(seed: int) -> int:
+    with np.errstate(over="ignore"):
+        return int(_splitmix(np.array([seed + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0]) % (_PRIME - 1024) + 1000
+
+
+@lru_cache(maxsize=6)
 def _powers(n: int, base: int) -> np.ndarray:
-    """``base^0 .. base^(n-1)`` modulo 2^64, by doubling."""
+    """``base^0 .. base^(n-1)`` modulo 2^61 - 1, by doubling."""
     out = np.ones(1, dtype=np.uint64)
     step = base
-    with np.errstate(over="ignore"):
-        while len(out) < n:
-            out = np.concatenate([out, out * np.uint64(step)])
-            step = step * step % (1 << 64)
+    while len(out) < n:
+        out = np.concatenate([out, mul_mod(out, np.uint64(step))])
+        step = step * step % _PRIME
     return out
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    return _powers(size, _BASE)[:n], _powers(size, _BASE_INV)[:n]
+def _size(n: int) -> int:
+    return 1 << max(16, int(n).bit_length())
 
 
-def prefix_hash(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def prefix_hash(values: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """``(P, inverse powers)`` of a sequence of 64-bit values; see `range_hash`."""
     n = len(values)
-    p, inv = powers(n + 1)
+    base, size = _base(seed), _size(n + 1)
+    power = _powers(size, base)
     out = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * p[:n], out=out[1:])
-    return out, inv
+    half, low = np.uint64(31), np.uint64((1 << 31) - 1)
+    for a in range(0, n, _CHUNK):  # pieces that stay in the cache
+        b = min(a + _CHUNK, n)
+        term = mul_mod(_reduce(values[a:b]), power[a:b])
+        term[0] += out[a]
+        # halves are summed apart: neither sum can overflow
+        high = _shift_mod(_reduce(np.cumsum(term >> half)), 31)
+        out[a + 1 : b + 1] = _reduce(high + _reduce(np.cumsum(term & low)))
+    return out, _powers(size, pow(base, -1, _PRIME))[: n + 1]
+
+
+def range_raw(prefix: np.ndarray, inv: np.ndarray, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
+    """Unmixed hash of each ``[start, end)``; ranges of one length compare."""
+    return mul_mod(sub_mod(prefix[end], prefix[start]), inv[start])
 
 
 def range_hash(prefix: np.ndarray, inv: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Mixed hash of each ``[start, end)``; equal content and length give
     equal hashes wherever the range lies."""
-    return _splitmix((prefix[end] - prefix[start]) * inv[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    with np.errstate(over="ignore"):
+        return _splitmix(range_raw(prefix, inv, start, end) + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 ARROW_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -132,12 +179,35 @@ def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_B
     return start, end, np.searchsorted(start, offsets)
 
 
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place on, as a number; zeros after the end."""
+    return np.ndarray((len(data) + 1,), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+_LONG = 64  # bytes; longer words go one by one through xxh3
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False, seed: int = 1) -> np.ndarray:
-    table = byte_table(seed)
+    """Hash of each byte range: its length and its bytes, eight at a time, each
+    mixed into what came before."""
     if lower:
-        table = table[LOWER]
-    prefix, inv = prefix_hash(table[data])
-    return range_hash(prefix, inv, start, end)
+        data = LOWER[data]
+    at, size = eight_bytes(data), end - start
+    salt = int(_splitmix(np.array([seed], np.uint64))[0])
+    with np.errstate(over="ignore"):
+        h = size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt)
+        todo, pos, left = np.flatnonzero(size <= _LONG), start, size
+        if len(todo) < len(size):
+            pos, left = start[todo], size[todo]
+        while len(todo):
+            mixed = _splitmix(h[todo] ^ (at[pos] & _MASK[np.minimum(left, 8)]))
+            h[todo] = mixed
+            on = np.flatnonzero(left > 8)
+            todo, pos, left = todo[on], pos[on] + 8, left[on] - 8
+    for k in np.flatnonzero(size > _LONG).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(data[start[k] : end[k]].tobytes(), salt)
+    return h
 
 
 def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
