@@ -11,6 +11,7 @@ from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
 from ._text import small_batches
 from .decontam import scan
+from .hard_negatives import mine
 from .licenses import license_scan
 from .lm import score
 from .mixing import plan_mix, taken, with_sources
@@ -173,6 +174,26 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 100 == 0, label_col=label).drop("positive_rank")
+
+
+OP11_SQL = r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+    coalesce(list_inner_product(a.q, b.q), 0)::BIGINT AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ar ORDER BY score DESC, other_id NULLS LAST) AS p FROM s WHERE alike) WHERE p <= 5),
+n AS (SELECT p.ar, p.p, p.anchor_id, p.other_id AS positive_id, p.score AS positive_score, s.other_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.ar, p.p ORDER BY s.score DESC, s.other_id NULLS LAST) AS k
+  FROM p JOIN s ON p.ar = s.ar AND NOT s.alike AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 5
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -184,6 +205,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -191,4 +213,5 @@ ORACLE_SQL = {
     "op6_quality_rules": OP6_SQL,
     "op8_license_scan": _op8_sql(),
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
