@@ -10,6 +10,7 @@ from ..session import scratch_path
 from ._licence_rules import RULES as LICENCE_RULES
 from ._licence_rules import SENTENCES
 from ._text import small_batches
+from .conversations import damaged, repair
 from .decontam import scan
 from .hard_negatives import mine
 from .licenses import license_scan
@@ -194,6 +195,11 @@ SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score,
 """
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    return repair(rows, damaged(rows))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -206,6 +212,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL = {
