@@ -15,6 +15,7 @@ from .decontam import scan
 from .hard_negatives import mine
 from .licenses import license_scan
 from .lm import score
+from .minhash import near_duplicates as minhash_near_duplicates
 from .mixing import plan_mix, taken, with_sources
 from .resample import resample
 from .rules import BASE_POLICY, ledger, verdict
@@ -195,6 +196,12 @@ SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score,
 """
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_near_duplicates(_table(spark, sf_dir, "documents"), shingle=5, percent=85)
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations")
     return repair(rows, damaged(rows))
@@ -212,6 +219,7 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_minhash_near_dedup": op12_minhash_near_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
