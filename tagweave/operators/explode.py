@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import col
+from .sequence import _join_back
 
 
 def _coordinate_tree(c: Column, names: Sequence[str], depth: int, acc: list[tuple[str, Column]]) -> Column:
@@ -19,7 +20,8 @@ def _coordinate_tree(c: Column, names: Sequence[str], depth: int, acc: list[tupl
             lambda w, wi: F.struct(*[v.alias(n) for n, v in acc], (wi + 1).alias(names[-1]), w.alias("value")),
         )
     inner = F.transform(c, lambda x, xi: _coordinate_tree(x, names, depth - 1, acc + [(names[len(acc)], xi + 1)]))
-    return F.flatten(inner)
+    # an element that is null has its number and no content
+    return F.flatten(F.filter(inner, lambda x: x.isNotNull()))
 
 
 def explode_nested(
@@ -51,6 +53,76 @@ def explode_nested(
     return exploded.select(*out)
 
 
+def _leaves(c: Column, depth: int) -> Column:
+    """Number of innermost elements of ``array^depth``."""
+    if depth == 1:
+        return F.size(c).cast("bigint")
+    return F.aggregate(F.filter(c, lambda x: x.isNotNull()), F.lit(0).cast("bigint"), lambda n, x: n + _leaves(x, depth - 1))
+
+
+def explode_chapters(
+    chapters: DataFrame,
+    by: Sequence[str],
+    chapter: str = "chapter",
+    content: str = "content",
+    coords: Sequence[str] = ("verse",),
+    position: str = "word",
+    ordinal: str | None = "ordinal",
+    value: str = "value",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per innermost element of chapters that are rows of their own.
+
+    ``content`` has ``len(coords) + 1`` array levels.  ``ordinal`` runs through
+    all chapters of ``by``: each chapter's own ordinals start after a prefix sum
+    over the sizes of the chapters before it, one small row a chapter, so a book
+    of any size is as many tasks as its chapters are dealt to."""
+    by = list(by)
+    keep = list(keep if keep is not None else [c for c in chapters.columns if c not in (content, chapter)])
+    d = chapters.where(F.size(content) > 0)
+    names = [*coords, position]
+    flat = _coordinate_tree(F.col(content), names, len(coords), [])
+    if not ordinal:
+        rows = d.select(*keep, chapter, F.explode(flat).alias("__s"))
+        return rows.select(*keep, chapter, *[F.col("__s")[n].alias(n) for n in names], F.col("__s")["value"].alias(value))
+    before = Window.partitionBy(*by).orderBy(chapter).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = d.select(*by, chapter, _leaves(F.col(content), len(coords) + 1).alias("__n"))
+    offsets = sizes.select(*by, chapter, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    rows = _join_back(d, offsets, [*by, chapter]).select(*keep, chapter, "__off", F.posexplode(flat).alias("__pos", "__s"))
+    return rows.select(
+        *keep, chapter, *[F.col("__s")[n].alias(n) for n in names], (F.col("__pos") + 1 + F.col("__off")).alias(ordinal), F.col("__s")["value"].alias(value)
+    )
+
+
+def explode_levels(
+    df: DataFrame,
+    column: str | Column,
+    by: Sequence[str],
+    coords: Sequence[str] = ("chapter", "verse"),
+    position: str = "word",
+    ordinal: str | None = "ordinal",
+    value: str = "value",
+    keep: Sequence[str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """`explode_nested` in two levels: the first level's elements become rows
+    and are dealt to all tasks before the rest is exploded.
+
+    ``by`` names the columns that tell the rows of ``df`` apart.  Same rows as
+    `explode_nested`, for books that are too large to be exploded by the task
+    that holds them."""
+    by = list(by)
+    keep = [c for c in (keep if keep is not None else df.columns) if c != (column if isinstance(column, str) else None)]
+    extra = [c for c in by if c not in keep]
+    chapters = df.select(*keep, *extra, F.posexplode(col(column)).alias("__p", "__content"))
+    chapters = chapters.select(*keep, *extra, (F.col("__p") + 1).alias(coords[0]), "__content")
+    # dealt by book and chapter; the sizes and the rows share this shuffle
+    spread = [*by, coords[0]]
+    chapters = chapters.repartition(partitions, *spread) if partitions else chapters.repartition(*spread)
+    out = explode_chapters(chapters, by, coords[0], "__content", coords[1:], position, ordinal, value, keep=[*keep, *extra])
+    return out.drop(*extra)
+
+
 def split_nested(text: str | Column, separators: Sequence[str]) -> Column:
     """Split a text into nested arrays, one regex separator per level,
     e.g. ``('\\n', ' ')`` -> lines of tokens.  Empty pieces are kept."""

@@ -22,12 +22,13 @@ from ..functions.tree import decode_tree, split_tag
 from ..operators.batching import assign_batches, batch_report, exact_batches, group_totals, latest_by_key
 from ..operators.decode import book_dimension, decode_by_dictionary, decode_tree_columns, lookup_table
 from ..operators.entities import flatten_struct, project_fields, to_flat_entity, to_item, to_json_row, to_keyed, to_wide_entity
-from ..operators.explode import explode_nested, explode_text, split_nested
+from ..operators.explode import explode_chapters, explode_levels, explode_nested, explode_text, split_nested
 from ..operators.joins import spread
 from ..operators.profile import payload_profile
 from ..operators.sequence import global_ordinal, run_ordinal
 from ..session import scratch_path
 from ..sinks.jsonl import read_jsonl, write_jsonl
+from ..sources.chapters import read_nested_chapters
 from ..sources.files import check_manifest, key_from_name, read_nested_books, read_tagged_lines, variant_path, with_key_from_name
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +166,38 @@ def src_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SPLIT_BOOKS = 8
+
+
+def gen_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``gen_nested`` by the two-level explode."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", split_nested("text", [LINE, SENTENCE, TOKEN]).alias("book"))
+    w = explode_levels(docs, "book", by=["doc_id"], coords=("chapter", "verse"), position="word", ordinal="ordinal", value="token")
+    return w.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")], "token")
+
+
+def src_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few large nested books (a document is a chapter, after one that is null;
+    words carry brackets and quotes), written as one JSON file each, cut at
+    chapter ends by many tasks, and exploded."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    mark = F.lit('] "[\\\\" [')
+    nested = F.transform(split_nested("text", [LINE, TOKEN]), lambda vs: F.transform(vs, lambda t: F.array(t, F.col("doc_id").cast("string"), mark)))
+    lines = docs.select(F.pmod("doc_id", F.lit(_SPLIT_BOOKS)).alias("book"), "doc_id", F.concat(F.lit(",\n "), F.to_json(nested)).alias("value"))
+    books = lines.select("book").distinct()
+    ends = [books.select("book", F.lit(p).cast("bigint").alias("doc_id"), F.lit(v).alias("value")) for p, v in ((-1, "[ null"), ((1 << 63) - 1, "\n]"))]
+    out = scratch_path(spark, "chapters")
+    whole = lines.unionByName(ends[0]).unionByName(ends[1])
+    whole.repartition("book").sortWithinPartitions("book", "doc_id").select("book", "value").write.partitionBy("book").text(out)
+    chapters = read_nested_chapters(spark, out + "/book=*", glob="*.txt")
+    number = F.regexp_extract("file", r"book=([0-9]+)", 1).cast("bigint")
+    w = explode_chapters(chapters.withColumn("book", number), by=["file"], coords=("verse",), position="word", ordinal="ordinal", value="w", keep=["book"])
+    return w.select(
+        "book", F.col("w")[1].cast("bigint").alias("doc_id"), *[F.col(c).cast("bigint").alias(c) for c in ("chapter", "verse", "word", "ordinal")],
+        F.col("w")[0].alias("token"), F.col("w")[2].alias("mark"),
+    )
+
+
 def _write_variants(spark: SparkSession, sf_dir: str, variants: tuple[str, ...] = ("hebrew", "english")) -> str:
     """Documents as nested books under the numberings' folders: a word is
     ``[token, doc_id, tag]``, the book by ``doc_id``; the default numbering
@@ -615,12 +648,14 @@ def gnt_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "gen_nested": gen_nested,
+    "gen_levels": gen_levels,
     "stream_tokens": stream_tokens,
     "ord_global": ord_global,
     "id_padded": id_padded,
     "id_sequence": id_sequence,
     "src_lines": src_lines,
     "src_nested": src_nested,
+    "src_chapters": src_chapters,
     "src_variant": src_variant,
     "wlc_words": wlc_words,
     "src_manifest": src_manifest,

@@ -171,6 +171,14 @@ def oracle_sql() -> dict[str, str]:
     s["gen_nested"] = f"""WITH {_DOC_WORDS}
 SELECT doc_id, CAST(chapter AS BIGINT) AS chapter, CAST(verse AS BIGINT) AS verse, CAST(word AS BIGINT) AS word,
        CAST(ordinal AS BIGINT) AS ordinal, token FROM wo"""
+    s["gen_levels"] = s["gen_nested"]
+    s["src_chapters"] = """WITH d AS (SELECT doc_id, text, doc_id % 8 AS book, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id) + 1 AS chapter FROM documents),
+l AS (SELECT book, doc_id, chapter, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS verse FROM d),
+w AS (SELECT book, doc_id, chapter, verse, unnest(string_split(line, ' ')) AS token,
+             generate_subscripts(string_split(line, ' '), 1) AS word FROM l)
+SELECT book, doc_id, chapter, CAST(verse AS BIGINT) AS verse, CAST(word AS BIGINT) AS word,
+       row_number() OVER (PARTITION BY book ORDER BY chapter, verse, word) AS ordinal, token, '] "[\\\\" [' AS mark FROM w"""
     s["ord_global"] = f"""WITH {_DOC_WORDS}
 SELECT doc_id, CAST(chapter AS BIGINT) AS chapter, CAST(verse AS BIGINT) AS verse, CAST(word AS BIGINT) AS word,
        CAST(ordinal AS BIGINT) AS ordinal FROM wo"""

@@ -1,5 +1,6 @@
 """File sources."""
 
+from .chapters import NESTED3, read_nested_chapters
 from .files import (
     NESTED4,
     check_manifest,
@@ -13,6 +14,6 @@ from .files import (
 )
 
 __all__ = [
-    "NESTED4", "check_manifest", "key_from_name", "list_books", "read_nested_books",
+    "NESTED3", "NESTED4", "read_nested_chapters", "check_manifest", "key_from_name", "list_books", "read_nested_books",
     "read_tagged_lines", "split_quarantine", "variant_path", "with_key_from_name",
 ]

@@ -101,7 +101,7 @@ def read_nested_books(
         return _read_book_lines(spark, path, glob, schema, on_error)
     if layout != "files":
         raise ValueError("layout must be 'files' or 'lines'")
-    raw = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(path)
+    raw = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     parsed = F.from_json("value", schema)
     df = raw.select(
         F.col("_metadata.file_path").alias("file"),
