@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .sequence import sequence_within
 
@@ -119,8 +120,21 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> Dat
     """Keep, per key, the row with the greatest ``seq`` (last write wins).
     ``max_by`` aggregates partially on the map side, so a hot key is
     combined before the shuffle.  ``keys`` may be several columns (a store's
-    hash and range key)."""
+    hash and range key).
+
+    Rows of equal ``seq`` are told apart by a hash of their other columns, so
+    reruns agree; nulls come first, and a null key is a key."""
     keys, seq = list(keys), list(seq)
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*seq)).alias("__row")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    tie = F.xxhash64(*[c for c in rest if not _has_map(types[c])])
+    best = F.max_by(F.struct(*rest), F.struct(*seq, tie)).alias("__row")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    return isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields)

@@ -10,8 +10,11 @@ group, and building the plan runs no job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -113,6 +116,18 @@ def run_ordinal(
         F.max_by("__lord", "__rn").alias("__lastlen"),
         F.sum(F.col("__isstart").cast("int")).alias("__nruns"),
     )
+    carries = _carries(summary, by)
+    return (
+        _join_back(local, carries, [*by, _CK])
+        .withColumn(out, F.col("__lord") + F.when(F.col("__start") == 1, F.col("__carry")).otherwise(F.lit(0).cast("bigint")))
+        .drop(_CK, "__rn", "__isstart", "__start", "__lord", "__carry", *(["__v"] if vname == "__v" else []))
+    )
+
+
+def _carries(summary: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, chunk, __carry)``: the length that a chunk's first run has
+    before it.  ``summary`` has a row for each chunk: its first and last value,
+    the length of its last run and how many runs it has."""
     wc = Window.partitionBy(*by).orderBy(_CK)
     s = (
         summary.withColumn("__hasprev", F.lag(F.lit(True)).over(wc).isNotNull())
@@ -123,11 +138,121 @@ def run_ordinal(
     )
     wchain = Window.partitionBy(*by, "__chain").orderBy(_CK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     s = s.withColumn("__cum", F.sum("__lastlen").over(wchain))
-    carries = s.select(
+    return s.select(
         *by, _CK, F.when(F.col("__connected"), F.lag("__cum").over(wc)).otherwise(F.lit(0)).alias("__carry")
     )
-    return (
-        _join_back(local, carries, [*by, _CK])
-        .withColumn(out, F.col("__lord") + F.when(F.col("__start") == 1, F.col("__carry")).otherwise(F.lit(0).cast("bigint")))
-        .drop(_CK, "__rn", "__isstart", "__start", "__lord", "__carry", *(["__v"] if vname == "__v" else []))
+
+
+def _changes(values: list[pa.Array], before: list | None) -> np.ndarray:
+    """True where a row's values differ from those of the row before it; nulls
+    are equal.  ``before``: the values of the row before the first one."""
+    n = len(values[0])
+    out = np.zeros(n, bool)
+    for k, v in enumerate(values):
+        if n > 1:
+            same = pc.fill_null(pc.equal(v[1:], v[:-1]), False)
+            both = pc.and_(pc.is_null(v[1:]), pc.is_null(v[:-1]))
+            out[1:] |= ~pc.or_(same, both).to_numpy(zero_copy_only=False)
+        out[0] |= before is None or v[0].as_py() != before[k]
+    return out
+
+
+class _Runs:
+    """Runs of equal values along the chunks that stream by."""
+
+    def __init__(self, n_keys: int):
+        self.n_keys = n_keys
+        self.last: list | None = None  # keys and value of the row before
+        self.length = self.runs = 0  # of the run that is open; runs in its chunk
+
+    def add(self, keys: list[pa.Array], value: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ordinal in the run, run number in the chunk, starts a chunk)``."""
+        n = len(value)
+        chunk = _changes(keys, self.last[: self.n_keys] if self.last else None)
+        start = chunk | _changes([value], self.last[self.n_keys :] if self.last else None)
+        at = np.arange(n)
+        begin = np.maximum.accumulate(np.where(start, at, -1))
+        ordinal = np.where(begin >= 0, at - begin + 1, at + 1 + self.length)
+        count = np.cumsum(start)
+        first = np.maximum.accumulate(np.where(chunk, at, -1))  # of the chunk, in this batch
+        run = np.where(first >= 0, count - count[np.maximum(first, 0)] + 1, count + self.runs)
+        self.last = [k[n - 1].as_py() for k in keys] + [value[n - 1].as_py()]
+        self.length, self.runs = int(ordinal[-1]), int(run[-1])
+        return ordinal, run, chunk
+
+
+def run_ordinal_in_order(
+    df: DataFrame, by: Sequence[str], chunk: str, value: str, out: str = "ord"
+) -> DataFrame:
+    """`run_ordinal` for rows that a scan gives in order: the rows of a
+    ``(by, chunk)`` follow each other in one partition, as the lines of a file
+    split do, and ``chunk`` orders the chunks of a group.
+
+    One pass gives each chunk's state (first and last value, length of the last
+    run, number of runs), read from the key and value columns alone; the states,
+    one small row a chunk, are merged by a window.  The other pass numbers the
+    rows where they are and adds what the state before brings to the first run
+    of a chunk.  The rows are neither shuffled nor sorted."""
+    by = list(by)
+    keys = [*by, chunk]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    spark_type = lambda c: types[c].simpleString()
+
+    slim = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)], F.col(value).alias("v"))
+    n_keys = len(keys)
+
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs, first = _Runs(n_keys), None
+        schema: pa.Schema | None = None
+
+        def row() -> pa.RecordBatch:
+            values = [*runs.last[:n_keys], first, runs.last[n_keys], runs.length, runs.runs]
+            kinds = [*[schema.field(i).type for i in range(n_keys)], *[schema.field(n_keys).type] * 2, pa.int64(), pa.int64()]
+            names = [*[f"k{i}" for i in range(n_keys)], "first", "last", "lastlen", "nruns"]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=names)
+
+        for batch in batches:
+            schema = batch.schema
+            cols = [batch.column(i) for i in range(n_keys + 1)]
+            if not batch.num_rows:
+                continue
+            new = _changes(cols[:n_keys], runs.last[:n_keys] if runs.last else None)
+            edges = sorted({0, batch.num_rows, *np.flatnonzero(new).tolist()})
+            for a, b in zip(edges, edges[1:]):
+                if new[a]:
+                    if runs.last:
+                        yield row()
+                    first = cols[n_keys][a].as_py()
+                runs.add([c.slice(a, b - a) for c in cols[:n_keys]], cols[n_keys].slice(a, b - a))
+        if runs.last:
+            yield row()
+
+    kinds = ", ".join(f"k{i} {spark_type(c)}" for i, c in enumerate(keys))
+    v = spark_type(value)
+    summary = slim.mapInArrow(states, f"{kinds}, first {v}, last {v}, lastlen bigint, nruns bigint").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(by)], F.col(f"k{n_keys - 1}").alias(_CK),
+        *[F.col(c).alias(f"__{c}") for c in ("first", "last", "lastlen", "nruns")],
     )
+    carries = _carries(summary, by).where("__carry > 0").withColumnRenamed(_CK, chunk)
+
+    at = {c: i for i, c in enumerate(df.columns)}
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = _Runs(n_keys)
+        for batch in batches:
+            if batch.num_rows:
+                ordinal, run, _ = runs.add([batch.column(at[c]) for c in keys], batch.column(at[value]))
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(ordinal.astype(np.int64)), pa.array(run == 1)], names=[*batch.schema.names, "__lord", "__open"]
+                )
+
+    schema = ", ".join(f"`{c}` {spark_type(c)}" for c in df.columns)
+    rows = df.mapInArrow(number, f"{schema}, __lord bigint, __open boolean")
+    small = carries.select(*[F.col(c).alias(f"__r{c}") for c in keys], "__carry")
+    cond = None
+    for c in keys:
+        same = rows[c].eqNullSafe(small[f"__r{c}"])
+        cond = same if cond is None else cond & same
+    carried = rows.join(small, cond, "left")
+    ordinal = F.col("__lord") + F.when(F.col("__open"), F.coalesce("__carry", F.lit(0))).otherwise(F.lit(0))
+    return carried.select(*[rows[c] for c in df.columns], ordinal.alias(out))

@@ -12,8 +12,8 @@ from ..functions.ids import concat_id, recode_ref
 from ..functions.positional import decode_positional
 from ..operators.decode import book_dimension
 from ..operators.entities import project_fields
-from ..operators.sequence import run_ordinal
-from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, split_quarantine, with_key_from_name
+from ..operators.sequence import run_ordinal, run_ordinal_in_order
+from ..sources.files import DEFAULT_TAGGED_PATH, read_tagged_lines, route_lines, split_quarantine, with_key_from_name
 
 WORD_COLUMNS = ["verse", "id", "codes", "morphology", "text", "word", "normalized", "lemma"]
 # Field order of a tagged line.
@@ -46,7 +46,15 @@ def read_gnt_words(
     lines = read_tagged_lines(spark, path, on_error=on_error)
     if on_error == "quarantine":
         lines, _ = split_quarantine(lines)
-    return words_from_lines(lines, strict32=strict32, name_col=name_col, name_pattern=name_pattern)
+    return words_from_lines(lines, strict32=strict32, name_col=name_col, name_pattern=name_pattern, in_order=True)
+
+
+def read_routed_gnt_words(spark: SparkSession, path: str, out: str, strict32: bool = False, **names: str) -> tuple[DataFrame, DataFrame]:
+    """``(words, malformed lines)`` of one read of ``path``: its lines are
+    written once under ``out``, good and malformed ones to folders of their own,
+    and both results come from there."""
+    good, bad = route_lines(read_tagged_lines(spark, path, on_error="quarantine"), out)
+    return words_from_lines(good, strict32=strict32, **names), bad
 
 
 def quarantined_lines(spark: SparkSession, path: str = DEFAULT_TAGGED_PATH) -> DataFrame:
@@ -59,14 +67,18 @@ def words_from_lines(
     strict32: bool = False,
     name_col: str = "file_name",
     name_pattern: str = tables.GREEK_FILE_PATTERN,
+    in_order: bool = False,
 ) -> DataFrame:
     """Word rows from tagged lines ``(file, file_name, block, seq, fields)``
     — the part of ``read_gnt_words`` after the read, usable on a streaming
-    micro-batch (a file never spans micro-batches)."""
+    micro-batch (a file never spans micro-batches).  ``in_order``: the lines
+    come straight from their scan, so they need no sort."""
     spark = lines.sparkSession
     df = project_fields(lines, "fields", FIELD_NAMES, keep=["file", "file_name", "block", "seq"])
-    df = run_ordinal(df, by=["file"], order=["block", "seq"], value="ref", out="ord",
-                     chunk=F.col("block"))
+    if in_order:
+        df = run_ordinal_in_order(df, by=["file"], chunk="block", value="ref", out="ord")
+    else:
+        df = run_ordinal(df, by=["file"], order=["block", "seq"], value="ref", out="ord", chunk=F.col("block"))
     df = df.withColumn("verse", recode_ref("ref", tables.GREEK_VERSE_OFFSET)).withColumn(
         "id", concat_id("verse", "ord", strict32=strict32)
     ).withColumn("morphology", decode_positional("codes", part="part"))

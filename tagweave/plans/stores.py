@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions import tables
 from ..functions.serialize import GNT_JSON_COLUMNS, WLC_JSON_COLUMNS, json_columns, record_json, sort_keys
 from ..operators.entities import to_item, to_keyed, to_wide_entity
+from ..sources.files import ManifestCheck
 
 DEFAULT_TABLE = {"gnt": tables.DEFAULT_TAGGED_TABLE, "wlc": tables.DEFAULT_NESTED_TABLE}
 
@@ -128,6 +129,9 @@ def write_words(
     exact_batches_per_book: bool = True,
     options: dict[str, str] | None = None,
     writers: int | None = None,
+    mode: str = "append",
+    check: ManifestCheck | None = None,
+    report: str | None = None,
 ) -> None:
     """Write corpus words to a store: shape (E*), keep the last row per key
     (K7), lay out batches that never span a book (B1) and write them.
@@ -141,6 +145,12 @@ def write_words(
     partitions without a shuffle; a batch never straddles partitions), so
     a large cluster does not exceed the store's write capacity.
     Relational stores use ``sinks.write_jdbc_json(json_rows(...))``.
+
+    ``mode`` of the JSON Lines store: ``'append'`` adds the rows again on a
+    re-run, ``'overwrite'`` replaces the books that are written.  ``check``: a
+    manifest check that watches ``words``, verified when the write has ended.
+    ``report``: a shared folder for the progress of a key-value write, read by
+    ``sinks.kvbatch.write_report``.
     """
     from ..operators.batching import exact_batches, latest_by_key, order_for_batches
     from ..sinks.jsonl import write_jsonl
@@ -154,7 +164,9 @@ def write_words(
         if not path:
             raise ValueError("jsonl needs a path")
         records = jsonl_records(words, corpus, keep=tuple(order))
-        write_jsonl(records, f"{path.rstrip('/')}/{table}", by="book", mode="append", order=order)
+        write_jsonl(records, f"{path.rstrip('/')}/{table}", by="book", mode=mode, order=order)
+        if check is not None:
+            check.verify()
         return
     if store not in _KV_STORES:
         raise ValueError(f"unknown store {store!r}")
@@ -184,9 +196,11 @@ def write_words(
     )
     if profile != "batch_retry":
         writer = writer.option("key", ",".join(keys))
-    for k, v in (options or {}).items():
+    for k, v in (({"report": report} if report else {}) | (options or {})).items():
         writer = writer.option(k, v)
     writer.save()
+    if check is not None:
+        check.verify()
 
 
 STORE_BATCH = {

@@ -13,8 +13,9 @@ from ..functions.labels import language
 from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree, tree_error
 from ..operators.decode import book_dimension, decode_by_dictionary
-from ..operators.explode import explode_nested
-from ..sources.files import DEFAULT_NESTED_PATH, check_manifest, list_books, read_nested_books, variant_path
+from ..operators.explode import explode_chapters, explode_nested
+from ..sources.chapters import read_nested_chapters
+from ..sources.files import DEFAULT_NESTED_PATH, ManifestCheck, check_manifest, list_books, read_nested_books, variant_path
 
 WORD_COLUMNS = ["codes", "language", "lemma", "coreid", "morphology", "id", "verse", "MorphologyString"]
 
@@ -29,6 +30,8 @@ def read_wlc_words(
     partitions: int | None = None,
     on_error: str = "fail",
     layout: str = "files",
+    glob: str = "*.json",
+    check: ManifestCheck | None = None,
 ) -> DataFrame:
     """Word rows ``(book, book_no, chapter, verse_no, word_no, ordinal, <word columns>)``.
 
@@ -37,8 +40,12 @@ def read_wlc_words(
     * ``allow_missing``: a manifest book without a file is an error unless set.
     * ``dictionary``: decode each distinct tag once and join back (same
       result as the row form, far less work on a real corpus).
-    * ``layout``: ``'files'``, one book per file, or ``'lines'``, one book per
-      line of files of any size (see ``read_nested_books``).
+    * ``layout``: ``'files'``, one book per file; ``'chapters'``, the same files
+      cut at chapter ends, so that a large book is many tasks (see
+      ``read_nested_chapters``); or ``'lines'``, one book per line of files of
+      any size (see ``read_nested_books``).  ``glob``: which files.
+    * ``check``: the manifest is checked by the job that reads the words instead
+      of before it; call its ``verify`` after the action (``write_words`` does).
     * ``partitions``: the exploded words are spread over this many tasks, by
       default as adaptive execution sees fit — a book arrives as a single
       row, so what follows the explode must not stay in its task.
@@ -47,12 +54,25 @@ def read_wlc_words(
       ``where(decode_error is not null)``) instead of failing the job.
     """
     folder = variant_path(root, variant)
-    files = read_nested_books(spark, folder, layout=layout)
     dim = book_dimension(spark, "hebrew").withColumnRenamed("ordinal", "book_no")
-    present = list_books(spark, folder) if layout == "files" else files
-    check_manifest(present.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
-    return words_from_books(files, dictionary=dictionary, pronoun_person=pronoun_person, partitions=partitions,
-                            on_error=on_error)
+    options = {"dictionary": dictionary, "pronoun_person": pronoun_person, "on_error": on_error}
+    if layout == "chapters":
+        files = read_nested_chapters(spark, folder, glob=glob)
+    else:
+        files = read_nested_books(spark, folder, glob=glob, layout=layout)
+    if check is not None:
+        files = check.watch(files, "book_key")
+    else:
+        present = files if layout == "lines" else list_books(spark, folder, glob)
+        check_manifest(present.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
+    if layout == "chapters":
+        return words_from_chapters(files, partitions=partitions, **options)
+    return words_from_books(files, partitions=partitions, **options)
+
+
+def manifest_check(spark: SparkSession) -> ManifestCheck:
+    """A check of the books that ``read_wlc_words`` expects."""
+    return ManifestCheck([r.file_stem for r in book_dimension(spark, "hebrew").orderBy("ordinal").collect()])
 
 
 def unknown_books(spark: SparkSession, root: str = DEFAULT_NESTED_PATH, variant: str | None = "hebrew") -> DataFrame:
@@ -83,6 +103,29 @@ def words_from_books(
         keep=["book", "book_no"],
     )
     words = words.repartition(partitions) if partitions else words.hint("rebalance")
+    return _decoded(words, dictionary, pronoun_person, on_error)
+
+
+def words_from_chapters(
+    chapters: DataFrame,
+    dictionary: bool = True,
+    pronoun_person: bool = False,
+    partitions: int | None = None,
+    on_error: str = "fail",
+) -> DataFrame:
+    """Word rows from chapters ``(file, book_key, chapter, content)``: the
+    chapters are dealt to all tasks already, ordinals run through a book by a
+    prefix sum over its chapters' sizes."""
+    dim = book_dimension(chapters.sparkSession, "hebrew").withColumnRenamed("ordinal", "book_no")
+    books = chapters.join(F.broadcast(dim), chapters.book_key == dim.file_stem).select(
+        "file", F.col("name").alias("book"), "book_no", F.col("chapter").cast("int").alias("chapter"), "content"
+    )
+    words = explode_chapters(books, by=["file"], coords=("verse_no",), position="word_no", ordinal="ordinal", value="word", keep=["book", "book_no"])
+    words = words.withColumn("ordinal", F.col("ordinal").cast("int"))
+    return _decoded(words.repartition(partitions) if partitions else words, dictionary, pronoun_person, on_error)
+
+
+def _decoded(words: DataFrame, dictionary: bool, pronoun_person: bool, on_error: str) -> DataFrame:
     w = F.col("word")
     words = words.select(
         "book", "book_no", "chapter", "verse_no", "word_no", "ordinal",

@@ -3,7 +3,9 @@ folders, manifest checks and keys taken from file names."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions._util import col, fail_with
@@ -75,6 +77,18 @@ def split_quarantine(df: DataFrame, flag: str = "bad") -> tuple[DataFrame, DataF
     return df.where(~F.col(flag)).drop(flag), df.where(F.col(flag)).drop(flag)
 
 
+def route_lines(df: DataFrame, out: str, flag: str = "bad") -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` rows of a flagged DataFrame from one pass over it: the
+    rows are written once, routed by the flag to a folder each (``out`` must be
+    new), and both parts are read back from there.  The order keys ``(file,
+    block, seq)`` are columns, so file order is not lost."""
+    spark = df.sparkSession
+    df.write.partitionBy(flag).parquet(out)
+    rest = df.drop(flag).schema
+    routed = spark.read.schema(df.schema).parquet(out)
+    return tuple(routed.where(F.col(flag) == value).select(*rest.names) for value in (False, True))
+
+
 def _regex_literal(s: str) -> str:
     import re
 
@@ -165,6 +179,32 @@ def check_manifest(
     return missing
 
 
+class ManifestCheck:
+    """A manifest check (S4) that rides on the job that reads the books.
+
+    `watch` observes which manifest keys the rows have, a set no larger than
+    the manifest, as an action runs; `missing` and `verify` look at it when the
+    action has ended.  So the books are scanned once, and nothing runs while
+    the plan is built.  A plan that stops early (``limit``) sees less."""
+
+    def __init__(self, keys: Sequence[str]):
+        self.keys = list(keys)
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame, key: str) -> DataFrame:
+        known = F.when(F.col(key).isin(self.keys), F.col(key))
+        return df.observe(self.observation, F.collect_set(known).alias("seen"))
+
+    def missing(self) -> list[str]:
+        """Manifest keys without a row; waits for the first action's end."""
+        seen = set(self.observation.get["seen"])
+        return [k for k in self.keys if k not in seen]
+
+    def verify(self) -> None:
+        for k in self.missing():
+            raise FileNotFoundError(f"manifest entry missing: {k}")
+
+
 def key_from_name(name: str | Column, pattern: str, group: int = 1) -> Column:
     """Integer captured by ``pattern`` (unanchored) in ``name``; null when the
     pattern does not match."""
