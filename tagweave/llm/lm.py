@@ -22,7 +22,10 @@ nothing is left out.
 Edge cases: null and empty texts are the end token alone; a null id counts as
 the empty text when documents are held out; rows that repeat an id are scored
 row by row; with no training words every count is 0; extra columns are
-ignored; an empty table gives no rows."""
+ignored; an empty table gives no rows.  Very long texts are cut into words as
+any; a very long word (an unspaced script, an encoded file) is looked up a chunk
+of positions at a time, and only the sum over the pieces that end at a position
+goes byte by byte, a few microseconds each, in memory of the chunk."""
 
 from __future__ import annotations
 
@@ -40,6 +43,8 @@ from pyspark.sql import functions as F
 from ._scratch import stored
 from ._text import LOWER, blocks, byte_table, find_words, prefix_hash, range_hash, row_of, word_hashes
 
+LONG_WORD = 512  # bytes; longer words go one by one
+_POSITIONS = 1 << 13
 HEAD_WORDS = 1 << 16
 HOLD_OUT = 10
 ALPHA = 0.1
@@ -150,6 +155,10 @@ class Lattice:
         size = np.fromiter(map(len, full), np.int64, len(full))
         order = np.argsort(size, kind="stable")
         at = 0
+        short = int(np.searchsorted(size[order], LONG_WORD, side="right"))
+        for i in order[short:].tolist():
+            out[i] = self._one(full[i])
+        order = order[:short]
         while at < len(order):
             # words of like length, so many that the table of a step stays small
             top = min(len(order), at + max(1, 60_000 // int(size[order[at]])))
@@ -158,6 +167,35 @@ class Lattice:
             at = top
         return out
 
+    def _one(self, word: bytes) -> float:
+        """The recursion for one long word: all pieces that end in a chunk of
+        positions are looked up at once; the last ``longest`` forward values go
+        on to the next chunk."""
+        lengths = self.lengths
+        ahead = np.full(self.longest + 1, -np.inf)  # forward values, the newest last
+        ahead[-1] = 0.0
+        for a in range(0, len(word), _POSITIONS):
+            n = min(_POSITIONS, len(word) - a)
+            first = max(0, a - self.longest)
+            data = np.frombuffer(word, np.uint8, count=a + n - first, offset=first)
+            prefix, inv = prefix_hash(byte_table(11)[data])
+            end = np.arange(a + 1, a + n + 1) - first
+            found = np.full((n, len(lengths)), -np.inf)
+            for c, k in enumerate(lengths.tolist()):
+                ok = np.flatnonzero(end + first >= k)
+                h = range_hash(prefix, inv, end[ok] - k, end[ok])
+                slot = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+                hit = self.keys[slot] == h
+                found[ok[hit], c] = self.logp[slot[hit]]
+            values = np.concatenate([ahead, np.empty(n)])
+            back = len(ahead) - lengths
+            for j in range(n):
+                terms = values[back + j] + found[j]
+                top = terms.max()
+                values[len(ahead) + j] = top + math.log(np.exp(terms - top).sum())
+            ahead = values[-len(ahead) :].copy()
+        return float(ahead[-1])
+
     def _batch(self, words: list[bytes], size: np.ndarray) -> np.ndarray:
         n = len(words)
         data = np.frombuffer(b"".join(words), np.uint8)

@@ -29,7 +29,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ._scratch import stored
@@ -40,7 +40,7 @@ MAX_PASSES = 3
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1 << 14
 SEED = 20240607
-MAX_GROUPS = 256  # groups of shards that the driver draws for
+GROUP_SLOTS = 1 << 24  # slots of a group of shards, which one task draws
 MAX_PARTS = 20_000  # partitions of a shuffle
 _CHUNK_DOCS = 1 << 13
 
@@ -142,6 +142,45 @@ def _positions(sized: DataFrame) -> DataFrame:
     return local.join(offsets, ["no", "chunk"]).withColumn("at", F.col("at") + F.col("base")).drop("chunk", "base")
 
 
+def deal_shards(spark: SparkSession, n_slots: Sequence[int], shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> tuple[DataFrame, int]:
+    """``(shard, no, first, n)`` and the number of shards: how many slots of
+    each source a shard has, and the first of them in the source's sequence.
+
+    The slots are cut into groups of ``GROUP_SLOTS``, each with every source in
+    proportion to a slot (the k-th of g groups has the slots from ``n k / g`` to
+    ``n (k + 1) / g``), and a task draws the shards of its group.  So no draw
+    is over more slots than the generator takes, whatever the corpus, and the
+    driver holds the sources' totals only."""
+    total = sum(n_slots)
+    n_groups = max(1, -(-total // GROUP_SLOTS))
+    # a group may have a slot more of each source than its share
+    per_group = -(-(-(-total // n_groups) + len(n_slots)) // shard_slots) if n_groups > 1 else max(1, -(-total // shard_slots))
+    sources = spark.createDataFrame([(i, int(n)) for i, n in enumerate(n_slots)], "no bigint, slots bigint")
+    edge = lambda k: f"cast(cast(slots AS decimal(38,0)) * ({k}) div {n_groups} AS bigint)"
+    groups = sources.select("no", "slots", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))).alias("g"))
+    groups = groups.select("g", "no", F.expr(edge("g")).alias("first"), F.expr(f"{edge('g + 1')} - {edge('g')}").alias("n"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, list[tuple[int, int, int]]] = {}
+        for batch in batches:
+            for g, i, first, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                rows.setdefault(g, []).append((i, first, n))
+        for g, parts in rows.items():
+            no, first, n = (np.array(x, dtype=np.int64) for x in zip(*sorted(parts), strict=True))
+            draws = np.random.Generator(np.random.PCG64([seed, g]))
+            shard = g * per_group
+            while n.sum():
+                draw = draws.multivariate_hypergeometric(n, int(min(shard_slots, n.sum())), method="marginals")
+                at = np.flatnonzero(draw)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), shard), pa.int64()), *[pa.array(x[at]) for x in (no, first, draw)]], names=["shard", "no", "first", "n"]
+                )
+                first, n, shard = first + draw, n - draw, shard + 1
+
+    dealt = groups.where("n > 0").repartition(min(n_groups, MAX_PARTS), "g")
+    return dealt.mapInArrow(deal, "shard bigint, no bigint, first bigint, n bigint"), n_groups * per_group
+
+
 def plan_mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -155,9 +194,8 @@ def plan_mix(
 ) -> Mix:
     """Plan a mix of all of ``docs``.
 
-    What the driver holds is one row per source, and the source counts of
-    ``MAX_GROUPS`` groups of shards; everything that grows with the documents
-    stays in tables."""
+    What the driver holds is one row per source; everything that grows with
+    the documents stays in tables."""
     spark = docs.sparkSession
     sized = stored(sizes(docs, id_col, source_col, text_col), "mix-words")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
@@ -176,38 +214,9 @@ def plan_mix(
     )
     numbered = sized.join(F.broadcast(sources.select("no", F.col("source").alias("__s"))), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
 
-    # Source counts of every shard.  The driver draws for groups of shards, a
-    # fixed number of them; a task draws for the shards of its group.
+    plan, n_shards = deal_shards(sources.sparkSession, n_slots, shard_slots, seed)
+    plan = plan.repartition(max(1, min(n_shards, MAX_PARTS)), "shard")
     rng = np.random.Generator(np.random.PCG64(seed))
-    n_shards = -(-sum(n_slots) // shard_slots)
-    per_group = max(1, -(-n_shards // MAX_GROUPS))
-    left = np.asarray(n_slots, dtype=np.int64)
-    used = np.zeros_like(left)
-    groups, group = [], 0
-    while left.sum():
-        draw = rng.multivariate_hypergeometric(left, int(min(shard_slots * per_group, left.sum())), method="marginals")
-        groups += [(group, i, int(used[i]), int(c)) for i, c in enumerate(draw) if c]
-        left, used, group = left - draw, used + draw, group + 1
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[int, list[tuple[int, int, int]]] = {}
-        for batch in batches:
-            for g, i, first, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                rows.setdefault(g, []).append((i, first, n))
-        for g, parts in rows.items():
-            no, first, n = (np.array(x, dtype=np.int64) for x in zip(*sorted(parts), strict=True))
-            draws = np.random.Generator(np.random.PCG64([seed, g]))
-            shard = g * per_group
-            while n.sum():
-                draw = draws.multivariate_hypergeometric(n, int(min(shard_slots, n.sum())), method="marginals")
-                at = np.flatnonzero(draw)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), shard), pa.int64()), *[pa.array(x[at]) for x in (no, first, draw)]], names=["shard", "no", "first", "n"]
-                )
-                first, n, shard = first + draw, n - draw, shard + 1
-
-    plan = spark.createDataFrame(groups, "g int, no bigint, first bigint, n bigint").repartition(max(1, group), "g")
-    plan = plan.mapInArrow(deal, "shard bigint, no bigint, first bigint, n bigint").repartition(max(1, min(n_shards, MAX_PARTS)), "shard")
     keys = [int(x) for x in rng.integers(0, 1 << 62, size=len(total))]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

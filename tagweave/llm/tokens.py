@@ -31,6 +31,7 @@ from ._text import blocks, mix64
 SHARD_BYTES = 32 << 20  # of text in a shard, more where there would be over MAX_SHARDS
 SHARD_ROWS = 1 << 20
 MAX_SHARDS = 20_000
+_READ_BYTES = 1 << 22
 _GAMMA = 2
 _MAGIC = b"TWTOKIX1"
 
@@ -120,6 +121,11 @@ class ShardIndex:
             self.arrays[name] = np.frombuffer(raw, dtype=dtype, count=size, offset=at)
             at += self.arrays[name].nbytes
         self.mph = PerfectHash(self.arrays["sizes"], self.arrays["bits"])
+        # rows of each slot's key, once: a lookup reads a few places of arrays
+        first = self.arrays["first"].astype(np.int64)
+        order = np.argsort(first, kind="stable")
+        self.rows = np.empty(len(first), np.int64)
+        self.rows[order] = np.diff(np.append(first[order], len(self.arrays["keys"])))
 
     def find(self, keys: np.ndarray, null: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(first row, rows)`` of each key; no rows for an unknown one."""
@@ -133,8 +139,21 @@ class ShardIndex:
         known &= a["prints"][s] == (mix64(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(32))
         row = a["first"][s].astype(np.int64)
         known &= (a["keys"][row] == keys) & (a["null"][row] == null)
-        ends = np.append(np.sort(a["first"].astype(np.int64)), len(a["keys"]))
-        return row, np.where(known, ends[np.searchsorted(ends, row, side="right")] - row, 0)
+        return row, np.where(known, self.rows[s], 0)
+
+
+def read_rows(payload, at: np.ndarray, rows: np.ndarray, width: int) -> Iterator[bytes]:
+    """The ids of each row; rows that follow each other are read together, up
+    to ``_READ_BYTES`` at a time."""
+    i = 0
+    while i < len(rows):
+        j, begin = i + 1, at[rows[i]]
+        while j < len(rows) and rows[j] == rows[j - 1] + 1 and (at[rows[j] + 1] - begin) * width <= _READ_BYTES:
+            j += 1
+        raw = payload.read_at(int((at[rows[j - 1] + 1] - begin) * width), int(begin * width))
+        for r in rows[i:j].tolist():
+            yield raw[(at[r] - begin) * width : (at[r + 1] - begin) * width]
+        i = j
 
 
 def _bounds(docs: DataFrame, id_col: str, text_col: str) -> list[int]:
@@ -224,7 +243,7 @@ def write_shards(
             yield close()
 
     encoded = encode(docs, tokenizer, end_id, id_col, text_col, bounds)
-    dealt = encoded.repartition(len(bounds) + 1, "shard")
+    dealt = encoded.repartitionById(len(bounds) + 1, F.col("shard").cast("int"))
     rows = dealt.sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "ids").mapInArrow(write, "shard bigint, n_docs bigint, n_tokens bigint").collect()
     manifest, start = [], 0
     for r in sorted(rows, key=lambda r: r["shard"]):
@@ -277,7 +296,7 @@ def lookup(keys: DataFrame, root: str, id_col: str = "doc_id") -> DataFrame:
                             pa.array(np.full(len(part), now, np.int32)),
                             pa.array(starts[int(now)] + at[part]),
                             pa.array(at[part + 1] - at[part]),
-                            pa.array([payload.read_at(int((at[r + 1] - at[r]) * width), int(at[r] * width)) for r in part], pa.binary()),
+                            pa.array(list(read_rows(payload, at, part, width)), pa.binary()),
                         ],
                         names=["id", "shard", "start", "n_tokens", "ids"],
                     )
@@ -289,7 +308,7 @@ def lookup(keys: DataFrame, root: str, id_col: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([_shard(batch.column(0), cuts), batch.column(0)], names=["shard", "id"])
 
     wanted = keys.select(F.col(id_col).cast("bigint").alias("id")).distinct().mapInArrow(place, "shard int, id bigint")
-    dealt = wanted.repartition(len(cuts) + 1, "shard")
+    dealt = wanted.repartitionById(len(cuts) + 1, "shard")
     found = dealt.sortWithinPartitions("shard", "id").mapInArrow(read, "id bigint, shard int, start bigint, n_tokens bigint, ids binary")
     return found.withColumnRenamed("id", id_col)
 

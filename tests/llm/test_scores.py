@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import textwrap
 import zlib
@@ -255,3 +256,28 @@ def test_spans_are_cut_and_limits_hold(spark, odd, empty):
 
 def test_top_level_names():
     assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+def test_long_words_like_short_ones(vocab, monkeypatch):
+    path = vocab("piece_bpe_32k.model")
+    counts = np.ones(lm._processor(path).get_piece_size())
+    model = lm.Lattice(path, counts, 10)
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(n)).encode() for n in (1, 30, 200, 700)] + [b"x" * 300, "日本語".encode() * 40]
+    monkeypatch.setattr(lm, "LONG_WORD", 1 << 30)
+    want = model.words(words)
+    monkeypatch.setattr(lm, "LONG_WORD", 0)
+    monkeypatch.setattr(lm, "_POSITIONS", 64)
+    assert np.allclose(model.words(words), want, rtol=1e-12, atol=1e-9)
+
+
+def test_a_very_long_word_takes_seconds(vocab):
+    import time
+
+    path = vocab("piece_bpe_32k.model")
+    model = lm.Lattice(path, np.ones(lm._processor(path).get_piece_size()), 10)
+    rnd = random.Random(7)
+    word = "".join(rnd.choice("ABCDEFghijklmnop0123456789+/") for _ in range(100_000)).encode()
+    began = time.time()
+    (score,) = model.words([word])
+    assert np.isfinite(score) and time.time() - began < 20

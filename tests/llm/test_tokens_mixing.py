@@ -158,3 +158,66 @@ def test_mix_of_odd_rows(odd, empty):
     assert sum(len((r.text or "").split()) for r in texts.collect()) >= 0.9 * sum(r.taken for r in out)
     mix, out = mixed(empty)
     assert out == [] and mixing.mix_documents(empty, mix).count() == 0
+
+
+def test_shards_of_a_trillion_words(spark):
+    n_slots = [9_000_000_011, 6_500_000_000, 0, 124_999_989, 1]  # 64 words each
+    plan, n_shards = mixing.deal_shards(spark, n_slots, shard_slots=1 << 22)
+    assert n_shards * (1 << 22) >= sum(n_slots)
+    rows = plan.groupBy("no").agg(F.sum("n").alias("n"), F.count_distinct("first").alias("k"), F.count(F.lit(1)).alias("c")).collect()
+    assert {r.no: r.n for r in rows} == {i: n for i, n in enumerate(n_slots) if n} and all(r.k == r.c for r in rows)
+    sizes = plan.groupBy("shard").agg(F.sum("n").alias("n"))
+    assert sizes.where(f"n > {1 << 22} OR shard >= {n_shards}").count() == 0
+    # the ranges of a source follow each other without a gap
+    for r in plan.where("no = 0").selectExpr("first", "first + n AS next").groupBy().agg(F.min("first"), F.max("next"), F.sum(F.expr("next - first"))).collect():
+        assert tuple(r) == (0, n_slots[0], n_slots[0])
+
+
+def test_taken_is_what_the_slots_take(spark, odd):
+    rnd = random.Random(4)
+    rows = [(k if rnd.random() < 0.9 else None, rnd.choice("abc") if rnd.random() < 0.9 else None, "w " * rnd.randint(0, 300)) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    for df in (docs, odd):
+        mix = mixing.plan_mix(df, block_words=16, shard_slots=64)
+        block = defaultdict(int)
+        for r in mix.slots.collect():
+            block[r.no, r.block] += 1
+        want = defaultdict(int)
+        for d in mix.docs.collect():
+            for w in range(d["size"]):
+                want[d.no, d["at"], d["size"]] += block[d.no, (d["at"] + w) // 16]
+        got = {(r.no, r["at"], r["size"]): r.taken for r in mixing.taken(mix).collect()}
+        assert got == {k: want[k] for k in got} and sum(want.values()) == sum(v for v in got.values())
+        # places follow each other by id in each source
+        for no in {d.no for d in mix.docs.collect()}:
+            mine = sorted((d["at"], d["size"]) for d in mix.docs.collect() if d.no == no)
+            assert [a for a, _ in mine] == [sum(s for _, s in mine[:k]) for k in range(len(mine))]
+
+
+def test_one_key_of_many_is_a_few_reads():
+    import time
+
+    keys = np.arange(0, 2_000_000, 2)
+    index = tokens.ShardIndex(tokens.build_index(keys, np.zeros(len(keys), bool), np.full(len(keys), 3)))
+    one, no = np.array([777_776]), np.array([False])
+    index.find(one, no)
+    began = time.perf_counter()
+    for _ in range(100):
+        row, n = index.find(one, no)
+    assert (row[0], n[0]) == (388_888, 1) and (time.perf_counter() - began) / 100 < 2e-3
+
+
+def test_neighbours_are_read_together():
+    class Payload:
+        def __init__(self, raw):
+            self.raw, self.reads = raw, 0
+
+        def read_at(self, n, at):
+            self.reads += 1
+            return self.raw[at:at + n]
+
+    at = np.array([0, 2, 2, 5, 9, 10])
+    payload = Payload(bytes(range(20)))
+    rows = np.array([0, 1, 2, 4, 4, 3])
+    got = list(tokens.read_rows(payload, at, rows, 2))
+    assert got == [bytes(range(at[r] * 2, at[r + 1] * 2)) for r in rows] and payload.reads == 4
