@@ -11,7 +11,7 @@ from tagweave.plans import catalog, oracle
 
 SF_SMALL = "/root/testdata/sf0.001"
 
-CHECK = ["gen_nested", "ord_run", "dec_tree", "dec_tree_verbs", "dec_dictionary", "batch_progress", "json_valid",
+CHECK = ["gen_nested", "gen_levels", "src_chapters", "ord_run", "dec_tree", "dec_tree_verbs", "dec_dictionary", "batch_progress", "json_valid",
          "ser_omit_empty", "sink_profile", "src_manifest", "src_manifest_books", "src_variant", "wlc_words",
          "ser_json_sorted_nested", "ent_item_nested", "exact_batches", "gnt_words"]
 
