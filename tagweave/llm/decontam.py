@@ -11,25 +11,31 @@ coverage limits.
 A text is first reduced to the runs of words whose neighbouring pairs all occur
 in the items: no match can leave such a run, and only they are walked.
 
-Items are cut into blocks of at most ``MAX_BLOCK_WORDS`` words, one automaton
-each, so a broadcast has a fixed size bound, and a block of texts streams past
-one automaton after the other.  What a task holds grows with the test set, not
-with the corpus.
+Items are dealt to tasks and cut into blocks of at most ``MAX_BLOCK_WORDS``
+words, one automaton each, written to the shared folder; a batch of texts
+streams past one automaton after the other.  Neither the driver nor a task holds
+the test set.
 
 Edge cases: null texts and items have no words; items without words are
 ignored; equal items each count; a null document id is kept, and every input
 row gives one output row; extra columns are ignored; with no items nothing is
-hit."""
+hit, an empty table of documents gives no rows.  A very long text is scanned
+whole, as a block of its own; a very long item is an automaton of its own."""
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from ._scratch import commit, filesystem
 from ._text import LOWER, blocks, find_words, mix64, per_text, word_hashes
 
 WINDOW = 10
@@ -73,6 +79,11 @@ class SuffixAutomaton:
             size = min(window, len(seq))
             for s in {s for s, n in self._walk(seq, size) if n == size}:
                 self.items_at.setdefault(s, []).append((size, k))
+        self.items_of: dict[int, dict[int, list[int]]] = {}  # state -> window length -> items
+        for s, pairs in self.items_at.items():
+            by = self.items_of.setdefault(s, {})
+            for size, k in pairs:
+                by.setdefault(size, []).append(k)
         # nearest state on the way to the root, itself included, that holds windows
         self.holder = [-1] * len(self.link)
         for s in sorted(range(len(self.link)), key=self.length.__getitem__):
@@ -133,17 +144,15 @@ class SuffixAutomaton:
                     s = link[s]
             yield s, n
 
-    def windows(self, words: Sequence[int]) -> Iterator[tuple[int, int, list[int]]]:
-        """``(last word, window length, items)`` of every window occurrence."""
+    def windows(self, words: Sequence[int]) -> Iterator[tuple[int, int, int]]:
+        """``(last word, window length, state)`` of every window occurrence;
+        `items_of` has the items whose windows of that length a state ends."""
         for j, (s, n) in enumerate(self._walk(words, self.window)):
             h = self.holder[s]
             while h != -1:
-                by: dict[int, list[int]] = {}
-                for size, k in self.items_at[h]:
+                for size in self.items_of[h]:
                     if size <= n:
-                        by.setdefault(size, []).append(k)
-                for size, ks in by.items():
-                    yield j, size, ks
+                        yield j, size, h
                 up = self.link[h]
                 h = self.holder[up] if up >= 0 else -1
 
@@ -179,35 +188,76 @@ class ItemBlock:
         long = end - start >= self.shortest
         start, end = start[long], end[long]
         row = np.searchsorted(first, start, side="right") - 1
+        seen: dict[int, set[tuple[int, int]]] = {}
         for a, b, r in zip(start.tolist(), end.tolist(), row.tolist(), strict=True):
-            for j, size, ks in self.automaton.windows(np.searchsorted(self.words, words[a:b]).tolist()):
+            states = seen.setdefault(r, set())
+            for j, size, state in self.automaton.windows(np.searchsorted(self.words, words[a:b]).tolist()):
                 hit[a + j - size + 1 : a + j + 1] = True
-                found.setdefault(r, set()).update(ks)
+                states.add((state, size))
+        # a window's items are listed once a text, however often it occurs
+        for r, states in seen.items():
+            found[r] = {k for state, size in states for k in self.automaton.items_of[state][size]}
         return hit, found
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, max_words: int = MAX_BLOCK_WORDS) -> Iterator[ItemBlock]:
-    """Automata of the items, a bounded block at a time.  The items are the
-    test set, not the corpus; they stream through the driver in id order."""
+def item_blocks(rows: Iterator[tuple[str | None, pa.Array]], window: int = WINDOW, max_words: int = MAX_BLOCK_WORDS) -> Iterator[ItemBlock]:
+    """Automata of items, a bounded block at a time (an item of more words
+    stands alone).  ``rows``: item ids and their texts, an array of each."""
     ids: list[str] = []
     hashes: list[np.ndarray] = []
     total = 0
-    rows = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).toLocalIterator()
-    for item, text in rows:
-        for _, _, data, offsets in blocks(pa.array([text], pa.string())):
-            start, end, _ = find_words(data, offsets, _WORD_ANY_CASE)
-            if not len(start):
-                continue
-            if total and total + len(start) > max_words:
-                yield ItemBlock(ids, hashes, window)
-                ids, hashes, total = [], [], 0
-            ids.append(item)
-            hashes.append(word_hashes(data, start, end, lower=True))
-            total += len(start)
+    for items, texts in rows:
+        for i, j, data, offsets in blocks(texts):
+            start, end, first = find_words(data, offsets, _WORD_ANY_CASE)
+            h = word_hashes(data, start, end, lower=True)
+            for k in range(j - i):
+                mine = h[first[k] : first[k + 1]]
+                if not len(mine):
+                    continue
+                if total and total + len(mine) > max_words:
+                    yield ItemBlock(ids, hashes, window)
+                    ids, hashes, total = [], [], 0
+                ids.append(items[i + k].as_py())
+                hashes.append(mine)
+                total += len(mine)
     if ids:
         yield ItemBlock(ids, hashes, window)
 
 
+def write_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, max_words: int = MAX_BLOCK_WORDS) -> list[str]:
+    """Automata of all items, built by tasks and written to the shared folder:
+    their files' names.  The items are dealt by a hash, one task for about
+    ``max_words`` words, so neither a task nor the driver holds the test set;
+    a lost task's files are written anew under other names."""
+    root = scratch_path(items.sparkSession, "automata")
+    rows = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // (8 * max_words)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, where = filesystem(root)
+        files.create_dir(where, recursive=True)
+        for block in item_blocks(((b.column(0), b.column(1)) for b in batches), window, max_words):
+            name = f"block-{uuid.uuid4().hex}"
+            stream, finish = commit(files, f"{where}/{name}")
+            pickle.dump(block, stream, protocol=pickle.HIGHEST_PROTOCOL)
+            finish()
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
+
+    dealt = rows.repartitionById(parts, F.pmod(F.xxhash64("item", "text"), F.lit(parts)).cast("int"))
+    names = dealt.sortWithinPartitions("item", "text").mapInArrow(build, "name string").collect()
+    return sorted(f"{root}/{r.name}" for r in names)
+
+
+@lru_cache(maxsize=1)
+def _load(path: str) -> ItemBlock:
+    """A block's automaton; a worker keeps the last one, the only one where the
+    test set is small."""
+    files, where = filesystem(path)
+    with files.open_input_file(where) as f:
+        return pickle.loads(f.read())
+
+
 def _runs(hit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(text, first word, last word + 1)`` of maximal hit runs inside texts."""
     n = len(hit)
@@ -238,25 +288,31 @@ def scan(
     words are hit).  A removed span runs from its first word's first byte to
     its last word's last byte.
 
-    Map-only: texts are never shuffled; each task holds one block of texts and
-    one automaton."""
-    sc = docs.sparkSession.sparkContext
-    automata = [sc.broadcast(b) for b in item_blocks(items, window=window, max_words=max_block_words)]
+    Map-only: texts are never shuffled; each task holds one batch of texts and
+    one automaton, read from the shared folder."""
+    automata = write_blocks(items, window=window, max_words=max_block_words)
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).withColumn("text", F.col(f"c{docs.columns.index(text_col)}").cast("string"))
     names = [f"c{i}" for i in range(len(docs.columns))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offsets in blocks(batch.column(batch.num_columns - 1)):
-                start, end, first = find_words(data, offsets, _WORD_ANY_CASE)
-                words = word_hashes(data, start, end, lower=True)
-                hit = np.zeros(len(words), dtype=bool)
-                found: list[set[str]] = [set() for _ in range(j - i)]
-                for a in automata:
-                    h, f = a.value.scan(words, first)
-                    hit |= h
+            # one automaton after the other over the batch's texts
+            cuts, hits, items_of = [], [], []
+            for path in automata or [None]:
+                automaton = _load(path) if path else ItemBlock([], [], window)
+                for n, (i, j, data, offsets) in enumerate(blocks(batch.column(batch.num_columns - 1))):
+                    start, end, first = find_words(data, offsets, _WORD_ANY_CASE)
+                    h, f = automaton.scan(word_hashes(data, start, end, lower=True), first)
+                    if n == len(cuts):
+                        cuts.append((i, j, data, offsets))
+                        hits.append(h)
+                        items_of.append([set() for _ in range(j - i)])
+                    else:
+                        hits[n] |= h
                     for r, ks in f.items():
-                        found[r].update(str(a.value.ids[k]) for k in ks)
+                        items_of[n][r].update(str(automaton.ids[k]) for k in ks)
+            for (i, j, data, offsets), hit, found in zip(cuts, hits, items_of, strict=True):
+                start, end, first = find_words(data, offsets, _WORD_ANY_CASE)
                 n_words, n_hit = np.diff(first), per_text(hit, first)
                 clean: list[str | None] = [None] * (j - i)
                 if hit.any():

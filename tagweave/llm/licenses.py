@@ -7,7 +7,9 @@ match runs over any whole lines up to a blank line or a sentence end, the
 longest known sentence first.
 
 Edge cases: null and empty texts have no sentences and no licence; a null id
-stays null; every input row gives one output row; extra columns are ignored."""
+stays null; every input row gives one output row, equal rows equal ones; extra
+columns are ignored; an empty table gives no rows; rules are tried in their order,
+so the first that matches is the document's licence."""
 
 from __future__ import annotations
 

@@ -19,7 +19,8 @@ Edge cases: a null or empty text has size 0 and is never taken; a null source
 is a source of its own; a null id sorts first; rows that repeat an id are
 told apart by their text, and equal rows share what is taken evenly in order;
 sources without words get target 0; extra columns are kept out of the plan;
-an empty table gives an empty mix.  Draws depend on the seed, the source
+an empty table gives an empty mix; a very long text is many blocks and is taken
+in part like any other.  Draws depend on the seed, the source
 totals and the ids only, so reruns agree."""
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ never sampled; a null id counts as the empty text where ids are hashed; rows
 that repeat an id share their noise, so equal rows tie, and a tie at the
 threshold goes to smaller ids, then keeps all equal rows; no good labels give
 every document weight 0; extra columns are ignored; an empty table gives no
-rows."""
+rows.  A very long text's n-grams are all counted."""
 
 from __future__ import annotations
 

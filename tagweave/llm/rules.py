@@ -6,7 +6,8 @@ aggregations of it, so no rule is ever measured again.
 Edge cases: a null or empty text has no words, all measures 0, and fails
 ``few_words``; a null id is kept as null; repeated rows each get their own
 row; other columns of the input are ignored by `ledger` and kept by
-`apply_policy`."""
+`apply_policy`; an empty table gives no rows.  A very long text is measured whole,
+as a block of its own."""
 
 from __future__ import annotations
 

@@ -21,7 +21,8 @@ and a large group of another wildcard is cut only if both values occur.
 Edge cases: null and empty texts have no words and fingerprint zero, which
 links like any other; a text shorter than a shingle is one shingle; a null id
 is kept, and counts as larger than any id; rows that repeat an id are all
-returned; extra columns are ignored; an empty table gives no rows."""
+returned; extra columns are ignored; an empty table gives no rows.  A very long
+text is a block of its own, all its shingles counted."""
 
 from __future__ import annotations
 

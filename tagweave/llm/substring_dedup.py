@@ -22,7 +22,8 @@ id.
 
 Edge cases: null and empty texts have no words; texts shorter than a window
 lose nothing; a null id counts as smaller than any other; rows that share an
-id do not remove each other's words; extra columns are ignored."""
+id do not remove each other's words; extra columns are ignored; an empty table
+gives no rows.  A very long text is a block of its own, cut as a whole."""
 
 from __future__ import annotations
 

@@ -19,7 +19,7 @@ smaller id, or earlier in the same one.
 Edge cases: null and empty texts have no bytes; texts shorter than a window
 lose nothing; a null id counts as smaller than any other; rows that share an id
 do not remove each other's bytes; extra columns are ignored.  Very long texts are
-handled a segment of windows at a time."""
+handled a segment of windows at a time.  An empty table gives no rows."""
 
 from __future__ import annotations
 

@@ -11,7 +11,8 @@ stored is refused by the fingerprint, then by the stored id.
 Edge cases: a null or empty text is the end id alone; a null id is a key of
 its own and sorts first; rows that repeat an id stand side by side, in order of
 their ids, and a lookup returns all of them; extra columns are ignored; an
-empty table gives no shard and no rows."""
+empty table gives no shard and no rows.  A very long text is encoded whole, as a
+block of its own, and is one row of its shard."""
 
 from __future__ import annotations
 

@@ -281,3 +281,17 @@ def test_a_very_long_word_takes_seconds(vocab):
     began = time.time()
     (score,) = model.words([word])
     assert np.isfinite(score) and time.time() - began < 20
+
+
+def test_automata_come_from_tasks(spark):
+    """Many blocks, a window that very many items share, an item over the limit."""
+    shared = "a b c d e f g h i j"
+    items = [(f"i{k:04d}", shared + f" x{k}") for k in range(500)] + [("long", " ".join(f"w{k}" for k in range(300))), ("none", " . ")]
+    table = spark.createDataFrame(items, "item_id string, text string").repartition(3)
+    paths = decontam.write_blocks(table, max_words=100)
+    assert len(paths) > 40 and len(set(paths)) == len(paths)
+    got = [decontam._load(p) for p in paths]
+    assert sorted(i for b in got for i in b.ids) == sorted(i for i, _ in items if i != "none")
+    docs = spark.createDataFrame([(1, f"{shared} y {shared} z {shared}"), (2, "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 b"), (3, "a b c")], "doc_id bigint, text string")
+    rows = {r.doc_id: (r["__n_hit"], len(r["__items"])) for r in decontam.scan(docs, table, max_block_words=100).collect()}
+    assert rows == {1: (30, 500), 2: (10, 1), 3: (0, 0)}
