@@ -142,7 +142,7 @@ SELECT doc_id, n_sentences, n_known, sentence_ids, array_to_string(ls, ',') AS l
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    found = resample(docs, labels, good="quality = 1 AND coalesce(toxic, 0) = 0")
+    found = resample(docs, labels, good="quality = 1 AND coalesce(toxic, 0) = 0", unwanted="toxic = 1")
     return found.select("doc_id", "n_grams", "log_weight", F.col("key").alias("gumbel_key"), F.col("selected").alias("kept"))
 
 

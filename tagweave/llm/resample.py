@@ -4,9 +4,15 @@ weight, and a sample without replacement by Gumbel top-k.
 
 The target is learned from the labelled good documents (a bounded sample of
 them, about ``MAX_LABELS``, taken by the hash of the id, so that their ids can
-be broadcast), the raw model from every document.  Both models are ``N_BUCKETS`` counts, whatever the corpus.  The
-weight is the mean log ratio over a document's n-grams times ``SHARPNESS``, so
-that a long text is not certain to win or lose by its length.
+be broadcast), the raw model from every document.  A model is ``N_BUCKETS``
+counts, whatever the corpus.  The weight is the mean log ratio over a document's
+n-grams, so that a long text is not certain to win or lose by its length.
+
+A few words can make a document unwanted, and a mean drowns them.  Where labels
+name an unwanted class, a third model is learned from it (the same bound), and
+every n-gram whose log ratio of that model to the target is over ``MARGIN``
+takes ``PENALTY`` times the excess off the weight: a sum, not a mean.  Keys are
+the weight times ``SHARPNESS`` plus Gumbel noise.
 
 The k-th largest key is found by counting in bins of the key's bits, a few
 rounds of one small aggregation each; nothing is sorted and no row is
@@ -21,7 +27,7 @@ rows.  A very long text's n-grams are all counted."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +37,11 @@ from pyspark.sql import functions as F
 from ._scratch import stored
 from ._text import LOWER, blocks, find_words, mix64, row_of, word_hashes
 
-N_BUCKETS = 1 << 14
+N_BUCKETS = 1 << 18
 MAX_LABELS = 200_000
 SHARPNESS = 200.0
+MARGIN = 2.0
+PENALTY = 0.02
 SEED = 20240607
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,29 +83,36 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, n_buckets: int = N_BUCKETS) ->
     return rows, (mix64(keys) % np.uint64(n_buckets)).astype(np.int64)
 
 
-def bucket_counts(docs: DataFrame, good: np.ndarray, n_buckets: int = N_BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """N-gram counts ``(target, raw)`` of the texts whose ``mark`` is in
-    ``good`` (sorted) and of all texts (columns ``mark, text``), in one pass:
-    no text is shuffled, one row per bucket and task is, and one number per
+def bucket_counts(docs: DataFrame, classes: Sequence[np.ndarray], n_buckets: int = N_BUCKETS) -> list[np.ndarray]:
+    """N-gram counts of each class of texts, those whose ``mark`` is in its
+    sorted array, and at the end of all texts (columns ``mark, text``), in one
+    pass: no text is shuffled, one row per bucket and task is, and one row per
     bucket reaches the driver."""
-    marks = docs.sparkSession.sparkContext.broadcast(good)
+    marks = docs.sparkSession.sparkContext.broadcast(list(classes))
+    names = [f"n{k}" for k in range(len(classes) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, n_buckets), dtype=np.int64)
+        total = np.zeros((len(names), n_buckets), dtype=np.int64)
         for batch in batches:
-            chosen = np.isin(batch.column(0).to_numpy(), marks.value)
+            mark = batch.column(0).to_numpy()
+            chosen = [np.isin(mark, m) for m in marks.value]
             for i, j, data, offsets in blocks(batch.column(1)):
                 rows, bucket = ngrams(data, offsets, n_buckets)
-                total[0] += np.bincount(bucket[chosen[i:j][rows]], minlength=n_buckets)
-                total[1] += np.bincount(bucket, minlength=n_buckets)
-        used = np.flatnonzero(total[1])
-        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(t[used]) for t in total]], names=["bucket", "target", "raw"])
-
-    target, raw = np.zeros(n_buckets), np.zeros(n_buckets)
-    rows = docs.select("mark", "text").mapInArrow(run, "bucket bigint, target bigint, raw bigint")
-    for r in rows.groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")).collect():
-        target[r["bucket"]], raw[r["bucket"]] = r["target"], r["raw"]
-    return target, raw
+                for k, c in enumerate(chosen):
+                    total[k] += np.bincount(bucket[c[i:j][rows]], minlength=n_buckets)
+                total[-1] += np.bincount(bucket, minlength=n_buckets)
+        used = np.flatnonzero(total[-1])
+        for a in range(0, len(used), 1 << 16):
+            part = used[a : a + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), *[pa.array(t[part]) for t in total]], names=["bucket", *names])
+
+    out = [np.zeros(n_buckets) for _ in names]
+    rows = docs.select("mark", "text").mapInArrow(run, "bucket bigint, " + ", ".join(f"{n} bigint" for n in names))
+    found = rows.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    at = found.column("bucket").to_numpy()
+    for k, n in enumerate(names):
+        out[k][at] = found.column(n).to_numpy()
+    return out
 
 
 def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
@@ -108,17 +123,25 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + n)) - np.log((raw + 1) / (raw.sum() + n))
 
 
-def weights(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_grams, log_weight)``, the mean log ratio (null without n-grams)."""
-    table = docs.sparkSession.sparkContext.broadcast(ratio)
+def penalties(unwanted: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """What each bucket takes off a weight."""
+    return PENALTY * np.maximum(log_ratio(unwanted, target) - MARGIN, 0)
+
+
+def weights(docs: DataFrame, ratio: np.ndarray, penalty: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_grams, log_weight)``: the mean log ratio less the summed
+    penalties (null without n-grams)."""
+    table = docs.sparkSession.sparkContext.broadcast((ratio, penalty))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in blocks(batch.column(1)):
-                rows, bucket = ngrams(data, offsets, len(table.value))
+                ratios, off = table.value
+                rows, bucket = ngrams(data, offsets, len(ratios))
                 n = np.bincount(rows, minlength=j - i)
-                total = np.bincount(rows, weights=table.value[bucket], minlength=j - i)
+                total = np.bincount(rows, weights=ratios[bucket], minlength=j - i)
                 mean = np.divide(total, n, out=np.zeros(j - i), where=n > 0)
+                mean -= np.bincount(rows, weights=off[bucket], minlength=j - i)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(mean, mask=n == 0)], names=["id", "n_grams", "log_weight"]
                 )
@@ -183,25 +206,34 @@ def resample(
     id_col: str = "doc_id",
     text_col: str = "text",
     good: str = "quality = 1",
+    unwanted: str | None = None,
     sharpness: float = SHARPNESS,
     seed: int = SEED,
 ) -> DataFrame:
     """``(id, n_grams, log_weight, key, selected)``, one row per input row;
     ``share`` of the documents are sampled (by default the share of good ones
-    among the labelled)."""
+    among the labelled).  ``good`` and ``unwanted`` are conditions on the label
+    columns."""
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    marked = labels.select(F.col(id_col).alias("id"), F.expr(good).alias("good")).where("id IS NOT NULL")
-    n_lab, n_good = marked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("good").cast("bigint")), F.lit(0))).first()
+    no = F.coalesce(F.expr(unwanted), F.lit(False)) if unwanted else F.lit(False)
+    marked = labels.select(F.col(id_col).alias("id"), F.expr(good).alias("good"), no.alias("unwanted")).where("id IS NOT NULL")
+    count = lambda c: F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0))
+    n_lab, n_good, n_unwanted = marked.agg(F.count(F.lit(1)), count("good"), count("unwanted")).first()
     if share is None:
         share = n_good / n_lab if n_lab else 0.5
-    # what the target model is fitted on: good ids, MAX_LABELS of them at most
     mark = F.xxhash64("id")
-    picked = marked.where("good").select(mark.alias("mark")).distinct()
-    if n_good > MAX_LABELS:
-        picked = picked.where(F.pmod("mark", F.lit(1 << 20)) < int((1 << 20) * MAX_LABELS / n_good))
-    good_marks = np.sort(picked.toPandas()["mark"].to_numpy(dtype=np.int64))
-    target, raw = bucket_counts(d.select(mark.alias("mark"), "text"), good_marks)
-    w = weights(d, log_ratio(target, raw), "id", "text")
+
+    def sample(label: str, n: int) -> np.ndarray:
+        """Ids a model is fitted on: those of a label, MAX_LABELS of them at most."""
+        picked = marked.where(label).select(mark.alias("mark")).distinct()
+        if n > MAX_LABELS:
+            picked = picked.where(F.pmod("mark", F.lit(1 << 20)) < int((1 << 20) * MAX_LABELS / n))
+        return np.sort(picked.toPandas()["mark"].to_numpy(dtype=np.int64))
+
+    counts = bucket_counts(d.select(mark.alias("mark"), "text"), [sample("good", n_good), sample("unwanted", n_unwanted)])
+    target, bad, raw = counts
+    off = penalties(bad, target) if n_unwanted and n_good else np.zeros(len(raw))
+    w = weights(d, log_ratio(target, raw), off, "id", "text")
     # Gumbel noise from the id and the seed: reruns and retries draw the same
     u = (F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
     keyed = stored(w.withColumn("key", F.col("log_weight") * sharpness - F.log(-F.log(u))), "resample")

@@ -24,7 +24,7 @@ LOW = {c: c + 32 for c in range(65, 91)}
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_against_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF_SMALL)
     got = sorted(tuple(str(r[c]) for c in sorted(df.columns)) for r in df.collect())
@@ -193,7 +193,45 @@ def test_toxic_documents_get_lower_weights(spark):
     sf = "/root/testdata/sf0.1"  # most of its toxic documents have quality 1
     out = queries.op9_quality_classifier(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("quality = 1")
     mean = {r.toxic: r for r in out.groupBy("toxic").agg(F.avg("log_weight").alias("w"), F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
-    assert mean[1].w < mean[0].w - 0.01 and mean[1].kept < mean[0].kept - 0.1, mean
+    assert mean[1].w < mean[0].w - 0.01 and mean[1].kept < 0.3 and mean[0].kept > 0.93, mean
+
+
+def test_toxic_documents_of_unseen_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    out = resample.resample(docs, labels.where(fold), good="quality = 1 AND coalesce(toxic, 0) = 0", unwanted="toxic = 1")
+    held = out.join(labels.where(~fold), "doc_id").where("quality = 1").groupBy("toxic").agg(F.avg(F.col("selected").cast("int")).alias("kept"))
+    kept = {r.toxic: r.kept for r in held.collect()}
+    assert kept[1] < 0.35 and kept[0] > 0.92, kept
+
+
+def test_weights_like_brute_force(spark):
+    """Counts, ratios and penalties by plain loops over the same n-grams."""
+    import pyarrow as pa
+
+    from tagweave.llm._text import blocks
+
+    texts = ["Good words, good WORDS!", "bad bad words", "good day", "", None, "awful bad day; bad", "a day of words and words", "GOOD"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (2, 1, 0), (5, 1, 1), (1, 0, 1), (99, 1, 0)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in resample.resample(docs, labels, good="quality = 1 AND toxic = 0", unwanted="toxic = 1", share=0.5).collect()}
+    grams = []
+    for t in texts:
+        ((_, _, data, offsets),) = blocks(pa.array([t], pa.string()))
+        grams.append(resample.ngrams(data, offsets)[1].tolist())
+    good, bad, raw = (Counter(g for k in ks for g in grams[k]) for ks in ((0, 2), (1, 5), range(len(texts))))
+    n = resample.N_BUCKETS
+    logp = lambda c, g: math.log((c[g] + 1) / (c.total() + n))
+    for k, gs in enumerate(grams):
+        assert got[k].n_grams == len(gs)
+        if gs:
+            mean = sum(logp(good, g) - logp(raw, g) for g in gs) / len(gs)
+            off = sum(max(0, logp(bad, g) - logp(good, g) - resample.MARGIN) for g in gs) * resample.PENALTY
+            assert abs(got[k].log_weight - (mean - off)) < 1e-9
+        else:
+            assert got[k].log_weight is None and not got[k].selected
+    assert sum(r.selected for r in got.values()) == 4
 
 
 def test_top_k_is_exact(spark):
