@@ -52,3 +52,20 @@ def test_run_and_empty_input(spark, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").where(F.lit(False)).write.parquet(str(src / f"{t}.parquet"))
     assert P.run(spark, str(src)).count() == 0
+
+
+def test_each_stage_on_odd_rows(spark, odd, empty):
+    n = odd.count()
+    for name, stage in P.STAGES:
+        out = stage(spark, odd, SF_SMALL)
+        rows = out.collect()
+        if name == "token_output":
+            assert len(rows) == n and sum(r.doc_id is None for r in rows) == 2
+        else:
+            # decontamination and mixing state the length of what they have changed
+            assert [c for c in out.columns if c != "n_chars"] == odd.columns
+            given = {(r.doc_id, r.text) for r in odd.collect()}
+            if name in ("quality_rules", "near_duplicates"):
+                assert {(r.doc_id, r.text) for r in rows} <= given
+            assert len(rows) <= n and all(r.key == 1 and r.kept == "y" for r in rows)
+        assert stage(spark, empty, SF_SMALL).count() == 0
