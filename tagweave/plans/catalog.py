@@ -238,8 +238,8 @@ def src_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wlc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested corpus plan end to end on the default numbering: books read
-    from their folder once, checked against the manifest as the job runs,
-    exploded, numbered, and every tag decoded through the dictionary."""
+    from their folder, checked against the manifest as the job runs, exploded,
+    numbered, and every tag decoded through the dictionary."""
     from .wlc import manifest_check, read_wlc_words
 
     root = _write_variants(spark, sf_dir, ("hebrew",), folder="")

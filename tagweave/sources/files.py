@@ -184,8 +184,8 @@ class ManifestCheck:
 
     `watch` observes which manifest keys the rows have, a set no larger than
     the manifest, as an action runs; `missing` and `verify` look at it when the
-    action has ended.  So the books are scanned once, and nothing runs while
-    the plan is built.  A plan that stops early (``limit``) sees less."""
+    action has ended.  So the check needs no scan of its own, and nothing runs
+    while the plan is built.  A plan that stops early (``limit``) sees less."""
 
     def __init__(self, keys: Sequence[str]):
         self.keys = list(keys)
