@@ -293,7 +293,7 @@ def test_spans_are_cut_and_limits_hold(spark, odd, empty):
 
 
 def test_top_level_names():
-    assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [k.split("_")[0] for k in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_long_words_like_short_ones(vocab, monkeypatch):
