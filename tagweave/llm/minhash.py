@@ -297,9 +297,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = 85,
     keyed = nodes.select("node", "sig", trees.alias("tree")).select("node", _key(F.col("tree"), DEPTH).alias("region"))
     alone = keyed.groupBy("region").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("region")
     alive = keyed.join(alone, "region").select("node").distinct().join(nodes.select("node", "at"), "node")
-    alive = alive.select("node", F.col("at.id").alias("id2"), F.col("at.tie").alias("tie2"))
-    texts = _texts(docs, id_col, text_col).dropDuplicates(["id", "tie"])
-    texts = stored(texts.join(alive, texts["id"].eqNullSafe(alive["id2"]) & (texts["tie"] == alive["tie2"])).select("node", "text"), "texts")
+    # one shuffle of the texts: the key is a struct, never null, of the same type on both sides
+    at = F.struct("id", "tie").cast(nodes.schema["at"].dataType)
+    texts = _texts(docs, id_col, text_col).select(at.alias("at"), "text").dropDuplicates(["at"])
+    texts = stored(texts.join(alive.select("node", "at"), "at").select("node", "text"), "texts")
 
     units = stored(_first_tree(nodes), "units")
     links = stored(_compared(units.select("unit", "node"), texts, shingle, percent), "near")
