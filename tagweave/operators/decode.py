@@ -12,6 +12,7 @@ from ..functions import tables
 from ..functions.labels import language
 from ..functions.serialize import tag_string
 from ..functions.tree import decode_tree, tree_error
+from .joins import join_small
 
 
 def decode_tree_columns(
@@ -52,14 +53,16 @@ def decode_by_dictionary(
     tag: str,
     pronoun_person: bool = False,
     on_error: str = "fail",
+    known_small: bool = False,
 ) -> DataFrame:
     """Same result as decoding row by row, but each distinct tag is decoded
     once and joined back (D3), in one lazy plan: the distinct tags combine on
     the map side, and adaptive execution broadcasts the dictionary when its
-    measured size allows.  Adds ``language``, ``morphology``,
+    measured size allows (``known_small``: it is broadcast, and the rows are not
+    shuffled by tag to find out).  Adds ``language``, ``morphology``,
     ``morphology_string`` (and ``decode_error`` with ``on_error='null'``)."""
     keyed = df.withColumn("__tag", F.col(tag))
-    return keyed.join(tag_dictionary(df, tag, pronoun_person, on_error), "__tag", "left").drop("__tag")
+    return join_small(keyed, tag_dictionary(df, tag, pronoun_person, on_error), "__tag", how="left", known_small=known_small).drop("__tag")
 
 
 def lookup_table(spark: SparkSession, scheme: str | None = None) -> DataFrame:

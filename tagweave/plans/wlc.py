@@ -67,7 +67,8 @@ def read_wlc_words(
         check_manifest(present.select(F.col("book_key").alias("file_stem")), dim, "file_stem", allow_missing=allow_missing)
     if layout == "chapters":
         return words_from_chapters(files, partitions=partitions, **options)
-    return words_from_books(files, partitions=partitions, **options)
+    # lines come in even splits of their files: the words stay where they are
+    return words_from_books(files, partitions=partitions, even=layout == "lines", **options)
 
 
 def manifest_check(spark: SparkSession) -> ManifestCheck:
@@ -89,11 +90,13 @@ def words_from_books(
     pronoun_person: bool = False,
     partitions: int | None = None,
     on_error: str = "fail",
+    even: bool = False,
 ) -> DataFrame:
     """Word rows from parsed book files ``(book_key, book)`` — the part of
     ``read_wlc_words`` after the read, usable on a streaming micro-batch.
     Files whose stem is not a known book are left out (``unknown_books``
-    lists them)."""
+    lists them).  ``even``: the books are spread over the tasks already, so the
+    exploded words are not shuffled."""
     dim = book_dimension(files.sparkSession, "hebrew").withColumnRenamed("ordinal", "book_no")
     books = files.join(F.broadcast(dim), files.book_key == dim.file_stem).select(
         F.col("name").alias("book"), "book_no", F.col("book").alias("content")
@@ -102,7 +105,10 @@ def words_from_books(
         books, "content", coords=("chapter", "verse_no"), position="word_no", ordinal="ordinal", value="word",
         keep=["book", "book_no"],
     )
-    words = words.repartition(partitions) if partitions else words.hint("rebalance")
+    if partitions:
+        words = words.repartition(partitions)
+    elif not even:
+        words = words.hint("rebalance")
     return _decoded(words, dictionary, pronoun_person, on_error)
 
 
@@ -137,7 +143,8 @@ def _decoded(words: DataFrame, dictionary: bool, pronoun_person: bool, on_error:
         sequence_id("book_no", "chapter", "verse_no", "ordinal").alias("id"),
     )
     if dictionary:
-        decoded = decode_by_dictionary(words, "codes", pronoun_person=pronoun_person, on_error=on_error).withColumnRenamed(
+        # a grammar's tags are few, a corpus's words are not: these are not shuffled
+        decoded = decode_by_dictionary(words, "codes", pronoun_person=pronoun_person, on_error=on_error, known_small=True).withColumnRenamed(
             "morphology_string", "MorphologyString"
         )
     else:
