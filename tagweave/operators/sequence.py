@@ -248,7 +248,9 @@ def run_ordinal_in_order(
 
     schema = ", ".join(f"`{c}` {spark_type(c)}" for c in df.columns)
     rows = df.mapInArrow(number, f"{schema}, __lord bigint, __open boolean")
-    small = carries.select(*[F.col(c).alias(f"__r{c}") for c in keys], "__carry")
+    # broadcast, or the rows are shuffled to find out how small it is: a row for
+    # each chunk that goes on with a run, less than the scheduler holds of a split
+    small = F.broadcast(carries.select(*[F.col(c).alias(f"__r{c}") for c in keys], "__carry"))
     cond = None
     for c in keys:
         same = rows[c].eqNullSafe(small[f"__r{c}"])
