@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions._util import col
 from .sequence import _join_back
@@ -154,6 +159,10 @@ def explode_text(
     names = list(coords) + [position]
     keep = list(keep if keep is not None else [c for c in df.columns if c != (text if isinstance(text, str) else None)])
 
+    literals = [_literal(x) for x in separators]
+    if all(literals):
+        return _explode_literal(df.select(*keep, col(text).cast("string").alias("__text")), keep, literals, names, ordinal, value)
+
     def level(c: Column, depth: int, acc: list[tuple[str, Column]]) -> Column:
         parts = F.split(c, separators[depth], -1)
         if depth == len(names) - 1:
@@ -169,3 +178,64 @@ def explode_text(
         out.append((F.col("__pos") + 1).alias(ordinal))
     out.append(F.col("__s")["value"].alias(value))
     return exploded.select(*out)
+
+
+def _literal(separator: str) -> str | None:
+    """The text that a regex stands for, if it stands for one text only."""
+    text = re.sub(r"\\([^0-9A-Za-z])", r"\1", separator)
+    plain = not re.search(r"[\\.^$|?*+()\[\]{}]", re.sub(r"\\[^0-9A-Za-z]", "", separator))
+    return text if plain and text else None
+
+
+_TEXT_BYTES = 1 << 22  # of text that is split at a time
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about `_TEXT_BYTES` of text, or one row."""
+    size = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // _TEXT_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    for a, b in zip(cuts, cuts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def _explode_literal(
+    df: DataFrame, keep: Sequence[str], separators: Sequence[str], names: Sequence[str], ordinal: str | None, value: str
+) -> DataFrame:
+    """Split and numbered as whole Arrow columns; ``df`` has ``keep`` and the
+    text.  A level's pieces are numbered from the offsets of its lists, so no
+    word is an object of its own."""
+    kept = len(keep)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch):
+                pieces = part.column(kept)
+                pieces = pieces.cast(pa.string())
+                row = np.arange(part.num_rows)
+                first = row  # the row in `part` that a piece comes from
+                numbers: list[np.ndarray] = []
+                for separator in separators:
+                    lists = pc.split_pattern(pieces, separator)
+                    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                    begin = np.cumsum(n) - n
+                    pieces = lists.flatten()
+                    numbers = [np.repeat(x, n) for x in numbers]
+                    numbers.append((np.arange(len(pieces)) - np.repeat(begin, n) + 1).astype(np.int32))
+                    first = np.repeat(first, n)
+                if not len(pieces):
+                    continue
+                extra = []
+                if ordinal:
+                    start = np.flatnonzero(np.r_[True, first[1:] != first[:-1]])
+                    length = np.diff(np.r_[start, len(first)])
+                    extra = [pa.array((np.arange(len(first)) - np.repeat(start, length) + 1).astype(np.int32))]
+                out = [*part.select(list(range(kept))).take(pa.array(first)).columns, *map(pa.array, numbers), *extra, pieces]
+                done = pa.RecordBatch.from_arrays(out, names=schema.names)
+                for a in range(0, len(first), 1 << 16):
+                    yield done.slice(a, 1 << 16)
+
+    whole = [*names, *([ordinal] if ordinal else [])]
+    schema = T.StructType([*df.schema.fields[:kept], *[T.StructField(n, T.IntegerType()) for n in whole], T.StructField(value, T.StringType())])
+    return df.mapInArrow(rows, schema)
