@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def _pieces(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return raw.select(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, str, bool]]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, bytes, bool]]:
     """``(batch, f, block, text, new)`` for every run of pieces of one split;
     the separators are back in the text.  ``new``: the split's first run."""
     last = None
@@ -41,9 +42,10 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, i
         cut = np.flatnonzero((f[1:] != f[:-1]) | (block[1:] != block[:-1])) + 1
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(f)], strict=True):
             key = int(f[a]), int(block[a])
-            text = "[".join(batch.column(2).slice(a, b - a).to_pylist())
+            pieces = batch.column(2).slice(a, b - a).cast(pa.binary())
+            text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), pieces), b"[")[0].as_py()
             # only a file's first piece has no bracket in front of it
-            yield batch, *key, text if key != last and key[1] == 0 else "[" + text, key != last
+            yield batch, *key, text if key != last and key[1] == 0 else b"[" + text, key != last
             last = key
 
 
@@ -82,7 +84,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if now is not None:
                 yield row()
             now, quotes, depth, opens, commas = (f, block), 0, [0, 0], [0, 0], np.zeros((2, 2 * _DEEP + 1), np.int64)
-        data = np.frombuffer(text.encode(), np.uint8)
+        data = np.frombuffer(text, np.uint8)
         places, before, n = _marks(data)
         for start in (0, 1):  # outside or inside a string at the split's start
             at = places[(before + quotes + start) % 2 == 0]
@@ -137,7 +139,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
             rows.clear()
 
-    for batch, f, block, text, new in _runs(batches):
+    for batch, f, block, raw, new in _runs(batches):
         if new:
             close()
             k = int(np.flatnonzero((batch.column(0).to_numpy() == f) & (batch.column(1).to_numpy() == block))[0])
@@ -146,7 +148,6 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if block == 0:
                 rows.append((f, 0, 0, 0, balanced, ""))  # stands for the file
             open_ = depth >= 2
-        raw = text.encode()
         data = np.frombuffer(raw, np.uint8)
         places, before, n = _marks(data)
         at = places[(before + quotes) % 2 == 0]

@@ -1,5 +1,6 @@
 """Words that stay where they are, literal splits, and tables that are folders."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from tagweave.operators import explode_nested, explode_text, run_ordinal_in_orde
 from tagweave.operators.explode import _literal
 from tagweave.plans import catalog
 from tagweave.plans.wlc import manifest_check, read_wlc_words
+from tagweave.sources import chapters as C
 from tagweave.sources import read_tagged_lines
 
 TEXTS = ["a b. c\nd", "", None, "\n", ". ", " x  y. . z\n\n", "é\u00a0日本. \U0001f600 q\r\n", "a.b . c"]
@@ -60,3 +62,9 @@ def test_literal_splits_equal_the_nested_ones(documents):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     regex = explode_text(documents, "text", ["\n", r"\.\s", "[ ]"])
     assert "MapInArrow" not in plan(regex)
+
+
+def test_pieces_are_joined_as_bytes():
+    batch = pa.RecordBatch.from_pydict({"f": pa.array([1, 1, 1, 2]), "block": pa.array([0, 0, 9, 0]), "value": ["é", "", "x]", ""]})
+    runs = [(f, block, text, new) for _, f, block, text, new in C._runs(iter([batch]))]
+    assert runs == [(1, 0, "é[".encode(), True), (1, 9, b"[x]", True), (2, 0, b"", True)]
