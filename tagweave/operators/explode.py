@@ -45,10 +45,16 @@ def explode_nested(
     element (``value``) and, when ``ordinal`` is set, a 1-based running
     number over the whole row's content that never resets at a level
     boundary.  Map-only: no shuffle, no window; the ordinal comes from
-    ``posexplode`` of the flattened array.
+    ``posexplode`` of the flattened array.  Without it the innermost arrays
+    are exploded as they are, which builds no struct for an element.
     """
     names = list(coords) + [position]
     keep = [c for c in (keep if keep is not None else df.columns) if c != (column if isinstance(column, str) else None)]
+    if coords and not ordinal:
+        inner = df.select(*keep, F.explode(_coordinate_tree(col(column), names[:-1], len(coords) - 1, [])).alias("__s"))
+        exploded = inner.select(*keep, "__s", F.posexplode(F.col("__s")["value"]).alias("__pos", "__value"))
+        numbers = [*[F.col("__s")[n].alias(n) for n in coords], (F.col("__pos") + 1).alias(position)]
+        return exploded.select(*keep, *numbers, F.col("__value").alias(value))
     flat = _coordinate_tree(col(column), names, len(coords), [])
     exploded = df.select(*keep, F.posexplode(flat).alias("__pos", "__s"))
     out = [*keep, *[F.col("__s")[n].alias(n) for n in names]]
