@@ -159,13 +159,18 @@ def blocks(column: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int
         i = j
 
 
+def mapped(data: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """``table[data]`` of bytes for a table of 256 one-byte values; read-only."""
+    return np.frombuffer(data.tobytes().translate(table.tobytes()), table.dtype)
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = WORD_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(start, end, first)``: byte ranges of all words in order, and per text
     the index of its first word (one entry more than texts)."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = table[data]
+    inside = mapped(data, table)
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     stop = inside.copy()  # last byte of a word
@@ -192,17 +197,17 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: boo
     """Hash of each byte range: its length and its bytes, eight at a time, each
     mixed into what came before."""
     if lower:
-        data = LOWER[data]
+        data = mapped(data, LOWER)
     at, size = eight_bytes(data), end - start
     salt = int(_splitmix(np.array([seed], np.uint64))[0])
     with np.errstate(over="ignore"):
-        h = size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt)
-        todo, pos, left = np.flatnonzero(size <= _LONG), start, size
-        if len(todo) < len(size):
-            pos, left = start[todo], size[todo]
+        first = size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(salt)
+        h = _splitmix(first ^ (at[start] & _MASK[np.minimum(size, 8)]))
+        h[size == 0] = first[size == 0]
+        todo = np.flatnonzero((size > 8) & (size <= _LONG))
+        pos, left = start[todo] + 8, size[todo] - 8
         while len(todo):
-            mixed = _splitmix(h[todo] ^ (at[pos] & _MASK[np.minimum(left, 8)]))
-            h[todo] = mixed
+            h[todo] = _splitmix(h[todo] ^ (at[pos] & _MASK[np.minimum(left, 8)]))
             on = np.flatnonzero(left > 8)
             todo, pos, left = todo[on], pos[on] + 8, left[on] - 8
     for k in np.flatnonzero(size > _LONG).tolist():

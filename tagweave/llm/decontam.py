@@ -163,6 +163,10 @@ class ItemBlock:
     def __init__(self, ids: list[str], hashes: list[np.ndarray], window: int):
         self.ids = ids
         self.words = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
+        # which leading bits the words' hashes have: most other words are told apart by them
+        bits = (8 * len(self.words)).bit_length()
+        self.shift, self.near = np.uint64(64 - bits), np.zeros(1 << bits, bool)
+        self.near[self.words >> self.shift] = True
         self.pairs = np.unique(np.concatenate([_pair(h[:-1], h[1:]) for h in hashes])) if hashes else self.words
         self.shortest = min([window, *[len(h) for h in hashes]])
         self.automaton = SuffixAutomaton([np.searchsorted(self.words, h).tolist() for h in hashes], window)
@@ -174,7 +178,9 @@ class ItemBlock:
         found: dict[int, set[int]] = {}
         if not n or not len(self.words):
             return hit, found
-        known = _member(self.words, words)
+        known = self.near[words >> self.shift]
+        at = np.flatnonzero(known)
+        known[at] = _member(self.words, words[at])
         joined = np.zeros(n, dtype=bool)  # this word and the next one are neighbours in an item
         joined[:-1] = known[:-1] & known[1:]
         edge = first[1:-1]
@@ -291,8 +297,10 @@ def scan(
     Map-only: texts are never shuffled; each task holds one batch of texts and
     one automaton, read from the shared folder."""
     automata = write_blocks(items, window=window, max_words=max_block_words)
-    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).withColumn("text", F.col(f"c{docs.columns.index(text_col)}").cast("string"))
     names = [f"c{i}" for i in range(len(docs.columns))]
+    plain, at_text = docs.toDF(*names), docs.columns.index(text_col)
+    if docs.schema[at_text].dataType.simpleString() != "string":  # else sent to Python once
+        plain, at_text = plain.withColumn("text", F.col(f"c{at_text}").cast("string")), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,22 +308,22 @@ def scan(
             cuts, hits, items_of = [], [], []
             for path in automata or [None]:
                 automaton = _load(path) if path else ItemBlock([], [], window)
-                for n, (i, j, data, offsets) in enumerate(blocks(batch.column(batch.num_columns - 1))):
+                for n, (i, j, data, offsets) in enumerate(blocks(batch.column(at_text))):
                     start, end, first = find_words(data, offsets, _WORD_ANY_CASE)
                     h, f = automaton.scan(word_hashes(data, start, end, lower=True), first)
                     if n == len(cuts):
-                        cuts.append((i, j, data, offsets))
+                        cuts.append((i, j, data, offsets, first))
                         hits.append(h)
                         items_of.append([set() for _ in range(j - i)])
                     else:
                         hits[n] |= h
                     for r, ks in f.items():
                         items_of[n][r].update(str(automaton.ids[k]) for k in ks)
-            for (i, j, data, offsets), hit, found in zip(cuts, hits, items_of, strict=True):
-                start, end, first = find_words(data, offsets, _WORD_ANY_CASE)
+            for (i, j, data, offsets, first), hit, found in zip(cuts, hits, items_of, strict=True):
                 n_words, n_hit = np.diff(first), per_text(hit, first)
                 clean: list[str | None] = [None] * (j - i)
                 if hit.any():
+                    start, end, _ = find_words(data, offsets, _WORD_ANY_CASE)
                     text, lo, hi = _runs(hit, first)
                     cut = hi - lo > max_span
                     text, lo, hi = text[cut], lo[cut], hi[cut]
@@ -328,7 +336,7 @@ def scan(
                         clean[r] = b"".join([*parts, raw[at : offsets[r + 1]]]).decode("utf-8")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[batch.column(k).slice(i, j - i) for k in range(batch.num_columns - 1)],
+                        *[batch.column(k).slice(i, j - i) for k in range(len(names))],
                         pa.array(n_words, pa.int64()),
                         pa.array(n_hit, pa.int64()),
                         pa.array([sorted(x) for x in found], pa.list_(pa.string())),

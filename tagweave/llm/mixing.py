@@ -259,18 +259,19 @@ def taken(mix: Mix) -> DataFrame:
     return out.withColumn("taken", F.coalesce("taken", F.lit(0)))
 
 
-def _take_words(raw: bytes, lo: np.ndarray, hi: np.ndarray, times: np.ndarray) -> bytes:
+def _take_words(raw: bytes, start: np.ndarray, end: np.ndarray, lo: np.ndarray, hi: np.ndarray, times: np.ndarray) -> bytes:
     """The words ``[lo, hi)`` of each span (in order), pass by pass, with the
-    text's own white space inside a run; passes are set apart by a line end."""
-    start, end, _ = find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    text's own white space inside a run; passes are set apart by a line end.
+    ``start`` and ``end`` are the bounds of the text's words."""
     out = []
     for p in range(int(times.max())):
         a, b = lo[times > p], hi[times > p]
         first = np.ones(len(a), bool)
         first[1:] = a[1:] != b[:-1]
         at = np.flatnonzero(first)
-        runs = zip(a[at].tolist(), b[np.append(at[1:], len(a)) - 1].tolist(), strict=True)
-        out.append(b" ".join(raw[0 if x == 0 else start[x] : len(raw) if y == len(start) else end[y - 1]] for x, y in runs))
+        x, y = a[at], b[np.append(at[1:], len(a)) - 1]
+        begin, stop = np.where(x == 0, 0, start[x]), np.where(y == len(start), len(raw), end[y - 1])
+        out.append(b" ".join([raw[i:j] for i, j in zip(begin.tolist(), stop.tolist(), strict=True)]))
     return b"\n".join(out)
 
 
@@ -309,10 +310,14 @@ def mix_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", source_col:
         for batch in batches:
             for i_, j_, data, offsets in blocks(batch.column(t)):
                 raw, part = data.tobytes(), batch.slice(i_, j_ - i_)
+                start, end, first = find_words(data, offsets)
+                spans = [part.column(len(names) + k) for k in range(3)]
+                cut = np.append(0, np.cumsum(spans[0].value_lengths().to_numpy()))
+                lo, hi, times = (x.flatten().to_numpy() for x in spans)
                 out = []
                 for r in range(j_ - i_):
-                    lo, hi, times = (part.column(len(names) + k)[r].values.to_numpy() for k in range(3))
-                    out.append(_take_words(raw[offsets[r] : offsets[r + 1]], lo, hi, times).decode())
+                    base, words, mine = offsets[r], slice(first[r], first[r + 1]), slice(cut[r], cut[r + 1])
+                    out.append(_take_words(raw[base : offsets[r + 1]], start[words] - base, end[words] - base, lo[mine], hi[mine], times[mine]).decode())
                 cols = [part.column(k) for k in range(len(names))]
                 cols[t] = pa.array(out, pa.string())
                 yield pa.RecordBatch.from_arrays(cols, names=names)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._text import BLOCK_BYTES, blocks, find_words, mix64, per_text, ragged, row_of, word_hashes
+from ._text import BLOCK_BYTES, WORD_BYTES, blocks, find_words, mapped, mix64, per_text, row_of, word_hashes
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_letters", "n_upper")
 
@@ -30,6 +30,11 @@ _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
 _LETTER[97:123] = True
 _LETTER[128:] = True
+# bytes that start a character: all but those inside one
+_STARTS = np.ones(256, dtype=bool)
+_STARTS[0x80:0xC0] = False
+_NO_LINE_END = np.ones(256, dtype=bool)
+_NO_LINE_END[10] = False
 
 
 @dataclass(frozen=True)
@@ -81,73 +86,71 @@ def _repeat_words(words: np.ndarray, first: np.ndarray) -> np.ndarray:
             key = mix64(key + row[:-2].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         at = np.flatnonzero(row[:-2] == row[2:])
         key = key[at]
-        order = np.argsort(key, kind="stable")
-        k = key[order]
-        same = k[1:] == k[:-1]
-        hit = np.zeros(len(k), dtype=bool)
-        hit[1:] |= same
-        hit[:-1] |= same
-        at = at[order[hit]]
+        ranked = np.sort(key)
+        twice = ranked[1:][ranked[1:] == ranked[:-1]]
+        if len(twice):
+            place = np.minimum(np.searchsorted(twice, key), len(twice) - 1)
+            at = at[twice[place] == key]
+        else:
+            at = at[:0]
         for d in range(3):
             covered[at + d] = True
     return per_text(covered, first)
 
 
-def _lines(data: np.ndarray, offsets: np.ndarray, has_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per text: lines that hold a word, and those equal to an earlier one."""
-    table = np.ones(256, dtype=bool)
-    table[10] = False
-    start, end, first = find_words(data, offsets, table)  # non-empty lines
+def _lines(data: np.ndarray, offsets: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: lines that hold a word, and those equal to an earlier one.
+    ``words``: where words start; none goes over a line's end."""
+    start, end, first = find_words(data, offsets, _NO_LINE_END)  # non-empty lines
     if not len(start):
         z = np.zeros(len(offsets) - 1, np.int64)
         return z, z
-    words_before = np.zeros(len(data) + 1, dtype=np.int64)
-    np.cumsum(has_word, out=words_before[1:])
-    keep = words_before[end] > words_before[start]
+    keep = np.append(words, len(data))[np.searchsorted(words, start)] < end
     row = row_of(first)
     lines = np.bincount(row[keep], minlength=len(offsets) - 1)
     h = word_hashes(data, start, end, seed=7)
     with np.errstate(over="ignore"):
         key = mix64(h + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[keep]
-    order = np.argsort(key, kind="stable")
-    dup = np.zeros(len(key), dtype=bool)
-    dup[order[1:]] = key[order[1:]] == key[order[:-1]]
-    return lines, np.bincount(row[keep][dup], minlength=len(offsets) - 1)
+    row = row[keep]
+    order = np.argsort(key)
+    dup = key[order[1:]] == key[order[:-1]]
+    return lines, np.bincount(row[order[1:]][dup], minlength=len(offsets) - 1)
 
 
 def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """All measures of a block of texts."""
     start, end, first = find_words(data, offsets)
     words = word_hashes(data, start, end)
-    in_word = np.zeros(len(data), dtype=bool)
-    in_word[ragged(start, end - start)] = True
-    marks = np.zeros(len(data) + 1, dtype=np.int64)
 
-    def count(flag: np.ndarray) -> np.ndarray:
-        np.cumsum(flag, out=marks[1:])
-        return marks[offsets[1:]] - marks[offsets[:-1]]
+    def count(table: np.ndarray) -> np.ndarray:
+        return np.diff(np.searchsorted(np.flatnonzero(mapped(data, table)), offsets))
 
-    lines, dup = _lines(data, offsets, in_word)
+    size = np.diff(offsets)
+    lines, dup = _lines(data, offsets, start)
     return {
         "n_words": np.diff(first),
-        "word_chars": count(in_word & ((data & 0xC0) != 0x80)),
-        "n_symbols": count(_SYMBOLS[data]),
+        # of what most bytes are, the others are counted
+        "word_chars": size - count(~(WORD_BYTES & _STARTS)),
+        "n_symbols": count(_SYMBOLS),
         "n_lines": lines,
         "n_dup_lines": dup,
         "n_repeat_words": _repeat_words(words, first),
-        "n_letters": count(_LETTER[data] & ((data & 0xC0) != 0x80)),
-        "n_upper": count(_UPPER[data]),
+        "n_letters": size - count(~(_LETTER & _STARTS)),
+        "n_upper": count(_UPPER),
     }
 
 
-def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measure_batches(batches: Iterator[pa.RecordBatch], text: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches with the measures of column ``text``; by default of the last
+    column, which is left out."""
     for batch in batches:
-        for i, j, data, offsets in blocks(batch.column(batch.num_columns - 1), BLOCK_BYTES):
+        kept = batch.num_columns - (text is None)
+        for i, j, data, offsets in blocks(batch.column(kept if text is None else text), BLOCK_BYTES):
             m = measure(data, offsets)
-            cols = [batch.column(k).slice(i, j - i) for k in range(batch.num_columns - 1)]
+            cols = [batch.column(k).slice(i, j - i) for k in range(kept)]
             yield pa.RecordBatch.from_arrays(
                 [*cols, *[pa.array(m[name].astype(np.int64)) for name in MEASURES]],
-                names=[*batch.schema.names[:-1], *MEASURES],
+                names=[*batch.schema.names[:kept], *MEASURES],
             )
 
 
@@ -177,7 +180,10 @@ def apply_policy(docs: DataFrame, policy: Policy = POLICY, text_col: str = "text
     schema = types + ", " + ", ".join(f"{m} bigint" for m in MEASURES)
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     t = docs.columns.index(text_col)
-    measured = plain.withColumn("__text", F.col(f"c{t}").cast("string")).mapInArrow(_measure_batches, schema)
+    if docs.schema[t].dataType.simpleString() == "string":  # sent to Python once
+        measured = plain.mapInArrow(lambda batches: _measure_batches(batches, t), schema)
+    else:
+        measured = plain.withColumn("__text", F.col(f"c{t}").cast("string")).mapInArrow(_measure_batches, schema)
     kept = measured.withColumn("failed_bits", failure_bits(rules)).where(verdict(policy, rules))
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import stored
-from ._text import LOWER, blocks, find_words, mix64, ragged
+from ._text import LOWER, WORD_BYTES, blocks, eight_bytes, find_words, mapped, mix64, ragged
 from .components import components
 
 SHINGLE = 3
@@ -45,41 +45,118 @@ MAX_GROUP = 2048
 _SEED = 42  # fixed value: the seed of the shingle hash
 
 
+_RUN = 255  # bits that a byte can sum
+
+
 def _sum_bits(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Per run of hashes, how many have each of the 64 bits: the bits are
-    spread over bytes a byte at a time and summed by prefix sums."""
+    spread over bytes, summed as bytes in runs of at most `_RUN`, and the runs'
+    sums are added up."""
     n = len(first) - 1
     out = np.zeros((n, 64), dtype=np.int64)
-    some = np.flatnonzero(np.diff(first))
-    if not len(some):
-        return out
+    size = np.diff(first)
+    some = np.flatnonzero(size)
     for lo in range(0, len(some), 256):
         rows = some[lo : lo + 256]
         a, b = first[rows[0]], first[rows[-1] + 1]
         bits = np.unpackbits(h[a:b].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        out[rows] = np.add.reduceat(bits, first[rows] - a, axis=0, dtype=np.int32)
+        pieces = -(-size[rows] // _RUN)
+        start = np.cumsum(pieces) - pieces
+        at = np.repeat(first[rows] - a, pieces) + (np.arange(int(pieces.sum())) - np.repeat(start, pieces)) * _RUN
+        out[rows] = np.add.reduceat(np.add.reduceat(bits, at, axis=0, dtype=np.uint8), start, axis=0, dtype=np.int64)
+    return out
+
+
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
+_LONG = 512  # bytes; longer ranges go one by one through the library
+_SOME = 1 << 14  # ranges hashed at a time, so that what is computed stays in the cache
+
+
+def _rotl(x: np.ndarray, n: int) -> np.ndarray:
+    return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+
+def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _rotl(acc + lane * _P2, 31) * _P1
+
+
+def _xxh64(at: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """XXH64 of byte ranges of at most `_LONG` bytes; ``at`` is `eight_bytes`."""
+    zero, salt = np.uint64(0), np.uint64(seed)
+    h = np.full(len(start), salt + _P5)
+    pos, left = start.copy(), size.copy()
+    todo = np.flatnonzero(size >= 32)
+    if len(todo):
+        p, n = start[todo], size[todo]
+        v = [np.full(len(todo), x) for x in (salt + _P1 + _P2, salt + _P2, salt + zero, salt - _P1)]
+        on = np.arange(len(todo))
+        while len(on):
+            for k in range(4):
+                v[k][on] = _round(v[k][on], at[p[on] + 8 * k])
+            p[on] += 32
+            n[on] -= 32
+            on = on[n[on] >= 32]
+        acc = _rotl(v[0], 1) + _rotl(v[1], 7) + _rotl(v[2], 12) + _rotl(v[3], 18)
+        for x in v:
+            acc = (acc ^ _round(np.full(len(x), zero), x)) * _P1 + _P4
+        h[todo], pos[todo], left[todo] = acc, p, n
+    h += size.astype(np.uint64)
+    for _ in range(3):  # at most 31 bytes are left
+        on = np.flatnonzero(left >= 8)
+        if not len(on):
+            break
+        h[on] = _rotl(h[on] ^ _round(np.full(len(on), zero), at[pos[on]]), 27) * _P1 + _P4
+        pos[on] += 8
+        left[on] -= 8
+    on = np.flatnonzero(left >= 4)
+    h[on] = _rotl(h[on] ^ ((at[pos[on]] & np.uint64(0xFFFFFFFF)) * _P1), 23) * _P2 + _P3
+    pos[on] += 4
+    left[on] -= 4
+    for _ in range(3):
+        on = np.flatnonzero(left)
+        if not len(on):
+            break
+        h[on] = _rotl(h[on] ^ ((at[pos[on]] & np.uint64(0xFF)) * _P5), 11) * _P1
+        pos[on] += 1
+        left[on] -= 1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
+
+
+def xxh64(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = _SEED) -> np.ndarray:
+    """XXH64 of each byte range, many ranges at a time."""
+    at, size = eight_bytes(data), end - start
+    out = np.empty(len(start), np.uint64)
+    long = np.flatnonzero(size > _LONG)
+    with np.errstate(over="ignore"):
+        for a in range(0, len(start), _SOME):
+            some = slice(a, a + _SOME)
+            out[some] = _xxh64(at, start[some], np.minimum(size[some], _LONG), seed)
+    for k in long.tolist():
+        out[k] = xxhash.xxh64_intdigest(data[start[k] : end[k]], seed)
     return out
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
     """Fingerprints of a block of texts."""
-    data = LOWER[data]
+    data = mapped(data, LOWER)
     start, end, first = find_words(data, offsets)
     n_words = np.diff(first)
     # words one space apart in one buffer, so that every shingle is a slice of it
     size = end - start
     flat = np.full(int(size.sum()) + len(size), 0x20, np.uint8)
     at = np.cumsum(size + 1) - (size + 1)
-    flat[ragged(at, size)] = data[ragged(start, size)]
+    inside = np.ones(len(flat), bool)
+    inside[at + size] = False
+    flat[inside] = data[mapped(data, WORD_BYTES)]
     n_sh = np.where(n_words > 0, np.maximum(n_words - shingle + 1, 1), 0)
     begin = ragged(first[:-1], n_sh)
     row = np.repeat(np.arange(len(n_words)), n_sh)
     last = np.minimum(begin + shingle, first[1:][row]) - 1
-    raw = flat.tobytes()
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter(
-        (digest(raw[a:b], _SEED) for a, b in zip(at[begin].tolist(), (at[last] + size[last]).tolist(), strict=True)), np.uint64, len(begin)
-    )
+    h = xxh64(flat, at[begin], at[last] + size[last])
     bounds = np.concatenate([[0], np.cumsum(n_sh)])
     over = _sum_bits(h, bounds) * 2 > n_sh[:, None]
     return np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
