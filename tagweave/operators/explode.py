@@ -90,16 +90,17 @@ def explode_chapters(
     of any size is as many tasks as its chapters are dealt to."""
     by = list(by)
     keep = list(keep if keep is not None else [c for c in chapters.columns if c not in (content, chapter)])
-    d = chapters.where(F.size(content) > 0)
+    d = chapters  # not filtered: the content, often parsed just here, would be made once more for it
     names = [*coords, position]
     flat = _coordinate_tree(F.col(content), names, len(coords), [])
     if not ordinal:
         rows = d.select(*keep, chapter, F.explode(flat).alias("__s"))
         return rows.select(*keep, chapter, *[F.col("__s")[n].alias(n) for n in names], F.col("__s")["value"].alias(value))
     before = Window.partitionBy(*by).orderBy(chapter).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = d.select(*by, chapter, _leaves(F.col(content), len(coords) + 1).alias("__n"))
+    sizes = d.select(*by, chapter, F.coalesce(_leaves(F.col(content), len(coords) + 1), F.lit(0)).alias("__n"))
     offsets = sizes.select(*by, chapter, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    rows = _join_back(d, offsets, [*by, chapter]).select(*keep, chapter, "__off", F.posexplode(flat).alias("__pos", "__s"))
+    # the offsets are hashed, so that the content need not be sorted
+    rows = _join_back(d, offsets.hint("shuffle_hash"), [*by, chapter]).select(*keep, chapter, "__off", F.posexplode(flat).alias("__pos", "__s"))
     return rows.select(
         *keep, chapter, *[F.col("__s")[n].alias(n) for n in names], (F.col("__pos") + 1 + F.col("__off")).alias(ordinal), F.col("__s")["value"].alias(value)
     )

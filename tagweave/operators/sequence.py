@@ -31,11 +31,13 @@ def _join_back(rows: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFr
     """Null-safe equi-join of per-chunk values back onto the rows: a null
     group or chunk is a group like any other (the window form keeps it),
     and no ``IS NOT NULL`` filter is inferred into one branch only, so both
-    branches stay identical and their shuffle can be reused."""
+    branches stay identical and their shuffle can be reused.  Keys that are never
+    null are compared as they are: rows dealt by them are not shuffled again."""
     renamed = small.select(*[F.col(c).alias(f"__r{c}" if c in keys else c) for c in small.columns])
     cond = None
+    never = {f.name for f in rows.schema.fields if not f.nullable} & {f.name[3:] for f in renamed.schema.fields if not f.nullable}
     for k in keys:
-        c = rows[k].eqNullSafe(renamed[f"__r{k}"])
+        c = rows[k] == renamed[f"__r{k}"] if k in never else rows[k].eqNullSafe(renamed[f"__r{k}"])
         cond = c if cond is None else cond & c
     return rows.join(renamed, cond, "inner").drop(*[f"__r{k}" for k in keys])
 

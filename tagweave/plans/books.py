@@ -91,3 +91,64 @@ def book_lines(
     third = third.cast("bigint") if tags else F.make_valid_utf8(third)
     columns = [F.make_valid_utf8(key), F.make_valid_utf8(second), third, F.make_valid_utf8(text)]
     return df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(lines, "value string")
+
+
+PART_BYTES = 1 << 24  # of text that a task writes of a large book
+_FILE_LINES = 1 << 17  # of JSON in a file
+_OPEN, _CHAPTER, _CLOSE = range(3)
+
+
+def write_books(df: DataFrame, book: Column, order: Column, text: Column, separators: Sequence[str], second: Column, third: str, path: str) -> None:
+    """Few large nested books: the files of a folder ``path/book=<n>``, in order
+    of their names, are one JSON text, compressed.  Its chapters are null and then
+    the rows of ``df`` by ``order``, each text split by two plain separators, a
+    word being ``[token, second, third]``; a null text gives no chapter.
+
+    Texts are dealt by ranges of ``(book, order)`` and made JSON after that, so
+    a book is written by as many tasks as it needs and only its text is shuffled.  A
+    line is a verse, and a file ends after any line, in the middle of a chapter
+    too."""
+    literals = [_literal(s) for s in separators]
+    if len(literals) != 2 or not all(literals):
+        raise ValueError("separators must be two plain texts")
+    last = _quoted(pa.array([third]))[0].as_py() + "]"
+    escapes = [c for c in _ESCAPES if c not in literals]
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = 0
+        for part in (part for batch in batches for part in _slices(batch)):
+            books, kinds, seconds, texts = part.columns
+            verses = pc.split_pattern(texts, literals[0])
+            n_verses = pc.fill_null(pc.list_value_length(verses), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            words = pc.split_pattern(verses.flatten(), literals[1])
+            n_words = words.value_lengths().to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(part.num_rows), n_verses)
+            tokens = _escaped(words.flatten(), _present(texts, escapes))
+            ends = pc.binary_join_element_wise('",', _quoted(seconds), ",", last, "")
+            content = _arrays(pc.binary_join_element_wise('["', tokens, ends.take(pa.array(np.repeat(row, n_words))), ""), n_words)
+            first, final = np.ones(len(row), bool), np.ones(len(row), bool)
+            first[1:] = final[:-1] = row[1:] != row[:-1]
+            value = pc.binary_join_element_wise(pc.if_else(pa.array(first), ",\n [", ","), content, pc.if_else(pa.array(final), "]", ""), "")
+            kind = kinds.to_numpy()
+            edge = np.flatnonzero(kind != _CHAPTER)
+            if len(edge):
+                row = np.concatenate([row, edge])
+                order = np.argsort(row, kind="stable")
+                value = pa.concat_arrays([value, pa.array(["[ null" if k == _OPEN else "]" for k in kind[edge]], pa.string())]).take(pa.array(order))
+                row = row[order]
+            out = pa.RecordBatch.from_arrays([books.take(pa.array(row)), pa.array(np.arange(done, done + len(row))), value], names=["book", "line", "value"])
+            done += len(row)
+            for a in range(0, len(row), 1 << 13):
+                yield out.slice(a, 1 << 13)
+
+    rows = df.select(
+        book.cast("bigint").alias("book"), F.lit(_CHAPTER).alias("kind"), order.alias("order"),
+        F.make_valid_utf8(second).alias("second"), F.make_valid_utf8(text).alias("text"),
+    )
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    edges = rows.select("book").distinct().select("book", F.explode(F.array(F.lit(_OPEN), F.lit(_CLOSE))).alias("kind"))
+    whole = rows.unionByName(edges, allowMissingColumns=True)
+    keys = ["book", "kind", "order"]
+    dealt = whole.repartitionByRange(max(1, -(-size // PART_BYTES)), *keys).sortWithinPartitions(*keys).select("book", "kind", "second", "text")
+    made = dealt.mapInArrow(lines, "book bigint, line bigint, value string").sortWithinPartitions("book", "line").select("book", "value")
+    made.write.partitionBy("book").option("compression", "snappy").option("maxRecordsPerFile", _FILE_LINES).text(path)
