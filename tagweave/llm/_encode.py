@@ -25,8 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
 _PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _PLAIN = regex.compile(r"[!-~¡-įı-ɏ]*")
 _MARK = "\x01"
-WORD_CACHE = 1 << 20
-PIECE_CACHE = 1 << 18
+WORD_CACHE = 1 << 18
+PIECE_CACHE = 1 << 16
 _AT_ONCE = 100  # words that the library is given in one text
 
 
@@ -100,7 +100,7 @@ class WordEncoder:
     def clear(self) -> None:
         self.slots = _Slots()
         size = len(self.slots.keys)
-        self.at, self.n, self.hits = np.zeros(size, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int32)
+        self.at, self.n, self.hits = np.zeros(size, np.int64), np.zeros(size, np.int32), np.zeros(size, np.int8)
         self.pool, self.end = np.zeros(1 << 16, self.dtype), 0
 
     def forget(self) -> None:
@@ -116,7 +116,7 @@ class WordEncoder:
         """Slots of new words, with their ids one after the other."""
         slot = self.slots.add(keys)
         if self.end + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.end], np.zeros(self.end + 2 * len(ids), self.dtype)])
+            self.pool = np.concatenate([self.pool[: self.end], np.zeros(self.end // 2 + 2 * len(ids), self.dtype)])
         self.pool[self.end : self.end + len(ids)] = ids
         self.at[slot], self.n[slot] = self.end + np.cumsum(n) - n, n
         self.end += len(ids)
@@ -198,7 +198,8 @@ class WordEncoder:
             self.forget()
         slot = self.slots.find(h)
         new = np.flatnonzero(slot < 0)
-        self.hits[slot[slot >= 0]] += 1  # once a block
+        seen = slot[slot >= 0]
+        self.hits[seen] = np.minimum(self.hits[seen], 100) + 1  # once a block
         if len(new):
             uniq, where, back = np.unique(h[new], return_index=True, return_inverse=True)
             fresh = new[where]
